@@ -80,6 +80,19 @@ def member_count(members: DataFrame) -> DataFrame:
         F.count_distinct(F.when(F.col("plan_type") == "Medicare", F.col("member_id"))).alias("medicare"))
 
 
+def order_by_count(df: DataFrame, key: str) -> DataFrame:
+    """Groups of ``key`` ordered by size, largest first (key breaks ties)."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
+            .orderBy(F.desc("count"), F.asc(key)))
+
+
+def top_k(df: DataFrame, key: str, alias: str, k: int) -> DataFrame:
+    """First ``k`` non-blank groups of ``key`` by count."""
+    return (df.where(nonblank(F.col(key))).groupBy(F.col(key).alias(alias))
+            .agg(F.count(F.lit(1)).alias("count"))
+            .orderBy(F.desc("count"), F.asc(alias)).limit(k))
+
+
 # ------------------------------------------------------------- key figures
 def find_status_count(grouped: DataFrame, status_col: str, status: str,
                       count_col: str = "count") -> DataFrame:
@@ -154,7 +167,7 @@ def result_records(df: DataFrame, order_by: list[Column]) -> DataFrame:
     already grouped or limited result, whose size is the number of groups."""
     rec = F.to_json(F.struct(*_text(df)), {"ignoreNullFields": "false"})
     w = Window.orderBy(*order_by)
-    return df.select(F.row_number().over(w).alias("row_no"), rec.alias("record"))
+    return df.select(F.row_number().over(w).cast("bigint").alias("row_no"), rec.alias("record"))
 
 
 SUMMARY_ORDER = {
@@ -192,4 +205,4 @@ def df_error(name: str, message: str) -> DataFrame:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame([(name, 0, None, message)],
-                                 "query string, row_no int, record string, error string")
+                                 "query string, row_no bigint, record string, error string")
