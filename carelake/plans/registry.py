@@ -29,4 +29,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that its queries register."""
-    from . import dashboard, tables  # noqa: F401
+    from . import dashboard, functions, predicates, tables  # noqa: F401
