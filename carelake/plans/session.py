@@ -24,6 +24,7 @@ REQUIRED = {
 LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
