@@ -29,4 +29,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that its queries register."""
-    from . import audits, dashboard, functions, measures, predicates, tables  # noqa: F401
+    from . import audits, dashboard, functions, measures, predicates, responses, tables  # noqa: F401
