@@ -171,14 +171,19 @@ def result_records(df: DataFrame, order_by: list[Column]) -> DataFrame:
 
 
 SUMMARY_ORDER = {
-    "appeals_by_status": [F.desc("count"), F.asc("appeal_status")],
-    "claims_by_status": [F.desc("count"), F.asc("status")],
-    "top_denial_reasons": [F.desc("count"), F.asc("reason")],
-    "recent_appeals": [F.desc_nulls_last("appeal_date"), F.desc("appeal_id")],
-    "member_count": [F.asc("members")],
+    "appeals_by_status": [("count", "desc"), ("appeal_status", "asc")],
+    "claims_by_status": [("count", "desc"), ("status", "asc")],
+    "top_denial_reasons": [("count", "desc"), ("reason", "asc")],
+    "recent_appeals": [("appeal_date", "desc_nulls_last"), ("appeal_id", "desc")],
+    "member_count": [("members", "asc")],
 }
 
 
+def summary_order(name: str) -> list[Column]:
+    """Order of a summary query's rows (built lazily: Columns need a session)."""
+    return [getattr(F, how)(c) for c, how in SUMMARY_ORDER[name]]
+
+
 def summary_pack(builders: dict) -> DataFrame:
     """Run the summary queries into one keyed result ``(query, row_no, record, error)``.
 
@@ -189,7 +194,7 @@ def summary_pack(builders: dict) -> DataFrame:
     for name, build in builders.items():
         try:
             df = build()
-            part = result_records(df, SUMMARY_ORDER[name]).select(
+            part = result_records(df, summary_order(name)).select(
                 F.lit(name).alias("query"), "row_no", "record",
                 F.lit(None).cast("string").alias("error"))
         except AnalysisException as e:  # analysis errors surface as data
