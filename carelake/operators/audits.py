@@ -44,6 +44,49 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str)
 
 
 def fk_audit(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFrame:
+    """``(fk, references, orphans)`` for every foreign key, in one shuffle.
+
+    Each child table is scanned once: its foreign-key columns become
+    ``(fk, parent, key)`` rows (``explode`` of a literal-length array),
+    counted per key inside each task.  Parent keys join the same union as
+    marker rows.  One ``groupBy(parent, key)`` then sees, for each key, the
+    reference counts of every foreign key and whether a parent exists; a
+    second, tiny aggregate sums per foreign key.  No join, no re-scan per
+    foreign key, and a key holding a third of all references is collapsed
+    map-side before the shuffle."""
+    names = [f"{c}.{fk}" for c, fk, _, _ in fks]
+    by_child: dict[str, list] = {}
+    for c, fk, p, pk in fks:
+        by_child.setdefault(c, []).append((f"{c}.{fk}", fk, p))
+    parts = []
+    for child, refs in by_child.items():
+        arr = F.array(*[F.struct(F.lit(n).alias("fk"), F.lit(p).alias("parent"), F.col(col).alias("key"))
+                        for n, col, p in refs])
+        parts.append(tables[child].select(F.explode(arr).alias("_r"))
+                     .select("_r.fk", "_r.parent", "_r.key")
+                     .where(F.col("key").isNotNull())
+                     .select("fk", "parent", "key", F.lit(1).cast("bigint").alias("n")))
+    for p, pk in sorted({(p, pk) for _, _, p, pk in fks}):
+        parts.append(tables[p].select(F.lit(None).cast("string").alias("fk"), F.lit(p).alias("parent"),
+                                      F.col(pk).alias("key"), F.lit(0).cast("bigint").alias("n")))
+    u = parts[0]
+    for x in parts[1:]:
+        u = u.unionByName(x)
+    per_key = u.groupBy("parent", "key").agg(
+        F.max(F.col("fk").isNull()).alias("has_parent"),
+        *[F.sum(F.when(F.col("fk") == n, F.col("n"))).alias(f"_c{i}") for i, n in enumerate(names)])
+    totals = per_key.agg(*[
+        x for i in range(len(names)) for x in (
+            F.coalesce(F.sum(f"_c{i}"), F.lit(0)).cast("bigint").alias(f"_r{i}"),
+            F.coalesce(F.sum(F.when(~F.col("has_parent"), F.col(f"_c{i}"))), F.lit(0)).cast("bigint")
+             .alias(f"_o{i}"))])
+    rows = F.array(*[F.struct(F.lit(n).alias("fk"), F.col(f"_r{i}").alias("references"),
+                              F.col(f"_o{i}").alias("orphans")) for i, n in enumerate(names)])
+    return totals.select(F.explode(rows).alias("_x")).select("_x.fk", "_x.references", "_x.orphans")
+
+
+def fk_audit_by_join(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFrame:
+    """Same result, one anti-style join per foreign key (reference form)."""
     out = None
     for child, fk, parent, pk in fks:
         part = fk_orphans(tables[child], fk, tables[parent], pk, f"{child}.{fk}")
@@ -73,17 +116,15 @@ def denied_reference_audit(appeals: DataFrame, claims: DataFrame, pas: DataFrame
 def duplicate_key_audit(tables: dict[str, DataFrame], pks=PRIMARY_KEYS) -> DataFrame:
     """Per table: rows, distinct keys, keys that occur more than once, NULL keys.
 
-    Two-level aggregation (count per key, then totals): both levels combine
-    partially before their shuffle."""
-    out = None
+    All tables' keys go through one ``groupBy(table, key)`` (partial counts
+    per task before the shuffle), then a small per-table aggregate."""
+    u = None
     for name, pk in pks.items():
-        per_key = tables[name].groupBy(F.col(pk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        part = per_key.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("row_count"),
-            F.count("_k").alias("distinct_keys"),
-            F.count(F.when(F.col("_k").isNotNull() & (F.col("_n") > 1), F.lit(1))).alias("duplicate_keys"),
-            F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
-             .alias("null_keys"),
-        ).select(F.lit(name).alias("table_name"), "row_count", "distinct_keys", "duplicate_keys", "null_keys")
-        out = part if out is None else out.unionByName(part)
-    return out
+        part = tables[name].select(F.lit(name).alias("table_name"), F.col(pk).cast("string").alias("_k"))
+        u = part if u is None else u.unionByName(part)
+    per_key = u.groupBy("table_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.groupBy("table_name").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("row_count"),
+        F.count("_k").alias("distinct_keys"),
+        F.count(F.when(F.col("_k").isNotNull() & (F.col("_n") > 1), F.lit(1))).alias("duplicate_keys"),
+        F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("null_keys"))

@@ -103,3 +103,17 @@ def test_sampling_rate_below_one_is_stable(spark):
     a = df.where(EV.sampled(F.col("trace_id"), F.col("scorer"), 0.25))
     n1, n2 = a.count(), a.count()
     assert n1 == n2 and 4000 < n1 < 6000
+
+
+def test_fk_audit_single_shuffle_equals_join_form(spark):
+    members = spark.createDataFrame([("M1",), ("M2",)], "member_id string")
+    claims = spark.createDataFrame([("C1", "M1"), ("C2", "M3"), ("C3", None), ("C4", "M3")],
+                                   "claim_id string, member_id string")
+    appeals = spark.createDataFrame([("A1", "C1", "M2"), ("A2", "C9", "M1"), ("A3", None, "M1")],
+                                    "appeal_id string, claim_id string, member_id string")
+    t = {"members": members, "claims": claims, "appeals": appeals}
+    fks = [("claims", "member_id", "members", "member_id"), ("appeals", "member_id", "members", "member_id"),
+           ("appeals", "claim_id", "claims", "claim_id")]
+    a = sorted(tuple(r) for r in A.fk_audit(t, fks).collect())
+    b = sorted(tuple(r) for r in A.fk_audit_by_join(t, fks).collect())
+    assert a == b == [("appeals.claim_id", 2, 1), ("appeals.member_id", 3, 0), ("claims.member_id", 3, 2)]
