@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.session import ensure_checkpoint_dir
+
 
 def row_number_within(df: DataFrame, group: list[str], order: list[Column],
                       alias: str = "row_number", num_partitions: int | None = None) -> DataFrame:
@@ -25,6 +27,12 @@ def row_number_within(df: DataFrame, group: list[str], order: list[Column],
     placed = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
+    # Both branches below must see the same placement.  Column pruning would
+    # otherwise give each branch its own range shuffle (separately sampled
+    # bounds), so the placed rows are written once to the shared checkpoint
+    # folder; this also cuts the lineage before the join.
+    ensure_checkpoint_dir(spark)
+    placed = placed.checkpoint(eager=True)
     # local position: ids are consecutive inside a task in sorted order
     counts = (placed.groupBy("_pid", *group)
               .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")))
