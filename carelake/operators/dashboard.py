@@ -27,11 +27,19 @@ def _is_true(c: Column) -> Column:
     return c.cast("string") == F.lit("true")
 
 
+def is_true(df: DataFrame, name: str) -> Column:
+    """``name = 'true'`` for ``df``: the boolean itself when the column is
+    BOOLEAN (no per-row cast), a case-sensitive text compare otherwise."""
+    if df.schema[name].dataType.typeName() == "boolean":
+        return F.col(name)
+    return F.col(name) == F.lit("true")
+
+
 # ----------------------------------------------------------------- queries
 def appeals_by_status(appeals: DataFrame) -> DataFrame:
     return (appeals.groupBy("appeal_status")
             .agg(F.count(F.lit(1)).alias("count"),
-                 F.count(F.when(_is_true(F.col("is_overturned")), F.lit(1))).alias("overturned"))
+                 F.count(F.when(is_true(appeals, "is_overturned"), F.lit(1))).alias("overturned"))
             .orderBy(F.desc("count"), F.asc("appeal_status")))
 
 
@@ -110,7 +118,7 @@ def overturn_rate(appeals: DataFrame) -> DataFrame:
 
     Also reports the share of decided (``Resolved*``) appeals, which is
     what the dashboard caption describes."""
-    over = F.count(F.when(_is_true(F.col("is_overturned")), F.lit(1)))
+    over = F.count(F.when(is_true(appeals, "is_overturned"), F.lit(1)))
     decided = F.count(F.when(F.col("appeal_status").startswith("Resolved"), F.lit(1)))
     n = F.count(F.lit(1))
     return appeals.agg(
@@ -133,10 +141,10 @@ def status_share(appeals: DataFrame) -> DataFrame:
 
 def kpi_cards(appeals: DataFrame, claims: DataFrame, members: DataFrame) -> DataFrame:
     """The four dashboard cards as one row."""
-    over = F.count(F.when(_is_true(F.col("is_overturned")), F.lit(1)))
+    over = F.count(F.when(is_true(appeals, "is_overturned"), F.lit(1)))
     n = F.count(F.lit(1))
     total_claims = claims.agg(F.count(F.lit(1))).scalar()
-    m = member_count(members)
+    m = member_count(members).select(F.struct("members", "medicare")).scalar()  # one job, two figures
     return (appeals.agg(
                 n.alias("total_appeals"),
                 F.count(F.when(F.col("appeal_status") == "Pending", F.lit(1))).alias("pending_appeals"),
@@ -144,8 +152,8 @@ def kpi_cards(appeals: DataFrame, claims: DataFrame, members: DataFrame) -> Data
             .select("total_appeals", "pending_appeals",
                     F.coalesce(total_claims, F.lit(0)).alias("total_claims"),
                     "overturn_rate_pct",
-                    m.select("members").scalar().alias("members"),
-                    m.select("medicare").scalar().alias("medicare")))
+                    m["members"].alias("members"),
+                    m["medicare"].alias("medicare")))
 
 
 # ------------------------------------------------------- result-set export

@@ -117,3 +117,27 @@ def test_fk_audit_single_shuffle_equals_join_form(spark):
     a = sorted(tuple(r) for r in A.fk_audit(t, fks).collect())
     b = sorted(tuple(r) for r in A.fk_audit_by_join(t, fks).collect())
     assert a == b == [("appeals.claim_id", 2, 1), ("appeals.member_id", 3, 0), ("claims.member_id", 3, 2)]
+
+
+def test_appeals_by_status_on_text_table(spark):
+    typed = spark.createDataFrame([("Pending", True), ("Pending", False), ("Withdrawn", None)],
+                                  "appeal_status string, is_overturned boolean")
+    text = typed.select("appeal_status", F.col("is_overturned").cast("string").alias("is_overturned"))
+    a = sorted(tuple(r) for r in D.appeals_by_status(typed).collect())
+    b = sorted(tuple(r) for r in D.appeals_by_status(text).collect())
+    assert a == b == [("Pending", 2, 1), ("Withdrawn", 1, 0)]
+
+
+def test_sql_table_functions(spark):
+    from carelake.sources.domain import Domain
+    d = Domain(spark, "/root/testdata/sf0.001")
+    made = L.register_sql_functions(spark, {t: d.table(t) for t in
+                                            ["members", "claims", "appeals", "prior_authorizations", "eligibility"]})
+    assert "member_lookup" in made and "eligibility_lookup" in made
+    got = spark.sql("SELECT m.member_id FROM (SELECT DISTINCT member_id FROM appeals WHERE is_overturned) k, "
+                    "LATERAL member_lookup(k.member_id) m").count()
+    want = d.appeals.where("is_overturned").select("member_id").distinct().count()
+    assert got == want > 0
+    n = spark.sql("SELECT * FROM (SELECT member_id, service_date FROM claims) c, "
+                  "LATERAL eligibility_lookup(c.member_id, c.service_date) e").count()
+    assert n == L.eligibility_lookup(d.eligibility, d.claims.select("claim_id", "member_id", "service_date")).count()
