@@ -23,7 +23,7 @@ FROM {c} x LEFT JOIN (SELECT DISTINCT {pk} AS _k FROM {p}) p ON x.{fk} = p._k"""
 
 @register("fk_audit", _FK_SQL)
 def q_fk_audit(spark, sf_dir):
-    return A.fk_audit(_tables(Domain(spark, sf_dir)))
+    return A.fk_audit(_tables(Domain.of(spark, sf_dir)))
 
 
 @register("denied_reference_audit", with_views("appeals", "claims", "prior_authorizations") + """
@@ -36,7 +36,7 @@ SELECT a.appeal_id, 'prior_auth', a.prior_auth_id,
 FROM appeals a LEFT JOIN prior_authorizations p ON a.prior_auth_id = p.prior_auth_id
 WHERE a.prior_auth_id IS NOT NULL AND (p.is_approved IS NULL OR p.is_approved)""")
 def q_denied_reference_audit(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return A.denied_reference_audit(d.appeals, d.claims, d.prior_authorizations)
 
 
@@ -50,7 +50,7 @@ FROM (SELECT {pk} AS k, COUNT(*) AS n FROM {t} GROUP BY {pk})"""
 
 @register("duplicate_key_audit", _DUP_SQL)
 def q_duplicate_key_audit(spark, sf_dir):
-    return A.duplicate_key_audit(_tables(Domain(spark, sf_dir)))
+    return A.duplicate_key_audit(_tables(Domain.of(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ lookups
@@ -63,7 +63,7 @@ SELECT m.member_id, {', '.join('m.' + c.strip() for c in _M_COLS.split(',')[1:])
 FROM (SELECT DISTINCT member_id FROM appeals WHERE is_overturned) k JOIN members m ON k.member_id = m.member_id""")
 def q_member_lookup(spark, sf_dir):
     """Members whose appeal was overturned (request keys derived from appeals)."""
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     keys = d.appeals.where(F.col("is_overturned")).select("member_id").distinct()
     return L.member_lookup(d.members, keys)
 
@@ -78,7 +78,7 @@ LEFT JOIN providers pr ON c.provider_id = pr.provider_id
 LEFT JOIN prior_authorizations pa ON c.prior_auth_id = pa.prior_auth_id""")
 def q_claim_lookup(spark, sf_dir):
     """Detail of every claim cited by an appeal."""
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     keys = d.appeals.where(F.col("claim_id").isNotNull()).select("claim_id").distinct()
     return L.claim_lookup(d.claims, d.providers, d.prior_authorizations, keys).select(
         "claim_id", "member_id", "provider_id", "prior_auth_id", "status", "service_type", "billed_cents",
@@ -92,7 +92,7 @@ FROM (SELECT member_id FROM members WHERE plan_type = 'Medicare Advantage') k
 JOIN appeals a ON k.member_id = a.member_id""")
 def q_appeal_lookup(spark, sf_dir):
     """Appeal status of every Medicare Advantage member, by member id."""
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     keys = d.members.where(F.col("plan_type") == "Medicare Advantage").select("member_id")
     return L.appeal_lookup(d.appeals, keys).select("member_id", "appeal_id", "appeal_status",
                                                    "appeal_date", "appeal_type")
@@ -104,7 +104,7 @@ FROM claims c JOIN eligibility e
   ON c.member_id = e.member_id AND c.service_date BETWEEN e.coverage_start AND e.coverage_end""")
 def q_eligibility_lookup(spark, sf_dir):
     """For every claim: the coverage span in force on its service date."""
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     req = d.claims.select("claim_id", "member_id", "service_date")
     return L.eligibility_lookup(d.eligibility, req).select(
         "claim_id", "member_id", "service_date", "eligibility_id", "coverage_start", "coverage_end")
@@ -116,7 +116,7 @@ FROM (SELECT DISTINCT prior_auth_id FROM claims WHERE status = 'Denied' AND prio
 JOIN prior_authorizations p ON k.prior_auth_id = p.prior_auth_id""")
 def q_prior_auth_lookup(spark, sf_dir):
     """PA detail for every PA cited by a denied claim."""
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     keys = (d.claims.where((F.col("status") == "Denied") & F.col("prior_auth_id").isNotNull())
             .select("prior_auth_id").distinct())
     return L.prior_auth_lookup(d.prior_authorizations, keys).select(
@@ -128,7 +128,7 @@ SELECT a.appeal_id, a.claim_id, a.original_denial_reason, c.status AS claim_stat
        c.denial_reason AS claim_denial_reason, c.denial_code AS claim_denial_code, c.drug AS claim_drug
 FROM appeals a LEFT JOIN claims c ON a.claim_id = c.claim_id""")
 def q_appeal_claim_denials(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return L.appeal_claim_denials(d.appeals, d.claims).select(
         "appeal_id", "claim_id", "original_denial_reason", "claim_status", "claim_denial_reason",
         "claim_denial_code", "claim_drug")

@@ -16,7 +16,7 @@ SELECT appeal_status, COUNT(*) AS count,
        COUNT(CASE WHEN CAST(is_overturned AS VARCHAR) = 'true' THEN 1 END) AS overturned
 FROM appeals GROUP BY appeal_status""")
 def q_appeals_by_status(spark, sf_dir):
-    return D.appeals_by_status(Domain(spark, sf_dir).appeals)
+    return D.appeals_by_status(Domain.of(spark, sf_dir).appeals)
 
 
 @register("claims_by_status", W_CLAIMS + """
@@ -25,7 +25,7 @@ SELECT status, COUNT(*) AS count,
        CAST(CAST(sum(paid_cents) AS BIGINT) AS DOUBLE) / 100.0 AS total_paid
 FROM claims GROUP BY status""")
 def q_claims_by_status(spark, sf_dir):
-    return D.claims_by_status(Domain(spark, sf_dir).claims)
+    return D.claims_by_status(Domain.of(spark, sf_dir).claims)
 
 
 @register("top_denial_reasons", W_APPEALS + """
@@ -34,14 +34,14 @@ FROM appeals
 WHERE original_denial_reason IS NOT NULL AND original_denial_reason != ''
 GROUP BY original_denial_reason ORDER BY count DESC, reason ASC LIMIT 5""")
 def q_top_denial_reasons(spark, sf_dir):
-    return D.top_denial_reasons(Domain(spark, sf_dir).appeals)
+    return D.top_denial_reasons(Domain.of(spark, sf_dir).appeals)
 
 
 @register("recent_appeals", W_APPEALS + """
 SELECT appeal_id, member_id, appeal_type, appeal_status, original_denial_reason, appeal_date
 FROM appeals ORDER BY appeal_date DESC NULLS LAST, appeal_id DESC LIMIT 8""")
 def q_recent_appeals(spark, sf_dir):
-    return D.recent_appeals(Domain(spark, sf_dir).appeals)
+    return D.recent_appeals(Domain.of(spark, sf_dir).appeals)
 
 
 @register("member_count", W_MEMBERS + """
@@ -49,7 +49,7 @@ SELECT COUNT(DISTINCT member_id) AS members,
        COUNT(DISTINCT CASE WHEN plan_type = 'Medicare' THEN member_id END) AS medicare
 FROM members""")
 def q_member_count(spark, sf_dir):
-    return D.member_count(Domain(spark, sf_dir).members)
+    return D.member_count(Domain.of(spark, sf_dir).members)
 
 
 # --------------------------------------------------------------- key figures
@@ -62,14 +62,14 @@ FROM appeals GROUP BY appeal_status""")])
 
 @register("total_appeals", _ABS_CTE + "SELECT CAST(COALESCE(SUM(count), 0) AS BIGINT) AS total_appeals FROM abs")
 def q_total_appeals(spark, sf_dir):
-    return D.total_of(D.appeals_by_status(Domain(spark, sf_dir).appeals), "count", "total_appeals")
+    return D.total_of(D.appeals_by_status(Domain.of(spark, sf_dir).appeals), "count", "total_appeals")
 
 
 @register("pending_appeals", _ABS_CTE + """
 SELECT CAST(COALESCE(SUM(CASE WHEN appeal_status = 'Pending' THEN count END), 0) AS BIGINT) AS pending_count
 FROM abs""")
 def q_pending_appeals(spark, sf_dir):
-    return D.find_status_count(D.appeals_by_status(Domain(spark, sf_dir).appeals),
+    return D.find_status_count(D.appeals_by_status(Domain.of(spark, sf_dir).appeals),
                                "appeal_status", "Pending")
 
 
@@ -78,7 +78,7 @@ SELECT CAST(COALESCE(SUM(CASE WHEN appeal_status = 'Denied' THEN count END), 0)
 FROM abs""")
 def q_find_status_count(spark, sf_dir):
     """A status the appeals never have: the figure is 0, still one row."""
-    return D.find_status_count(D.appeals_by_status(Domain(spark, sf_dir).appeals),
+    return D.find_status_count(D.appeals_by_status(Domain.of(spark, sf_dir).appeals),
                                "appeal_status", "Denied")
 
 
@@ -86,7 +86,7 @@ def q_find_status_count(spark, sf_dir):
 SELECT status, COUNT(*) AS count FROM claims GROUP BY status""")]) + """
 SELECT CAST(COALESCE(SUM(count), 0) AS BIGINT) AS total_claims FROM cbs""")
 def q_total_claims(spark, sf_dir):
-    return D.total_of(D.claims_by_status(Domain(spark, sf_dir).claims), "count", "total_claims")
+    return D.total_of(D.claims_by_status(Domain.of(spark, sf_dir).claims), "count", "total_claims")
 
 
 _PCT = "CAST(floor(CAST({n} AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(NULLIF({d}, 0) AS DOUBLE) + 0.5) AS BIGINT)"
@@ -103,14 +103,14 @@ SELECT appeals, overturned, decided,
        COALESCE({_PCT.format(n='overturned', d='decided')}, 0) AS overturn_rate_decided_pct
 FROM o""")
 def q_overturn_rate(spark, sf_dir):
-    return D.overturn_rate(Domain(spark, sf_dir).appeals)
+    return D.overturn_rate(Domain.of(spark, sf_dir).appeals)
 
 
 @register("overturn_rate_decided", _OVR + f"""
 SELECT decided, overturned, COALESCE({_PCT.format(n='overturned', d='decided')}, 0) AS overturn_rate_decided_pct
 FROM o""")
 def q_overturn_rate_decided(spark, sf_dir):
-    return D.overturn_rate(Domain(spark, sf_dir).appeals).select(
+    return D.overturn_rate(Domain.of(spark, sf_dir).appeals).select(
         "decided", "overturned", "overturn_rate_decided_pct")
 
 
@@ -119,7 +119,7 @@ SELECT appeal_status, COUNT(*) AS count,
        {_PCT.format(n='COUNT(*)', d='(SELECT COUNT(*) FROM appeals)')} AS pct
 FROM appeals GROUP BY appeal_status""")
 def q_status_share(spark, sf_dir):
-    return D.status_share(Domain(spark, sf_dir).appeals)
+    return D.status_share(Domain.of(spark, sf_dir).appeals)
 
 
 @register("kpi_cards", with_views("appeals", "claims", "members") + f"""
@@ -131,14 +131,14 @@ SELECT COUNT(*) AS total_appeals,
        (SELECT COUNT(DISTINCT CASE WHEN plan_type = 'Medicare' THEN member_id END) FROM members) AS medicare
 FROM appeals""")
 def q_kpi_cards(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return D.kpi_cards(d.appeals, d.claims, d.members)
 
 
 @register("order_by_count", with_views("claims") + """
 SELECT service_type, COUNT(*) AS count FROM claims GROUP BY service_type""")
 def q_order_by_count(spark, sf_dir):
-    return D.order_by_count(Domain(spark, sf_dir).claims, "service_type")
+    return D.order_by_count(Domain.of(spark, sf_dir).claims, "service_type")
 
 
 @register("top_k_reasons", with_views("claims") + """
@@ -146,7 +146,7 @@ SELECT denial_reason AS reason, COUNT(*) AS count FROM claims
 WHERE denial_reason IS NOT NULL AND denial_reason != ''
 GROUP BY denial_reason ORDER BY count DESC, reason ASC LIMIT 5""")
 def q_top_k_reasons(spark, sf_dir):
-    return D.top_k(Domain(spark, sf_dir).claims, "denial_reason", "reason", 5)
+    return D.top_k(Domain.of(spark, sf_dir).claims, "denial_reason", "reason", 5)
 
 
 _REC_ABS = _ABS_CTE + """
@@ -159,12 +159,12 @@ FROM abs"""
 
 @register("result_records", _REC_ABS)
 def q_result_records(spark, sf_dir):
-    return D.result_records(D.appeals_by_status(Domain(spark, sf_dir).appeals),
+    return D.result_records(D.appeals_by_status(Domain.of(spark, sf_dir).appeals),
                             D.summary_order("appeals_by_status"))
 
 
 def _summary_builders(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return {
         "appeals_by_status": lambda: D.appeals_by_status(d.appeals),
         "claims_by_status": lambda: D.claims_by_status(d.claims),

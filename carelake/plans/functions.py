@@ -29,7 +29,7 @@ def q_format_id(spark, sf_dir):
 SELECT provider_id AS id, npi AS digits FROM providers
 UNION ALL SELECT prior_auth_id, authorization_number FROM prior_authorizations""")
 def q_fixed_digits(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return (d.providers.select(F.col("provider_id").alias("id"), F.col("npi").alias("digits"))
             .unionByName(d.prior_authorizations.select(F.col("prior_auth_id").alias("id"),
                                                        F.col("authorization_number").alias("digits"))))
@@ -37,18 +37,18 @@ def q_fixed_digits(spark, sf_dir):
 
 @register("pattern_digits", with_views("providers") + "SELECT provider_id, tax_id FROM providers")
 def q_pattern_digits(spark, sf_dir):
-    return Domain(spark, sf_dir).providers.select("provider_id", "tax_id")
+    return Domain.of(spark, sf_dir).providers.select("provider_id", "tax_id")
 
 
 @register("concat_name", with_views("providers") + "SELECT provider_id, provider_name FROM providers")
 def q_concat_name(spark, sf_dir):
-    return Domain(spark, sf_dir).providers.select("provider_id", "provider_name")
+    return Domain.of(spark, sf_dir).providers.select("provider_id", "provider_name")
 
 
 @register("csv_join", with_views("claims") + """
 SELECT claim_id, concat_ws(',', primary_diagnosis_code, ndc_code, hcpcs_code) AS code_list FROM claims""")
 def q_csv_join(spark, sf_dir):
-    c = Domain(spark, sf_dir).claims
+    c = Domain.of(spark, sf_dir).claims
     arr = F.filter(F.array("primary_diagnosis_code", "ndc_code", "hcpcs_code"), lambda x: x.isNotNull())
     return c.select("claim_id", X.csv_join(arr).alias("code_list"))
 
@@ -56,7 +56,7 @@ def q_csv_join(spark, sf_dir):
 @register("iso_date", with_views("claims") + """
 SELECT claim_id, strftime(submitted_date, '%Y-%m-%d') AS submitted_text FROM claims""")
 def q_iso_date(spark, sf_dir):
-    return Domain(spark, sf_dir).claims.select("claim_id", X.iso_date("submitted_date").alias("submitted_text"))
+    return Domain.of(spark, sf_dir).claims.select("claim_id", X.iso_date("submitted_date").alias("submitted_text"))
 
 
 @register("date_shift", with_views("claims") + """
@@ -64,7 +64,7 @@ SELECT claim_id, CAST(submitted_date + 30 AS DATE) AS due_date, CAST(submitted_d
        processed_date
 FROM claims""")
 def q_date_shift(spark, sf_dir):
-    c = Domain(spark, sf_dir).claims
+    c = Domain.of(spark, sf_dir).claims
     return c.select("claim_id", X.date_shift("submitted_date", F.lit(30)).alias("due_date"),
                     X.date_shift("submitted_date", F.lit(-7)).alias("week_before"), "processed_date")
 
@@ -74,7 +74,7 @@ SELECT member_id, created_at,
        created_at BETWEEN CAST({AS_OF} - 1095 AS DATE) AND CAST({AS_OF} - 365 AS DATE) AS in_range
 FROM members""")
 def q_date_in_range(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     m = d.members
     return m.select("member_id", "created_at",
                     F.col("created_at").between(F.date_sub(d.as_of, 1095), F.date_sub(d.as_of, 365))
@@ -87,7 +87,7 @@ SELECT member_id, date_of_birth,
          AND date_of_birth > CAST({AS_OF} - INTERVAL 96 YEAR AS DATE) AS age_65_to_95
 FROM members""")
 def q_dob_for_age(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     dob = F.col("date_of_birth")
     return d.members.select("member_id", "date_of_birth",
                             ((dob <= F.add_months(d.as_of, -12 * 65)) & (dob > F.add_months(d.as_of, -12 * 96)))
@@ -99,7 +99,7 @@ SELECT claim_id, status, billed_cents, allowed_cents, paid_cents,
        allowed_cents <= billed_cents AND paid_cents <= allowed_cents AS chain_ok
 FROM claims""")
 def q_amount_chain(spark, sf_dir):
-    c = Domain(spark, sf_dir).claims
+    c = Domain.of(spark, sf_dir).claims
     return c.select("claim_id", "status", "billed_cents", "allowed_cents", "paid_cents",
                     ((F.col("allowed_cents") <= F.col("billed_cents"))
                      & (F.col("paid_cents") <= F.col("allowed_cents"))).alias("chain_ok"))
@@ -113,7 +113,7 @@ FROM claims""")])
 
 
 def _bronze_claims(spark, sf_dir):
-    return bronze_text(build_claims(Domain(spark, sf_dir)))
+    return bronze_text(build_claims(Domain.of(spark, sf_dir)))
 
 
 @register("round_money", _BRONZE_CLAIMS + """
@@ -152,7 +152,7 @@ SELECT provider_id, COUNT(*) AS claims, COUNT(CASE WHEN status = 'Denied' THEN 1
                   / CAST(COUNT(*) AS DOUBLE) + 0.5) AS BIGINT) AS denied_pct
 FROM claims GROUP BY provider_id""")
 def q_round_half_up_pct(spark, sf_dir):
-    c = Domain(spark, sf_dir).claims
+    c = Domain.of(spark, sf_dir).claims
     n = F.count(F.lit(1))
     den = F.count(F.when(F.col("status") == "Denied", F.lit(1)))
     return c.groupBy("provider_id").agg(n.alias("claims"), den.alias("denied"),
@@ -165,7 +165,7 @@ SELECT status, format('{:,}', COUNT(*)) AS claims_text,
 FROM claims GROUP BY status""")
 def q_format_thousands(spark, sf_dir):
     from ..operators.dashboard import claims_by_status
-    cbs = claims_by_status(Domain(spark, sf_dir).claims)
+    cbs = claims_by_status(Domain.of(spark, sf_dir).claims)
     return cbs.select("status", X.format_thousands("count").alias("claims_text"),
                       X.format_thousands("total_billed", 2, currency=True).alias("billed_text"))
 
@@ -173,39 +173,39 @@ def q_format_thousands(spark, sf_dir):
 # ------------------------------------------------------------ keyed columns
 @register("seeded_choice", with_views("claims") + "SELECT claim_id, service_type, cpt_code, hcpcs_code FROM claims")
 def q_seeded_choice(spark, sf_dir):
-    return Domain(spark, sf_dir).claims.select("claim_id", "service_type", "cpt_code", "hcpcs_code")
+    return Domain.of(spark, sf_dir).claims.select("claim_id", "service_type", "cpt_code", "hcpcs_code")
 
 
 @register("weighted_choice", with_views("claims") + "SELECT status, COUNT(*) AS claims FROM claims GROUP BY status")
 def q_weighted_choice(spark, sf_dir):
-    return Domain(spark, sf_dir).claims.groupBy("status").agg(F.count(F.lit(1)).alias("claims"))
+    return Domain.of(spark, sf_dir).claims.groupBy("status").agg(F.count(F.lit(1)).alias("claims"))
 
 
 @register("seeded_flag", with_views("prior_authorizations") + """
 SELECT prior_auth_id, is_approved, was_member_active FROM prior_authorizations""")
 def q_seeded_flag(spark, sf_dir):
-    return Domain(spark, sf_dir).prior_authorizations.select("prior_auth_id", "is_approved", "was_member_active")
+    return Domain.of(spark, sf_dir).prior_authorizations.select("prior_auth_id", "is_approved", "was_member_active")
 
 
 @register("sample_k", with_views("claims") + "SELECT claim_id, secondary_diagnosis_codes FROM claims")
 def q_sample_k(spark, sf_dir):
-    return Domain(spark, sf_dir).claims.select("claim_id", "secondary_diagnosis_codes")
+    return Domain.of(spark, sf_dir).claims.select("claim_id", "secondary_diagnosis_codes")
 
 
 @register("fk_choice", with_views("claims") + "SELECT claim_id, member_id, provider_id, prior_auth_id FROM claims")
 def q_fk_choice(spark, sf_dir):
-    return Domain(spark, sf_dir).claims.select("claim_id", "member_id", "provider_id", "prior_auth_id")
+    return Domain.of(spark, sf_dir).claims.select("claim_id", "member_id", "provider_id", "prior_auth_id")
 
 
 @register("null_unless", with_views("claims") + """
 SELECT claim_id, status, denial_reason, denial_code, denial_category, ndc_code, drug FROM claims""")
 def q_null_unless(spark, sf_dir):
-    return Domain(spark, sf_dir).claims.select("claim_id", "status", "denial_reason", "denial_code",
+    return Domain.of(spark, sf_dir).claims.select("claim_id", "status", "denial_reason", "denial_code",
                                                "denial_category", "ndc_code", "drug")
 
 
 @register("seeded_int", with_views("claims") + """
 SELECT claim_id, CAST(datediff('day', submitted_date, processed_date) AS INTEGER) AS processing_days FROM claims""")
 def q_seeded_int(spark, sf_dir):
-    c = Domain(spark, sf_dir).claims
+    c = Domain.of(spark, sf_dir).claims
     return c.select("claim_id", F.datediff("processed_date", "submitted_date").alias("processing_days"))

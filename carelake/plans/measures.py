@@ -21,7 +21,7 @@ SELECT appeal_type, appeal_source, COUNT(*) AS appeals,
        CAST(GROUPING(appeal_type, appeal_source) AS BIGINT) AS grouping_id
 FROM appeals GROUP BY ROLLUP (appeal_type, appeal_source)""")
 def q_metric_appeals_stats(spark, sf_dir):
-    return M.metric_view(Domain(spark, sf_dir).appeals, ["appeal_type", "appeal_source"],
+    return M.metric_view(Domain.of(spark, sf_dir).appeals, ["appeal_type", "appeal_source"],
                          ["appeals", "overturned", "withdrawn", "pending", "documented"], rollup=True)
 
 
@@ -31,7 +31,7 @@ SELECT CAST(date_trunc('month', submitted_date) AS DATE) AS month, service_type,
        CAST(COUNT(CASE WHEN status = 'Denied' THEN 1 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS denial_rate
 FROM claims GROUP BY ALL""")
 def q_metric_denial_trends(spark, sf_dir):
-    return M.denial_trends(Domain(spark, sf_dir).claims)
+    return M.denial_trends(Domain.of(spark, sf_dir).claims)
 
 
 @register("metric_overturn_rates", with_views("appeals") + f"""
@@ -42,7 +42,7 @@ SELECT original_denial_reason, COUNT(*) AS appeals, COUNT(CASE WHEN is_overturne
                     d="COUNT(CASE WHEN starts_with(appeal_status, 'Resolved') THEN 1 END)")} AS overturn_rate_decided_pct
 FROM appeals GROUP BY original_denial_reason""")
 def q_metric_overturn_rates(spark, sf_dir):
-    return M.overturn_rates(Domain(spark, sf_dir).appeals)
+    return M.overturn_rates(Domain.of(spark, sf_dir).appeals)
 
 
 _GLP1 = "(" + ", ".join(lit(x) for x in C.GLP1_DRUGS) + ")"
@@ -54,7 +54,7 @@ SELECT drug, CAST(date_trunc('month', submitted_date) AS DATE) AS month, COUNT(*
        CAST(SUM(paid_cents) AS BIGINT) AS paid_cents
 FROM claims WHERE drug IN {_GLP1} GROUP BY ALL""")
 def q_glp1_utilization(spark, sf_dir):
-    return M.glp1_utilization(Domain(spark, sf_dir).claims)
+    return M.glp1_utilization(Domain.of(spark, sf_dir).claims)
 
 
 PROMPT_BRANDS = ["Ozempic", "Wegovy"]
@@ -70,7 +70,7 @@ SELECT a.appeal_id, a.prior_auth_id, p.drug, g.brands, a.appeal_status, a.origin
 FROM appeals a JOIN prior_authorizations p ON a.prior_auth_id = p.prior_auth_id
 JOIN g ON p.drug = g.generic""")
 def q_brand_drug_appeals(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return M.brand_drug_appeals(d.appeals, d.prior_authorizations, PROMPT_BRANDS)
 
 
@@ -90,5 +90,5 @@ SELECT provider_id, specialty, claims, denied, denial_rate, peer_claims, peer_de
          AS rank_in_specialty
 FROM x""")
 def q_provider_peer_benchmark(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return M.provider_peer_benchmark(d.claims, d.providers)

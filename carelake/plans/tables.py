@@ -43,7 +43,7 @@ ORACLE_BUILD = {
 
 def _build(name):
     def run(spark, sf_dir):
-        return B.BUILDERS[name](Domain(spark, sf_dir))
+        return B.BUILDERS[name](Domain.of(spark, sf_dir))
     return run
 
 
@@ -63,7 +63,7 @@ def q_scan_table(spark, sf_dir):
 @register("apply_schema", ORACLE_BUILD["appeals"])
 def q_apply_schema(spark, sf_dir):
     """Appeals conformed to the declared StructType (order, names, types)."""
-    return B.conform(Domain(spark, sf_dir).appeals, S.APPEALS)
+    return B.conform(Domain.of(spark, sf_dir).appeals, S.APPEALS)
 
 
 _BRONZE_APPEALS = with_views("appeals") + "SELECT " + ", ".join(
@@ -72,7 +72,7 @@ _BRONZE_APPEALS = with_views("appeals") + "SELECT " + ", ".join(
 
 @register("bronze_text", _BRONZE_APPEALS)
 def q_bronze_text(spark, sf_dir):
-    return B.bronze_text(B.build_appeals(Domain(spark, sf_dir)))
+    return B.bronze_text(B.build_appeals(Domain.of(spark, sf_dir)))
 
 
 _COUNTS = with_views(*DOMAIN_TABLES) + " UNION ALL ".join(
@@ -81,7 +81,7 @@ _COUNTS = with_views(*DOMAIN_TABLES) + " UNION ALL ".join(
 
 @register("row_count_report", _COUNTS)
 def q_row_count_report(spark, sf_dir):
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return sinks.row_count_report({t: d.table(t) for t in DOMAIN_TABLES})
 
 
@@ -91,7 +91,7 @@ def q_save_overwrite(spark, sf_dir):
     import hashlib
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
     path = f"{sinks.table_root(spark)}/{tag}/appeals"
-    return sinks.save_overwrite(B.build_appeals(Domain(spark, sf_dir)), path)
+    return sinks.save_overwrite(B.build_appeals(Domain.of(spark, sf_dir)), path)
 
 
 @register("create_namespace", _COUNTS)
@@ -101,6 +101,6 @@ def q_create_namespace(spark, sf_dir):
     import hashlib
     ns = "carelake_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
     sinks.create_namespace(spark, ns)
-    d = Domain(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
     return sinks.save_table(sinks.row_count_report({t: d.table(t) for t in DOMAIN_TABLES}),
                             f"{ns}.row_counts")

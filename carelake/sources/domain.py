@@ -37,7 +37,22 @@ def _div100(c: Column) -> Column:
 
 
 class Domain:
-    """Lazily built domain tables over one scale-factor directory."""
+    """Lazily built domain tables over one scale-factor directory.
+
+    ``Domain.of`` returns one instance per (session, directory, as-of date):
+    the table definitions are logical plans, built once per session like
+    view definitions (building them costs a few thousand JVM calls) and
+    executed afresh by every query that uses them."""
+
+    _instances: dict = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, as_of: str = C.DEFAULT_AS_OF) -> "Domain":
+        key = (id(spark), id(spark.sparkContext), sf_dir.rstrip("/"), as_of)
+        d = cls._instances.get(key)
+        if d is None or d.spark is not spark:
+            d = cls._instances[key] = cls(spark, sf_dir, as_of)
+        return d
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = C.DEFAULT_AS_OF):
         self.spark = spark

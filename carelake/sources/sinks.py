@@ -39,8 +39,15 @@ def create_namespace(spark: SparkSession, name: str) -> str:
 
 
 def save_table(df: DataFrame, qualified_name: str) -> DataFrame:
-    df.write.mode("overwrite").saveAsTable(qualified_name)
-    return df.sparkSession.table(qualified_name)
+    """Overwrite a catalog table whose files live under the namespace folder.
+
+    The path is explicit (an external table), so a rerun replaces the files
+    even when the catalog is new to this session and the folder is not."""
+    spark = df.sparkSession
+    ns, name = qualified_name.split(".", 1)
+    loc = table_root(spark) + f"/{ns}.db/{name}"
+    df.write.mode("overwrite").option("path", loc).saveAsTable(qualified_name)
+    return spark.table(qualified_name)
 
 
 def row_count_report(tables: dict[str, DataFrame]) -> DataFrame:
