@@ -12,8 +12,16 @@ def _col(c) -> Column:
 
 
 def format_id(prefix: str, width: int, key) -> Column:
-    """``PFX-`` + zero-padded key; never truncates (unlike ``lpad``)."""
-    return F.format_string(f"{prefix}-%0{width}d", _col(key))
+    """``PFX-`` + zero-padded key, as ``'%0<width>d'`` formats it; never truncates.
+
+    ``lpad`` alone truncates a key wider than the pad, so it is used only for
+    keys in ``[0, 10**width)``; other keys go through ``format_string``.
+    The common path avoids per-row format parsing."""
+    k = _col(key)
+    fast = F.lpad(k.cast("string"), width, "0")
+    return F.concat(F.lit(f"{prefix}-"),
+                    F.when((k >= F.lit(0)) & (k < F.lit(10 ** width)), fast)
+                     .otherwise(F.format_string(f"%0{width}d", k)))
 
 
 def fixed_digits(key, p: int, digits: int) -> Column:

@@ -146,7 +146,7 @@ class Domain:
                       k.alias("pa_key"),
                       format_id("PA", 5, k).alias("prior_auth_id"),
                       format_id("MBR", 5, F.col("o_custkey")).alias("member_id"),
-                      F.format_string("PRV-%04d", k % self.provider_count()).alias("provider_id"),
+                      (k % self.provider_count()).alias("_prov_ix"),
                       svc.alias("service_type"),
                       pick(mix(k, 257, len(C.CPT_CODES)), C.CPT_CODES).cast("bigint").alias("cpt_code"),
                       seeded_choice(k, 263, C.HCPCS_CODES).alias("hcpcs_code"),
@@ -167,7 +167,8 @@ class Domain:
         decision = date_shift(F.col("request_date"), F.col("_decision_days"))
         denied = ~F.col("is_approved")
         return stage1.select(
-            "pa_key", "prior_auth_id", "member_id", "provider_id", "service_type",
+            "pa_key", "prior_auth_id", "member_id", format_id("PRV", 4, "_prov_ix").alias("provider_id"),
+            "service_type",
             F.concat_ws(" ", F.col("service_type"), F.lit("service, CPT"),
                         F.col("cpt_code").cast("string")).alias("service_description"),
             "cpt_code", "hcpcs_code", "ndc_code", "primary_diagnosis_code",
@@ -195,7 +196,7 @@ class Domain:
                       k.alias("claim_key"),
                       format_id("CLM", 6, k).alias("claim_id"),
                       format_id("MBR", 5, F.col("o_custkey")).alias("member_id"),
-                      F.format_string("PRV-%04d", (k * F.lit(7)) % self.provider_count()).alias("provider_id"),
+                      ((k * F.lit(7)) % self.provider_count()).alias("_prov_ix"),
                       F.when(seeded_flag(k, 103, C.CLAIM_HAS_PA_PCT),
                              format_id("PA", 5, k - k % F.lit(3))).alias("prior_auth_id"),
                       svc.alias("service_type"),
@@ -220,7 +221,8 @@ class Domain:
         allowed = _div100(F.col("billed_cents") * F.col("_allowed_pct"))
         denied = F.col("status") == "Denied"
         return stage1.select(
-            "claim_key", "claim_id", "member_id", "provider_id", "prior_auth_id", "service_type",
+            "claim_key", "claim_id", "member_id", format_id("PRV", 4, "_prov_ix").alias("provider_id"),
+            "prior_auth_id", "service_type",
             F.concat_ws(" ", F.col("service_type"), F.lit("service, CPT"),
                         F.col("cpt_code").cast("string")).alias("service_description"),
             "cpt_code", "hcpcs_code", "ndc_code", "primary_diagnosis_code",

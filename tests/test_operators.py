@@ -141,3 +141,10 @@ def test_sql_table_functions(spark):
     n = spark.sql("SELECT * FROM (SELECT member_id, service_date FROM claims) c, "
                   "LATERAL eligibility_lookup(c.member_id, c.service_date) e").count()
     assert n == L.eligibility_lookup(d.eligibility, d.claims.select("claim_id", "member_id", "service_date")).count()
+
+
+def test_format_id_matches_format_string(spark):
+    df = spark.createDataFrame([(0,), (7,), (99999,), (100000,), (123456789,), (-3,), (None,)], "k long")
+    got = df.select(X.format_id("MBR", 5, F.col("k")).alias("a"),
+                    F.format_string("MBR-%05d", F.col("k")).alias("b")).collect()
+    assert all(r.a == r.b for r in got if r.b is not None)
