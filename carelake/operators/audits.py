@@ -46,32 +46,29 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str)
 def fk_audit(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFrame:
     """``(fk, references, orphans)`` for every foreign key, in one shuffle.
 
-    Each child table is scanned once: its foreign-key columns become
-    ``(fk, parent, key)`` rows (``explode`` of a literal-length array),
-    counted per key inside each task.  Parent keys join the same union as
-    marker rows.  One ``groupBy(parent, key)`` then sees, for each key, the
-    reference counts of every foreign key and whether a parent exists; a
-    second, tiny aggregate sums per foreign key.  No join, no re-scan per
-    foreign key, and a key holding a third of all references is collapsed
-    map-side before the shuffle."""
+    Each table is scanned once: its foreign-key values and (when it is a
+    parent) its own key become ``(fk, parent, key, n)`` rows through one
+    ``explode`` of a fixed-length array, counted per key inside each task.
+    One ``groupBy(parent, key)`` then sees, for each key, the reference
+    counts of every foreign key and whether the parent row exists; a second,
+    tiny aggregate sums per foreign key.  No join and no re-scan per foreign
+    key; a key holding a third of all references is collapsed map-side
+    before the shuffle."""
     names = [f"{c}.{fk}" for c, fk, _, _ in fks]
-    by_child: dict[str, list] = {}
+    parent_keys = dict(sorted({(p, pk) for _, _, p, pk in fks}))
+    emitted: dict[str, list] = {}
     for c, fk, p, pk in fks:
-        by_child.setdefault(c, []).append((f"{c}.{fk}", fk, p))
-    parts = []
-    for child, refs in by_child.items():
-        arr = F.array(*[F.struct(F.lit(n).alias("fk"), F.lit(p).alias("parent"), F.col(col).alias("key"))
-                        for n, col, p in refs])
-        parts.append(tables[child].select(F.explode(arr).alias("_r"))
-                     .select("_r.fk", "_r.parent", "_r.key")
-                     .where(F.col("key").isNotNull())
-                     .select("fk", "parent", "key", F.lit(1).cast("bigint").alias("n")))
-    for p, pk in sorted({(p, pk) for _, _, p, pk in fks}):
-        parts.append(tables[p].select(F.lit(None).cast("string").alias("fk"), F.lit(p).alias("parent"),
-                                      F.col(pk).alias("key"), F.lit(0).cast("bigint").alias("n")))
-    u = parts[0]
-    for x in parts[1:]:
-        u = u.unionByName(x)
+        emitted.setdefault(c, []).append(F.struct(F.lit(f"{c}.{fk}").alias("fk"), F.lit(p).alias("parent"),
+                                                  F.col(fk).alias("key"), F.lit(1).cast("bigint").alias("n")))
+    for p, pk in parent_keys.items():
+        emitted.setdefault(p, []).append(F.struct(F.lit(None).cast("string").alias("fk"), F.lit(p).alias("parent"),
+                                                  F.col(pk).alias("key"), F.lit(0).cast("bigint").alias("n")))
+    u = None
+    for table, structs in emitted.items():
+        part = (tables[table].select(F.explode(F.array(*structs)).alias("_r"))
+                .select("_r.fk", "_r.parent", "_r.key", "_r.n")
+                .where(F.col("key").isNotNull()))
+        u = part if u is None else u.unionByName(part)
     per_key = u.groupBy("parent", "key").agg(
         F.max(F.col("fk").isNull()).alias("has_parent"),
         *[F.sum(F.when(F.col("fk") == n, F.col("n"))).alias(f"_c{i}") for i, n in enumerate(names)])

@@ -189,19 +189,30 @@ def approval_responses(requests: DataFrame, key_cols: list[str]) -> DataFrame:
 
 def merged_steps(rounds: DataFrame, key: str = "request_id") -> DataFrame:
     """Steps over all rounds of a request in display order: each round's
-    steps, then its approval requests as tool calls.  ``step_no`` is a
-    row number inside one request (at most the round limit of bodies)."""
-    ok = rounds.where(F.col("status") == 200)
-    steps = extract_steps(ok, [key, "round_no"]).withColumn("phase", F.lit(0))
-    appr = (approval_requests(ok, [key, "round_no"])
-            .select(key, "round_no", "pos", F.lit("tool_call").alias("step_type"), "name", "arguments",
-                    F.lit(None).cast("string").alias("output"), F.lit(None).cast("string").alias("content"),
-                    F.lit(1).alias("phase")))
-    allsteps = steps.unionByName(appr)
+    steps, then its approval requests as tool calls.
+
+    One pass over the items of each body: an item yields its step (if it is
+    an intermediate item that classifies) and/or an approval tool call.
+    ``step_no`` is a row number inside one request, which holds at most the
+    round limit of bodies."""
     from pyspark.sql.window import Window
+    ok = rounds.where(F.col("status") == 200)
+    items = _items(ok, [key, "round_no"], "body")
+    it = F.col("item")
+    cls = classify_item(it)
+    is_step = (F.col("n_items") >= 2) & (F.col("pos") < F.col("n_items") - 1) & cls["step_type"].isNotNull()
+    is_req = (vkind(it) == "OBJECT") & (vget(it, "$.type", "string") == "mcp_approval_request")
+    step = F.when(is_step, F.struct(F.lit(0).alias("phase"), *[cls[c].alias(c) for c in STEP_COLS]))
+    appr = F.when(is_req, F.struct(
+        F.lit(1).alias("phase"), F.lit("tool_call").alias("step_type"),
+        F.coalesce(vget(it, "$.name", "string"), F.lit("unknown")).alias("name"),
+        F.coalesce(vget(it, "$.arguments", "string"), F.lit("")).alias("arguments"),
+        F.lit(None).cast("string").alias("output"), F.lit(None).cast("string").alias("content")))
+    both = (items.select(key, "round_no", "pos", F.explode(F.array(step, appr)).alias("_s"))
+            .where(F.col("_s").isNotNull())
+            .select(key, "round_no", "pos", "_s.*"))
     w = Window.partitionBy(key).orderBy("round_no", "phase", "pos")
-    return allsteps.select(key, F.row_number().over(w).cast("bigint").alias("step_no"), "round_no",
-                           *STEP_COLS)
+    return both.select(key, F.row_number().over(w).cast("bigint").alias("step_no"), "round_no", *STEP_COLS)
 
 
 def tool_use_summary(steps: DataFrame, key: str = "request_id") -> DataFrame:
