@@ -17,11 +17,13 @@ REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
-# Local defaults, used only when nothing is configured (tests, bench).
+# Local defaults for sessions built here (tests, bench).  The queries do not
+# depend on the session time zone (source timestamps are TIMESTAMP_NTZ and
+# only dates are derived), so a caller's session keeps its own.
 LOCAL_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

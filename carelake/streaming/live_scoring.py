@@ -4,14 +4,17 @@ New conversation rows arrive as files; each micro-batch turns its assistant
 rows into traces (previous turn from the static history table, a
 stream-static equi-join), samples and expands them into tasks, runs the
 judge and appends the feedback.  The scoring functions are the batch ones,
-so a stream over the same rows produces the batch result.  The query is
-stateless; offsets and commits live in the checkpoint folder, so a restarted
-or re-attempted batch rewrites the same output (``foreachBatch`` writes each
-epoch to its own folder, replacing it on retry).
+so a stream over the same rows produces the batch result.  Without the
+replay guard the query keeps no state; with it, the only state is the
+de-duplication keys inside the watermark window.  Offsets, commits and state
+live in the checkpoint folder, so a restarted or re-attempted batch rewrites
+the same output (``foreachBatch`` writes each epoch to its own folder,
+replacing it on retry).
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.constants import JUDGE_SAMPLE_RATE
 from ..operators import evaluation as E
@@ -21,12 +24,23 @@ from ..sources.tables import load
 def start_live_scoring(spark: SparkSession, source_dir: str, history: DataFrame, sink_dir: str,
                        checkpoint_dir: str, judge=E.rule_judge, rate: float = JUDGE_SAMPLE_RATE,
                        file_name: str = "conversations.parquet", available_now: bool = True,
-                       max_files_per_trigger: int | None = None):
+                       max_files_per_trigger: int | None = None, replay_guard: str | None = None):
+    """Start the scoring stream.
+
+    ``replay_guard`` (e.g. ``"1 hour"``) drops a conversation turn seen again
+    within that much arrival time (a replayed file): a watermark on the
+    arrival time bounds the de-duplication state, so it does not grow with
+    the stream."""
     schema = load(spark, source_dir, "conversations").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_name)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.parquet(source_dir)
+    if replay_guard:
+        rows = (rows.withColumn("_arrived", F.current_timestamp())
+                .withWatermark("_arrived", replay_guard)
+                .dropDuplicatesWithinWatermark(["conv_id", "turn"])
+                .drop("_arrived"))
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
         tr = E.traces_from(batch, history)

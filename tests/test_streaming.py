@@ -19,3 +19,22 @@ def test_stream_equals_batch(spark):
                                                                        "value")
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_replay_guard_drops_replayed_file(spark):
+    import shutil
+    src = tempfile.mkdtemp(prefix="carelake-src-", dir="/tmp")
+    shutil.copy(f"{SF_SMALL}/conversations.parquet", f"{src}/conversations.parquet")
+    shutil.copy(f"{SF_SMALL}/conversations.parquet", f"{src}/conversations_replay.parquet")
+    hist = load(spark, SF_SMALL, "conversations")
+    out = {}
+    for guard in (None, "1 hour"):
+        root = tempfile.mkdtemp(prefix="carelake-live-", dir="/tmp")
+        q = start_live_scoring(spark, src, hist, f"{root}/fb", f"{root}/ck", file_name="conversations*.parquet",
+                               max_files_per_trigger=1, replay_guard=guard)
+        q.awaitTermination()
+        assert q.exception() is None
+        out[guard] = spark.read.parquet(f"{root}/fb").count()
+    batch = E.score(E.expand_tasks(E.traces(spark, SF_SMALL))).count()
+    assert out[None] == 2 * batch
+    assert out["1 hour"] == batch
