@@ -167,15 +167,22 @@ def _text(df: DataFrame) -> list[Column]:
     return out
 
 
-def result_records(df: DataFrame, order_by: list[Column]) -> DataFrame:
-    """Result set → ``(row_no, record)`` with ``record`` a JSON object of
-    column name → text, column order kept and NULL kept as ``null``.
-
-    ``row_no`` numbers rows in the result's order; it is computed over the
-    already grouped or limited result, whose size is the number of groups."""
+def result_records(df: DataFrame, order_by: list[Column], bounded: bool = True) -> DataFrame:
+    """Result set -> ``(row_no, record)`` with ``record`` a JSON object of
+    column name -> text, column order kept and NULL kept as ``null``.
+
+    ``bounded=True`` is for results whose size is fixed by their grouping
+    vocabulary or a LIMIT (the dashboard summaries): the row number is a
+    window over that small result.  For an arbitrary result use
+    ``bounded=False``: the row number comes from the range-partitioned
+    ``row_number_within`` and no task holds the whole result."""
     rec = F.to_json(F.struct(*_text(df)), {"ignoreNullFields": "false"})
-    w = Window.orderBy(*order_by)
-    return df.select(F.row_number().over(w).cast("bigint").alias("row_no"), rec.alias("record"))
+    if bounded:
+        w = Window.orderBy(*order_by)
+        return df.select(F.row_number().over(w).cast("bigint").alias("row_no"), rec.alias("record"))
+    from .ranking import row_number_within
+    numbered = row_number_within(df.select("*", rec.alias("record")), [], order_by, alias="row_no")
+    return numbered.select("row_no", "record")
 
 
 SUMMARY_ORDER = {

@@ -104,10 +104,6 @@ def extract_message(v: Column) -> Column:
             .otherwise(fallback_text(out)))
 
 
-def with_parsed(df: DataFrame, body_col: str = "body") -> DataFrame:
-    return df.withColumn("_v", parsed(F.col(body_col)))
-
-
 def messages(df: DataFrame, key_cols: list[str], body_col: str = "body") -> DataFrame:
     v = parsed(F.col(body_col))
     return df.select(*key_cols, extract_message(v).alias("message"))

@@ -148,3 +148,11 @@ def test_format_id_matches_format_string(spark):
     got = df.select(X.format_id("MBR", 5, F.col("k")).alias("a"),
                     F.format_string("MBR-%05d", F.col("k")).alias("b")).collect()
     assert all(r.a == r.b for r in got if r.b is not None)
+
+
+def test_result_records_bounded_and_distributed_agree(spark):
+    df = spark.range(0, 500).select((F.col("id") % 37).alias("g"), F.col("id").alias("id"))
+    order = [F.desc("g"), F.asc("id")]
+    a = sorted(tuple(r) for r in D.result_records(df, order).collect())
+    b = sorted(tuple(r) for r in D.result_records(df, order, bounded=False).collect())
+    assert a == b and len(a) == 500 and a[0][0] == 1
