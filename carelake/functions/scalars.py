@@ -47,8 +47,9 @@ def csv_join(arr) -> Column:
 
 
 def iso_date(d) -> Column:
-    """DATE → ``YYYY-MM-DD`` text."""
-    return F.date_format(_col(d), "yyyy-MM-dd")
+    """DATE → ``YYYY-MM-DD`` text (the DATE-to-string cast: ISO for years
+    0000-9999, without a per-row pattern formatter)."""
+    return _col(d).cast("date").cast("string")
 
 
 def date_shift(d, days) -> Column:
