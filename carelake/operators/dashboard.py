@@ -221,6 +221,27 @@ def summary_pack(builders: dict) -> DataFrame:
     return out
 
 
+def write_summary_pack(builders: dict, path: str) -> DataFrame:
+    """Run-time failure isolation: each summary query is written on its own
+    (``path/query=<name>``), so a query that fails while running contributes
+    an error row and the others still land.  Returns the written pack."""
+    spark = None
+    for name, build in builders.items():
+        target = f"{path.rstrip('/')}/query={name}"
+        try:
+            df = build()
+            spark = df.sparkSession
+            (result_records(df, summary_order(name))
+             .select("row_no", "record", F.lit(None).cast("string").alias("error"))
+             .write.mode("overwrite").parquet(target))
+        except Exception as e:  # isolate this query; keep the message as data
+            msg = (str(e).strip().splitlines() or [type(e).__name__])[0][:500]
+            df_error(name, msg).drop("query").write.mode("overwrite").parquet(target)
+    from pyspark.sql import SparkSession
+    spark = spark or SparkSession.getActiveSession()
+    return spark.read.parquet(path)
+
+
 def df_error(name: str, message: str) -> DataFrame:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()

@@ -156,3 +156,19 @@ def test_result_records_bounded_and_distributed_agree(spark):
     a = sorted(tuple(r) for r in D.result_records(df, order).collect())
     b = sorted(tuple(r) for r in D.result_records(df, order, bounded=False).collect())
     assert a == b and len(a) == 500 and a[0][0] == 1
+
+
+def test_write_summary_pack_isolates_runtime_failure(spark):
+    import tempfile
+    ok = spark.createDataFrame([("Pending", True), ("Withdrawn", False)], "appeal_status string, is_overturned boolean")
+    bad = ok.select("appeal_status", F.when(F.col("appeal_status") == "Pending", F.raise_error(F.lit("boom")))
+                    .otherwise(F.lit(True)).alias("is_overturned"))
+    members = spark.createDataFrame([("M1", "Medicare"), ("M2", "Other")], "member_id string, plan_type string")
+    path = tempfile.mkdtemp(prefix="carelake-pack-", dir="/tmp")
+    out = D.write_summary_pack({"member_count": lambda: D.member_count(members),
+                                "appeals_by_status": lambda: D.appeals_by_status(bad)}, path)
+    rows = out.collect()
+    good = [r for r in rows if r.query == "member_count"]
+    failed = [r for r in rows if r.query == "appeals_by_status"]
+    assert len(good) == 1 and good[0].error is None and '"members":"2"' in good[0].record
+    assert len(failed) == 1 and failed[0].record is None and "boom" in failed[0].error
