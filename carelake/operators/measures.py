@@ -122,3 +122,11 @@ def provider_peer_benchmark(claims: DataFrame, providers: DataFrame) -> DataFram
     return row_number_within(out, ["specialty"],
                              [F.desc_nulls_last("denial_rate"), F.asc("provider_id")],
                              alias="rank_in_specialty")
+
+
+def benchmark_provider(claims: DataFrame, providers: DataFrame, provider_id: str) -> DataFrame:
+    """One provider against its specialty peers (e.g. ``PRV-0012``).
+
+    The filter is applied after the rank, so the rank is the provider's
+    place among all of its specialty, not among a filtered subset."""
+    return provider_peer_benchmark(claims, providers).where(F.col("provider_id") == provider_id)

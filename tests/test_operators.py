@@ -172,3 +172,17 @@ def test_write_summary_pack_isolates_runtime_failure(spark):
     failed = [r for r in rows if r.query == "appeals_by_status"]
     assert len(good) == 1 and good[0].error is None and '"members":"2"' in good[0].record
     assert len(failed) == 1 and failed[0].record is None and "boom" in failed[0].error
+
+
+def test_benchmark_provider_filters_after_rank(spark):
+    from carelake.operators import measures as M
+    from carelake.sources.domain import Domain
+    d = Domain.of(spark, "/root/testdata/sf0.01")
+    full = {r.provider_id: r for r in M.provider_peer_benchmark(d.claims, d.providers).collect()}
+    one = M.benchmark_provider(d.claims, d.providers, "PRV-0012").collect()
+    assert len(one) == 1
+    r = one[0]
+    assert r.rank_in_specialty == full["PRV-0012"].rank_in_specialty
+    peers = [x for x in full.values() if x.specialty == r.specialty and x.provider_id != "PRV-0012"]
+    assert r.peer_claims == sum(x.claims for x in peers)
+    assert r.peer_denied == sum(x.denied for x in peers)
