@@ -91,3 +91,18 @@ def fk_choice(key, parent_count: Column, fmt: str, multiplier: int = 1,
     """
     ref = F.format_string(fmt, (_col(key) * F.lit(multiplier)) % parent_count)
     return ref if present is None else F.when(present, ref)
+
+
+def pick_parent(child, key: str, parents, pk: str, p: int, alias: str | None = None):
+    """Give every child row a parent key when parent keys are not dense.
+
+    Parents are numbered 1..n by ``row_number_within`` (range-partitioned, no
+    single-task window); each child computes ``1 + (key * p) % n`` (``n`` a
+    scalar subquery) and meets its parent in an equi-join on that number.
+    Deterministic for a given parent set, under any partitioning."""
+    from ..operators.ranking import row_number_within
+    numbered = row_number_within(parents.select(pk), [], [F.asc(pk)], alias="_parent_no")
+    n = parents.agg(F.count(F.lit(1))).scalar()
+    with_no = child.withColumn("_parent_no", (F.lit(1) + (F.col(key) * F.lit(p)) % n).cast("bigint"))
+    out = with_no.join(numbered, "_parent_no", "left").drop("_parent_no")
+    return out.withColumnRenamed(pk, alias) if alias else out

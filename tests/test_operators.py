@@ -186,3 +186,13 @@ def test_benchmark_provider_filters_after_rank(spark):
     peers = [x for x in full.values() if x.specialty == r.specialty and x.provider_id != "PRV-0012"]
     assert r.peer_claims == sum(x.claims for x in peers)
     assert r.peer_denied == sum(x.denied for x in peers)
+
+
+def test_pick_parent_with_sparse_keys(spark):
+    parents = spark.createDataFrame([(f"P{k:03d}",) for k in (3, 17, 42, 99, 500)], "pk string")
+    child = spark.range(0, 1000).withColumnRenamed("id", "k")
+    out = K.pick_parent(child, "k", parents, "pk", 31, alias="parent")
+    rows = out.collect()
+    assert len(rows) == 1000 and all(r.parent in {"P003", "P017", "P042", "P099", "P500"} for r in rows)
+    want = {r.k: ["P003", "P017", "P042", "P099", "P500"][(r.k * 31) % 5] for r in rows}
+    assert all(r.parent == want[r.k] for r in rows)
