@@ -48,7 +48,7 @@ class Domain:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, as_of: str = C.DEFAULT_AS_OF) -> "Domain":
-        key = (id(spark), id(spark.sparkContext), sf_dir.rstrip("/"), as_of)
+        key = (id(spark), sf_dir.rstrip("/"), as_of)
         d = cls._instances.get(key)
         if d is None or d.spark is not spark:
             d = cls._instances[key] = cls(spark, sf_dir, as_of)
