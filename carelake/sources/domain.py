@@ -54,6 +54,12 @@ class Domain:
             d = cls._instances[key] = cls(spark, sf_dir, as_of)
         return d
 
+    @classmethod
+    def reset(cls) -> None:
+        """Forget the built definitions (e.g. after new files land in a
+        folder: a definition keeps the file listing it was built with)."""
+        cls._instances.clear()
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = C.DEFAULT_AS_OF):
         self.spark = spark
         self.sf_dir = sf_dir
