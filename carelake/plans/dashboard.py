@@ -53,7 +53,6 @@ def q_member_count(spark, sf_dir):
 
 
 # --------------------------------------------------------------- key figures
-_ABS = W_APPEALS.replace("WITH ", "WITH ", 1)
 _ABS_CTE = with_views("appeals", extra=[("abs", """
 SELECT appeal_status, COUNT(*) AS count,
        COUNT(CASE WHEN is_overturned THEN 1 END) AS overturned

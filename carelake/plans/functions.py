@@ -4,8 +4,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
-from ..functions.keyed import seeded_choice
-from ..functions import constants as C
 from ..sources.builds import bronze_text, build_claims
 from ..sources.domain import Domain
 from ..sources.tables import load

@@ -1,7 +1,6 @@
 """Measures and the prompt-level analyses (semantics are ours)."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..operators import measures as M

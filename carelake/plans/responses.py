@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..operators import responses as R
 from ..sources import responses as S
-from .oracle_views import lit, mix, pick
+from .oracle_views import mix, pick
 from .registry import register
 
 RID = "request_id"
