@@ -71,3 +71,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def recommended_settings(input_bytes: float, executors: int, cores_per_executor: int,
+                         executor_memory_gb: float = 32.0, shuffle_fraction: float = 0.3) -> dict[str, str]:
+    """Settings sized for a cluster and an input volume.
+
+    * ``maxPartitionBytes``: 256 MB splits (fewer, larger scan tasks; parquet
+      splits at row-group boundaries).
+    * ``shuffle.partitions``: the larger of 3 x total cores and the expected
+      shuffle volume / 200 MB, so one reduce task's data fits comfortably in
+      its share of executor memory; AQE coalesces small ones at run time.
+    * AQE advisory size 256 MB; skew split when a partition is 5x the median
+      and over 512 MB.
+    * Broadcast only below 64 MB (measured), never by row-count guess.
+    """
+    cores = executors * cores_per_executor
+    shuffle_bytes = input_bytes * shuffle_fraction
+    parts = max(3 * cores, int(shuffle_bytes / (200 * 1024 ** 2)))
+    per_task_gb = executor_memory_gb / cores_per_executor
+    if per_task_gb < 1:
+        parts *= 2
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.speculation": "true",
+    }

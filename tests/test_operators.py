@@ -196,3 +196,12 @@ def test_pick_parent_with_sparse_keys(spark):
     assert len(rows) == 1000 and all(r.parent in {"P003", "P017", "P042", "P099", "P500"} for r in rows)
     want = {r.k: ["P003", "P017", "P042", "P099", "P500"][(r.k * 31) % 5] for r in rows}
     assert all(r.parent == want[r.k] for r in rows)
+
+
+def test_recommended_settings_scale_with_input():
+    from carelake.plans.session import recommended_settings
+    small = recommended_settings(100 * 1024 ** 3, 10, 8)
+    big = recommended_settings(100 * 1024 ** 4, 1000, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 240           # 3 x cores dominates
+    assert int(big["spark.sql.shuffle.partitions"]) == int(100 * 1024 ** 4 * 0.3 / (200 * 1024 ** 2))
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
