@@ -16,11 +16,10 @@ from .domain import Domain
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Reorder and cast ``df`` to ``schema``; extra columns are dropped."""
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns for schema: {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Reconcile ``df`` to ``schema`` with ``DataFrame.to``: columns reordered
+    by name, extra columns dropped, compatible types up-cast; a missing
+    column or an unsafe cast (e.g. text to number) is an analysis error."""
+    return df.to(schema)
 
 
 def _iso(df: DataFrame, *names: str) -> DataFrame:

@@ -205,3 +205,18 @@ def test_recommended_settings_scale_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 240           # 3 x cores dominates
     assert int(big["spark.sql.shuffle.partitions"]) == int(100 * 1024 ** 4 * 0.3 / (200 * 1024 ** 2))
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_conform_reorders_drops_and_rejects(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from carelake.sources.builds import conform
+    schema = StructType([StructField("a", StringType()), StructField("b", LongType())])
+    df = spark.createDataFrame([(1, "x", 9)], "b int, a string, extra int")
+    out = conform(df, schema)
+    assert out.columns == ["a", "b"] and out.schema["b"].dataType == LongType()
+    with pytest.raises(AnalysisException):
+        conform(spark.createDataFrame([("x",)], "a string"), schema)          # missing column
+    with pytest.raises(AnalysisException):
+        conform(spark.createDataFrame([("x", "1")], "a string, b string"), schema)  # text to number
