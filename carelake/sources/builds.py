@@ -17,8 +17,12 @@ from .domain import Domain
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Reconcile ``df`` to ``schema`` with ``DataFrame.to``: columns reordered
-    by name, extra columns dropped, compatible types up-cast; a missing
-    column or an unsafe cast (e.g. text to number) is an analysis error."""
+    by name, extra columns dropped, compatible types up-cast, an unsafe cast
+    (e.g. text to number) is an analysis error.  ``to`` would fill a missing
+    nullable column with NULL; a missing column is an error here instead."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns for schema: {missing}")
     return df.to(schema)
 
 
