@@ -150,9 +150,9 @@ def q_top_k_reasons(spark, sf_dir):
 
 _REC_ABS = _ABS_CTE + """
 SELECT row_number() OVER (ORDER BY count DESC, appeal_status ASC) AS row_no,
-       to_json(struct_pack(appeal_status := CAST(appeal_status AS VARCHAR),
+       CAST(to_json(struct_pack(appeal_status := CAST(appeal_status AS VARCHAR),
                            count := CAST(count AS VARCHAR),
-                           overturned := CAST(overturned AS VARCHAR))) AS record
+                           overturned := CAST(overturned AS VARCHAR))) AS VARCHAR) AS record
 FROM abs"""
 
 
@@ -188,28 +188,28 @@ _PACK = with_views("appeals", "claims", "members", extra=[
            "COUNT(DISTINCT CASE WHEN plan_type = 'Medicare' THEN member_id END) AS medicare FROM members"),
 ]) + """
 SELECT 'appeals_by_status' AS query, row_number() OVER (ORDER BY count DESC, appeal_status) AS row_no,
-       to_json(struct_pack(appeal_status := CAST(appeal_status AS VARCHAR), count := CAST(count AS VARCHAR),
-                           overturned := CAST(overturned AS VARCHAR))) AS record, CAST(NULL AS VARCHAR) AS error
+       CAST(to_json(struct_pack(appeal_status := CAST(appeal_status AS VARCHAR), count := CAST(count AS VARCHAR),
+                           overturned := CAST(overturned AS VARCHAR))) AS VARCHAR) AS record, CAST(NULL AS VARCHAR) AS error
 FROM abs
 UNION ALL
 SELECT 'claims_by_status', row_number() OVER (ORDER BY count DESC, status),
-       to_json(struct_pack(status := CAST(status AS VARCHAR), count := CAST(count AS VARCHAR),
+       CAST(to_json(struct_pack(status := CAST(status AS VARCHAR), count := CAST(count AS VARCHAR),
                            total_billed := CAST(CAST(total_billed AS DECIMAL(38,2)) AS VARCHAR),
-                           total_paid := CAST(CAST(total_paid AS DECIMAL(38,2)) AS VARCHAR))), NULL
+                           total_paid := CAST(CAST(total_paid AS DECIMAL(38,2)) AS VARCHAR))) AS VARCHAR), NULL
 FROM cbs
 UNION ALL
 SELECT 'top_denial_reasons', row_number() OVER (ORDER BY count DESC, reason),
-       to_json(struct_pack(reason := CAST(reason AS VARCHAR), count := CAST(count AS VARCHAR))), NULL
+       CAST(to_json(struct_pack(reason := CAST(reason AS VARCHAR), count := CAST(count AS VARCHAR))) AS VARCHAR), NULL
 FROM tdr
 UNION ALL
 SELECT 'recent_appeals', row_number() OVER (ORDER BY appeal_date DESC NULLS LAST, appeal_id DESC),
-       to_json(struct_pack(appeal_id := appeal_id, member_id := member_id, appeal_type := appeal_type,
+       CAST(to_json(struct_pack(appeal_id := appeal_id, member_id := member_id, appeal_type := appeal_type,
                            appeal_status := appeal_status, original_denial_reason := original_denial_reason,
-                           appeal_date := CAST(appeal_date AS VARCHAR))), NULL
+                           appeal_date := CAST(appeal_date AS VARCHAR))) AS VARCHAR), NULL
 FROM ra
 UNION ALL
 SELECT 'member_count', row_number() OVER (ORDER BY members),
-       to_json(struct_pack(members := CAST(members AS VARCHAR), medicare := CAST(medicare AS VARCHAR))), NULL
+       CAST(to_json(struct_pack(members := CAST(members AS VARCHAR), medicare := CAST(medicare AS VARCHAR))) AS VARCHAR), NULL
 FROM mc"""
 
 

@@ -31,3 +31,14 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) >= 1
     assert df.columns == ["appeal_status", "count", "overturned"]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_types_match_oracle(spark, duck_small, name):
+    import sys
+    sys.path.insert(0, __file__.rsplit("/tests/", 1)[0] + "/scripts")
+    from check_types import norm_duck
+    s = dict(QUERIES[name](spark, SF_SMALL).dtypes)
+    rel = duck_small.sql(ORACLE[name])
+    d = {c: norm_duck(t) for c, t in zip(rel.columns, rel.types)}
+    assert s == d
