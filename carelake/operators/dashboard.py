@@ -36,20 +36,24 @@ def is_true(df: DataFrame, name: str) -> Column:
 
 
 # ----------------------------------------------------------------- queries
-def appeals_by_status(appeals: DataFrame) -> DataFrame:
-    return (appeals.groupBy("appeal_status")
-            .agg(F.count(F.lit(1)).alias("count"),
-                 F.count(F.when(is_true(appeals, "is_overturned"), F.lit(1))).alias("overturned"))
-            .orderBy(F.desc("count"), F.asc("appeal_status")))
+def appeals_by_status(appeals: DataFrame, ordered: bool = True) -> DataFrame:
+    """Appeals and overturned appeals per status, largest first.
+
+    ``ordered=False`` leaves the order to the caller (e.g. a numbering
+    window), saving the range-partitioned sort."""
+    out = (appeals.groupBy("appeal_status")
+           .agg(F.count(F.lit(1)).alias("count"),
+                F.count(F.when(is_true(appeals, "is_overturned"), F.lit(1))).alias("overturned")))
+    return out.orderBy(F.desc("count"), F.asc("appeal_status")) if ordered else out
 
 
-def claims_by_status(claims: DataFrame) -> DataFrame:
+def claims_by_status(claims: DataFrame, ordered: bool = True) -> DataFrame:
     """Counts and money per claim status; money summed as exact cents."""
-    return (claims.groupBy("status")
-            .agg(F.count(F.lit(1)).alias("count"),
-                 sum_cents_amount("billed_cents").alias("total_billed"),
-                 sum_cents_amount("paid_cents").alias("total_paid"))
-            .orderBy(F.desc("count"), F.asc("status")))
+    out = (claims.groupBy("status")
+           .agg(F.count(F.lit(1)).alias("count"),
+                sum_cents_amount("billed_cents").alias("total_billed"),
+                sum_cents_amount("paid_cents").alias("total_paid")))
+    return out.orderBy(F.desc("count"), F.asc("status")) if ordered else out
 
 
 def claims_by_status_text(bronze_claims: DataFrame) -> DataFrame:
