@@ -1,6 +1,7 @@
 """Keyed lookups: member, claim, appeal, eligibility, prior authorization.
 
-Batch form: a request DataFrame of keys joined to the table.  Catalyst/AQE
+Batch form: the table semi-joined with a request DataFrame of keys (no
+de-duplication of the requests needed, no repeated rows).  Catalyst/AQE
 choose the strategy from measured sizes: a small request set is broadcast,
 a large one is sort-merge joined; a hot key on the table side is split by
 AQE's skew-join handling.  Semantics are ours (the lookups are named, not
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 
 
 def member_lookup(members: DataFrame, keys: DataFrame) -> DataFrame:
-    return keys.select("member_id").join(members, "member_id", "inner")
+    """Member rows whose id is in ``keys`` (a semi join: repeated request
+    keys need no de-duplication and never repeat a row)."""
+    return members.join(keys.select("member_id"), "member_id", "left_semi")
 
 
 def claim_lookup(claims: DataFrame, providers: DataFrame, pas: DataFrame, keys: DataFrame) -> DataFrame:
@@ -25,17 +28,17 @@ def claim_lookup(claims: DataFrame, providers: DataFrame, pas: DataFrame, keys:
     prov = providers.select("provider_id", "provider_name", "provider_type", "specialty")
     pa = pas.select("prior_auth_id", F.col("is_approved").alias("pa_approved"),
                     F.col("decision_date").alias("pa_decision_date"))
-    return (keys.select("claim_id").join(claims, "claim_id", "inner")
+    return (claims.join(keys.select("claim_id"), "claim_id", "left_semi")
             .join(prov, "provider_id", "left")
             .join(pa, "prior_auth_id", "left"))
 
 
 def appeal_lookup(appeals: DataFrame, keys: DataFrame, by: str = "member_id") -> DataFrame:
-    return keys.select(by).join(appeals, by, "inner")
+    return appeals.join(keys.select(by), by, "left_semi")
 
 
 def prior_auth_lookup(pas: DataFrame, keys: DataFrame, by: str = "prior_auth_id") -> DataFrame:
-    return keys.select(by).join(pas, by, "inner")
+    return pas.join(keys.select(by), by, "left_semi")
 
 
 def eligibility_lookup(eligibility: DataFrame, requests: DataFrame, date_col: str = "service_date") -> DataFrame:

@@ -64,7 +64,7 @@ FROM (SELECT DISTINCT member_id FROM appeals WHERE is_overturned) k JOIN members
 def q_member_lookup(spark, sf_dir):
     """Members whose appeal was overturned (request keys derived from appeals)."""
     d = Domain.of(spark, sf_dir)
-    keys = d.appeals.where(F.col("is_overturned")).select("member_id").distinct()
+    keys = d.appeals.where(F.col("is_overturned")).select("member_id")
     return L.member_lookup(d.members, keys)
 
 
@@ -79,7 +79,7 @@ LEFT JOIN prior_authorizations pa ON c.prior_auth_id = pa.prior_auth_id""")
 def q_claim_lookup(spark, sf_dir):
     """Detail of every claim cited by an appeal."""
     d = Domain.of(spark, sf_dir)
-    keys = d.appeals.where(F.col("claim_id").isNotNull()).select("claim_id").distinct()
+    keys = d.appeals.where(F.col("claim_id").isNotNull()).select("claim_id")
     return L.claim_lookup(d.claims, d.providers, d.prior_authorizations, keys).select(
         "claim_id", "member_id", "provider_id", "prior_auth_id", "status", "service_type", "billed_cents",
         "paid_cents", "denial_reason", "provider_name", "provider_type", "specialty", "pa_approved",
@@ -117,8 +117,7 @@ JOIN prior_authorizations p ON k.prior_auth_id = p.prior_auth_id""")
 def q_prior_auth_lookup(spark, sf_dir):
     """PA detail for every PA cited by a denied claim."""
     d = Domain.of(spark, sf_dir)
-    keys = (d.claims.where((F.col("status") == "Denied") & F.col("prior_auth_id").isNotNull())
-            .select("prior_auth_id").distinct())
+    keys = d.claims.where((F.col("status") == "Denied") & F.col("prior_auth_id").isNotNull()).select("prior_auth_id")
     return L.prior_auth_lookup(d.prior_authorizations, keys).select(
         "prior_auth_id", "member_id", "service_type", "is_approved", "decision_date", "denial_reason", "drug")
 
