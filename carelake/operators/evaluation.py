@@ -150,6 +150,8 @@ def rule_judge(tasks: pd.DataFrame) -> pd.DataFrame:
 
 def score(tasks: DataFrame, judge: JudgeFn = rule_judge) -> DataFrame:
     """Run ``judge`` over task batches with ``mapInPandas``."""
+    from ..plans.session import ship_package
+    ship_package(tasks.sparkSession)  # the judge runs in executor Python workers
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if b.empty:
