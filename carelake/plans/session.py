@@ -59,20 +59,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     A cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we set a scratch folder of our own."""
+    (local tests) do we choose a scratch folder of our own and set it on the
+    SparkContext (the setting itself cannot change at run time)."""
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session has no SparkContext
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
-        d = tempfile.mkdtemp(prefix="carelake-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = _LOCAL_CKPT.get(id(spark))
+        if d is None:
+            d = _LOCAL_CKPT[id(spark)] = tempfile.mkdtemp(prefix="carelake-ckpt-", dir="/tmp")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
+_LOCAL_CKPT: dict = {}
+
+
 def recommended_settings(input_bytes: float, executors: int, cores_per_executor: int,
                          executor_memory_gb: float = 32.0, shuffle_fraction: float = 0.3) -> dict[str, str]:
     """Settings sized for a cluster and an input volume.
