@@ -6,7 +6,8 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
+# oracle parity runs here; set CARELAKE_TEST_SF=/root/testdata/sf0.01 for the driver's scale
+SF_SMALL = os.environ.get("CARELAKE_TEST_SF", "/root/testdata/sf0.001")
 SF_CHECK = "/root/testdata/sf0.01"
 
 
