@@ -61,14 +61,14 @@ FROM appeals GROUP BY appeal_status""")])
 
 @register("total_appeals", _ABS_CTE + "SELECT CAST(COALESCE(SUM(count), 0) AS BIGINT) AS total_appeals FROM abs")
 def q_total_appeals(spark, sf_dir):
-    return D.total_of(D.appeals_by_status(Domain.of(spark, sf_dir).appeals), "count", "total_appeals")
+    return D.total_of(D.appeals_by_status(Domain.of(spark, sf_dir).appeals, ordered=False), "count", "total_appeals")
 
 
 @register("pending_appeals", _ABS_CTE + """
 SELECT CAST(COALESCE(SUM(CASE WHEN appeal_status = 'Pending' THEN count END), 0) AS BIGINT) AS pending_count
 FROM abs""")
 def q_pending_appeals(spark, sf_dir):
-    return D.find_status_count(D.appeals_by_status(Domain.of(spark, sf_dir).appeals),
+    return D.find_status_count(D.appeals_by_status(Domain.of(spark, sf_dir).appeals, ordered=False),
                                "appeal_status", "Pending")
 
 
@@ -77,7 +77,7 @@ SELECT CAST(COALESCE(SUM(CASE WHEN appeal_status = 'Denied' THEN count END), 0)
 FROM abs""")
 def q_find_status_count(spark, sf_dir):
     """A status the appeals never have: the figure is 0, still one row."""
-    return D.find_status_count(D.appeals_by_status(Domain.of(spark, sf_dir).appeals),
+    return D.find_status_count(D.appeals_by_status(Domain.of(spark, sf_dir).appeals, ordered=False),
                                "appeal_status", "Denied")
 
 
@@ -85,7 +85,7 @@ def q_find_status_count(spark, sf_dir):
 SELECT status, COUNT(*) AS count FROM claims GROUP BY status""")]) + """
 SELECT CAST(COALESCE(SUM(count), 0) AS BIGINT) AS total_claims FROM cbs""")
 def q_total_claims(spark, sf_dir):
-    return D.total_of(D.claims_by_status(Domain.of(spark, sf_dir).claims), "count", "total_claims")
+    return D.total_of(D.claims_by_status(Domain.of(spark, sf_dir).claims, ordered=False), "count", "total_claims")
 
 
 _PCT = "CAST(floor(CAST({n} AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(NULLIF({d}, 0) AS DOUBLE) + 0.5) AS BIGINT)"
