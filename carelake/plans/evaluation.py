@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluation as E
 from ..plans.session import ensure_checkpoint_dir
+from ..sources.defined import defined_once
 from ..sources.tables import load
 from ..streaming.live_scoring import start_live_scoring
 from .oracle_views import lit
@@ -39,7 +40,9 @@ fb AS (SELECT trace_id, scorer, guideline_no,
 """
 
 
+@defined_once
 def _tasks(spark, sf_dir):
+    """Evaluation tasks over the traces, defined once per session."""
     return E.expand_tasks(E.traces(spark, sf_dir))
 
 

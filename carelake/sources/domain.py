@@ -59,8 +59,8 @@ class Domain:
         """Forget the built definitions (e.g. after new files land in a
         folder: a definition keeps the file listing it was built with)."""
         cls._instances.clear()
-        from .responses import reset_definitions
-        reset_definitions()
+        from .defined import reset
+        reset()
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = C.DEFAULT_AS_OF):
         self.spark = spark

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keyed import mix, pick
+from .defined import defined_once
 from .tables import load
 
 # Ours: tool names used in the derived responses.
@@ -74,28 +75,7 @@ def assistant_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(request_id().alias("request_id"), "conv_id", "turn", "text"))
 
 
-_DEFINED: dict = {}
-
-
-def _defined_once(fn):
-    """Build a table definition once per (session, folder, arguments), like a
-    registered view; every query still executes it over the current data."""
-    def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args)
-        hit = _DEFINED.get(key)
-        if hit is None or hit[0] is not spark:
-            hit = _DEFINED[key] = (spark, fn(spark, sf_dir, *args))
-        return hit[1]
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
-def reset_definitions() -> None:
-    _DEFINED.clear()
-
-
-@_defined_once
+@defined_once
 def agent_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = assistant_turns(spark, sf_dir)
     rid = F.col("request_id")
@@ -114,7 +94,7 @@ def is_error_request(rid: Column) -> Column:
     return mix(rid, 59, ERROR_ONE_IN) == 0
 
 
-@_defined_once
+@defined_once
 def agent_rounds(spark: SparkSession, sf_dir: str, max_rounds: int = 10) -> DataFrame:
     """``(request_id, conv_id, turn, round_no, status, body)``: one row per round."""
     t = assistant_turns(spark, sf_dir)
