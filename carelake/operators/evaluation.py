@@ -173,8 +173,14 @@ def levels_of(scorer: Column) -> Column:
 
 
 def validate(feedback: DataFrame) -> DataFrame:
-    return feedback.withColumn("valid", F.coalesce(F.array_contains(levels_of(F.col("scorer")),
-                                                                    F.col("value")), F.lit(False)))
+    """Mark each feedback row valid when its value is one of the scorer's
+    levels; an invalid row carries an ``error`` text instead of disappearing."""
+    levels = levels_of(F.col("scorer"))
+    valid = F.coalesce(F.array_contains(levels, F.col("value")), F.lit(False))
+    error = F.when(~valid, F.concat(F.lit("value not allowed for "), F.col("scorer"), F.lit(": "),
+                                    F.coalesce(F.col("value"), F.lit("null")), F.lit(" (allowed: "),
+                                    F.coalesce(F.array_join(levels, "|"), F.lit("none")), F.lit(")")))
+    return feedback.withColumn("valid", valid).withColumn("error", error)
 
 
 def feedback_summary(feedback: DataFrame) -> DataFrame:

@@ -85,7 +85,8 @@ SELECT trace_id, scorer, guideline_no, value, rationale,
        CASE WHEN scorer IN ('safety', 'professional_tone', 'response_completeness') THEN value IN ('yes', 'no')
             WHEN scorer = 'routing_quality' THEN value IN ('correct_routing', 'partial_routing', 'incorrect_routing')
             WHEN scorer = 'appeals_domain_accuracy' THEN value IN ('accurate', 'mostly_accurate', 'inaccurate')
-            ELSE false END AS valid
+            ELSE false END AS valid,
+       CAST(NULL AS VARCHAR) AS error
 FROM fb""")
 def q_validate_feedback(spark, sf_dir):
     return E.validate(_feedback(spark, sf_dir))

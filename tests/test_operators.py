@@ -220,3 +220,13 @@ def test_conform_reorders_drops_and_rejects(spark):
         conform(spark.createDataFrame([("x",)], "a string"), schema)          # missing column
     with pytest.raises(AnalysisException):
         conform(spark.createDataFrame([("x", "1")], "a string, b string"), schema)  # text to number
+
+
+def test_validate_flags_invalid_values(spark):
+    fb = spark.createDataFrame([(1, "safety", 0, "yes", "r"), (2, "routing_quality", 0, "great", "r"),
+                                (3, "unknown_scorer", 0, "x", "r")],
+                               "trace_id long, scorer string, guideline_no int, value string, rationale string")
+    got = {r.trace_id: (r.valid, r.error) for r in EV.validate(fb).collect()}
+    assert got[1] == (True, None)
+    assert got[2][0] is False and "routing_quality: great" in got[2][1] and "correct_routing" in got[2][1]
+    assert got[3][0] is False and "allowed: none" in got[3][1]
