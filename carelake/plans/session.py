@@ -117,12 +117,13 @@ _SHIPPED: set = set()
 
 def ship_package(spark: SparkSession) -> str | None:
     """Make ``carelake`` importable on executors (needed where Python runs on
-    executors: the judge's ``mapInPandas``).
+    executors: the judge's ``mapInPandas``).  Done once per session.
 
-    The package's ``.py`` files are zipped into the shared checkpoint folder
-    (file name carries a content hash) and added with ``addPyFile`` (or
-    ``addArtifacts`` on a session without a SparkContext).  Done once per
-    session."""
+    Classic session: the package's ``.py`` files are zipped into the shared
+    checkpoint folder (file name carries a content hash, written through
+    Spark's Hadoop client when that folder is a cluster file system) and
+    added with ``addPyFile``.  Spark Connect session: the zip is written on
+    the client and uploaded with ``addArtifacts``."""
     import hashlib
     import io
     import os
@@ -145,27 +146,31 @@ def ship_package(spark: SparkSession) -> str | None:
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, root))
     data = buf.getvalue()
-    digest = hashlib.sha1(data).hexdigest()[:12]
-    target_dir = ensure_checkpoint_dir(spark).rstrip("/") + "/carelake_pkg"
-    local = target_dir.startswith("/") or target_dir.startswith("file:")
-    path = f"{target_dir}/carelake-{digest}.zip"
-    if local:
-        p = path[len("file:"):] if path.startswith("file:") else path
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-        if not os.path.exists(p):
-            with open(p, "wb") as fh:
+    name = f"carelake-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+
+    def write_local(path: str) -> None:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        if not os.path.exists(path):
+            with open(path, "wb") as fh:
                 fh.write(data)
-    else:  # a cluster file system: write through Spark's Hadoop client
-        jvm = spark._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(hpath):
-            out = fs.create(hpath)
-            out.write(bytearray(data))
-            out.close()
-    if sc is not None:
-        sc.addPyFile(path)
-    else:
+
+    if sc is None:  # Spark Connect: the client uploads the file
+        path = os.path.join(tempfile.mkdtemp(prefix="carelake-pkg-"), name)
+        write_local(path)
         spark.addArtifacts(path, pyfile=True)
+    else:
+        target = ensure_checkpoint_dir(spark).rstrip("/") + "/carelake_pkg"
+        path = f"{target}/{name}"
+        if target.startswith("/") or target.startswith("file:"):
+            write_local(path[len("file:"):] if path.startswith("file:") else path)
+        else:  # a cluster file system: write through Spark's Hadoop client
+            jvm = spark._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+            if not fs.exists(hpath):
+                out = fs.create(hpath)
+                out.write(bytearray(data))
+                out.close()
+        sc.addPyFile(path)
     _SHIPPED.add(token)
     return path
