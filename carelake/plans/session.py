@@ -10,7 +10,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every query in this package expects.  AQE re-plans joins with
+# Settings the queries are designed for (Spark 4 defaults, set explicitly in
+# sessions built here).  AQE re-plans joins with
 # measured sizes (broadcast only below the threshold, sort-merge beyond it),
 # splits skewed join partitions and coalesces small shuffle partitions.
 REQUIRED = {
@@ -40,17 +41,22 @@ def build_session(master: str | None = None, app_name: str = "carelake",
     b = b.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    for k, v in {**REQUIRED, **(extra or {})}.items():  # a reused session may carry other values
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # static settings apply only at session start
+            pass
     configure(spark)
     return spark
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the queries need; keep what is already set."""
-    for k, v in REQUIRED.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as the cluster has them
-            pass
+    """Prepare a caller's session for the queries without overriding it.
+
+    Only the checkpoint folder is looked up (and chosen when the session has
+    none).  AQE, partition coalescing and skew-join handling are Spark 4
+    defaults; sessions built by ``build_session`` set them explicitly, a
+    cluster's own choices are left as they are."""
     ensure_checkpoint_dir(spark)
     return spark
 
