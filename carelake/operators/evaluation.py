@@ -85,6 +85,30 @@ def traces_from(answers: DataFrame, history: DataFrame) -> DataFrame:
                     "conv_id", "turn", F.coalesce("inputs", F.lit("")).alias("inputs"), "outputs"))
 
 
+def traces_incremental(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """Traces for a micro-batch, same result as ``traces_from(batch, history)``.
+
+    The previous turn is taken from the batch itself first; only answers
+    whose previous turn is not in the batch look it up in ``history`` (a semi
+    join restricted to those keys), and history is not read at all when none
+    is missing.  A micro-batch usually carries whole exchanges, so the large
+    static table is rarely touched.  The caller should persist ``batch`` for
+    the duration (it is read more than once)."""
+    a = batch.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("outputs"))
+    prev = batch.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("inputs"))
+    first = a.join(prev, ["conv_id", "turn"], "left")
+    missing = first.where(F.col("inputs").isNull()).select("conv_id", "turn", "outputs")
+    if missing.isEmpty():
+        found = first
+    else:
+        past = (history.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("inputs"))
+                .join(missing.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi"))
+        found = (first.where(F.col("inputs").isNotNull())
+                 .unionByName(missing.join(past, ["conv_id", "turn"], "left")))
+    return found.select((F.col("conv_id") * 100 + F.col("turn")).alias("trace_id"), "conv_id", "turn",
+                        F.coalesce("inputs", F.lit("")).alias("inputs"), "outputs")
+
+
 def sampled(trace_id: Column, scorer: Column, rate: float) -> Column:
     """Stable per-(trace, scorer) sample: a hash bucket, not ``sample()``,
     so reruns and retries pick the same traces."""

@@ -1,9 +1,9 @@
 """Live trace scoring with Structured Streaming.
 
 New conversation rows arrive as files; each micro-batch turns its assistant
-rows into traces (previous turn from the static history table, a
-stream-static equi-join), samples and expands them into tasks, runs the
-judge and appends the feedback.  The scoring functions are the batch ones,
+rows into traces (previous turn from the batch itself, and only for the
+missing ones from the static history table), samples and expands them into
+tasks, runs the judge and appends the feedback.  The scoring functions are the batch ones,
 so a stream over the same rows produces the batch result.  Without the
 replay guard the query keeps no state; with it, the only state is the
 de-duplication keys inside the watermark window.  Offsets, commits and state
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import JUDGE_SAMPLE_RATE
 from ..operators import evaluation as E
-from ..sources.tables import load
 
 
 def start_live_scoring(spark: SparkSession, source_dir: str, history: DataFrame, sink_dir: str,
@@ -31,7 +30,7 @@ def start_live_scoring(spark: SparkSession, source_dir: str, history: DataFrame,
     within that much arrival time (a replayed file): a watermark on the
     arrival time bounds the de-duplication state, so it does not grow with
     the stream."""
-    schema = load(spark, source_dir, "conversations").schema
+    schema = history.schema  # arriving files carry conversation rows
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_name)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -43,9 +42,13 @@ def start_live_scoring(spark: SparkSession, source_dir: str, history: DataFrame,
                 .drop("_arrived"))
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
-        tr = E.traces_from(batch, history)
-        fb = E.score(E.expand_tasks(tr, rate), judge)
-        fb.write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
+        batch.persist()  # read by the in-batch join and the missing-turn check
+        try:
+            tr = E.traces_incremental(batch, history)
+            fb = E.score(E.expand_tasks(tr, rate), judge)
+            fb.write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
 
     w = rows.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
