@@ -93,21 +93,34 @@ def fk_audit_by_join(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFram
 
 def denied_reference_audit(appeals: DataFrame, claims: DataFrame, pas: DataFrame) -> DataFrame:
     """Appeals citing a claim that is not denied or a PA that was approved
-    (or a parent that does not exist): ``(appeal_id, ref_type, ref_id, ref_state)``."""
-    c = claims.select(F.col("claim_id").alias("ref_id"), F.col("status").alias("ref_state"))
-    p = pas.select(F.col("prior_auth_id").alias("ref_id"),
-                   F.when(F.col("is_approved"), F.lit("Approved")).otherwise(F.lit("Denied"))
-                    .alias("ref_state"))
-    by_claim = (appeals.where(F.col("claim_id").isNotNull())
-                .select("appeal_id", F.lit("claim").alias("ref_type"), F.col("claim_id").alias("ref_id"))
-                .join(c, "ref_id", "left"))
-    by_pa = (appeals.where(F.col("prior_auth_id").isNotNull())
-             .select("appeal_id", F.lit("prior_auth").alias("ref_type"), F.col("prior_auth_id").alias("ref_id"))
-             .join(p, "ref_id", "left"))
-    both = by_claim.unionByName(by_pa)
-    return (both.where(F.col("ref_state").isNull() | (F.col("ref_state") != "Denied"))
-            .select("appeal_id", "ref_type", "ref_id",
-                    F.coalesce(F.col("ref_state"), F.lit("missing")).alias("ref_state")))
+    (or a parent that does not exist): ``(appeal_id, ref_type, ref_id, ref_state)``.
+
+    References are first anti-joined with the *denied* parents only (a
+    quarter of the claims, a third of the PAs), which leaves the violations.
+    Only those are then matched to their parent's state, in an inner join
+    whose small side AQE can broadcast, so the other parents are never
+    shuffled when violations are few.  References with no parent at all are
+    reported as ``missing``."""
+    def check(refs: DataFrame, denied: DataFrame, state: DataFrame) -> DataFrame:
+        bad = refs.join(denied, "ref_id", "left_anti")
+        found = state.join(bad, "ref_id", "inner")
+        lost = (bad.join(found.select("ref_id", "appeal_id"), ["ref_id", "appeal_id"], "left_anti")
+                .withColumn("ref_state", F.lit(None).cast("string")))
+        return found.unionByName(lost)
+
+    refs_c = (appeals.where(F.col("claim_id").isNotNull())
+              .select("appeal_id", F.lit("claim").alias("ref_type"), F.col("claim_id").alias("ref_id")))
+    refs_p = (appeals.where(F.col("prior_auth_id").isNotNull())
+              .select("appeal_id", F.lit("prior_auth").alias("ref_type"), F.col("prior_auth_id").alias("ref_id")))
+    denied_c = claims.where(F.col("status") == "Denied").select(F.col("claim_id").alias("ref_id"))
+    denied_p = pas.where(~F.col("is_approved")).select(F.col("prior_auth_id").alias("ref_id"))
+    state_c = claims.select(F.col("claim_id").alias("ref_id"), F.col("status").alias("ref_state"))
+    state_p = pas.select(F.col("prior_auth_id").alias("ref_id"),
+                         F.when(F.col("is_approved"), F.lit("Approved")).otherwise(F.lit("Denied"))
+                          .alias("ref_state"))
+    both = check(refs_c, denied_c, state_c).unionByName(check(refs_p, denied_p, state_p))
+    return both.select("appeal_id", "ref_type", "ref_id",
+                       F.coalesce(F.col("ref_state"), F.lit("missing")).alias("ref_state"))
 
 
 def duplicate_key_audit(tables: dict[str, DataFrame], pks=PRIMARY_KEYS) -> DataFrame:

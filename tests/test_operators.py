@@ -230,3 +230,14 @@ def test_validate_flags_invalid_values(spark):
     assert got[1] == (True, None)
     assert got[2][0] is False and "routing_quality: great" in got[2][1] and "correct_routing" in got[2][1]
     assert got[3][0] is False and "allowed: none" in got[3][1]
+
+
+def test_denied_reference_audit_states(spark):
+    appeals = spark.createDataFrame(
+        [("A1", "C1", "P1"), ("A2", "C2", None), ("A3", "C9", "P2"), ("A4", None, "P9"), ("A5", "C1", None)],
+        "appeal_id string, claim_id string, prior_auth_id string")
+    claims = spark.createDataFrame([("C1", "Denied"), ("C2", "Approved")], "claim_id string, status string")
+    pas = spark.createDataFrame([("P1", False), ("P2", True)], "prior_auth_id string, is_approved boolean")
+    got = sorted(tuple(r) for r in A.denied_reference_audit(appeals, claims, pas).collect())
+    assert got == [("A2", "claim", "C2", "Approved"), ("A3", "claim", "C9", "missing"),
+                   ("A3", "prior_auth", "P2", "Approved"), ("A4", "prior_auth", "P9", "missing")]
