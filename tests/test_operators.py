@@ -241,3 +241,20 @@ def test_denied_reference_audit_states(spark):
     got = sorted(tuple(r) for r in A.denied_reference_audit(appeals, claims, pas).collect())
     assert got == [("A2", "claim", "C2", "Approved"), ("A3", "claim", "C9", "missing"),
                    ("A3", "prior_auth", "P2", "Approved"), ("A4", "prior_auth", "P9", "missing")]
+
+
+def test_metric_view_other_dimensions(spark):
+    from carelake.operators import measures as M
+    from carelake.sources.domain import Domain
+    a = Domain.of(spark, "/root/testdata/sf0.001").appeals
+    by_month = M.metric_view(a, ["appeal_month"], ["appeals", "overturned", "documented"])
+    assert by_month.agg(F.sum("appeals")).collect()[0][0] == a.count()
+    months = {r.appeal_month for r in by_month.collect()}
+    assert all(m.day == 1 for m in months)
+    two = M.metric_view(a, ["appeal_status", "original_denial_reason"], ["appeals", "withdrawn", "pending"])
+    w = two.where(F.col("appeal_status") == "Withdrawn").agg(F.sum("withdrawn"), F.sum("appeals")).collect()[0]
+    assert w[0] == w[1]
+    rates = {r.appeal_type: r for r in M.overturn_rates(a, by="appeal_type").collect()}
+    for t, r in rates.items():
+        sub = a.where(F.col("appeal_type") == t)
+        assert r.appeals == sub.count() and r.overturned == sub.where("is_overturned").count()
