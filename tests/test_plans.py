@@ -46,3 +46,24 @@ def test_fk_audit_is_one_grouping_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+BOUNDED_WINDOW = {"result_records", "summary_pack"}   # number a bounded summary result
+BOUNDED_COLLECT = {"brand_drug_appeals", "tool_use_summary"}  # 8-row brand table; per request (<= 10 rounds)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"live_scoring"}))
+def test_single_partition_only_after_reduction(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line and name not in BOUNDED_WINDOW:
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            # only above an aggregate (rows already reduced to groups) or a top-k
+            assert "HashAggregate" in child or "TakeOrderedAndProject" in child, (name, child.strip())
+        if ("collect_list" in line or "collect_set" in line) and name not in BOUNDED_COLLECT:
+            raise AssertionError(f"{name}: unexpected collect: {line.strip()}")
