@@ -1,10 +1,12 @@
 """Integrity audits: foreign keys, denied-only references, duplicate keys.
 
-Skew: the child side of every audit is first reduced to one row per key
-value (``groupBy(fk).count()``, partial aggregation inside each task), so a
-key that holds a third of all references costs one row per task in the
-shuffle, not a third of the table.  NULL references are removed before the
-join; they are not references and would all hash to one partition.
+Skew: the foreign-key and duplicate-key audits count per key value with a
+partial aggregation inside each task before their one shuffle, so a key that
+holds a third of all references costs one row per task in the shuffle, not
+a third of the table.  NULL references are dropped first: they are not
+references, and they would all hash to one partition.  The denied-reference
+audit joins on the cited key; a hot key there is split by AQE's skew-join
+handling.
 """
 from __future__ import annotations
 
