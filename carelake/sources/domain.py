@@ -69,7 +69,12 @@ class Domain:
         self.as_of_text = as_of
 
     def t(self, name: str) -> DataFrame:
-        return load(self.spark, self.sf_dir, name)
+        """The driver table ``name``, loaded once per domain: every new
+        relation lists its files again, which is costly on large layouts."""
+        loaded = self.__dict__.setdefault("_loaded", {})
+        if name not in loaded:
+            loaded[name] = load(self.spark, self.sf_dir, name)
+        return loaded[name]
 
     def provider_count(self) -> Column:
         """Number of providers, as a scalar subquery Column."""
