@@ -13,6 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.session import ensure_checkpoint_dir
+
+VIOLATIONS_BROADCAST_MAX_ROWS = 1_000_000
+
 # (child table, child column, parent table, parent key)
 FOREIGN_KEYS = [
     ("eligibility", "member_id", "members", "member_id"),
@@ -99,12 +103,18 @@ def denied_reference_audit(appeals: DataFrame, claims: DataFrame, pas: DataFrame
 
     References are first anti-joined with the *denied* parents only (a
     quarter of the claims, a third of the PAs), which leaves the violations.
-    Only those are then matched to their parent's state, in an inner join
-    whose small side AQE can broadcast, so the other parents are never
-    shuffled when violations are few.  References with no parent at all are
+    Only those are then matched to their parent's state: the violations are
+    written once (``checkpoint`` into the shared folder), counted, and
+    broadcast when at most ``VIOLATIONS_BROADCAST_MAX_ROWS``, so the parents
+    are scanned but never shuffled; beyond that bound it is a shuffle join.  References with no parent at all are
     reported as ``missing``."""
     def check(refs: DataFrame, denied: DataFrame, state: DataFrame) -> DataFrame:
-        bad = refs.join(denied, "ref_id", "left_anti")
+        # violations, written once to the shared checkpoint folder and counted:
+        # when few, they are broadcast and the parents are only scanned
+        ensure_checkpoint_dir(refs.sparkSession)
+        bad = refs.join(denied, "ref_id", "left_anti").checkpoint(eager=True)
+        if bad.count() <= VIOLATIONS_BROADCAST_MAX_ROWS:
+            bad = F.broadcast(bad)
         found = state.join(bad, "ref_id", "inner")
         lost = (bad.join(found.select("ref_id", "appeal_id"), ["ref_id", "appeal_id"], "left_anti")
                 .withColumn("ref_state", F.lit(None).cast("string")))
