@@ -115,7 +115,9 @@ def denied_reference_audit(appeals: DataFrame, claims: DataFrame, pas: DataFrame
         bad = refs.join(denied, "ref_id", "left_anti").checkpoint(eager=True)
         if bad.count() <= VIOLATIONS_BROADCAST_MAX_ROWS:
             bad = F.broadcast(bad)
-        found = state.join(bad, "ref_id", "inner")
+        # at most as many rows as violations; written once so the parents are
+        # scanned a single time although the result is used twice below
+        found = state.join(bad, "ref_id", "inner").checkpoint(eager=True)
         lost = (bad.join(found.select("ref_id", "appeal_id"), ["ref_id", "appeal_id"], "left_anti")
                 .withColumn("ref_state", F.lit(None).cast("string")))
         return found.unionByName(lost)
