@@ -1,3 +1,3 @@
 """Importing this module registers every query of the subpackage."""
-from . import mixing, sharding, topk  # noqa: F401
+from . import bpe, mixing, sharding, topk  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
