@@ -47,10 +47,10 @@ WITH RECURSIVE t(w, pos, id, live) AS (
      FROM (SELECT w, pos, id, lead(id) OVER s AS id2, lag(pos) OVER s AS before
            FROM t WHERE live WINDOW s AS (PARTITION BY w ORDER BY pos)) p
      LEFT JOIN merges m ON m.l = p.id AND m.r = p.id2),
-   b AS (SELECT w, min(merged::BIGINT * 65536 + pos) % 65536 AS at FROM a WHERE merged IS NOT NULL GROUP BY w)
-   SELECT a.w, pos, CASE WHEN pos = at THEN merged ELSE id END, at IS NOT NULL
+   b AS (SELECT w, min(merged::BIGINT * 65536 + pos) % 65536 AS spot FROM a WHERE merged IS NOT NULL GROUP BY w)
+   SELECT a.w, pos, CASE WHEN pos = spot THEN merged ELSE id END, spot IS NOT NULL
    FROM a LEFT JOIN b ON a.w = b.w
-   WHERE at IS NULL OR before IS NULL OR before <> at))
+   WHERE spot IS NULL OR before IS NULL OR before <> spot))
 SELECT w, id FROM t WHERE NOT live ORDER BY w, pos
 """
 
