@@ -24,11 +24,11 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     configure(spark)
     ship_package(spark)
-    if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
-        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    if int(spark.conf.get(_BATCH)) > batch_rows:
+        spark.conf.set(_BATCH, str(batch_rows))
     return spark
 
 
