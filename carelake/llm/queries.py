@@ -1,3 +1,3 @@
 """Importing this module registers every query of the subpackage."""
-from . import bpe, epsgrid, mixing, sharding, simhash, topk  # noqa: F401
+from . import bpe, epsgrid, mixing, sharding, simhash, topk, toxicity  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
