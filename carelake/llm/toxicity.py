@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, prepare, table
 from .registry import register
@@ -247,8 +248,9 @@ def _sampled(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted and ``th`` (hash of the text) for every row of ``docs``."""
-    docs = docs.select("doc_id", "text")
+    """``docs`` (doc_id, text and other columns) with ``score``, the
+    probability of the label toxic."""
+    whole, docs = docs, docs.select("doc_id", "text")
     usable = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     found = (_with_entries(_sampled(usable, docs), "toxic int")
@@ -277,37 +279,41 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
            .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(train, "w binary").collect())  # one row of weights
     w = np.frombuffer(got[0].w, np.float32) if got else np.zeros(N_VOTERS + WEIGHTS + 1, np.float32)
 
+    at = whole.columns.index("text")
+
     def score(batches):
         votes, known = Votes(lexicon), {}
+        weigh = w[:N_VOTERS].astype(np.float64)
         for b in batches:
             out = []
-            for text in b.column(1).to_pylist():
-                text = text or ""
+            for text in b.column(at).to_pylist():
                 if len(known) > REMEMBERED:
                     known = {}
-                words, seen, bits = set(_words(text.lower())), set(), 0
-                total = 0.0
-                new: dict = {}
-                for x in words:
+                seen: set = set()
+                for x in set(_words((text or "").lower())):
                     hit = known.get(x)
                     if hit is None:
                         hit = known[x] = entries(x)
                     seen.update(hit)
+                z = float(w[-1]) + float(_fired(np.array([votes(text)]))[0] @ weigh)
                 if seen:
-                    at = np.fromiter(seen, np.int64, len(seen)) % WEIGHTS
-                    total = float(w[N_VOTERS + at].sum(dtype=np.float64)) / np.sqrt(len(seen))
-                bits = votes(text)
-                z = total + float(w[-1]) + float(_fired(np.array([bits]))[0] @ w[:N_VOTERS].astype(np.float64))
+                    cols = np.sort(np.fromiter(seen, np.int64, len(seen))) % WEIGHTS  # one order, one sum
+                    z += float(w[N_VOTERS + cols].sum(dtype=np.float64)) / np.sqrt(len(seen))
                 out.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64()), b.column(2)],
-                                             names=["doc_id", "score", "th"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, "score"])
+
+    return whole.mapInArrow(score, T.StructType([*whole.schema.fields, T.StructField("score", T.DoubleType())]))
+
 
-    scored = docs.withColumn("th", F.xxhash64("text")).mapInArrow(score, f"doc_id {kind}, score double, th long")
-    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "th")
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose score is under one half."""
+    return toxicity(docs, labels).where("score < 0.5").select(*docs.columns)
 
 
 @register("op3_weak_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("th")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
