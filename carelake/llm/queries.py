@@ -1,3 +1,3 @@
 """Importing this module registers every query of the subpackage."""
-from . import bpe, debruijn, epsgrid, mixing, sharding, simhash, suffixes, topk, toxicity  # noqa: F401
+from . import bpe, debruijn, epsgrid, mixing, perspectives, sharding, simhash, suffixes, topk, toxicity  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
