@@ -137,15 +137,15 @@ def mix_words(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> Da
 def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mixed documents: every row as often as the mix takes it, whole; the
     crossing document of a source is in if at least half of it is."""
-    keyed = with_keys(docs)
+    keyed = with_keys(docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row")))
     clear, last = split_at_cut(keyed, cuts(keyed, weights, most))
     w = (Window.partitionBy("_src").orderBy("_key", F.col("doc_id").asc_nulls_first(), "_size", "_chars")
          .rowsBetween(Window.unboundedPreceding, 0))
     last = last.withColumn("_part", _part(F.sum("_size").over(w) - F.col("_size") + F.col("_before")))
-    rows = clear.select(*docs.columns, "_epochs", "_size", "_part").union(
-        last.select(*docs.columns, "_epochs", "_size", "_part"))
+    need = ["_row", "_epochs", "_size", "_part"]
+    rows = clear.select(*need).union(last.select(*need))
     times = F.col("_epochs") + F.when((F.col("_part") > 0) & (F.col("_part") * 2 >= F.col("_size")), 1).otherwise(0)
-    return explode_count(rows, times, "_i").select(*docs.columns)
+    return explode_count(rows, times, "_i").select("_row.*")
 
 
 ORACLE = r"""

@@ -184,11 +184,12 @@ def keep_one(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS) -> DataFra
     best = (own.join(best, ["component", "th"]).groupBy("component", "doc_id", "th")
             .agg(F.count(F.lit(1)).alias("copies")))
     best = best.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("copies").alias("_copies"))
-    kept = docs.withColumn("_t", F.xxhash64("text"))
-    kept = kept.join(best, (F.col("_t") == F.col("_th")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
+    kept = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64("text").alias("_t"),
+                       F.col("doc_id").cast("long").alias("_own"))
+    kept = kept.join(best, (F.col("_t") == F.col("_th")) & F.col("_own").eqNullSafe(F.col("_id")))
     one = kept.where("_copies = 1")
     some = kept.where("_copies > 1").dropDuplicates(["_id", "_th"])
-    return one.union(some).select(*docs.columns)
+    return one.union(some).select("_row.*")
 
 
 @register("op8_simhash_bk_trees")

@@ -15,13 +15,11 @@ stays as it is); ``keep="none"`` removes every copy.
 
 Defined results: a null text is empty; texts shorter than MIN_BYTES lose
 nothing; equal texts give equal results (but see ``keep="first"``); cut texts
-are bytes, and ``as_text`` drops characters cut in two; an empty table gives
+are bytes, and ``dedup`` drops characters cut in two; an empty table gives
 no rows; other columns are passed on by ``dedup`` and ignored by the query.
 """
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -180,7 +178,8 @@ def cut_texts(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
 def dedup(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
     """``docs`` with later copies of repeated strings taken out of ``text``,
     the first kept; characters cut in two are dropped."""
-    rows = keyed(docs)
+    rest = [c for c in docs.columns if c != "text"]
+    rows = keyed(docs.select(F.struct(*rest).alias("_row"), "doc_id", "text"))
     cuts = byte_cuts(rows, least, "first")
     same = rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first_id")).where("rows > 1")
     cuts = cuts.join(same.drop("rows"), ["k1", "k2"], "full")
@@ -190,9 +189,7 @@ def dedup(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
     # of equal texts one row is the first; the others are copies as a whole
     copy = F.col("first_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_id"))
     joined = joined.withColumn("_copy", F.coalesce(copy, F.lit(False)))
-    rest = [c for c in docs.columns if c != "text"]
-    joined = joined.select(*rest, "z", "cuts", "_copy")
-    schema = T.StructType([f for f in joined.schema.fields if f.name not in ("z", "cuts", "_copy")] + [docs.schema["text"]])
+    joined = joined.select("_row", "z", "cuts", "_copy")
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
@@ -201,9 +198,11 @@ def dedup(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
             for z, cuts_, copy_ in zip(*(b.column(c).to_pylist() for c in ("z", "cuts", "_copy"))):
                 raw = np.frombuffer(unpack(z), np.uint8)
                 gone = np.full(len(raw), True) if copy_ and len(raw) >= least else covered(cuts_, least, len(raw))
-                out.append(raw[~gone].tobytes().decode("utf-8", "ignore") if gone.any() else raw.tobytes().decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(out, pa.string())], names=[*rest, "text"])
-    return joined.mapInArrow(run, schema).select(*docs.columns)
+                out.append(raw[~gone].tobytes().decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(out, pa.string())], names=["_row", "_text"])
+    schema = T.StructType([joined.schema["_row"], T.StructField("_text", T.StringType())])
+    return joined.mapInArrow(run, schema).select(
+        *(F.col("_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 @register("op2_suffix_array_dedup")

@@ -307,7 +307,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is under one half."""
-    return toxicity(docs, labels).where("score < 0.5").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    return toxicity(rows, labels).where("score < 0.5").select("_row.*")
 
 
 @register("op3_weak_toxicity")
