@@ -80,20 +80,32 @@ def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
+#: Edges contracted at once.
+AT_ONCE = 200_000
+
+
 def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Edges of a task's batches as stars around their smallest node."""
+    """A task's edges as stars around their smallest nodes, AT_ONCE at a time."""
+    def stars(held: list) -> pd.DataFrame:
+        node, top = local_roots(*(np.concatenate([h[c].to_numpy() for h in held]) for c in "ab"))
+        keep = node != top
+        return pd.DataFrame({"a": node[keep], "b": top[keep]})
+
+    held: list = []
     for pdf in batches:
-        if len(pdf):
-            node, top = local_roots(pdf["a"].to_numpy(), pdf["b"].to_numpy())
-            keep = node != top
-            yield pd.DataFrame({"a": node[keep], "b": top[keep]})
+        held.append(pdf)
+        if sum(map(len, held)) >= AT_ONCE:
+            yield stars(held)
+            held = []
+    if any(map(len, held)):
+        yield stars(held)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (a long, b long, no
     nulls); component is the smallest node reachable.
 
-    Edges are first contracted inside each Arrow batch, then alternating
+    Edges are first contracted inside each task, then alternating
     large-star and small-star rounds run until the edges are stars around
     their minimum.  The minimum of a node is a map-side combined aggregate and
     comes back by a join, so a node with a third of all edges is split by the
@@ -111,7 +123,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         # large star: every larger neighbour of a node moves to the smallest of the neighbourhood
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").dropDuplicates(["a", "b"]))
         # small star: a node and its smaller neighbours move to the smallest of them (now b < a always)

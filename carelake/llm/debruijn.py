@@ -124,7 +124,7 @@ def crowded(rows: DataFrame, window: int) -> DataFrame:
                                                   pa.array(idx.astype(np.int32))],
                                                  names=["h1", "h2", "u", "v", "a", "s", "n", "rel"])
     e = rows.mapInArrow(edges, "h1 long, h2 long, u long, v long, a long, s long, n long, rel int")
-    often = e.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
+    often = cut(e.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2"))
     return e.join(often, ["h1", "h2"]).select("a", "s", "rel", F.lit(1).alias("len"), F.col("h1").alias("piece"), "u", "v")
 
 
@@ -146,7 +146,7 @@ def passage_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     pieces = cut(grouped(rows.where(F.col("segs") <= GROUP), kernel(window), PIECE)
                  .union(crowded(rows.where(F.col("segs") > GROUP), window)))
     named = pieces.join(paths(pieces), "piece", "left").withColumn("path", F.coalesce("path", "piece"))
-    found = named.groupBy("a", "s").agg(F.collect_list(F.struct("rel", "len", "path")).alias("pieces"))
+    found = cut(named.groupBy("a", "s").agg(F.collect_list(F.struct("rel", "len", "path")).alias("pieces")))
     once = occ.dropDuplicates(["k1", "k2", "start"])
     return (once.join(found, ["a", "s"]).groupBy("k1", "k2")
             .agg(F.collect_list(F.struct("start", "pieces")).alias("found")))

@@ -171,12 +171,14 @@ def repeated(docs: DataFrame, tokenize, window: int, gram: int) -> DataFrame:
     """Occurrences (``OCC``) of the segments whose anchor occurs at least twice
     among all rows of ``docs`` (with k1, k2, text)."""
     occ = docs.select("k1", "k2", "text").mapInArrow(scanner(tokenize, window, gram), OCC)
-    many = occ.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+    # written first: a join of two plain shuffles can split an anchor with very many occurrences
+    many = cut(occ.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"))
     return cut(occ.join(many, "a", "left_semi"))
 
 
-#: Distinct segments of one anchor that one task compares; beyond it, windows are counted as rows.
-GROUP = 512
+#: Distinct segments of one anchor that one task compares (under 2 MB of content at 200 bytes a
+#: window); beyond it, windows are counted as rows.
+GROUP = 4096
 #: Bytes of content handled at once.
 PACK = 1 << 20
 SEG = "a long, s long, n long, k1 long, k2 long, start int, cnt int, segs long"
@@ -187,7 +189,7 @@ def distinct_segments(occ: DataFrame) -> DataFrame:
     occurrence by (k1, k2, start), and the distinct segments of its anchor (segs)."""
     segs = cut(occ.groupBy("a", "s").agg(F.count(F.lit(1)).alias("n"),
                                          F.min(F.struct("k1", "k2", "start", "cnt")).alias("at")))
-    per = segs.groupBy("a").agg(F.count(F.lit(1)).alias("segs"))
+    per = cut(segs.groupBy("a").agg(F.count(F.lit(1)).alias("segs")))
     return segs.join(per, "a").select("a", "s", "n", "at.*", "segs")
 
 
@@ -284,8 +286,8 @@ def crowded(rows: DataFrame, tokenize, window: int) -> DataFrame:
 
     w = rows.mapInArrow(windows, "h1 long, h2 long, a long, s long, n long, k1 long, k2 long, start int, i int")
     order = F.struct("k1", "k2", (F.col("start") + F.col("i")).alias("p"))
-    per = w.groupBy("h1", "h2").agg(F.sum("n").alias("total"), F.min(order).alias("first"))
-    hit = w.join(per.where("total > 1"), ["h1", "h2"]).withColumn("own", order)
+    per = cut(w.groupBy("h1", "h2").agg(F.sum("n").alias("total"), F.min(order).alias("first")).where("total > 1"))
+    hit = w.join(per, ["h1", "h2"]).withColumn("own", order)
     return hit.groupBy("a", "s").agg(
         F.array_sort(F.collect_list("i")).alias("anywhere"),
         F.array_sort(F.collect_list(F.when(F.col("own") != F.col("first"), F.col("i")))).alias("earlier"),
@@ -297,7 +299,7 @@ def spans(occ: DataFrame, found: DataFrame, keep_first: bool) -> DataFrame:
     texts that lose something.  ``found``: a, s, n, k1, k2, start of distinct
     segments and the runs ``anywhere`` and ``earlier`` (null where not compared)."""
     once = occ.dropDuplicates(["k1", "k2", "start"])
-    f = found.select("a", "s", "n", F.struct("k1", "k2", "start").alias("at"), "anywhere", "earlier")
+    f = cut(found.select("a", "s", "n", F.struct("k1", "k2", "start").alias("at"), "anywhere", "earlier"))
     whole = F.array(F.lit(0), F.col("cnt"))
     own = F.struct("k1", "k2", "start") == F.col("at")
     if keep_first:
