@@ -13,10 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.session import ensure_checkpoint_dir
-
-VIOLATIONS_BROADCAST_MAX_ROWS = 1_000_000
-
 # (child table, child column, parent table, parent key)
 FOREIGN_KEYS = [
     ("eligibility", "member_id", "members", "member_id"),
@@ -101,38 +97,24 @@ def denied_reference_audit(appeals: DataFrame, claims: DataFrame, pas: DataFrame
     """Appeals citing a claim that is not denied or a PA that was approved
     (or a parent that does not exist): ``(appeal_id, ref_type, ref_id, ref_state)``.
 
-    References are first anti-joined with the *denied* parents only (a
-    quarter of the claims, a third of the PAs), which leaves the violations.
-    Only those are then matched to their parent's state: the violations are
-    written once (``checkpoint`` into the shared folder), counted, and
-    broadcast when at most ``VIOLATIONS_BROADCAST_MAX_ROWS``, so the parents
-    are scanned but never shuffled; beyond that bound it is a shuffle join.  References with no parent at all are
-    reported as ``missing``."""
-    def check(refs: DataFrame, denied: DataFrame, state: DataFrame) -> DataFrame:
-        # violations, written once to the shared checkpoint folder and counted:
-        # when few, they are broadcast and the parents are only scanned
-        ensure_checkpoint_dir(refs.sparkSession)
-        bad = refs.join(denied, "ref_id", "left_anti").checkpoint(eager=True)
-        if bad.count() <= VIOLATIONS_BROADCAST_MAX_ROWS:
-            bad = F.broadcast(bad)
-        # at most as many rows as violations; written once so the parents are
-        # scanned a single time although the result is used twice below
-        found = state.join(bad, "ref_id", "inner").checkpoint(eager=True)
-        lost = (bad.join(found.select("ref_id", "appeal_id"), ["ref_id", "appeal_id"], "left_anti")
-                .withColumn("ref_state", F.lit(None).cast("string")))
-        return found.unionByName(lost)
+    One left join per reference type: the non-null references against the
+    parents' states, violations kept after it.  Nothing runs while the plan is
+    built; AQE broadcasts a small side by its measured bytes and splits a key
+    that is cited very often.  References without any parent are reported as
+    ``missing``."""
+    def check(refs: DataFrame, state: DataFrame) -> DataFrame:
+        found = refs.join(state, "ref_id", "left")
+        return found.where(F.col("ref_state").isNull() | (F.col("ref_state") != "Denied"))
 
     refs_c = (appeals.where(F.col("claim_id").isNotNull())
               .select("appeal_id", F.lit("claim").alias("ref_type"), F.col("claim_id").alias("ref_id")))
     refs_p = (appeals.where(F.col("prior_auth_id").isNotNull())
               .select("appeal_id", F.lit("prior_auth").alias("ref_type"), F.col("prior_auth_id").alias("ref_id")))
-    denied_c = claims.where(F.col("status") == "Denied").select(F.col("claim_id").alias("ref_id"))
-    denied_p = pas.where(~F.col("is_approved")).select(F.col("prior_auth_id").alias("ref_id"))
     state_c = claims.select(F.col("claim_id").alias("ref_id"), F.col("status").alias("ref_state"))
     state_p = pas.select(F.col("prior_auth_id").alias("ref_id"),
                          F.when(F.col("is_approved"), F.lit("Approved")).otherwise(F.lit("Denied"))
                           .alias("ref_state"))
-    both = check(refs_c, denied_c, state_c).unionByName(check(refs_p, denied_p, state_p))
+    both = check(refs_c, state_c).unionByName(check(refs_p, state_p))
     return both.select("appeal_id", "ref_type", "ref_id",
                        F.coalesce(F.col("ref_state"), F.lit("missing")).alias("ref_state"))
 

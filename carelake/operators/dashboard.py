@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 from ..functions import constants as C
 from ..functions.scalars import round_half_up_pct, sum_cents_amount
+from ..sources.builds import as_text
 
 
 def _is_true(c: Column) -> Column:
@@ -57,11 +58,12 @@ def claims_by_status(claims: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def claims_by_status_text(bronze_claims: DataFrame) -> DataFrame:
-    """The same over all-text claims: ``ROUND(SUM(try_cast(x AS DOUBLE)), 2)``."""
+    """The same over all-text claims.  Money is summed as decimals, so the cents
+    do not depend on the order of rows."""
     return (bronze_claims.groupBy("status")
             .agg(F.count(F.lit(1)).alias("count"),
-                 F.round(F.sum(F.col("billed_amount").try_cast("double")), 2).alias("total_billed"),
-                 F.round(F.sum(F.col("paid_amount").try_cast("double")), 2).alias("total_paid"))
+                 F.sum(F.col("billed_amount").try_cast("decimal(28,2)")).cast("double").alias("total_billed"),
+                 F.sum(F.col("paid_amount").try_cast("decimal(28,2)")).cast("double").alias("total_paid"))
             .orderBy(F.desc("count"), F.asc("status")))
 
 
@@ -144,33 +146,25 @@ def status_share(appeals: DataFrame) -> DataFrame:
 
 def kpi_cards(appeals: DataFrame, claims: DataFrame, members: DataFrame) -> DataFrame:
     """The four dashboard cards as one row."""
-    over = F.count(F.when(is_true(appeals, "is_overturned"), F.lit(1)))
     n = F.count(F.lit(1))
-    total_claims = claims.agg(F.count(F.lit(1))).scalar()
-    m = member_count(members).select(F.struct("members", "medicare")).scalar()  # one job, two figures
-    return (appeals.agg(
-                n.alias("total_appeals"),
-                F.count(F.when(F.col("appeal_status") == "Pending", F.lit(1))).alias("pending_appeals"),
-                F.coalesce(round_half_up_pct(over, n), F.lit(0).cast("bigint")).alias("overturn_rate_pct"))
-            .select("total_appeals", "pending_appeals",
-                    F.coalesce(total_claims, F.lit(0)).alias("total_claims"),
-                    "overturn_rate_pct",
-                    m["members"].alias("members"),
-                    m["medicare"].alias("medicare")))
+    over = F.count(F.when(is_true(appeals, "is_overturned"), F.lit(1)))
+    zero = F.lit(None).cast("bigint")
+    names = ["total_appeals", "pending_appeals", "total_claims", "overturn_rate_pct", "members", "medicare"]
 
+    def row(df: DataFrame, **own: Column) -> DataFrame:
+        return df.select(*[own.get(c, zero).alias(c) for c in names])
 
-# ------------------------------------------------------- result-set export
-def _text(df: DataFrame) -> list[Column]:
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if f.dataType.typeName() == "double":
-            c = c.cast("decimal(38,2)")
-        out.append(c.cast("string").alias(f.name))
-    return out
+    # each table is aggregated once to a row of its own figures; the rows are then laid over each other
+    a = row(appeals.agg(n.alias("n"), F.count(F.when(F.col("appeal_status") == "Pending", F.lit(1))).alias("p"),
+                        F.coalesce(round_half_up_pct(over, n), F.lit(0).cast("bigint")).alias("r")),
+            total_appeals=F.col("n"), pending_appeals=F.col("p"), overturn_rate_pct=F.col("r"))
+    c = row(claims.agg(n.alias("n")), total_claims=F.col("n"))
+    m = row(member_count(members), members=F.col("members"), medicare=F.col("medicare"))
+    return a.unionByName(c).unionByName(m).agg(*[F.max(c).alias(c) for c in names])
 
 
-def result_records(df: DataFrame, order_by: list[Column], bounded: bool = True) -> DataFrame:
+# ------------------------------------------------------- result-set export
+def result_records(df: DataFrame, order_by: list[Column], bounded: bool = False) -> DataFrame:
     """Result set -> ``(row_no, record)`` with ``record`` a JSON object of
     column name -> text, column order kept and NULL kept as ``null``.
 
@@ -179,7 +173,7 @@ def result_records(df: DataFrame, order_by: list[Column], bounded: bool = True)
     window over that small result.  For an arbitrary result use
     ``bounded=False``: the row number comes from the range-partitioned
     ``row_number_within`` and no task holds the whole result."""
-    rec = F.to_json(F.struct(*_text(df)), {"ignoreNullFields": "false"})
+    rec = F.to_json(F.struct(*as_text(df)), {"ignoreNullFields": "false"})
     if bounded:
         w = Window.orderBy(*order_by)
         return df.select(F.row_number().over(w).cast("bigint").alias("row_no"), rec.alias("record"))
@@ -212,11 +206,11 @@ def summary_pack(builders: dict) -> DataFrame:
     for name, build in builders.items():
         try:
             df = build()
-            part = result_records(df, summary_order(name)).select(
+            part = result_records(df, summary_order(name), bounded=True).select(
                 F.lit(name).alias("query"), "row_no", "record",
                 F.lit(None).cast("string").alias("error"))
         except AnalysisException as e:  # analysis errors surface as data
-            part = df_error(name, str(e).splitlines()[0])
+            part = df_error(name, str(e))
         parts.append(part)
     out = parts[0]
     for p in parts[1:]:
@@ -234,12 +228,11 @@ def write_summary_pack(builders: dict, path: str) -> DataFrame:
         try:
             df = build()
             spark = df.sparkSession
-            (result_records(df, summary_order(name))
+            (result_records(df, summary_order(name), bounded=True)
              .select("row_no", "record", F.lit(None).cast("string").alias("error"))
              .write.mode("overwrite").parquet(target))
         except Exception as e:  # isolate this query; keep the message as data
-            msg = (str(e).strip().splitlines() or [type(e).__name__])[0][:500]
-            df_error(name, msg).drop("query").write.mode("overwrite").parquet(target)
+            df_error(name, str(e).strip() or type(e).__name__).drop("query").write.mode("overwrite").parquet(target)
     from pyspark.sql import SparkSession
     spark = spark or SparkSession.getActiveSession()
     return spark.read.parquet(path)

@@ -10,6 +10,7 @@ the model behind real scoring is outside this package.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.constants import JUDGE_SAMPLE_RATE
+from ..sources.responses import request_id
 from ..sources.tables import load
 
 # --- FIXED VALUES: the five scorers (names, kinds, guidelines, instructions, levels)
@@ -55,10 +57,11 @@ SCORERS = [
 # --- end FIXED VALUES
 
 INPUTS_MARK, OUTPUTS_MARK = "{{ inputs }}", "{{ outputs }}"
+_MARKS = re.compile(f"({re.escape(INPUTS_MARK)}|{re.escape(OUTPUTS_MARK)})")
 
-TASK_SCHEMA = ("trace_id bigint, scorer string, kind string, guideline_no int, "
+TASK_SCHEMA = ("trace_id string, scorer string, kind string, guideline_no int, "
                "guideline string, inputs string, outputs string, prompt string")
-FEEDBACK_SCHEMA = "trace_id bigint, scorer string, guideline_no int, value string, rationale string"
+FEEDBACK_SCHEMA = "trace_id string, scorer string, guideline_no int, value string, rationale string"
 
 
 def scorer_registry(spark: SparkSession) -> DataFrame:
@@ -81,7 +84,7 @@ def traces_from(answers: DataFrame, history: DataFrame) -> DataFrame:
         "conv_id", "turn", F.col("text").alias("outputs"))
     prev = history.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("inputs"))
     return (a.join(prev, ["conv_id", "turn"], "left")
-            .select((F.col("conv_id") * 100 + F.col("turn")).alias("trace_id"),
+            .select(request_id().alias("trace_id"),
                     "conv_id", "turn", F.coalesce("inputs", F.lit("")).alias("inputs"), "outputs"))
 
 
@@ -105,7 +108,7 @@ def traces_incremental(batch: DataFrame, history: DataFrame) -> DataFrame:
                 .join(missing.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi"))
         found = (first.where(F.col("inputs").isNotNull())
                  .unionByName(missing.join(past, ["conv_id", "turn"], "left")))
-    return found.select((F.col("conv_id") * 100 + F.col("turn")).alias("trace_id"), "conv_id", "turn",
+    return found.select(request_id().alias("trace_id"), "conv_id", "turn",
                         F.coalesce("inputs", F.lit("")).alias("inputs"), "outputs")
 
 
@@ -114,7 +117,7 @@ def sampled(trace_id: Column, scorer: Column, rate: float) -> Column:
     so reruns and retries pick the same traces."""
     if rate >= 1.0:
         return F.lit(True)
-    return F.pmod(F.xxhash64(trace_id, scorer), F.lit(10000)) < F.lit(int(rate * 10000))
+    return F.shiftrightunsigned(F.xxhash64(trace_id, scorer), 11) < F.lit(round(rate * (1 << 53)))
 
 
 def render(template: str, inputs: Column, outputs: Column) -> Column:
@@ -137,19 +140,29 @@ def expand_tasks(tr: DataFrame, rate: float = JUDGE_SAMPLE_RATE) -> DataFrame:
 
     The scorer list is fixed (nine tasks per trace at most), so each trace row
     is expanded with ``explode`` of a literal array: a generator, no join."""
-    branches = []
+    t = chosen(tr, rate)
+    t = t.select("trace_id", "inputs", "outputs", F.explode("tasks").alias("_t"))
+    guideline = F.when(F.col("kind") != "judge", F.col("rubric"))
+    prompt = F.lit(None).cast("string")
     for s in SCORERS:
-        for g, text in enumerate(s["rubric"]):
-            prompt = (render(text, F.col("inputs"), F.col("outputs")) if s["kind"] == "judge"
-                      else F.lit(None).cast("string"))
-            branches.append(F.struct(F.lit(s["name"]).alias("scorer"), F.lit(s["kind"]).alias("kind"),
-                                     F.lit(g).alias("guideline_no"),
-                                     F.lit(None if s["kind"] == "judge" else text).cast("string").alias("guideline"),
-                                     prompt.alias("prompt")))
-    t = tr.select("trace_id", "inputs", "outputs", F.explode(F.array(*branches)).alias("_t"))
-    t = t.select("trace_id", "_t.scorer", "_t.kind", "_t.guideline_no", "_t.guideline", "inputs", "outputs",
-                 "_t.prompt")
-    return t.where(sampled(F.col("trace_id"), F.col("scorer"), rate))
+        if s["kind"] == "judge":
+            for g, text in enumerate(s["rubric"]):
+                prompt = F.when((F.col("scorer") == s["name"]) & (F.col("guideline_no") == g),
+                                render(text, F.col("inputs"), F.col("outputs"))).otherwise(prompt)
+    return (t.select("trace_id", "_t.*", "inputs", "outputs")
+            .select("trace_id", "scorer", "kind", "guideline_no", guideline.alias("guideline"), "inputs", "outputs",
+                    prompt.alias("prompt")))
+
+
+def chosen(tr: DataFrame, rate: float = JUDGE_SAMPLE_RATE) -> DataFrame:
+    """Traces with ``tasks``, the sampled ones of the nine fixed (scorer,
+    guideline) pairs; traces without any are left out before anything is
+    copied per task."""
+    every = F.array(*[F.struct(F.lit(s["name"]).alias("scorer"), F.lit(s["kind"]).alias("kind"),
+                               F.lit(g).alias("guideline_no"), F.lit(text).alias("rubric"))
+                      for s in SCORERS for g, text in enumerate(s["rubric"])])
+    some = F.filter(every, lambda x: sampled(F.col("trace_id"), x["scorer"], rate))
+    return tr.select("trace_id", "inputs", "outputs", some.alias("tasks")).where(F.size("tasks") > 0)
 
 
 # ------------------------------------------------------------------ judging
@@ -187,6 +200,36 @@ def score(tasks: DataFrame, judge: JudgeFn = rule_judge) -> DataFrame:
     return tasks.mapInPandas(run, FEEDBACK_SCHEMA)
 
 
+def _fill(rubric: str, inputs: str, outputs: str) -> str:
+    """The rubric with its two placeholders filled; inserted text is not searched again."""
+    return "".join({INPUTS_MARK: inputs, OUTPUTS_MARK: outputs}.get(x, x) for x in _MARKS.split(rubric))
+
+
+def score_traces(tr: DataFrame, judge: JudgeFn = rule_judge, rate: float = JUDGE_SAMPLE_RATE) -> DataFrame:
+    """Feedback of the sampled tasks.  One row per trace crosses to the judge's
+    Python process; its tasks are laid out there."""
+    from ..plans.session import ship_package
+    ship_package(tr.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(i, t["scorer"], t["kind"], t["guideline_no"], t["rubric"])
+                    for i, tasks in zip(b["trace_id"], b["tasks"]) for t in tasks]
+            if not rows:
+                continue
+            t = pd.DataFrame(rows, columns=["trace_id", "scorer", "kind", "guideline_no", "rubric"])
+            at = b["tasks"].str.len().to_numpy()
+            t["inputs"], t["outputs"] = (b[c].repeat(at).to_numpy() for c in ("inputs", "outputs"))
+            asked = t["kind"] == "judge"
+            t["guideline"] = t["rubric"].where(~asked, None)
+            t["prompt"] = [_fill(r, i, o) if a else None for a, r, i, o in zip(asked, t["rubric"], t["inputs"], t["outputs"])]
+            res = judge(t)
+            yield pd.DataFrame({"trace_id": t["trace_id"], "scorer": t["scorer"],
+                                "guideline_no": t["guideline_no"].astype("int32"),
+                                "value": res["value"].to_numpy(), "rationale": res["rationale"].to_numpy()})
+    return chosen(tr, rate).mapInPandas(run, FEEDBACK_SCHEMA)
+
+
 def levels_of(scorer: Column) -> Column:
     """The allowed values of a scorer (fixed five-way lookup, no join)."""
     out = None

@@ -23,14 +23,18 @@ def member_lookup(members: DataFrame, keys: DataFrame) -> DataFrame:
     return members.join(keys.select("member_id"), "member_id", "left_semi")
 
 
+def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key`` whose rows without a key do not travel: they match
+    nothing and would all meet in one task, so they are set apart and put back
+    with empty columns."""
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    found = left.where(F.col(key).isNotNull()).join(right, key, "left")
+    return found.unionByName(left.where(F.col(key).isNull()).select("*", *extra))
+
+
 def claim_lookup(claims: DataFrame, providers: DataFrame, pas: DataFrame, keys: DataFrame) -> DataFrame:
     """Claim detail with provider name/type/specialty and the PA decision."""
-    prov = providers.select("provider_id", "provider_name", "provider_type", "specialty")
-    pa = pas.select("prior_auth_id", F.col("is_approved").alias("pa_approved"),
-                    F.col("decision_date").alias("pa_decision_date"))
-    return (claims.join(keys.select("claim_id"), "claim_id", "left_semi")
-            .join(prov, "provider_id", "left")
-            .join(pa, "prior_auth_id", "left"))
+    return claim_details(claims.join(keys.select("claim_id"), "claim_id", "left_semi"), providers, pas)
 
 
 def appeal_lookup(appeals: DataFrame, keys: DataFrame, by: str = "member_id") -> DataFrame:
@@ -63,20 +67,31 @@ def appeal_claim_denials(appeals: DataFrame, claims: DataFrame) -> DataFrame:
                       F.col("denial_category").alias("claim_denial_category"),
                       F.col("service_type").alias("claim_service_type"),
                       F.col("drug").alias("claim_drug"))
-    return appeals.join(c, "claim_id", "left")
+    return left_join_known(appeals, c, "claim_id")
 
 
 LOOKUP_FUNCTIONS = {
     "member_lookup": ("p_member_id STRING", "members", "member_id = p_member_id"),
-    "claim_lookup": ("p_claim_id STRING", "claims", "claim_id = p_claim_id"),
+    "claim_lookup": ("p_claim_id STRING", "claim_details", "claim_id = p_claim_id"),
+    "claims_of_member": ("p_member_id STRING", "claim_details", "member_id = p_member_id"),
     "appeal_lookup": ("p_member_id STRING", "appeals", "member_id = p_member_id"),
     "prior_auth_lookup": ("p_prior_auth_id STRING", "prior_authorizations", "prior_auth_id = p_prior_auth_id"),
+    "prior_auths_of_member": ("p_member_id STRING", "prior_authorizations", "member_id = p_member_id"),
 }
 
 
+def claim_details(claims: DataFrame, providers: DataFrame, pas: DataFrame) -> DataFrame:
+    """Every claim with its provider's and its authorization's columns."""
+    prov = providers.select("provider_id", "provider_name", "provider_type", "specialty")
+    pa = pas.select("prior_auth_id", F.col("is_approved").alias("pa_approved"),
+                    F.col("decision_date").alias("pa_decision_date"))
+    return left_join_known(claims.join(prov, "provider_id", "left"), pa, "prior_auth_id")
+
+
 def register_sql_functions(spark: SparkSession, views: dict[str, DataFrame]) -> list[str]:
     """Register the domain tables as temp views and the lookups as SQL table
     functions.  Catalyst plans ``FROM keys, LATERAL f(k)`` as a join."""
+    views = {**views, "claim_details": claim_details(views["claims"], views["providers"], views["prior_authorizations"])}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     made = []

@@ -56,9 +56,10 @@ def denial_trends(claims: DataFrame) -> DataFrame:
             .withColumn("denial_rate", F.try_divide(F.col("denied").cast("double"), F.col("claims").cast("double"))))
 
 
-def overturn_rates(appeals: DataFrame, by: str = "original_denial_reason") -> DataFrame:
-    """Overturned / all appeals and overturned / decided appeals, per ``by``."""
-    return (appeals.groupBy(by)
+def overturn_rates(appeals: DataFrame, *by: str) -> DataFrame:
+    """Overturned / all appeals and overturned / decided appeals, per ``by``
+    (the original denial reason if nothing is named)."""
+    return (appeals.groupBy(*(by or ("original_denial_reason",)))
             .agg(F.count(F.lit(1)).alias("appeals"),
                  _cnt(F.col("is_overturned")).alias("overturned"),
                  _cnt(F.col("appeal_status").startswith("Resolved")).alias("decided"))

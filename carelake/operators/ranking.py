@@ -16,9 +16,6 @@ from pyspark.sql.window import Window
 from ..plans.session import ensure_checkpoint_dir
 
 
-OFFSETS_BROADCAST_MAX_ROWS = 500_000
-
-
 def row_number_within(df: DataFrame, group: list[str], order: list[Column],
                       alias: str = "row_number", num_partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)`` computed with
@@ -42,11 +39,8 @@ def row_number_within(df: DataFrame, group: list[str], order: list[Column],
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
                .select("_pid", *group, "_first", "_before"))
-    # The offsets have one row per (task, group) pair present: at most
-    # #tasks + #groups rows.  Broadcast them after checking that count, so the
-    # placed rows are never shuffled again; beyond the bound, a shuffle join.
-    if offsets.count() <= OFFSETS_BROADCAST_MAX_ROWS:
-        offsets = F.broadcast(offsets)
+    # one row per (task, group) pair present, at most #tasks + #groups: the join's strategy is
+    # left to the measured bytes
     return (placed.join(offsets, ["_pid", *group])
             .withColumn(alias, (F.col("_before") + F.col("_mid") - F.col("_first") + F.lit(1)).cast("bigint"))
             .drop("_pid", "_mid", "_first", "_before"))

@@ -105,8 +105,10 @@ def extract_message(v: Column) -> Column:
 
 
 def messages(df: DataFrame, key_cols: list[str], body_col: str = "body") -> DataFrame:
-    v = parsed(F.col(body_col))
-    return df.select(*key_cols, extract_message(v).alias("message"))
+    """A body that is not JSON is its own message."""
+    one = df.select(*key_cols, F.col(body_col).alias("_body"), parsed(F.col(body_col)).alias("_v"))
+    return one.select(*key_cols, F.when(F.col("_v").isNull(), F.col("_body"))
+                      .otherwise(extract_message(F.col("_v"))).alias("message"))
 
 
 def _items(df: DataFrame, key_cols: list[str], body_col: str) -> DataFrame:
@@ -135,8 +137,9 @@ def classify_item(item: Column) -> dict[str, Column]:
 
     def text_of(path, default):
         x = vget(item, path)
-        return F.coalesce(F.when(vkind(x) == "STRING", vget(x, "$", "string")).otherwise(F.to_json(x)),
-                          F.lit(default))
+        return (F.when(x.isNull(), F.lit(default))  # missing
+                .when(vkind(x) == "VOID", F.lit(None).cast("string"))  # a JSON null is no text
+                .when(vkind(x) == "STRING", vget(x, "$", "string")).otherwise(F.to_json(x)))
 
     step_type = (F.when(~is_obj, F.lit(None))
                  .when(typ == "function_call", F.lit("tool_call"))
@@ -229,12 +232,13 @@ def tool_use_summary(steps: DataFrame, key: str = "request_id") -> DataFrame:
     return agg.select(key, "steps", "tool_calls", summary.alias("summary"))
 
 
-def error_message(v: Column) -> Column:
-    """Non-200 body -> ``message``, else ``error``, else the body's JSON text."""
+def error_message(v: Column, body: Column) -> Column:
+    """Non-200 body -> ``message``, else ``error``, else the body's JSON text;
+    a body that is not JSON as it is."""
     def text_at(path):
         x = vget(v, path)
-        return F.when(x.isNotNull(), F.when(vkind(x) == "STRING", vget(x, "$", "string")).otherwise(F.to_json(x)))
-    return F.coalesce(text_at("$.message"), text_at("$.error"), F.to_json(v))
+        return F.when(x.isNotNull() & (vkind(x) != "VOID"), F.when(vkind(x) == "STRING", vget(x, "$", "string")).otherwise(F.to_json(x)))
+    return F.coalesce(text_at("$.message"), text_at("$.error"), F.to_json(v), body)
 
 
 def round_summary(rounds: DataFrame, key: str = "request_id",
@@ -258,36 +262,63 @@ def round_summary(rounds: DataFrame, key: str = "request_id",
 def chain_rounds(rounds: DataFrame, key: str = "request_id") -> DataFrame:
     """Items appended to the running input after each round that asked for
     approval: that round's output items in order, then one auto-approval
-    per request.  ``seq`` is the position in the appended chain; offsets
+    per request, each with its JSON (``item``), so the next request can be
+    built from it.  ``seq`` is the position in the appended chain; offsets
     come from a running sum over the (at most round-limit) rounds of one
     request."""
     from pyspark.sql.window import Window
     ok = rounds.where(F.col("status") == 200)
     items = _items(ok, [key, "round_no"], "body")
     it = F.col("item")
-    is_req = (vkind(it) == "OBJECT") & (vget(it, "$.type", "string") == "mcp_approval_request")
-    per_round = items.groupBy(key, "round_no").agg(
-        F.count(F.lit(1)).alias("_n"), F.count(F.when(is_req, F.lit(1))).alias("_r"))
-    asking = per_round.where(F.col("_r") > 0)
-    w = Window.partitionBy(key).orderBy("round_no").rowsBetween(Window.unboundedPreceding, -1)
-    offs = asking.select(key, "round_no", "_n",
-                         F.coalesce(F.sum(F.col("_n") + F.col("_r")).over(w), F.lit(0)).alias("_off"))
-    out_items = items.select(key, "round_no", "pos",
-                             F.coalesce(vget(it, "$.type", "string"), F.lit("")).alias("item_type"),
-                             F.when(is_req, vget(it, "$.id", "string"))
-                              .otherwise(vget(it, "$.name", "string")).alias("item_ref"))
-    reqs = (approval_requests(ok, [key, "round_no"], "body")
-            .withColumn("_j", F.row_number().over(Window.partitionBy(key, "round_no").orderBy("pos")) - 1))
-    resp = reqs.select(key, "round_no", F.col("_j").alias("pos"),
-                       F.lit("mcp_approval_response").alias("item_type"),
-                       F.concat(F.lit("auto_approve_"), F.col("approval_id")).alias("item_ref"),
-                       F.lit(1).alias("_phase"))
-    both = out_items.withColumn("_phase", F.lit(0)).unionByName(resp)
-    return (both.join(offs, [key, "round_no"], "inner")
-            .select(key, "round_no",
-                    (F.col("_off") + F.when(F.col("_phase") == 0, F.col("pos"))
-                     .otherwise(F.col("_n") + F.col("pos"))).cast("bigint").alias("seq"),
-                    "item_type", "item_ref"))
+    asks = (vkind(it) == "OBJECT") & (vget(it, "$.type", "string") == "mcp_approval_request")
+    items = items.withColumn("_q", F.coalesce(asks, F.lit(False)).cast("int"))
+    # one pass: all windows share the partitioning by request, of at most the round limit of bodies
+    in_round = Window.partitionBy(key, "round_no")
+    upto = Window.partitionBy(key).orderBy("round_no", "pos").rowsBetween(Window.unboundedPreceding, 0)
+    items = (items.withColumn("_r", F.sum("_q").over(in_round))
+             .withColumn("_j", F.sum("_q").over(in_round.orderBy("pos")) - 1)
+             .withColumn("_len", F.when(F.col("_r") > 0, F.col("n_items") + F.col("_r")).otherwise(0))
+             .withColumn("_off", F.sum(F.when(F.col("pos") == 0, F.col("_len")).otherwise(0)).over(upto) - F.col("_len"))
+             .where(F.col("_r") > 0))
+    ref = vget(it, "$.id", "string")
+    answer = F.struct(ref.alias("approval_request_id"), F.lit(True).alias("approve"),
+                      F.concat(F.lit("auto_approve_"), ref).alias("id"), F.lit("mcp_approval_response").alias("type"))
+    own = F.struct((F.col("_off") + F.col("pos")).alias("seq"),
+                   F.coalesce(vget(it, "$.type", "string"), F.lit("")).alias("item_type"),
+                   F.when(F.col("_q") == 1, ref).otherwise(vget(it, "$.name", "string")).alias("item_ref"),
+                   F.to_json(it).alias("item"))
+    reply = F.when(F.col("_q") == 1, F.struct(
+        (F.col("_off") + F.col("n_items") + F.col("_j")).alias("seq"), F.lit("mcp_approval_response").alias("item_type"),
+        F.concat(F.lit("auto_approve_"), ref).alias("item_ref"), F.to_json(answer).alias("item")))
+    return (items.select(key, "round_no", F.explode(F.array_compact(F.array(own, reply))).alias("_x"))
+            .select(key, "round_no", F.col("_x.seq").cast("bigint").alias("seq"),
+                    "_x.item_type", "_x.item_ref", "_x.item"))
+
+
+def chat_answers(rounds: DataFrame, keys: tuple = ("request_id", "conv_id", "turn")) -> DataFrame:
+    """One row per answered request: the message of its last round's body and
+    its steps in display order (name or content of each).  Requests with a
+    failed round are left out.  A request holds at most the round limit of
+    bodies, so its rows are grouped safely."""
+    key = keys[0]
+    last = rounds.groupBy(*keys).agg(F.bool_and(F.col("status") == 200).alias("_ok"),
+                                     F.max_by("body", "round_no").alias("body")).where("_ok")
+    said = messages(last, list(keys))
+    steps = merged_steps(rounds, key).groupBy(key).agg(F.array_sort(F.collect_list(
+        F.struct("step_no", "step_type", F.coalesce("name", "content", F.lit("")).alias("what")))).alias("_s"))
+    listed = F.array_join(F.transform(F.coalesce("_s", F.array().cast("array<struct<step_no:bigint,step_type:string,what:string>>")),
+                                      lambda x: F.concat(x["step_type"], F.lit(": "), x["what"])), " | ")
+    return said.join(steps, key, "left").select(*keys, "message", listed.alias("steps"))
+
+
+def assign_conversation_id(turns: DataFrame, request_key: list[str]) -> DataFrame:
+    """``turns`` with ``conversation_id``: the given ``conv_id``, else one made
+    of ``request_key``, the columns that know a new conversation's request (the
+    same for all its turns), so a rerun gives the same id."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in request_key]
+    made = F.concat(F.lit("conv-"), F.substring(F.sha2(F.to_json(F.array(*parts)), 256), 1, 16))
+    return turns.withColumn("conversation_id", F.when(
+        F.col("conv_id").isNotNull(), F.format_string("conv-%08d", "conv_id")).otherwise(made))
 
 
 def history(conversations: DataFrame, failed: DataFrame) -> DataFrame:
@@ -295,12 +326,8 @@ def history(conversations: DataFrame, failed: DataFrame) -> DataFrame:
     assistant turn and the user turn just before it.  ``failed`` holds
     ``(conv_id, turn)`` of failed assistant turns.  Keys are the unique
     ``(conv_id, turn)`` pair, so a long conversation does not skew the join."""
-    drop = (failed.select("conv_id", "turn")
-            .unionByName(failed.select("conv_id", (F.col("turn") - 1).alias("turn"))))
-    user_or_failed = conversations.join(drop.distinct(), ["conv_id", "turn"], "left_anti")
-    # the turn before a failed request is removed only when it is the user's
-    prev_not_user = (conversations.join(failed.select("conv_id", (F.col("turn") - 1).alias("turn")),
-                                        ["conv_id", "turn"], "left_semi")
-                     .where(F.col("role") != "user"))
-    return (user_or_failed.unionByName(prev_not_user)
+    failed = failed.select("conv_id", "turn")
+    asked = failed.select("conv_id", (F.col("turn") - 1).alias("turn"), F.lit("user").alias("role"))
+    return (conversations.join(failed, ["conv_id", "turn"], "left_anti")
+            .join(asked, ["conv_id", "turn", "role"], "left_anti")
             .select("conv_id", "turn", "role", F.col("text").alias("content")))

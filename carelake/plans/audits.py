@@ -131,3 +131,45 @@ def q_appeal_claim_denials(spark, sf_dir):
     return L.appeal_claim_denials(d.appeals, d.claims).select(
         "appeal_id", "claim_id", "original_denial_reason", "claim_status", "claim_denial_reason",
         "claim_denial_code", "claim_drug")
+
+
+# -------------------------------------------------------- SQL table functions
+def _functions(spark, sf_dir) -> None:
+    d = Domain.of(spark, sf_dir)
+    L.register_sql_functions(spark, {t: d.table(t) for t in DOMAIN_TABLES})
+
+
+@register("sql_claims_of_member", with_views("claims", "providers", "prior_authorizations", "members") + """
+SELECT m.member_id, c.claim_id, c.status, pr.provider_name, pr.specialty, pa.is_approved AS pa_approved,
+       pa.decision_date AS pa_decision_date
+FROM members m JOIN claims c ON c.member_id = m.member_id
+LEFT JOIN providers pr ON c.provider_id = pr.provider_id
+LEFT JOIN prior_authorizations pa ON c.prior_auth_id = pa.prior_auth_id
+WHERE m.plan_type = 'Medicare'""")
+def q_sql_claims_of_member(spark, sf_dir):
+    """The claims of every Medicare member, by the SQL function for one member."""
+    _functions(spark, sf_dir)
+    return spark.sql("""SELECT m.member_id, c.claim_id, c.status, c.provider_name, c.specialty, c.pa_approved,
+        c.pa_decision_date FROM members m, LATERAL claims_of_member(m.member_id) c WHERE m.plan_type = 'Medicare'""")
+
+
+@register("sql_claim_lookup", with_views("claims", "providers", "prior_authorizations", "appeals") + """
+SELECT a.appeal_id, c.claim_id, c.billed_cents, pr.provider_name, pr.provider_type, pa.is_approved AS pa_approved
+FROM appeals a JOIN claims c ON c.claim_id = a.claim_id
+LEFT JOIN providers pr ON c.provider_id = pr.provider_id
+LEFT JOIN prior_authorizations pa ON c.prior_auth_id = pa.prior_auth_id""")
+def q_sql_claim_lookup(spark, sf_dir):
+    """The claim behind every appeal that cites one, by the SQL function for one claim."""
+    _functions(spark, sf_dir)
+    return spark.sql("""SELECT a.appeal_id, c.claim_id, c.billed_cents, c.provider_name, c.provider_type, c.pa_approved
+        FROM appeals a, LATERAL claim_lookup(a.claim_id) c WHERE a.claim_id IS NOT NULL""")
+
+
+@register("sql_prior_auths_of_member", with_views("members", "prior_authorizations") + """
+SELECT m.member_id, p.prior_auth_id, p.is_approved, p.drug
+FROM members m JOIN prior_authorizations p ON p.member_id = m.member_id WHERE m.plan_type = 'Medicare Advantage'""")
+def q_sql_prior_auths_of_member(spark, sf_dir):
+    """The authorizations of every Medicare Advantage member, by the SQL function."""
+    _functions(spark, sf_dir)
+    return spark.sql("""SELECT m.member_id, p.prior_auth_id, p.is_approved, p.drug
+        FROM members m, LATERAL prior_auths_of_member(m.member_id) p WHERE m.plan_type = 'Medicare Advantage'""")

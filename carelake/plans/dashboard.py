@@ -159,7 +159,7 @@ FROM abs"""
 @register("result_records", _REC_ABS)
 def q_result_records(spark, sf_dir):
     return D.result_records(D.appeals_by_status(Domain.of(spark, sf_dir).appeals, ordered=False),
-                            D.summary_order("appeals_by_status"))
+                            D.summary_order("appeals_by_status"), bounded=True)  # one row per status
 
 
 def _summary_builders(spark, sf_dir):

@@ -17,7 +17,7 @@ _TASK_ROWS = ", ".join(
     f"({lit(s['name'])}, {lit(s['kind'])}, {g}, {lit(text)})"
     for s in E.SCORERS for g, text in enumerate(s["rubric"]))
 _TR = f"""WITH tr AS (
-  SELECT a.conv_id * 100 + a.turn AS trace_id, a.conv_id, a.turn, COALESCE(p.text, '') AS inputs,
+  SELECT a.conv_id || ':' || a.turn AS trace_id, a.conv_id, a.turn, COALESCE(p.text, '') AS inputs,
          a.text AS outputs
   FROM conversations a LEFT JOIN conversations p ON p.conv_id = a.conv_id AND p.turn = a.turn - 1
   WHERE a.role = 'assistant'),
@@ -47,17 +47,7 @@ def _tasks(spark, sf_dir):
 
 
 def _feedback(spark, sf_dir):
-    return E.score(_tasks(spark, sf_dir))
-
-
-@register("scorer_registry", _TR + """
-SELECT scorer, kind, CAST(COUNT(DISTINCT guideline_no) AS INTEGER) AS rubric_items, COUNT(*) AS tasks
-FROM tasks GROUP BY scorer, kind""")
-def q_scorer_registry(spark, sf_dir):
-    """The five scorers with their rubric size and the tasks they get."""
-    reg = E.scorer_registry(spark).select("scorer", "kind", F.size("rubric").alias("rubric_items"))
-    n = _tasks(spark, sf_dir).groupBy("scorer").agg(F.count(F.lit(1)).alias("tasks"))
-    return reg.join(F.broadcast(n), "scorer")  # both sides are one row per scorer (five)
+    return E.score_traces(E.traces(spark, sf_dir))
 
 
 @register("sample_traces", _TR + "SELECT DISTINCT scorer, trace_id FROM tasks")

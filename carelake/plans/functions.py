@@ -7,7 +7,7 @@ from ..functions import scalars as X
 from ..sources.builds import bronze_text, build_claims
 from ..sources.domain import Domain
 from ..sources.tables import load
-from .oracle_views import AS_OF, with_views
+from .oracle_views import with_views
 from .registry import register
 
 
@@ -23,21 +23,6 @@ def q_format_id(spark, sf_dir):
                     X.format_id("PA", 2, "o_orderkey").alias("short_id"))
 
 
-@register("fixed_digits", with_views("providers", "prior_authorizations") + """
-SELECT provider_id AS id, npi AS digits FROM providers
-UNION ALL SELECT prior_auth_id, authorization_number FROM prior_authorizations""")
-def q_fixed_digits(spark, sf_dir):
-    d = Domain.of(spark, sf_dir)
-    return (d.providers.select(F.col("provider_id").alias("id"), F.col("npi").alias("digits"))
-            .unionByName(d.prior_authorizations.select(F.col("prior_auth_id").alias("id"),
-                                                       F.col("authorization_number").alias("digits"))))
-
-
-@register("pattern_digits", with_views("providers") + "SELECT provider_id, tax_id FROM providers")
-def q_pattern_digits(spark, sf_dir):
-    return Domain.of(spark, sf_dir).providers.select("provider_id", "tax_id")
-
-
 @register("concat_name", with_views("providers") + "SELECT provider_id, provider_name FROM providers")
 def q_concat_name(spark, sf_dir):
     return Domain.of(spark, sf_dir).providers.select("provider_id", "provider_name")
@@ -67,31 +52,6 @@ def q_date_shift(spark, sf_dir):
                     X.date_shift("submitted_date", F.lit(-7)).alias("week_before"), "processed_date")
 
 
-@register("date_in_range", with_views("members") + f"""
-SELECT member_id, created_at,
-       created_at BETWEEN CAST({AS_OF} - 1095 AS DATE) AND CAST({AS_OF} - 365 AS DATE) AS in_range
-FROM members""")
-def q_date_in_range(spark, sf_dir):
-    d = Domain.of(spark, sf_dir)
-    m = d.members
-    return m.select("member_id", "created_at",
-                    F.col("created_at").between(F.date_sub(d.as_of, 1095), F.date_sub(d.as_of, 365))
-                    .alias("in_range"))
-
-
-@register("dob_for_age", with_views("members") + f"""
-SELECT member_id, date_of_birth,
-       date_of_birth <= CAST({AS_OF} - INTERVAL 65 YEAR AS DATE)
-         AND date_of_birth > CAST({AS_OF} - INTERVAL 96 YEAR AS DATE) AS age_65_to_95
-FROM members""")
-def q_dob_for_age(spark, sf_dir):
-    d = Domain.of(spark, sf_dir)
-    dob = F.col("date_of_birth")
-    return d.members.select("member_id", "date_of_birth",
-                            ((dob <= F.add_months(d.as_of, -12 * 65)) & (dob > F.add_months(d.as_of, -12 * 96)))
-                            .alias("age_65_to_95"))
-
-
 @register("amount_chain", with_views("claims") + """
 SELECT claim_id, status, billed_cents, allowed_cents, paid_cents,
        allowed_cents <= billed_cents AND paid_cents <= allowed_cents AS chain_ok
@@ -116,8 +76,8 @@ def _bronze_claims(spark, sf_dir):
 
 @register("round_money", _BRONZE_CLAIMS + """
 SELECT status, COUNT(*) AS count,
-       ROUND(SUM(TRY_CAST(billed_amount AS DOUBLE)), 2) AS total_billed,
-       ROUND(SUM(TRY_CAST(paid_amount AS DOUBLE)), 2) AS total_paid
+       CAST(SUM(TRY_CAST(billed_amount AS DECIMAL(28,2))) AS DOUBLE) AS total_billed,
+       CAST(SUM(TRY_CAST(paid_amount AS DECIMAL(28,2))) AS DOUBLE) AS total_paid
 FROM bronze_claims GROUP BY status""")
 def q_round_money(spark, sf_dir):
     """The text-table form of the claims summary: ROUND(SUM(CAST(x AS DOUBLE)), 2)."""
@@ -169,31 +129,6 @@ def q_format_thousands(spark, sf_dir):
 
 
 # ------------------------------------------------------------ keyed columns
-@register("seeded_choice", with_views("claims") + "SELECT claim_id, service_type, cpt_code, hcpcs_code FROM claims")
-def q_seeded_choice(spark, sf_dir):
-    return Domain.of(spark, sf_dir).claims.select("claim_id", "service_type", "cpt_code", "hcpcs_code")
-
-
-@register("weighted_choice", with_views("claims") + "SELECT status, COUNT(*) AS claims FROM claims GROUP BY status")
-def q_weighted_choice(spark, sf_dir):
-    return Domain.of(spark, sf_dir).claims.groupBy("status").agg(F.count(F.lit(1)).alias("claims"))
-
-
-@register("seeded_flag", with_views("prior_authorizations") + """
-SELECT prior_auth_id, is_approved, was_member_active FROM prior_authorizations""")
-def q_seeded_flag(spark, sf_dir):
-    return Domain.of(spark, sf_dir).prior_authorizations.select("prior_auth_id", "is_approved", "was_member_active")
-
-
-@register("sample_k", with_views("claims") + "SELECT claim_id, secondary_diagnosis_codes FROM claims")
-def q_sample_k(spark, sf_dir):
-    return Domain.of(spark, sf_dir).claims.select("claim_id", "secondary_diagnosis_codes")
-
-
-@register("fk_choice", with_views("claims") + "SELECT claim_id, member_id, provider_id, prior_auth_id FROM claims")
-def q_fk_choice(spark, sf_dir):
-    return Domain.of(spark, sf_dir).claims.select("claim_id", "member_id", "provider_id", "prior_auth_id")
-
 
 @register("null_unless", with_views("claims") + """
 SELECT claim_id, status, denial_reason, denial_code, denial_category, ndc_code, drug FROM claims""")
@@ -202,8 +137,3 @@ def q_null_unless(spark, sf_dir):
                                                "denial_category", "ndc_code", "drug")
 
 
-@register("seeded_int", with_views("claims") + """
-SELECT claim_id, CAST(datediff('day', submitted_date, processed_date) AS INTEGER) AS processing_days FROM claims""")
-def q_seeded_int(spark, sf_dir):
-    c = Domain.of(spark, sf_dir).claims
-    return c.select("claim_id", F.datediff("processed_date", "submitted_date").alias("processing_days"))

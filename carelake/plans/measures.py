@@ -44,6 +44,25 @@ def q_metric_overturn_rates(spark, sf_dir):
     return M.overturn_rates(Domain.of(spark, sf_dir).appeals)
 
 
+@register("metric_overturn_rates_by_type", with_views("appeals") + f"""
+SELECT appeal_type, appeal_source, COUNT(*) AS appeals, COUNT(CASE WHEN is_overturned THEN 1 END) AS overturned,
+       COUNT(CASE WHEN starts_with(appeal_status, 'Resolved') THEN 1 END) AS decided,
+       {_PCT.format(n="COUNT(CASE WHEN is_overturned THEN 1 END)", d="COUNT(*)")} AS overturn_rate_pct,
+       {_PCT.format(n="COUNT(CASE WHEN is_overturned THEN 1 END)",
+                    d="COUNT(CASE WHEN starts_with(appeal_status, 'Resolved') THEN 1 END)")} AS overturn_rate_decided_pct
+FROM appeals GROUP BY appeal_type, appeal_source""")
+def q_metric_overturn_rates_by_type(spark, sf_dir):
+    return M.overturn_rates(Domain.of(spark, sf_dir).appeals, "appeal_type", "appeal_source")
+
+
+@register("metric_appeals_by_month", with_views("appeals") + """
+SELECT CAST(date_trunc('month', appeal_date) AS DATE) AS appeal_month, appeal_status, COUNT(*) AS appeals,
+       COUNT(CASE WHEN is_overturned THEN 1 END) AS overturned
+FROM appeals GROUP BY ALL""")
+def q_metric_appeals_by_month(spark, sf_dir):
+    return M.metric_view(Domain.of(spark, sf_dir).appeals, ["appeal_month", "appeal_status"], ["appeals", "overturned"])
+
+
 _GLP1 = "(" + ", ".join(lit(x) for x in C.GLP1_DRUGS) + ")"
 
 

@@ -153,7 +153,7 @@ SELECT {k} AS pa_key,
        {flag(k, 313, C.MEMBER_ACTIVE_PCT)} AS was_member_active,
        {req} AS created_at,
        CASE WHEN {svc} = 'Pharmacy' THEN {choice(k, 61, C.ALL_DRUGS)} END AS drug
-FROM orders WHERE o_orderkey % 3 = 0"""
+FROM orders"""
 
 
 def claims_sql() -> str:
@@ -170,7 +170,7 @@ SELECT {k} AS claim_key,
        printf('CLM-%06d', {k}) AS claim_id,
        printf('MBR-%05d', o_custkey) AS member_id,
        printf('PRV-%04d', ({k} * 7) % {NSUPP}) AS provider_id,
-       CASE WHEN {flag(k, 103, C.CLAIM_HAS_PA_PCT)} THEN printf('PA-%05d', {k} - {k} % 3) END AS prior_auth_id,
+       CASE WHEN {flag(k, 103, C.CLAIM_HAS_PA_PCT)} THEN printf('PA-%05d', {k}) END AS prior_auth_id,
        {svc} AS service_type,
        concat_ws(' ', {svc}, 'service, CPT', CAST({cpt} AS VARCHAR)) AS service_description,
        {cpt} AS cpt_code,
@@ -209,7 +209,9 @@ SELECT {k} AS appeal_key,
        {a_src} AS appeal_source,
        member_id,
        provider_id,
-       CASE WHEN {flag(k, 137, C.APPEAL_HAS_PA_PCT)} THEN prior_auth_id END AS prior_auth_id,
+       CASE WHEN {flag(k, 137, C.APPEAL_HAS_PA_PCT)}
+             AND prior_auth_id IN (SELECT prior_auth_id FROM prior_authorizations WHERE NOT is_approved)
+            THEN prior_auth_id END AS prior_auth_id,
        CASE WHEN {flag(k, 139, C.APPEAL_HAS_CLAIM_PCT)} THEN claim_id END AS claim_id,
        {reason} AS original_denial_reason,
        {adate} AS appeal_date,
@@ -228,7 +230,7 @@ VIEWS = {
     "eligibility": (eligibility_sql, ()),
     "prior_authorizations": (prior_authorizations_sql, ()),
     "claims": (claims_sql, ()),
-    "appeals": (appeals_sql, ("claims",)),
+    "appeals": (appeals_sql, ("claims", "prior_authorizations")),
 }
 
 

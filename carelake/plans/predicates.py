@@ -35,10 +35,11 @@ FROM appeals""")
 def q_bool_text_predicate(spark, sf_dir):
     """``x = 'true'`` over the typed table and over its all-text copy."""
     typed = build_appeals(Domain.of(spark, sf_dir))
-    # the text copy of a row is a projection of the same row: no join needed
-    text_col = bronze_text(typed.select("is_overturned")).columns[0]
-    return typed.select("appeal_id", D._is_true(F.col("is_overturned")).alias("via_boolean"),
-                        D._is_true(F.col(text_col).cast("string")).alias("via_text"))
+    text = bronze_text(typed.select("is_overturned"))
+    # both copies of a row side by side: the text columns are expressions of the same row, so no join is needed
+    both = typed.select("appeal_id", "is_overturned", *[F.col(c).cast("string").alias(f"{c}_text") for c in text.columns])
+    return both.select("appeal_id", D._is_true(F.col("is_overturned")).alias("via_boolean"),
+                       D._is_true(F.col("is_overturned_text")).alias("via_text"))
 
 
 @register("case_without_else", with_views("members") + """

@@ -10,9 +10,9 @@ from .oracle_views import mix, pick
 from .registry import register
 
 RID = "request_id"
-_TOOL = pick(mix("request_id", 41, len(S.TOOL_NAMES)), S.TOOL_NAMES)
+_TOOL = pick(mix("seed", 41, len(S.TOOL_NAMES)), S.TOOL_NAMES)
 _T = f"""WITH t AS (
-  SELECT conv_id * 100 + turn AS request_id, conv_id, turn, text,
+  SELECT conv_id || ':' || turn AS request_id, conv_id * 100 + turn AS seed, conv_id, turn, text,
          {mix('conv_id * 100 + turn', 37, S.N_SHAPES)} AS shape
   FROM conversations WHERE role = 'assistant')
 """
@@ -70,13 +70,13 @@ def q_fallback_text(spark, sf_dir):
 
 _STEPS = f"""
 SELECT request_id, 0 AS pos, 'tool_call' AS step_type, {_TOOL} AS name,
-       '{{"request":' || request_id || '}}' AS arguments, NULL AS output, NULL AS content FROM t WHERE shape = 1
+       '{{"request":"' || request_id || '"}}' AS arguments, NULL AS output, NULL AS content FROM t WHERE shape = 1
 UNION ALL SELECT request_id, 1, 'tool_result', {_TOOL}, NULL, '{{"rows":1}}', NULL FROM t WHERE shape = 1
 UNION ALL SELECT request_id, 0, 'thinking', NULL, NULL, NULL, 'thinking' FROM t WHERE shape = 2
 UNION ALL SELECT request_id, 0, 'thinking', NULL, NULL, NULL, text FROM t WHERE shape = 4"""
 
 
-@register("extract_steps", _T + "SELECT CAST(request_id AS BIGINT) AS request_id, CAST(pos AS INTEGER) AS pos, "
+@register("extract_steps", _T + "SELECT request_id, CAST(pos AS INTEGER) AS pos, "
           "step_type, name, arguments, output, content FROM (" + _STEPS + ")")
 def q_extract_steps(spark, sf_dir):
     return R.extract_steps(_resp(spark, sf_dir), [RID])
@@ -106,12 +106,12 @@ def q_approval_responses(spark, sf_dir):
 
 
 # ------------------------------------------------------------ multi-round
-_NAPPR = mix("request_id", 43, 20)
-_ERR = f"({mix('request_id', 59, S.ERROR_ONE_IN)} = 0)"
+_NAPPR = mix("seed", 43, 20)
+_ERR = f"({mix('seed', 59, S.ERROR_ONE_IN)} = 0)"
 _ROUNDS_T = _T.rstrip().rstrip(")") + f"""),
 r AS (
-  SELECT request_id, conv_id, turn, text, {_ERR} AS err, {mix('request_id', 61, 2)} AS err_kind,
-         {mix('request_id', 37, S.FINAL_SHAPES)} AS fshape,
+  SELECT request_id, seed, conv_id, turn, text, {_ERR} AS err, {mix('seed', 61, 2)} AS err_kind,
+         {mix('seed', 37, S.FINAL_SHAPES)} AS fshape,
          CASE WHEN {_NAPPR} >= 18 THEN 10 WHEN {_NAPPR} >= 14 THEN {_NAPPR} - 13 ELSE 0 END AS n_appr
   FROM t)
 """
@@ -122,7 +122,7 @@ FROM r, range(n_appr) g(r) WHERE NOT err
 UNION ALL
 SELECT request_id, 2 * g.r + 2, g.r, 'tool_call', 'partd', '{{}}', NULL, NULL FROM r, range(n_appr) g(r) WHERE NOT err
 UNION ALL
-SELECT request_id, 2 * n_appr + 1, n_appr, 'tool_call', {_TOOL}, '{{"request":' || request_id || '}}', NULL, NULL
+SELECT request_id, 2 * n_appr + 1, n_appr, 'tool_call', {_TOOL}, '{{"request":"' || request_id || '"}}', NULL, NULL
 FROM r WHERE NOT err AND n_appr < 10 AND fshape = 1
 UNION ALL
 SELECT request_id, 2 * n_appr + 2, n_appr, 'tool_result', {_TOOL}, NULL, '{{"rows":1}}', NULL
@@ -136,7 +136,7 @@ def _rounds(spark, sf_dir):
     return S.agent_rounds(spark, sf_dir, C.MAX_APPROVAL_ROUNDS)
 
 
-@register("merged_steps", _ROUNDS_T + "SELECT CAST(request_id AS BIGINT) AS request_id, CAST(step_no AS BIGINT) "
+@register("merged_steps", _ROUNDS_T + "SELECT request_id, CAST(step_no AS BIGINT) "
           "AS step_no, CAST(round_no AS INTEGER) AS round_no, step_type, name, arguments, output, content FROM ("
           + _MERGED + ")")
 def q_merged_steps(spark, sf_dir):
@@ -157,15 +157,19 @@ def q_tool_use_summary(spark, sf_dir):
 
 @register("chain_rounds", _ROUNDS_T + f"""
 SELECT request_id, CAST(g.r AS INTEGER) AS round_no, CAST(3 * g.r AS BIGINT) AS seq, 'function_call' AS item_type,
-       {_TOOL} AS item_ref
+       {_TOOL} AS item_ref,
+       '{{"arguments":"{{\\"round\\":' || g.r || '}}","name":"' || {_TOOL} || '","type":"function_call"}}' AS item
 FROM r, range(n_appr) g(r) WHERE NOT err
 UNION ALL
 SELECT request_id, CAST(g.r AS INTEGER), CAST(3 * g.r + 1 AS BIGINT), 'mcp_approval_request',
-       'apr-' || request_id || '-' || g.r
+       'apr-' || request_id || '-' || g.r,
+       '{{"arguments":"{{}}","id":"apr-' || request_id || '-' || g.r || '","name":"partd","type":"mcp_approval_request"}}'
 FROM r, range(n_appr) g(r) WHERE NOT err
 UNION ALL
 SELECT request_id, CAST(g.r AS INTEGER), CAST(3 * g.r + 2 AS BIGINT), 'mcp_approval_response',
-       'auto_approve_apr-' || request_id || '-' || g.r
+       'auto_approve_apr-' || request_id || '-' || g.r,
+       '{{"approval_request_id":"apr-' || request_id || '-' || g.r || '","approve":true,"id":"auto_approve_apr-'
+         || request_id || '-' || g.r || '","type":"mcp_approval_response"}}'
 FROM r, range(n_appr) g(r) WHERE NOT err""")
 def q_chain_rounds(spark, sf_dir):
     return R.chain_rounds(_rounds(spark, sf_dir))
@@ -189,7 +193,7 @@ FROM r WHERE err""")
 def q_error_message(spark, sf_dir):
     rr = _rounds(spark, sf_dir)
     return (rr.where(F.col("status") != 200)
-            .select(RID, "status", R.error_message(R.parsed(F.col("body"))).alias("error_message")))
+            .select(RID, "status", R.error_message(R.parsed(F.col("body")), F.col("body")).alias("error_message")))
 
 
 @register("history_build", f"""
@@ -205,20 +209,33 @@ def q_history_build(spark, sf_dir):
     assistant turn and the user turn that asked)."""
     from ..sources.tables import load
     conv = load(spark, sf_dir, "conversations")
-    rid = F.col("conv_id") * 100 + F.col("turn")
-    failed = conv.where((F.col("role") == "assistant") & S.is_error_request(rid)).select("conv_id", "turn")
+    failed = conv.where((F.col("role") == "assistant") & S.is_error_request(S.seed())).select("conv_id", "turn")
     return R.history(conv, failed)
 
 
 @register("assign_conversation_id", """
-SELECT conv_id, turn, COALESCE(printf('conv-%08d', conv_id), 'conv-' || substr(sha256(turn || '|' || text), 1, 16))
-       AS conversation_id
+SELECT conv_id, turn, CASE WHEN conv_id IS NOT NULL THEN printf('conv-%08d', conv_id)
+       ELSE 'conv-' || substr(sha256('["' || coalesce(CAST(turn AS VARCHAR), '') || '"]'), 1, 16) END AS conversation_id
 FROM conversations""")
 def q_assign_conversation_id(spark, sf_dir):
     """Given id, else a key-derived one (a rerun gives the same id; no uuid())."""
     from ..sources.tables import load
     conv = load(spark, sf_dir, "conversations")
-    derived = F.concat(F.lit("conv-"), F.substring(F.sha2(F.concat_ws("|", F.col("turn").cast("string"),
-                                                                      F.col("text")), 256), 1, 16))
-    return conv.select("conv_id", "turn", F.coalesce(F.format_string("conv-%08d", F.col("conv_id")), derived)
-                       .alias("conversation_id"))
+    return R.assign_conversation_id(conv, ["turn"]).select("conv_id", "turn", "conversation_id")
+
+
+_ANSWER_STEPS = """m AS (""" + _MERGED + """),
+ms AS (SELECT request_id, string_agg(step_type || ': ' || coalesce(name, content, ''), ' | ' ORDER BY step_no) AS steps
+       FROM m GROUP BY request_id)"""
+# a request that hits the round limit ends with a body that still asks: no message in it, so its JSON text
+_ASKING = f"""'[{{"arguments":"{{\\"round\\":9}}","name":"' || {_TOOL} || '","type":"function_call"}},'
+  || '{{"arguments":"{{}}","id":"apr-' || r.request_id || '-9","name":"partd","type":"mcp_approval_request"}}]'"""
+
+
+@register("chat_answers", _ROUNDS_T.rstrip() + ", " + _ANSWER_STEPS + f"""
+SELECT r.request_id, r.conv_id, r.turn, CASE WHEN n_appr < 10 THEN text ELSE {_ASKING} END AS message,
+       coalesce(ms.steps, '') AS steps
+FROM r LEFT JOIN ms ON r.request_id = ms.request_id WHERE NOT err""")
+def q_chat_answers(spark, sf_dir):
+    """The final answer of every request that did not fail, with its steps."""
+    return R.chat_answers(_rounds(spark, sf_dir))

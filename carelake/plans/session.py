@@ -6,6 +6,7 @@ caller's session is used as is; ``configure`` only fills in what is unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -64,8 +65,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we choose a scratch folder of our own and set it on the
+    A cluster names it in ``spark.checkpoint.dir``; unset is an error there.
+    Only a ``local`` master (tests) gets a scratch folder of our own, set on the
     SparkContext (the setting itself cannot change at run time)."""
     try:
         sc = spark.sparkContext
@@ -73,6 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        master = sc.master if sc else ""
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = _LOCAL_CKPT.get(id(spark))
         if d is None:
             d = _LOCAL_CKPT[id(spark)] = tempfile.mkdtemp(prefix="carelake-ckpt-", dir="/tmp")

@@ -5,6 +5,7 @@ from ..sources import builds as B
 from ..sources import schemas as S
 from ..sources import sinks
 from ..sources.domain import DOMAIN_TABLES, Domain
+from ..sources.materialize import written
 from ..sources.tables import scan_table
 from .oracle_views import with_views
 from .registry import register
@@ -101,3 +102,25 @@ def q_create_namespace(spark, sf_dir):
     d = Domain.of(spark, sf_dir)
     return sinks.save_table(sinks.row_count_report({t: d.table(t) for t in DOMAIN_TABLES}),
                             f"{ns}.row_counts")
+
+
+# ------------------------------------------------- queries over written tables
+@register("written_denied_claims", with_views("claims") + """
+SELECT service_type, COUNT(*) AS denied, CAST(SUM(billed_cents) AS BIGINT) AS billed_cents
+FROM claims WHERE status = 'Denied' AND submitted_date BETWEEN DATE '1995-03-10' AND DATE '1995-06-20'
+GROUP BY service_type""")
+def q_written_denied_claims(spark, sf_dir):
+    """Denied claims of a date range, from the written table: only the folders
+    of its months are read."""
+    from pyspark.sql import functions as F
+    c = written(spark, sf_dir).between("claims", "1995-03-10", "1995-06-20").where("status = 'Denied'")
+    return c.groupBy("service_type").agg(F.count(F.lit(1)).alias("denied"), F.sum("billed_cents").alias("billed_cents"))
+
+
+@register("written_appeals_by_status", with_views("appeals") + """
+SELECT appeal_status, COUNT(*) AS count, COUNT(CASE WHEN is_overturned THEN 1 END) AS overturned
+FROM appeals GROUP BY appeal_status""")
+def q_written_appeals_by_status(spark, sf_dir):
+    """The dashboard's appeals by status, from the written table."""
+    from ..operators.dashboard import appeals_by_status
+    return appeals_by_status(written(spark, sf_dir).appeals)

@@ -66,14 +66,17 @@ BUILDERS = {
 }
 
 
-def bronze_text(df: DataFrame) -> DataFrame:
-    """All-text copy: every column ``CAST(x AS STRING)`` (booleans become
-    ``'true'``/``'false'``, dates ISO).  DOUBLE money is written with two
-    decimals (``DECIMAL(38,2)`` text) rather than Spark's exponent form."""
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if f.dataType.typeName() == "double":
-            c = c.cast("decimal(38,2)")
-        cols.append(c.cast("string").alias(f.name))
-    return df.select(*cols)
+#: Columns that hold money: written with two decimals.
+MONEY = ("billed_amount", "allowed_amount", "paid_amount", "total_billed", "total_paid")
+
+
+def as_text(df: DataFrame, money: tuple[str, ...] = MONEY) -> list:
+    """Every column as text (booleans ``'true'``/``'false'``, dates ISO): DOUBLE
+    columns named in ``money`` with two decimals, all others in full."""
+    return [(F.col(f.name).cast("decimal(38,2)") if f.name in money and f.dataType.typeName() == "double"
+             else F.col(f.name)).cast("string").alias(f.name) for f in df.schema.fields]
+
+
+def bronze_text(df: DataFrame, money: tuple[str, ...] = MONEY) -> DataFrame:
+    """All-text copy of ``df`` (see ``as_text``)."""
+    return df.select(*as_text(df, money))

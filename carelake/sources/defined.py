@@ -1,22 +1,25 @@
-"""Table definitions built once per session, like registered views.
+"""Table definitions built once per listing of the input, like registered views.
 
 A definition is a logical plan; building one costs JVM round trips
 (thousands for the wide derived tables).  ``defined_once`` keeps the built
-DataFrame per (session, folder, arguments); every query still executes it
-over the current data.  ``reset`` forgets them (e.g. after new input files:
-a definition keeps the file listing it was built with)."""
+DataFrame per (session, folder, arguments) as long as the folder holds the
+same files: a definition keeps the file listing that it was built with, so
+when files are added, replaced or removed it is built anew."""
 from __future__ import annotations
 
+from .tables import listing
+
 _DEFINED: dict = {}
 
 
 def defined_once(fn):
     def wrapper(spark, sf_dir: str, *args):
         key = (fn.__module__, fn.__name__, id(spark), sf_dir.rstrip("/"), args)
+        now = listing(spark, sf_dir)
         hit = _DEFINED.get(key)
-        if hit is None or hit[0] is not spark:
-            hit = _DEFINED[key] = (spark, fn(spark, sf_dir, *args))
-        return hit[1]
+        if hit is None or hit[0] is not spark or now is None or hit[1] != now:
+            hit = _DEFINED[key] = (spark, now, fn(spark, sf_dir, *args))
+        return hit[2]
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     wrapper.__wrapped__ = fn

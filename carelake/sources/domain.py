@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..functions.keyed import mix, pick, sample_k, seeded_choice, seeded_flag, weighted_choice
 from ..functions.scalars import date_shift, dob_for_age, fixed_digits, format_id, pattern_digits
-from .tables import load
+from .tables import listing, load
 
 
 def _div100(c: Column) -> Column:
@@ -36,28 +36,35 @@ def _div100(c: Column) -> Column:
     return ((c - c % F.lit(100)) / F.lit(100)).cast("bigint")
 
 
+def pa_approved(key: Column) -> Column:
+    """The decision on the prior authorization with this key."""
+    return seeded_flag(key, 79, C.PA_APPROVED_PCT)
+
+
 class Domain:
     """Lazily built domain tables over one scale-factor directory.
 
-    ``Domain.of`` returns one instance per (session, directory, as-of date):
-    the table definitions are logical plans, built once per session like
-    view definitions (building them costs a few thousand JVM calls) and
-    executed afresh by every query that uses them."""
+    ``Domain.of`` returns one instance per (session, directory, as-of date) as
+    long as the directory holds the same files: the table definitions are
+    logical plans, built like view definitions (a few thousand JVM calls) and
+    executed afresh by every query; new, replaced or removed files make new
+    ones."""
 
     _instances: dict = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, as_of: str = C.DEFAULT_AS_OF) -> "Domain":
         key = (id(spark), sf_dir.rstrip("/"), as_of)
+        now = listing(spark, sf_dir)
         d = cls._instances.get(key)
-        if d is None or d.spark is not spark:
+        if d is None or d.spark is not spark or now is None or d.listed != now:
             d = cls._instances[key] = cls(spark, sf_dir, as_of)
+            d.listed = now
         return d
 
     @classmethod
     def reset(cls) -> None:
-        """Forget the built definitions (e.g. after new files land in a
-        folder: a definition keeps the file listing it was built with)."""
+        """Forget the built definitions."""
         cls._instances.clear()
         from .defined import reset
         reset()
@@ -154,7 +161,6 @@ class Domain:
         k = F.col("o_orderkey")
         svc = seeded_choice(k, 73, C.SERVICE_TYPES)
         stage1 = (self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-                  .where(F.col("o_orderkey") % 3 == 0)
                   .select(
                       k.alias("pa_key"),
                       format_id("PA", 5, k).alias("prior_auth_id"),
@@ -167,7 +173,7 @@ class Domain:
                       seeded_choice(k, 271, C.ICD10_CODES).alias("primary_diagnosis_code"),
                       sample_k(k, 277, 281, 283, C.ICD10_CODES).alias("secondary_diagnosis_codes"),
                       F.col("o_orderdate").cast("date").alias("request_date"),
-                      seeded_flag(k, 79, C.PA_APPROVED_PCT).alias("is_approved"),
+                      pa_approved(k).alias("is_approved"),
                       fixed_digits(k, 7933, 8).alias("auth_digits"),
                       seeded_choice(k, 67, C.DENIAL_REASONS).alias("_reason"),
                       seeded_choice(k, 307, C.DENIAL_CODES).alias("_code"),
@@ -211,7 +217,7 @@ class Domain:
                       format_id("MBR", 5, F.col("o_custkey")).alias("member_id"),
                       ((k * F.lit(7)) % self.provider_count()).alias("_prov_ix"),
                       F.when(seeded_flag(k, 103, C.CLAIM_HAS_PA_PCT),
-                             format_id("PA", 5, k - k % F.lit(3))).alias("prior_auth_id"),
+                             format_id("PA", 5, k)).alias("prior_auth_id"),
                       svc.alias("service_type"),
                       pick(mix(k, 317, len(C.CPT_CODES)), C.CPT_CODES).cast("bigint").alias("cpt_code"),
                       seeded_choice(k, 331, C.HCPCS_CODES).alias("hcpcs_code"),
@@ -273,7 +279,9 @@ class Domain:
                     a_src.alias("appeal_source"),
                     "member_id",
                     "provider_id",
-                    F.when(seeded_flag(k, 137, C.APPEAL_HAS_PA_PCT), F.col("prior_auth_id")).alias("prior_auth_id"),
+                    # only a denied authorization is appealed; its decision is a function of its key
+                    F.when(seeded_flag(k, 137, C.APPEAL_HAS_PA_PCT) & ~pa_approved(k), F.col("prior_auth_id"))
+                     .alias("prior_auth_id"),
                     F.when(seeded_flag(k, 139, C.APPEAL_HAS_CLAIM_PCT), F.col("claim_id")).alias("claim_id"),
                     reason.alias("original_denial_reason"),
                     appeal_date.alias("appeal_date"),

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .domain import DOMAIN_TABLES, Domain
 from .sinks import table_root
+from .tables import is_folder, listing
 
 LAYOUT = {
     # table: (date column, key column, partition column)
@@ -40,7 +41,7 @@ def materialize(domain: Domain, root: str | None = None, num_partitions: int | N
         w = df
         if name in LAYOUT:
             date_col, key_col, part_col = LAYOUT[name]
-            w = (df.withColumn(part_col, F.date_format(date_col, "yyyy-MM"))
+            w = (df.withColumn(part_col, F.date_format(date_col, "yyyy-MM"))  # text: kept as text when read
                  .repartitionByRange(n, date_col, key_col)
                  .write.mode("overwrite").partitionBy(part_col))
         else:
@@ -59,8 +60,31 @@ class MaterializedDomain(Domain):
         for name in DOMAIN_TABLES:
             df = spark.read.parquet(f"{self.root}/{name}")
             if name in LAYOUT:
-                df = df.drop(LAYOUT[name][2])
-            self.__dict__[name] = df  # shadows the derived definitions
+                df = df.withColumn(LAYOUT[name][2], F.col(LAYOUT[name][2]).cast("string"))
+            self.__dict__[name] = df  # shadows the derived definitions; keeps the month column
 
     def table(self, name: str) -> DataFrame:
         return self.__dict__[name]
+
+    def between(self, name: str, first, last) -> DataFrame:
+        """Rows of a table with dates from ``first`` to ``last`` (dates): the
+        months are named as well, so only their folders are read."""
+        date_col, _, month = LAYOUT[name]
+        return self.table(name).where(
+            F.col(date_col).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+            & F.col(month).between(F.date_format(F.lit(first).cast("date"), "yyyy-MM"),
+                                   F.date_format(F.lit(last).cast("date"), "yyyy-MM")))
+
+
+def written(spark: SparkSession, sf_dir: str) -> MaterializedDomain:
+    """The written copy of the tables of ``sf_dir``: made once per listing of
+    the input, under the shared folder, and read by every later query."""
+    import hashlib
+    listed = listing(spark, sf_dir)
+    d = Domain.of(spark, sf_dir)
+    tag = hashlib.sha1(repr((sf_dir.rstrip("/"), listed, d.as_of_text)).encode()).hexdigest()[:16]
+    root = f"{table_root(spark)}/written-{tag}"
+    if not is_folder(spark, f"{root}/_done"):  # written last, so a broken write is made again
+        materialize(d, root)
+        spark.range(1).write.mode("overwrite").parquet(f"{root}/_done")
+    return MaterializedDomain(spark, root)

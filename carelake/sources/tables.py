@@ -20,3 +20,35 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scan_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
     df = load(spark, sf_dir, name)
     return df.select(*columns) if columns else df
+
+
+def _path(spark: SparkSession, path: str):
+    """(file system, Hadoop path); None where the session has no JVM of its own."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder (of part files)."""
+    found = _path(spark, path)
+    return bool(found) and found[0].exists(found[1]) and found[0].getFileStatus(found[1]).isDirectory()
+
+
+def listing(spark: SparkSession, sf_dir: str, names=("region", "nation", "customer", "supplier", "orders",
+                                                     "conversations")) -> tuple | None:
+    """What the folder holds now: per table the bytes, the files and the time of
+    the last change.  Definitions kept from an earlier listing are not used
+    again when it differs.  None (never equal, nothing kept) without a JVM."""
+    out = []
+    for name in names:
+        found = _path(spark, table_path(sf_dir, name))
+        if not found:
+            return None
+        fs, path = found
+        if fs.exists(path):
+            total = fs.getContentSummary(path)
+            out.append((name, total.getLength(), total.getFileCount(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)

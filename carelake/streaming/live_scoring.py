@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import JUDGE_SAMPLE_RATE
 from ..operators import evaluation as E
+from ..sources.tables import is_folder
 
 
 def start_live_scoring(spark: SparkSession, source_dir: str, history: DataFrame, sink_dir: str,
@@ -31,10 +32,13 @@ def start_live_scoring(spark: SparkSession, source_dir: str, history: DataFrame,
     arrival time bounds the de-duplication state, so it does not grow with
     the stream."""
     schema = history.schema  # arriving files carry conversation rows
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_name)
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.parquet(source_dir)
+    if is_folder(spark, f"{source_dir}/{file_name}"):  # a table of part files
+        rows = reader.parquet(f"{source_dir}/{file_name}")
+    else:
+        rows = reader.option("pathGlobFilter", file_name).parquet(source_dir)
     if replay_guard:
         rows = (rows.withColumn("_arrived", F.current_timestamp())
                 .withWatermark("_arrived", replay_guard)
@@ -45,7 +49,7 @@ def start_live_scoring(spark: SparkSession, source_dir: str, history: DataFrame,
         batch.persist()  # read by the in-batch join and the missing-turn check
         try:
             tr = E.traces_incremental(batch, history)
-            fb = E.score(E.expand_tasks(tr, rate), judge)
+            fb = E.score_traces(tr, judge, rate)
             fb.write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
         finally:
             batch.unpersist()

@@ -132,7 +132,8 @@ def test_sql_table_functions(spark):
     from carelake.sources.domain import Domain
     d = Domain(spark, "/root/testdata/sf0.001")
     made = L.register_sql_functions(spark, {t: d.table(t) for t in
-                                            ["members", "claims", "appeals", "prior_authorizations", "eligibility"]})
+                                            ["members", "claims", "appeals", "prior_authorizations", "eligibility",
+                                             "providers"]})
     assert "member_lookup" in made and "eligibility_lookup" in made
     got = spark.sql("SELECT m.member_id FROM (SELECT DISTINCT member_id FROM appeals WHERE is_overturned) k, "
                     "LATERAL member_lookup(k.member_id) m").count()
@@ -254,7 +255,7 @@ def test_metric_view_other_dimensions(spark):
     two = M.metric_view(a, ["appeal_status", "original_denial_reason"], ["appeals", "withdrawn", "pending"])
     w = two.where(F.col("appeal_status") == "Withdrawn").agg(F.sum("withdrawn"), F.sum("appeals")).collect()[0]
     assert w[0] == w[1]
-    rates = {r.appeal_type: r for r in M.overturn_rates(a, by="appeal_type").collect()}
+    rates = {r.appeal_type: r for r in M.overturn_rates(a, "appeal_type").collect()}
     for t, r in rates.items():
         sub = a.where(F.col("appeal_type") == t)
         assert r.appeals == sub.count() and r.overturned == sub.where("is_overturned").count()

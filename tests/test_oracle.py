@@ -2,12 +2,13 @@
 import pytest
 
 import __spark_entry__ as E
+from carelake.plans import registry
 from carelake.plans.compare import compare
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+registry.load_all()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 def test_every_query_has_an_oracle():
