@@ -213,17 +213,22 @@ def near_vectors(df: DataFrame, least: float = COSINE) -> DataFrame:
     slim = rows.select("vec_id", "k1", "k2")
     distinct = cut(rows.where("fine").groupBy("label", "k1", "k2").agg(
         F.first("v").alias("v"), F.count(F.lit(1)).alias("rows"), F.min("vec_id").alias("first")))
+    slim = slim.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
     blocks, links = vector_links(distinct, least)
     nodes = (blocks.select("block", F.posexplode(F.arrays_zip("k1", "k2")).alias("i", "k"))
-             .select((F.shiftleft("block", _SHIFT) + F.col("i")).alias("node"), "k.k1", "k.k2"))
+             .select((F.shiftleft("block", _SHIFT) + F.col("i")).alias("node"),
+                     F.col("k.k1").alias("n1"), F.col("k.k2").alias("n2")))
     comp = components(links.select(F.col("node").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "_n")
     nodes = nodes.join(comp, nodes.node == comp._n, "left").withColumn("component", F.coalesce("component", "node"))
     many = links.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = distinct.drop("v").join(nodes, ["k1", "k2"]).join(many, "node", "left")
-    first = classes.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = classes.join(first, "component").select(
-        "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"), "component_id")
-    out = slim.join(classes, ["k1", "k2"], "left")
+    known = distinct.select(*(F.col(c).alias(f"d_{c}") for c in ("k1", "k2", "rows", "first")))  # names of their own
+    classes = (known.join(nodes, (F.col("d_k1") == F.col("n1")) & (F.col("d_k2") == F.col("n2")))
+               .join(many.withColumnRenamed("node", "_m"), F.col("node") == F.col("_m"), "left"))
+    classes = cut(classes.select("d_k1", "d_k2", "d_first", "component",
+                                 (F.coalesce("links", F.lit(0)) + F.col("d_rows") - 1).alias("n_links")))
+    first = classes.groupBy(F.col("component").alias("_c")).agg(F.min("d_first").alias("component_id"))
+    classes = classes.join(first, F.col("component") == F.col("_c"))
+    out = slim.join(classes, (F.col("_k1") == F.col("d_k1")) & (F.col("_k2") == F.col("d_k2")), "left")
     own = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       own.alias("component_id"), F.col("vec_id").eqNullSafe(own).alias("kept"))
