@@ -18,7 +18,7 @@ Three steps, each over tables:
    and scores every document.
 
 Bounds: ``SAMPLE`` rows are taken, by the hash of their doc_id, for mining and
-for training; only sums over voters, the mined lexicon and the weights reach
+``TRAINED`` for training; only sums over voters, the mined lexicon and the weights reach
 the driver.  Rows of the held-out fold (crc32 of the id as text, modulo 5,
 equal 0) give neither labels nor training documents.
 
@@ -43,10 +43,10 @@ from pyspark.sql import types as T
 from .common import cut, prepare, table
 from .registry import register
 
-#: Rows of the labelled sample that is mined and of the sample trained on.
-SAMPLE = 10_000
+#: Rows of the labelled sample that is mined, and of the sample trained on.
+SAMPLE, TRAINED = 10_000, 5_000
 FOLDS = 5
-STEPS = 150
+STEPS = 100
 #: Common English insults.
 INSULTS = """clown creep disgusting dumb fool garbage idiot idiotic imbecile jerk loser losers lunatic moron
 moronic morons nasty pathetic pig pigs scum scumbag shut stupid sucks trash ugly vermin worthless""".split()
@@ -60,6 +60,8 @@ N_VOTERS = N_SEED + N_WORD + N_BEGIN + N_CLEAN + N_SHAPE
 ENTRIES, SUPPORT, SURE = 240, 4, 26
 ROUNDS = 6
 _words = re.compile(r"[^\W\d_]+").findall
+#: Weights are scored as integers, in units of 1 / SCALE.
+SCALE = 1 << 24
 #: Words a task remembers.
 REMEMBERED = 300_000
 
@@ -89,7 +91,9 @@ def mine(t: pa.Table) -> pa.Table:
     if 0 < y.sum() < len(y):
         lists = t["entries"].combine_chunks()
         flat, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
-        of = np.repeat(y, sizes)
+        # an entry counts once a document, however many of its words begin so
+        once = np.unique(np.repeat(np.arange(len(y)), sizes) * BUCKETS + flat)
+        flat, of = once % BUCKETS, y[once // BUCKETS]
         pos = np.bincount(flat[of == 1], minlength=BUCKETS)
         neg = np.bincount(flat[of == 0], minlength=BUCKETS)
         p, n = (pos + 0.1) / (y.sum() + 0.2), (neg + 0.1) / ((1 - y).sum() + 0.2)
@@ -112,29 +116,37 @@ def mine(t: pa.Table) -> pa.Table:
     return pa.table({"entry": pa.array(found.keys(), pa.int32()), "voter": pa.array(found.values(), pa.int32())})
 
 
-class Votes:
-    """Votes of documents as bit masks; remembers words, within a bound."""
+class Reader:
+    """Votes (a bit mask) and weight (an integer sum, so that no order of words
+    matters) of a text's distinct words; remembers words, within a bound."""
 
-    def __init__(self, lexicon: dict[int, int]):
-        self.lexicon, self.seed, self.known = lexicon, {w: i % N_SEED for i, w in enumerate(INSULTS)}, {}
+    def __init__(self, lexicon: dict[int, int], weights: np.ndarray | None = None):
+        self.lexicon, self.known = lexicon, {}
+        self.seed = {w: 1 << i % N_SEED for i, w in enumerate(INSULTS)}
+        self.weights = None if weights is None else np.round(weights * SCALE).astype(np.int64).tolist()
 
-    def of_word(self, word: str) -> int:
-        bits = 1 << self.seed[word] if word in self.seed else 0
-        for e in entries(word):
+    def word(self, word: str) -> tuple[int, int, int]:
+        bits, weight, found = self.seed.get(word, 0), 0, entries(word)
+        for e in found:
             if e in self.lexicon:
                 bits |= 1 << self.lexicon[e]
-        return bits
+            if self.weights:
+                weight += self.weights[e % WEIGHTS]
+        return bits, weight, len(found)
 
-    def __call__(self, text: str | None) -> int:
+    def __call__(self, text: str | None) -> tuple[int, int, int]:
+        """Votes, weight, and the number of entries."""
         if len(self.known) > REMEMBERED:
             self.known = {}
-        known, bits = self.known, 0
+        known, bits, weight, n = self.known, 0, 0, 0
         for w in set(_words((text or "").lower())):
-            b = known.get(w)
-            if b is None:
-                b = known[w] = self.of_word(w)
-            bits |= b
-        return bits | shapes(text or "") << (N_VOTERS - N_SHAPE)
+            hit = known.get(w)
+            if hit is None:
+                hit = known[w] = self.word(w)
+            bits |= hit[0]
+            weight += hit[1]
+            n += hit[2]
+        return bits | shapes(text or "") << (N_VOTERS - N_SHAPE), weight, n
 
 
 def _known_or(labels: pa.Array, p: np.ndarray) -> np.ndarray:
@@ -234,17 +246,17 @@ def _with_entries(docs: DataFrame, extra: str) -> DataFrame:
     """``entries`` of each text beside the other columns (doc_id first, text second)."""
     def run(batches):
         for b in batches:
-            found = [sorted({e for w in set(_words((x or "").lower())) for e in entries(w)}) for x in b.column(1).to_pylist()]
+            found = [[e for w in sorted(set(_words((x or "").lower()))) for e in entries(w)] for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), *b.columns[2:]],
                                              names=["entries", *b.schema.names[2:]])
     return docs.mapInArrow(run, f"entries array<int>, {extra}")
 
 
-def _sampled(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """At most SAMPLE documents of ``rows`` (doc_id and more), by the hash of the id."""
-    few = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)  # broadcast: at most SAMPLE narrow rows
+def _sampled(rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` documents of ``rows`` (doc_id and more), by the hash of the id."""
+    few = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)  # broadcast: at most so many narrow rows
     rest = [c for c in rows.columns if c != "doc_id"]
-    return docs.join(F.broadcast(few), "doc_id").select("doc_id", "text", *rest).limit(SAMPLE)
+    return docs.join(F.broadcast(few), "doc_id").select("doc_id", "text", *rest).limit(size)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -253,15 +265,15 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     whole, docs = docs, docs.select("doc_id", "text")
     usable = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
-    found = (_with_entries(_sampled(usable, docs), "toxic int")
+    found = (_with_entries(_sampled(usable, docs, SAMPLE), "toxic int")
              .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(mine, "entry int, voter int").collect())  # a bounded lexicon
     lexicon = {r.entry: r.voter for r in found}
 
     def vote(batches):
-        votes = Votes(lexicon)
+        read = Reader(lexicon)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([votes(x) for x in b.column(1).to_pylist()], pa.int64())], names=["doc_id", "bits"])
+                [b.column(0), pa.array([read(x)[0] for x in b.column(1).to_pylist()], pa.int64())], names=["doc_id", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     votes = cut(docs.mapInArrow(vote, f"doc_id {kind}, bits long"))
@@ -274,32 +286,20 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p)], names=["doc_id", "bits", "p"])
 
     pool = (learn.where(fold(F.col("doc_id")) != 0).select("doc_id", "bits", "toxic").dropDuplicates(["doc_id"])
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).mapInArrow(posterior, f"doc_id {kind}, bits long, p double"))
-    got = (_with_entries(_sampled(pool, docs), "bits long, p double")
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED).mapInArrow(posterior, f"doc_id {kind}, bits long, p double"))
+    got = (_with_entries(_sampled(pool, docs, TRAINED), "bits long, p double")
            .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(train, "w binary").collect())  # one row of weights
     w = np.frombuffer(got[0].w, np.float32) if got else np.zeros(N_VOTERS + WEIGHTS + 1, np.float32)
 
     at = whole.columns.index("text")
 
     def score(batches):
-        votes, known = Votes(lexicon), {}
-        weigh = w[:N_VOTERS].astype(np.float64)
+        read = Reader(lexicon, w[N_VOTERS:-1].astype(np.float64))
         for b in batches:
-            out = []
-            for text in b.column(at).to_pylist():
-                if len(known) > REMEMBERED:
-                    known = {}
-                seen: set = set()
-                for x in set(_words((text or "").lower())):
-                    hit = known.get(x)
-                    if hit is None:
-                        hit = known[x] = entries(x)
-                    seen.update(hit)
-                z = float(w[-1]) + float(_fired(np.array([votes(text)]))[0] @ weigh)
-                if seen:
-                    cols = np.sort(np.fromiter(seen, np.int64, len(seen))) % WEIGHTS  # one order, one sum
-                    z += float(w[N_VOTERS + cols].sum(dtype=np.float64)) / np.sqrt(len(seen))
-                out.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+            got = np.array([read(x) for x in b.column(at).to_pylist()], np.int64).reshape(-1, 3)
+            z = (float(w[-1]) + _fired(got[:, 0]) @ w[:N_VOTERS].astype(np.float64)
+                 + got[:, 1] / SCALE / np.sqrt(np.maximum(got[:, 2], 1)))
+            out = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, "score"])
 
     return whole.mapInArrow(score, T.StructType([*whole.schema.fields, T.StructField("score", T.DoubleType())]))
