@@ -44,9 +44,9 @@ from .common import cut, prepare, table
 from .registry import register
 
 #: Rows of the labelled sample that is mined, and of the sample trained on.
-SAMPLE, TRAINED = 10_000, 5_000
+SAMPLE, TRAINED = 10_000, 10_000
 FOLDS = 5
-STEPS = 100
+STEPS = 150
 #: Common English insults.
 INSULTS = """clown creep disgusting dumb fool garbage idiot idiotic imbecile jerk loser losers lunatic moron
 moronic morons nasty pathetic pig pigs scum scumbag shut stupid sucks trash ugly vermin worthless""".split()
@@ -216,15 +216,22 @@ def label_model(votes: DataFrame) -> LabelModel:
 
 
 def train(t: pa.Table) -> pa.Table:
-    """Weights (as bytes) of a logistic regression on ``entries``, ``bits`` and
-    the posterior ``p`` of sampled documents: votes, hashed entries, intercept."""
-    lists = t["entries"].combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    col = lists.flatten().to_numpy() % WEIGHTS
-    common = np.bincount(col, minlength=WEIGHTS)[col] >= SUPPORT  # rarer ones teach nothing
-    scale = (1 / np.sqrt(np.maximum(sizes, 1)))[row[common]]
-    row, col = row[common], col[common]
+    """Weights (as bytes) of a logistic regression on the entries of ``words``,
+    on ``bits`` and the posterior ``p`` of sampled documents: votes, hashed
+    entries, intercept.  A step sums entries by distinct word and words by
+    document, so an entry is read once a word and not once a document."""
+    lists = t["words"].combine_chunks()
+    docs, words = len(lists), lists.flatten().dictionary_encode()
+    row = np.repeat(np.arange(docs), np.diff(lists.offsets.to_numpy()))
+    at = words.indices.to_numpy()  # the distinct word of each word
+    found = [entries(w) for w in words.dictionary.to_pylist()]
+    many = np.array([len(x) for x in found], np.int64)
+    of = np.repeat(np.arange(len(found)), many)
+    col = np.array([e for x in found for e in x], np.int64) % WEIGHTS
+    used = np.bincount(at, minlength=len(found))
+    common = np.bincount(col, used[of], minlength=WEIGHTS)[col] >= SUPPORT  # rarer ones teach nothing
+    scale = 1 / np.sqrt(np.maximum(np.bincount(row, many[at], minlength=docs), 1))
+    of, col = of[common], col[common]
     f = _fired(t["bits"].to_numpy())
     p = t["p"].to_numpy()
     n = max(len(p), 1)
@@ -232,9 +239,11 @@ def train(t: pa.Table) -> pa.Table:
     w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
     w[-1] = -2.0
     for step in range(1, STEPS + 1):
-        z = f @ w[:N_VOTERS] + np.bincount(row, w[N_VOTERS + col] * scale, minlength=len(sizes)) + w[-1]
+        of_word = np.bincount(of, w[N_VOTERS + col], minlength=len(found))
+        z = f @ w[:N_VOTERS] + np.bincount(row, of_word[at], minlength=docs) * scale + w[-1]
         err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - p
-        g = np.concatenate([f.T @ err, np.bincount(col, err[row] * scale, minlength=WEIGHTS), [err.sum()]]) / n
+        of_word = np.bincount(at, (err * scale)[row], minlength=len(found))
+        g = np.concatenate([f.T @ err, np.bincount(col, of_word[of], minlength=WEIGHTS), [err.sum()]]) / n
         g[:N_VOTERS] += 1e-4 * w[:N_VOTERS]
         g[N_VOTERS:-1] += 2e-5 * w[N_VOTERS:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -252,6 +261,16 @@ def _with_entries(docs: DataFrame, extra: str) -> DataFrame:
     return docs.mapInArrow(run, f"entries array<int>, {extra}")
 
 
+def _with_words(docs: DataFrame, extra: str) -> DataFrame:
+    """Distinct ``words`` of each text beside the other columns (doc_id first, text second)."""
+    def run(batches):
+        for b in batches:
+            found = [sorted(set(_words((x or "").lower()))) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), *b.columns[2:]],
+                                             names=["words", *b.schema.names[2:]])
+    return docs.mapInArrow(run, f"words array<string>, {extra}")
+
+
 def _sampled(rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """At most ``size`` documents of ``rows`` (doc_id and more), by the hash of the id."""
     few = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)  # broadcast: at most so many narrow rows
@@ -287,7 +306,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     pool = (learn.where(fold(F.col("doc_id")) != 0).select("doc_id", "bits", "toxic").dropDuplicates(["doc_id"])
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED).mapInArrow(posterior, f"doc_id {kind}, bits long, p double"))
-    got = (_with_entries(_sampled(pool, docs, TRAINED), "bits long, p double")
+    got = (_with_words(_sampled(pool, docs, TRAINED), "bits long, p double")
            .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(train, "w binary").collect())  # one row of weights
     w = np.frombuffer(got[0].w, np.float32) if got else np.zeros(N_VOTERS + WEIGHTS + 1, np.float32)
 

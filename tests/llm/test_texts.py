@@ -65,6 +65,54 @@ def test_label_model_discounts_copies():
     assert model.on[0] > 2 and model.on[2] > 2
 
 
+def test_toxicity_trains_on_the_whole_sample(llm, monkeypatch):
+    """10,000 documents are trained on where there are as many outside fold 0."""
+    import numpy as np
+    import pyarrow as pa
+
+    size = toxicity.N_VOTERS + toxicity.WEIGHTS + 1
+
+    def count(t):
+        w = np.zeros(size, np.float32)
+        w[-1] = t.num_rows / 1000
+        return pa.table({"w": [w.tobytes()]})
+
+    monkeypatch.setattr(toxicity, "train", count)
+    docs = llm.range(13_000).selectExpr("id as doc_id", "'x' as text")
+    score = toxicity.toxicity(docs, llm.createDataFrame([], LABELS)).first().score
+    assert round(1000 * np.log(score / (1 - score))) == 10_000
+
+
+def test_toxicity_training_steps():
+    """The weights are those of 150 steps written out entry by entry."""
+    import numpy as np
+    import pyarrow as pa
+    docs, labels = corpus(120, 9)
+    words = [sorted(set(toxicity._words(x.lower()))) for _, x in docs] + [[]]
+    p = np.array([float(t) for _, _, t, _ in labels] + [0.3])
+    bits = np.array([i % 7 for i in range(len(words))])
+    got = np.frombuffer(toxicity.train(pa.table({"words": words, "bits": bits, "p": p}))["w"][0].as_py(), np.float32)
+
+    x = np.zeros((len(words), toxicity.WEIGHTS), np.float32)
+    for i, ws in enumerate(words):
+        for w in ws:
+            for e in toxicity.entries(w):
+                x[i, e % toxicity.WEIGHTS] += 1
+    size = np.maximum(x.sum(1), 1)
+    used = np.flatnonzero(x.sum(0) >= toxicity.SUPPORT)
+    x = np.column_stack([toxicity._fired(bits), x[:, used] / np.sqrt(size)[:, None], np.ones(len(words))])
+    decay = np.array([1e-4] * toxicity.N_VOTERS + [2e-5] * len(used) + [0.0])
+    w, m, v = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    w[-1] = -2.0
+    for step in range(1, 151):
+        g = x.T @ (1 / (1 + np.exp(-x @ w)) - p) / len(p) + decay * w
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w -= 0.15 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
+    want = np.zeros(len(got))
+    want[[*range(toxicity.N_VOTERS), *(toxicity.N_VOTERS + used), -1]] = w
+    assert np.allclose(got, want, atol=1e-3)
+
+
 def brute_rotation(turns):
     turns = sorted({(c, t, r or "unknown", (x or "").replace("<|", "< |")) for c, t, r, x in turns},
                    key=lambda z: (str(z[0]), z[1] if z[1] is not None else -1, z[2], z[3]))
