@@ -24,7 +24,8 @@ equal 0) give neither labels nor training documents.
 
 Defined results: null or empty texts get the score of a text on which no voter
 fires; a null doc_id counts as held out; null labels are no labels, of several
-labels of an id the largest counts; without labels of both classes only the
+labels of an id the largest counts; of several texts of an id the one with the
+smallest XXH64 is mined and trained on, all are scored; without labels of both classes only the
 public lexicon speaks; equal rows get equal scores; an empty table gives no
 rows; other columns are never inputs.
 """
@@ -261,21 +262,28 @@ def _with_entries(docs: DataFrame, extra: str) -> DataFrame:
     return docs.mapInArrow(run, f"entries array<int>, {extra}")
 
 
-def _with_words(docs: DataFrame, extra: str) -> DataFrame:
-    """Distinct ``words`` of each text beside the other columns (doc_id first, text second)."""
+def _to_train(docs: DataFrame, lexicon: dict[int, int], model: LabelModel) -> DataFrame:
+    """Distinct ``words``, votes and posterior of documents (doc_id, text, toxic)."""
     def run(batches):
+        read = Reader(lexicon)
         for b in batches:
-            found = [sorted(set(_words((x or "").lower()))) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), *b.columns[2:]],
-                                             names=["words", *b.schema.names[2:]])
-    return docs.mapInArrow(run, f"words array<string>, {extra}")
+            texts = b.column(1).to_pylist()
+            found = [sorted(set(_words((x or "").lower()))) for x in texts]
+            bits = np.array([read(x)[0] for x in texts], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.list_(pa.string())), pa.array(bits), pa.array(_known_or(b.column(2), model.posterior(bits)))],
+                names=["words", "bits", "p"])
+    return docs.mapInArrow(run, "words array<string>, bits long, p double")
 
 
 def _sampled(rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """At most ``size`` documents of ``rows`` (doc_id and more), by the hash of the id."""
+    """At most ``size`` documents of ``rows`` (one a doc_id, and more columns), by the
+    hash of the id.  An id that is there more than once gives the text with the
+    smallest hash, so it is one document and the same one in each run."""
     few = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)  # broadcast: at most so many narrow rows
     rest = [c for c in rows.columns if c != "doc_id"]
-    return docs.join(F.broadcast(few), "doc_id").select("doc_id", "text", *rest).limit(size)
+    text = F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    return docs.join(F.broadcast(few), "doc_id").groupBy("doc_id", *rest).agg(text).select("doc_id", "text", *rest)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -299,14 +307,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     learn = votes.join(usable, "doc_id", "left")
     model = label_model(learn.select("bits", "toxic"))
 
-    def posterior(batches):
-        for b in batches:
-            p = _known_or(b.column(2), model.posterior(b.column(1).to_numpy()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p)], names=["doc_id", "bits", "p"])
-
-    pool = (learn.where(fold(F.col("doc_id")) != 0).select("doc_id", "bits", "toxic").dropDuplicates(["doc_id"])
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED).mapInArrow(posterior, f"doc_id {kind}, bits long, p double"))
-    got = (_with_words(_sampled(pool, docs, TRAINED), "bits long, p double")
+    pool = learn.where(fold(F.col("doc_id")) != 0).select("doc_id", "toxic").dropDuplicates()  # one label an id
+    got = (_to_train(_sampled(pool, docs, TRAINED), lexicon, model)
            .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(train, "w binary").collect())  # one row of weights
     w = np.frombuffer(got[0].w, np.float32) if got else np.zeros(N_VOTERS + WEIGHTS + 1, np.float32)
 

@@ -113,6 +113,18 @@ def test_toxicity_training_steps():
     assert np.allclose(got, want, atol=1e-3)
 
 
+def test_toxicity_repeated_ids(llm):
+    """An id is one sampled document, however often it is there."""
+    docs = [(i, f"text {i}") for i in range(40)] + [(7, f"copy {i % 90}") for i in range(3000)]
+    rows_ = llm.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    df = llm.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(map(tuple, toxicity._sampled(rows_, df.repartition(4), 30).collect()))
+    assert len(got) == 30 and len({x[0] for x in got}) == 30
+    assert sorted(map(tuple, toxicity._sampled(rows_, df.repartition(9, "text"), 30).collect())) == got
+    got = toxicity._sampled(rows_, df.repartition(4), 100).collect()
+    assert sorted(r.doc_id for r in got) == list(range(40)) and all(r.toxic == r.doc_id % 2 for r in got)
+
+
 def brute_rotation(turns):
     turns = sorted({(c, t, r or "unknown", (x or "").replace("<|", "< |")) for c, t, r, x in turns},
                    key=lambda z: (str(z[0]), z[1] if z[1] is not None else -1, z[2], z[3]))
