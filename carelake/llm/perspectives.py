@@ -6,8 +6,12 @@ as named users; the mask marks exactly the characters the assistant writes,
 its end marker included.  System turns are the frame of every rendering.
 
 Only DataFrame functions.  A rendering is cut into parts of ``PART`` turn
-numbers, so a conversation with a third of all turns is many rows of bounded
-size; speakers are found with map-side combining and come to the turns by a
+numbers, and what a turn number holds beyond its share of ``ROWS`` (rows
+without a turn number: beyond ``ROWS``) becomes pieces of its own, dealt by
+hash for about half of ``ROWS`` each, so no part gathers more than ``ROWS``
+turns however often a turn number is there.  Such turns are counted with
+map-side combining; there is at most one of them to ``ROWS / PART`` rows.  Piece k of part p has the number
+p + k * 2^42: a part's first rows keep p (turn numbers below 2^47).  Speakers are found with map-side combining and come to the turns by a
 join that skewed-join handling may split.
 
 Defined results: null texts are empty, null roles are the speaker
@@ -16,7 +20,8 @@ turn; different rows of one turn number follow by role and text; rows without
 a turn number have no order and form parts of their own by the hash of their
 text; a null conv_id is a conversation of its own; a conversation with system
 turns only has no participant and no rendering; markers inside a text are
-broken up; an empty table gives no rows; other columns are ignored.
+broken up; rows of one turn number that is in pieces have an order within a
+piece only; an empty table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -29,6 +34,8 @@ from .registry import register
 PART = 64
 #: Parts for rows without a turn number.
 LOOSE = 1024
+#: Rows that a part gathers at most, and the distance of a part's pieces.
+ROWS, PIECE = 16_384, 1 << 42
 START, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -38,20 +45,44 @@ def _head(role: Column, speaker: Column) -> Column:
     return F.concat(F.lit(START), who, F.lit("\n"))
 
 
-def rotate(turns: DataFrame, part: int = PART) -> DataFrame:
-    """conv_id, speaker, part, n_turns, text, spans (start, end in characters;
-    what the assistant writes) of ``turns`` (conv_id, turn, role, text)."""
+def _parts(turns: DataFrame, part: int) -> DataFrame:
+    """Different (conv_id, turn, role, text), cleaned, with ``part``."""
     clean = F.regexp_replace(F.coalesce("text", F.lit("")), r"<\|", "< |")
     t = turns.select("conv_id", F.col("turn").cast("long").alias("turn"),
                      F.coalesce("role", F.lit("unknown")).alias("role"), clean.alias("text")).dropDuplicates()
     loose = -1 - F.pmod(F.xxhash64("text"), F.lit(LOOSE))
-    t = t.withColumn("part", F.coalesce(F.floor(F.col("turn") / part), loose).cast("long"))
+    return t.withColumn("part", F.coalesce(F.floor(F.col("turn") / part), loose).cast("long"))
+
+
+def _in_pieces(t: DataFrame, turns: DataFrame, part: int, rows: int) -> DataFrame:
+    """``t`` = ``_parts(turns)``, the parts of turns with too many rows cut into pieces."""
+    share = max(rows // part, 1)
+    # turns with that many rows, copies included: found without reading texts, on any usual input none
+    many = (turns.groupBy("conv_id", F.col("turn").cast("long").alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > share).select(F.col("conv_id").alias("_c"), "_t"))
+    some = turns.join(F.broadcast(many), F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").cast("long").eqNullSafe(F.col("_t")),
+                      "left_semi")
+    over = (_parts(some, part).groupBy("conv_id", "part", "turn").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > F.when(F.col("turn").isNull(), rows).otherwise(share))
+            .select(F.col("conv_id").alias("_c"), F.col("part").alias("_p"), F.col("turn").alias("_t"),
+                    F.when(F.col("_n") > rows, F.ceil(F.col("_n") * 2 / rows)).otherwise(1).cast("long").alias("_k")))
+    t = t.join(F.broadcast(over), F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("part") == F.col("_p"))
+               & F.col("turn").eqNullSafe(F.col("_t")), "left")
+    at = F.pmod(F.xxhash64(F.lit("piece"), "role", "text"), F.col("_k"))
+    piece = F.when(F.col("_k").isNull(), 0).when(F.col("turn").isNull(), at).otherwise(1 + F.pmod("turn", F.lit(part)) + part * at)
+    return t.withColumn("part", (F.col("part") + piece * PIECE).cast("long")).drop("_c", "_p", "_t", "_k")
+
+
+def rotate(turns: DataFrame, part: int = PART, rows: int = ROWS) -> DataFrame:
+    """conv_id, speaker, part, n_turns, text, spans (start, end in characters;
+    what the assistant writes) of ``turns`` (conv_id, turn, role, text)."""
+    t = _in_pieces(_parts(turns, part), turns, part, rows)
     speakers = (t.where("role <> 'system'").select(F.col("conv_id").alias("_c"), F.col("role").alias("speaker"))
                 .dropDuplicates())
-    rows = t.join(speakers, F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_c")
+    said = t.join(speakers, F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_c")
     turn = F.struct("turn", "role", "text", _head(F.col("role"), F.col("speaker")).alias("head"),
                     (F.col("role") == F.col("speaker")).alias("own"))
-    whole = rows.groupBy("conv_id", "speaker", "part").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    whole = said.groupBy("conv_id", "speaker", "part").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
     def add(acc: Column, x: Column) -> Column:

@@ -159,6 +159,28 @@ def test_rotation_without_turn_numbers(llm):
     assert sum(r.n_turns for r in out) == 50 and all(r.part < 0 for r in out)
 
 
+def test_rotation_gathers_bounded_rows(llm):
+    """Repeated turn numbers under null, and loose rows, are cut by counted rows."""
+    turns = [(None, i % 3, ["ann", "bob"][i % 2], f"t{i}") for i in range(2000)]
+    turns += [(None, 5, "ann", "short"), (None, 5, "bob", "one"), (4, None, "ann", "x"), (5, 70, "cy", "same")]
+    turns += [(None, None, "ann", f"n{i}") for i in range(3000)] + [(5, 70, "cy", "same")] * 500
+    df = llm.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(4)
+    out = perspectives.rotate(df, rows=128).collect()
+    assert max(r.n_turns for r in out) <= 128
+    assert len({(r.conv_id, r.speaker, r.part) for r in out}) == len(out)
+    text = collections.Counter((r.conv_id, r.speaker, x) for r in out for x in r.text.split("<|im_end|>\n")[:-1])
+    want = collections.Counter()
+    for c, t, role, x in set(turns):
+        for who in {z[2] for z in turns if z[0] == c}:
+            want[c, who, "<|im_start|>" + ("assistant" if role == who else f"user name={role}") + "\n" + x] += 1
+    assert text == want
+    assert {(r.part, r.n_turns) for r in out if r.conv_id == 5} == {(1, 1)}
+    assert [r.n_turns for r in out if r.part == 0] == [2, 2]
+    many = perspectives.rotate(llm.createDataFrame([(1, None, "ann", "t", i) for i in range(9)] + [(1, None, f"s{i}", "t", 0) for i in range(300)],
+                                                   "conv_id long, turn long, role string, text string, n int"), rows=128)
+    assert many.agg({"n_turns": "max"}).first()[0] <= 128
+
+
 def test_components(llm):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(200, 500)] + [(-5, 499), (7, 7)]
