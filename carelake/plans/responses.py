@@ -218,10 +218,13 @@ SELECT conv_id, turn, CASE WHEN conv_id IS NOT NULL THEN printf('conv-%08d', con
        ELSE 'conv-' || substr(sha256('["' || coalesce(CAST(turn AS VARCHAR), '') || '"]'), 1, 16) END AS conversation_id
 FROM conversations""")
 def q_assign_conversation_id(spark, sf_dir):
-    """Given id, else a key-derived one (a rerun gives the same id; no uuid())."""
+    """The given id.  ``conversations`` holds no key of the request that began a
+    conversation, so rows without a conv_id get null: no column tells which of
+    them belong together, and a hash of the turn would merge different ones."""
     from ..sources.tables import load
     conv = load(spark, sf_dir, "conversations")
-    return R.assign_conversation_id(conv, ["turn"]).select("conv_id", "turn", "conversation_id")
+    given = F.when(F.col("conv_id").isNotNull(), F.col("conversation_id")).alias("conversation_id")
+    return R.assign_conversation_id(conv, []).select("conv_id", "turn", given)
 
 
 _ANSWER_STEPS = """m AS (""" + _MERGED + """),

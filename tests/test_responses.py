@@ -147,6 +147,16 @@ def test_new_conversations_get_ids_of_their_own(spark):
     assert got["r1", 0] == got["r1", 1] != got["r2", 0] and got["r2", 0].startswith("conv-") and None not in got.values()
 
 
+def test_new_conversations_are_not_merged_by_turn(spark, tmp_path):
+    """Two interleaved new conversations: no id through the query, as no column tells them apart."""
+    from carelake.plans.responses import q_assign_conversation_id
+    conv = spark.createDataFrame([(None, 0, "user", "a"), (None, 0, "user", "b"), (None, 1, "assistant", "a"), (None, 1, "assistant", "b"),
+                                  (7, 0, "user", "c")], "conv_id long, turn long, role string, text string")
+    conv.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = [tuple(r) for r in q_assign_conversation_id(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(7, 0, "conv-00000007"), (None, 0, None), (None, 0, None), (None, 1, None), (None, 1, None)], key=str)
+
+
 def _long_conversations(spark, tmp_path, turns=200):
     rows = [(c, t, "assistant" if t % 2 else "user", f"text {c} {t}") for c in (1, 2, 3) for t in range(turns)]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(
