@@ -1,3 +1,4 @@
 """Importing this module registers every query of the subpackage."""
-from . import bpe, debruijn, epsgrid, mixing, perspectives, sharding, simhash, suffixes, topk, toxicity  # noqa: F401
+from . import (bpe, cellcodes, debruijn, epsgrid, hardneg, licences, mixing, perspectives, sharding, simhash,  # noqa: F401
+               suffixes, topk, toxicity)
 from .registry import ORACLE, QUERIES  # noqa: F401
