@@ -59,15 +59,20 @@ class Cells:
 
     def _learn(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and entries of new cells (rows of cell numbers)."""
-        step = max(1, AT_ONCE // max(self.book.size, 1))
+        step = max(1, AT_ONCE // max(len(self.book), 1))
         sizes, entries = [], []
         for at in range(0, len(cells), step):
-            low = (cells[at:at + step] * self.width)[:, None, :]
-            high = low + self.width - 1  # parts are integers
-            below, above = low - self.book, self.book - high
-            out = np.maximum(0, np.maximum(below, above))
-            far = np.maximum(np.abs(below), np.abs(above))
-            stay = (out * out).sum(-1) <= (far * far).sum(-1).min(-1, keepdims=True)
+            some = cells[at:at + step]
+            least, most = np.zeros((2, len(some), len(self.book)), np.int64)
+            for j in range(some.shape[1]):  # a side of a box is met by many cells
+                side, back = np.unique(some[:, j], return_inverse=True)
+                low = (side * self.width)[:, None] - self.book[:, j]
+                high = -(low + self.width - 1)  # parts are integers
+                out = np.maximum(0, np.maximum(low, high))
+                far = np.maximum(np.abs(low), np.abs(high))
+                least += (out * out)[back]
+                most += (far * far)[back]
+            stay = least <= most.min(-1, keepdims=True)
             sizes.append(stay.sum(-1))
             entries.append(np.nonzero(stay)[1].astype(np.int32))
         return np.concatenate(sizes), np.concatenate(entries)
@@ -249,7 +254,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cut(table(spark, sf_dir, "embeddings").where(finite("embedding")).select(
         "vec_id", "label", floors("embedding", 1024).alias("v")))
     books = learn(rows)
-    coded = code(rows, books)
+    coded = cut(code(rows, books))
     every = coded.groupBy(F.col("label").alias("_l")).agg(F.sum("error").alias("label_error"))
     digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
     return coded.join(every, F.col("label").eqNullSafe(F.col("_l"))).select(
