@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from ..functions.constants import JUDGE_SAMPLE_RATE
 from ..sources.responses import request_id
-from ..sources.tables import load
+from ..sources.tables import child_folders, exists, load
 
 # --- FIXED VALUES: the five scorers (names, kinds, guidelines, instructions, levels)
 SCORERS = [
@@ -70,46 +70,57 @@ def scorer_registry(spark: SparkSession) -> DataFrame:
 
 
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assistant answers with the turn before them as the request.
+    """Assistant answers with the user turn just before them as the request.
 
-    The previous turn is found by an equi-join on ``(conv_id, turn - 1)``:
+    The question is found by an equi-join on ``(conv_id, turn - 1)``:
     the pair is unique, so a very long conversation does not concentrate in
     one task (a lag window per conversation would)."""
     conv = load(spark, sf_dir, "conversations")
     return traces_from(conv, conv)
 
 
+def _answers(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("outputs"))
+
+
+def _questions(rows: DataFrame) -> DataFrame:
+    """User turns, at the number of the turn that answers them."""
+    return rows.where(F.col("role") == "user").select(
+        "conv_id", (F.col("turn") + 1).alias("turn"), F.coalesce("text", F.lit("")).alias("inputs"))
+
+
 def traces_from(answers: DataFrame, history: DataFrame) -> DataFrame:
-    a = answers.where(F.col("role") == "assistant").select(
-        "conv_id", "turn", F.col("text").alias("outputs"))
-    prev = history.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("inputs"))
-    return (a.join(prev, ["conv_id", "turn"], "left")
-            .select(request_id().alias("trace_id"),
-                    "conv_id", "turn", F.coalesce("inputs", F.lit("")).alias("inputs"), "outputs"))
+    """Traces of the assistant rows of ``answers``: the question is the user
+    turn just before in ``history``; without one (another role, or no turn) it
+    is empty."""
+    return as_traces(_answers(answers).join(_questions(history), ["conv_id", "turn"], "left"))
 
 
-def traces_incremental(batch: DataFrame, history: DataFrame) -> DataFrame:
-    """Traces for a micro-batch, same result as ``traces_from(batch, history)``.
-
-    The previous turn is taken from the batch itself first; only answers
-    whose previous turn is not in the batch look it up in ``history`` (a semi
-    join restricted to those keys), and history is not read at all when none
-    is missing.  A micro-batch usually carries whole exchanges, so the large
-    static table is rarely touched.  The caller should persist ``batch`` for
-    the duration (it is read more than once)."""
-    a = batch.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("outputs"))
-    prev = batch.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("inputs"))
-    first = a.join(prev, ["conv_id", "turn"], "left")
-    missing = first.where(F.col("inputs").isNull()).select("conv_id", "turn", "outputs")
+def as_traces(paired: DataFrame) -> DataFrame:
+    """``paired`` (conv_id, turn, inputs, outputs) as traces; no question is an empty one."""
+    return paired.select(request_id().alias("trace_id"), "conv_id", "turn",
+                         F.coalesce("inputs", F.lit("")).alias("inputs"), "outputs")
+
+
+def with_history(paired: DataFrame, history: DataFrame) -> DataFrame:
+    """``paired`` (conv_id, turn, inputs, outputs) with the missing questions
+    looked up in ``history``: a semi join restricted to their keys, and
+    ``history`` is not read at all when none is missing.  The caller should
+    persist ``paired`` for the duration (it is read more than once)."""
+    missing = paired.where(F.col("inputs").isNull()).select("conv_id", "turn", "outputs")
     if missing.isEmpty():
-        found = first
-    else:
-        past = (history.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("inputs"))
-                .join(missing.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi"))
-        found = (first.where(F.col("inputs").isNotNull())
-                 .unionByName(missing.join(past, ["conv_id", "turn"], "left")))
-    return found.select(request_id().alias("trace_id"), "conv_id", "turn",
-                        F.coalesce("inputs", F.lit("")).alias("inputs"), "outputs")
+        return paired
+    past = _questions(history).join(missing.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi")
+    return (paired.where(F.col("inputs").isNotNull()).select("conv_id", "turn", "inputs", "outputs")
+            .unionByName(missing.join(past, ["conv_id", "turn"], "left")))
+
+
+def traces_incremental(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """Traces of one batch of rows, same result as ``traces_from(batch, history)``:
+    questions are taken from the batch itself first, then from ``history``.
+    A stream whose questions may come in an earlier batch than their answers
+    keeps them in state instead (``streaming.live_scoring``)."""
+    return as_traces(with_history(_answers(batch).join(_questions(batch), ["conv_id", "turn"], "left"), history))
 
 
 def sampled(trace_id: Column, scorer: Column, rate: float) -> Column:
@@ -205,29 +216,136 @@ def _fill(rubric: str, inputs: str, outputs: str) -> str:
     return "".join({INPUTS_MARK: inputs, OUTPUTS_MARK: outputs}.get(x, x) for x in _MARKS.split(rubric))
 
 
-def score_traces(tr: DataFrame, judge: JudgeFn = rule_judge, rate: float = JUDGE_SAMPLE_RATE) -> DataFrame:
-    """Feedback of the sampled tasks.  One row per trace crosses to the judge's
-    Python process; its tasks are laid out there."""
+def _ask(judge: JudgeFn, tasks: pd.DataFrame, attempts: int, backoff: float) -> Iterator[pd.DataFrame]:
+    """The judge's answers to ``tasks``, in order, with ``error``.
+
+    A call that fails is repeated, each time after twice the pause; a batch
+    that keeps failing is halved, so only the tasks that fail by themselves
+    become error rows."""
+    import time
+    error = ""
+    for k in range(attempts):
+        try:
+            res = judge(tasks)
+            if len(res) != len(tasks):
+                raise ValueError(f"the judge gave {len(res)} answers to {len(tasks)} tasks")
+            yield pd.DataFrame({"value": res["value"].to_numpy(), "rationale": res["rationale"].to_numpy(), "error": None})
+            return
+        except Exception as e:  # whatever the outside call raises
+            error = f"{type(e).__name__}: {e}"
+            if k + 1 < attempts and backoff:
+                time.sleep(backoff * 2 ** k)
+    if len(tasks) > 1:
+        half = len(tasks) // 2
+        yield from _ask(judge, tasks.iloc[:half].reset_index(drop=True), attempts, backoff)
+        yield from _ask(judge, tasks.iloc[half:].reset_index(drop=True), attempts, backoff)
+    else:
+        yield pd.DataFrame({"value": [None], "rationale": [None], "error": [error]})
+
+
+def _calls(tasks: pd.DataFrame, rows: int, size: int) -> Iterator[pd.DataFrame]:
+    """``tasks`` in batches of at most ``rows`` tasks and ``size`` characters (one task may have more)."""
+    length = tasks[["inputs", "outputs", "prompt"]].fillna("").map(len).sum(axis=1).to_numpy()
+    begin = total = 0
+    for i, n in enumerate(length):
+        if i > begin and (i - begin >= rows or total + n > size):
+            yield tasks.iloc[begin:i].reset_index(drop=True)
+            begin, total = i, 0
+        total += n
+    if begin < len(tasks):
+        yield tasks.iloc[begin:].reset_index(drop=True)
+
+
+def _judged(asked: DataFrame, make_judge: Callable[[], JudgeFn], attempts: int, backoff: float, rows: int, size: int) -> DataFrame:
+    """Feedback with ``error`` of traces with ``tasks`` (from ``chosen``).  One
+    row per trace crosses to the judge's Python process; its tasks are laid out
+    there.  A task of the job makes one judge (a client)."""
     from ..plans.session import ship_package
-    ship_package(tr.sparkSession)
+    ship_package(asked.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        judge = None
         for b in batches:
-            rows = [(i, t["scorer"], t["kind"], t["guideline_no"], t["rubric"])
+            laid = [(i, t["scorer"], t["kind"], t["guideline_no"], t["rubric"])
                     for i, tasks in zip(b["trace_id"], b["tasks"]) for t in tasks]
-            if not rows:
+            if not laid:
                 continue
-            t = pd.DataFrame(rows, columns=["trace_id", "scorer", "kind", "guideline_no", "rubric"])
+            judge = judge or make_judge()
+            t = pd.DataFrame(laid, columns=["trace_id", "scorer", "kind", "guideline_no", "rubric"])
             at = b["tasks"].str.len().to_numpy()
             t["inputs"], t["outputs"] = (b[c].repeat(at).to_numpy() for c in ("inputs", "outputs"))
-            asked = t["kind"] == "judge"
-            t["guideline"] = t["rubric"].where(~asked, None)
-            t["prompt"] = [_fill(r, i, o) if a else None for a, r, i, o in zip(asked, t["rubric"], t["inputs"], t["outputs"])]
-            res = judge(t)
-            yield pd.DataFrame({"trace_id": t["trace_id"], "scorer": t["scorer"],
-                                "guideline_no": t["guideline_no"].astype("int32"),
-                                "value": res["value"].to_numpy(), "rationale": res["rationale"].to_numpy()})
-    return chosen(tr, rate).mapInPandas(run, FEEDBACK_SCHEMA)
+            prompted = t["kind"] == "judge"
+            t["guideline"] = t["rubric"].where(~prompted, None)
+            t["prompt"] = [_fill(r, i, o) if a else None for a, r, i, o in zip(prompted, t["rubric"], t["inputs"], t["outputs"])]
+            for call in _calls(t, rows, size):
+                said = pd.concat(list(_ask(judge, call, attempts, backoff)), ignore_index=True)
+                yield pd.DataFrame({"trace_id": call["trace_id"], "scorer": call["scorer"],
+                                    "guideline_no": call["guideline_no"].astype("int32"), "value": said["value"],
+                                    "rationale": said["rationale"], "error": said["error"]})
+    return asked.mapInPandas(run, FEEDBACK_SCHEMA + ", error string")
+
+
+#: Tasks and characters of one call of the judge, tries of a failing call and seconds before the second one.
+CALL_ROWS, CALL_SIZE, ATTEMPTS, BACKOFF = 4096, 4 << 20, 3, 0.5
+
+
+def score_traces(tr: DataFrame, judge: JudgeFn = rule_judge, rate: float = JUDGE_SAMPLE_RATE, *,
+                 make_judge: Callable[[], JudgeFn] | None = None, attempts: int = ATTEMPTS, backoff: float = BACKOFF,
+                 call_rows: int = CALL_ROWS, call_size: int = CALL_SIZE) -> DataFrame:
+    """Feedback of the sampled tasks, with ``error`` (null where judged).
+
+    ``make_judge`` makes the judge once per task of the job (one client for a
+    partition); ``judge`` is one that needs none.  Calls are bounded by
+    ``call_rows`` tasks and ``call_size`` characters and repeated ``attempts``
+    times; a task that keeps failing gives a row with its error and no value."""
+    return _judged(chosen(tr, rate), make_judge or (lambda: judge), attempts, backoff, call_rows, call_size)
+
+
+def score_logged(tr: DataFrame, log: str, judge: JudgeFn = rule_judge, rate: float = JUDGE_SAMPLE_RATE, *,
+                 make_judge: Callable[[], JudgeFn] | None = None, attempts: int = ATTEMPTS, backoff: float = BACKOFF,
+                 call_rows: int = CALL_ROWS, call_size: int = CALL_SIZE, slices: int = 1) -> DataFrame:
+    """``score_traces`` against the written log of feedback in folder ``log``
+    (shared by all executors): only tasks without a stored answer are judged,
+    and what they give is added to the log.  Returns the stored answers of the
+    given traces' tasks, and an error row for every task that has none yet.
+
+    The log is a folder per run.  A run writes its traces in ``slices`` jobs, by
+    the hash of the trace; a slice that is written is not judged again when the
+    run dies in a later one.  Answered tasks are taken out before any text
+    crosses to Python, by one row per trace: at most nine tasks, so nothing is
+    gathered beyond that."""
+    import uuid
+    spark = tr.sparkSession
+    asked = chosen(tr, rate)
+    done = _stored(spark, log)
+    if done is not None:
+        have = done.groupBy("trace_id").agg(F.collect_set(F.struct("scorer", "guideline_no")).alias("have"))
+        left = F.filter("tasks", lambda x: ~F.exists("have", lambda h: (h["scorer"] == x["scorer"])
+                                                     & (h["guideline_no"] == x["guideline_no"])))
+        asked = (asked.join(have, "trace_id", "left")
+                 .select("trace_id", "inputs", "outputs", F.when(F.col("have").isNull(), F.col("tasks")).otherwise(left).alias("tasks"))
+                 .where(F.size("tasks") > 0))
+    run = uuid.uuid4().hex
+    for k in range(slices):
+        part = asked if slices == 1 else asked.where(F.pmod(F.xxhash64("trace_id"), F.lit(slices)) == k)
+        fb = _judged(part, make_judge or (lambda: judge), attempts, backoff, call_rows, call_size)
+        fb.write.parquet(f"{log}/run={run}-{k}")
+    now = spark.read.schema(FEEDBACK_SCHEMA + ", error string").parquet(*[f"{log}/run={run}-{k}" for k in range(slices)])
+    wanted = chosen(tr, rate).select("trace_id", F.explode("tasks").alias("t")).select("trace_id", "t.scorer", "t.guideline_no")
+    kept = now if done is None else now.unionByName(done.withColumn("error", F.lit(None).cast("string")))
+    return kept.join(wanted, ["trace_id", "scorer", "guideline_no"], "left_semi")
+
+
+def _stored(spark: SparkSession, log: str) -> DataFrame | None:
+    """The answers in the log, one per task (runs at the same time may have
+    judged a task twice); None where there is no log yet.  Runs that did not
+    end are left out: they have no mark of a written job."""
+    runs = [f"{log}/{x}" for x in child_folders(spark, log) if x.startswith("run=") and exists(spark, f"{log}/{x}/_SUCCESS")]
+    if not runs:
+        return None
+    fb = spark.read.schema(FEEDBACK_SCHEMA + ", error string").parquet(*runs).where(F.col("error").isNull())
+    return (fb.groupBy("trace_id", "scorer", "guideline_no")
+            .agg(F.min(F.struct("value", "rationale")).alias("said")).select("trace_id", "scorer", "guideline_no", "said.*"))
 
 
 def levels_of(scorer: Column) -> Column:

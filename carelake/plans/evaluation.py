@@ -19,7 +19,7 @@ _TASK_ROWS = ", ".join(
 _TR = f"""WITH tr AS (
   SELECT a.conv_id || ':' || a.turn AS trace_id, a.conv_id, a.turn, COALESCE(p.text, '') AS inputs,
          a.text AS outputs
-  FROM conversations a LEFT JOIN conversations p ON p.conv_id = a.conv_id AND p.turn = a.turn - 1
+  FROM conversations a LEFT JOIN conversations p ON p.conv_id = a.conv_id AND p.turn = a.turn - 1 AND p.role = 'user'
   WHERE a.role = 'assistant'),
 sc(scorer, kind, guideline_no, rubric) AS (VALUES {_TASK_ROWS}),
 tasks AS (SELECT tr.trace_id, sc.scorer, sc.kind, CAST(sc.guideline_no AS INTEGER) AS guideline_no,
@@ -47,7 +47,7 @@ def _tasks(spark, sf_dir):
 
 
 def _feedback(spark, sf_dir):
-    return E.score_traces(E.traces(spark, sf_dir))
+    return E.score_traces(E.traces(spark, sf_dir)).drop("error")  # the rule judge answers every task
 
 
 @register("sample_traces", _TR + "SELECT DISTINCT scorer, trace_id FROM tasks")
@@ -98,15 +98,37 @@ def q_guideline_rollup(spark, sf_dir):
     return E.guideline_rollup(_feedback(spark, sf_dir))
 
 
+def _unsteady_judge():
+    """The rule judge behind a client that fails for about a third of the traces."""
+    def judge(tasks):
+        from zlib import crc32
+        if any(crc32(x.encode()) % 3 == 0 for x in tasks["trace_id"]):
+            raise ConnectionError("the judge does not answer")
+        return E.rule_judge(tasks)
+    return judge
+
+
+@register("resumed_scoring", _TR + "SELECT trace_id, scorer, guideline_no, value, rationale FROM fb")
+def q_resumed_scoring(spark, sf_dir):
+    """Two scoring runs over one written log: the first one's judge fails for
+    some traces, which become error rows; the second judges only those.  Every
+    task has one answer."""
+    import uuid
+    log = f"{ensure_checkpoint_dir(spark).rstrip('/')}/carelake_feedback/{uuid.uuid4().hex}"
+    tr = E.traces(spark, sf_dir)
+    E.score_logged(tr, log, make_judge=_unsteady_judge, attempts=1, backoff=0)
+    return E.score_logged(tr, log).where(F.col("error").isNull()).drop("error")
+
+
 @register("live_scoring", _TR + "SELECT trace_id, scorer, guideline_no, value, rationale FROM fb")
 def q_live_scoring(spark, sf_dir):
-    """Stream the conversation files through the scorer (available-now
-    trigger) and read the appended feedback back."""
+    """Stream the conversation files through the scorer (available-now trigger,
+    questions kept in state) and read the written feedback back."""
     import uuid
     root = ensure_checkpoint_dir(spark).rstrip("/") + "/carelake_live/" + \
         hashlib.sha1(sf_dir.encode()).hexdigest()[:10] + "/" + uuid.uuid4().hex[:8]
-    history = load(spark, sf_dir, "conversations")
-    q = start_live_scoring(spark, sf_dir, history, f"{root}/feedback", f"{root}/checkpoint")
+    schema = load(spark, sf_dir, "conversations").schema
+    q = start_live_scoring(spark, sf_dir, None, f"{root}/feedback", f"{root}/checkpoint", schema=schema)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -37,6 +37,19 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return bool(found) and found[0].exists(found[1]) and found[0].getFileStatus(found[1]).isDirectory()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = _path(spark, path)
+    return bool(found) and found[0].exists(found[1])
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none where it is not there."""
+    found = _path(spark, path)
+    if not found or not found[0].exists(found[1]):
+        return []
+    return sorted(x.getPath().getName() for x in found[0].listStatus(found[1]) if x.isDirectory())
+
+
 def listing(spark: SparkSession, sf_dir: str, names=("region", "nation", "customer", "supplier", "orders",
                                                      "conversations")) -> tuple | None:
     """What the folder holds now: per table the bytes, the files and the time of

@@ -8,7 +8,7 @@ from .conftest import SF_SMALL
 registry.load_all()
 QUERIES = registry.QUERIES
 # queries whose work is the injected judge (Arrow batches through mapInPandas)
-PYTHON_ALLOWED = {"score_traces", "validate_feedback", "feedback_summary", "guideline_rollup",
+PYTHON_ALLOWED = {"score_traces", "resumed_scoring", "validate_feedback", "feedback_summary", "guideline_rollup",
                   "live_scoring"}
 
 
