@@ -218,28 +218,55 @@ def summary_pack(builders: dict) -> DataFrame:
     return out
 
 
-def write_summary_pack(builders: dict, path: str) -> DataFrame:
-    """Run-time failure isolation: each summary query is written on its own
-    (``path/query=<name>``), so a query that fails while running contributes
-    an error row and the others still land.  Returns the written pack."""
-    spark = None
-    for name, build in builders.items():
-        target = f"{path.rstrip('/')}/query={name}"
+def write_summary_pack(builders: dict, path: str, limit: float | None = 30.0) -> DataFrame:
+    """The summary queries side by side, each written on its own
+    (``path/query=<name>``) and given ``limit`` seconds.
+
+    A query runs in a thread of its own under a job tag; when its time is over
+    the jobs with that tag are cancelled and the pack has a row that says
+    ``timed out``.  A query that fails has a row with its error.
+    Neither holds up or fails the others.  Returns the written pack."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Timer
+    from uuid import uuid4
+
+    from pyspark import inheritable_thread_target
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    sc = spark.sparkContext  # its tags are seen from all threads; a session's only from the one that set them
+
+    def write(name: str, build) -> None:
+        target, tag, late = f"{path.rstrip('/')}/query={name}", f"summary-{uuid4().hex}", []
+
+        def stop() -> None:
+            late.append(True)
+            sc.cancelJobsWithTag(tag)
+        timer = Timer(limit, stop) if limit is not None else None
+        sc.addJobTag(tag)
         try:
-            df = build()
-            spark = df.sparkSession
-            (result_records(df, summary_order(name), bounded=True)
-             .select("row_no", "record", F.lit(None).cast("string").alias("error"))
-             .write.mode("overwrite").parquet(target))
+            if timer:
+                timer.start()
+            part = result_records(build(), summary_order(name), bounded=True)
+            if late:  # the time was over before the first job
+                raise TimeoutError
+            part.select("row_no", "record", F.lit(None).cast("string").alias("error")).write.mode("overwrite").parquet(target)
         except Exception as e:  # isolate this query; keep the message as data
-            df_error(name, str(e).strip() or type(e).__name__).drop("query").write.mode("overwrite").parquet(target)
-    from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
-    return spark.read.parquet(path)
+            sc.removeJobTag(tag)
+            said = f"timed out after {limit:g} s" if late else str(e).strip() or type(e).__name__
+            df_error(name, said, spark).drop("query").write.mode("overwrite").parquet(target)
+        finally:
+            if timer:
+                timer.cancel()
+            sc.removeJobTag(tag)
+
+    with ThreadPoolExecutor(max(1, len(builders))) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write), *x) for x in builders.items()]:
+            done.result()
+    return spark.read.schema("row_no bigint, record string, error string, query string").parquet(path)
 
 
-def df_error(name: str, message: str) -> DataFrame:
+def df_error(name: str, message: str, spark=None) -> DataFrame:
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     return spark.createDataFrame([(name, 0, None, message)],
                                  "query string, row_no bigint, record string, error string")

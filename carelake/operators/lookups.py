@@ -46,16 +46,34 @@ def prior_auth_lookup(pas: DataFrame, keys: DataFrame, by: str = "prior_auth_id"
 
 
 def eligibility_lookup(eligibility: DataFrame, requests: DataFrame, date_col: str = "service_date") -> DataFrame:
-    """Spans covering a date for a member: equi-join on member_id plus a
-    residual range condition, both ends inclusive.  The equi key keeps it a
-    hash/sort-merge join (no nested loop); a member has few spans."""
-    e = eligibility.select("member_id", "eligibility_id", "coverage_start", "coverage_end", "is_active")
-    r = requests.alias("r")
-    return (r.join(e.alias("e"),
-                   (F.col("r.member_id") == F.col("e.member_id"))
-                   & F.col(f"r.{date_col}").between(F.col("e.coverage_start"), F.col("e.coverage_end")),
-                   "inner")
-            .drop(F.col("e.member_id")))
+    """Spans covering a date for a member, both ends inclusive.
+
+    An interval index instead of an equi-join on the member with a residual
+    range, which compares all spans of a member with all its requests in one
+    task.  A span of up to 2^l days lies in one or two buckets of 2^l days
+    (level l), however long it is; a date lies in exactly one bucket of each
+    level.  So spans and requests meet by an equi-join on (member, level,
+    bucket), each pair once, and the ends are compared only there.  A request
+    is copied once for each level that a span has (at most 22 for dates of
+    10,000 years, one or two for spans of like length).  Spans whose end is
+    before their start, and rows without member, start, end or date, match
+    nothing."""
+    e = eligibility.select(F.col("member_id").alias("_m"), "eligibility_id", "coverage_start", "coverage_end", "is_active")
+    first, last = F.unix_date("coverage_start"), F.unix_date("coverage_end")
+    # smallest l with 2^l >= days, from the binary digits of days - 1
+    level = F.when(last == first, 0).otherwise(F.length(F.bin((last - first).cast("long"))))
+    e = e.where(F.col("coverage_start") <= F.col("coverage_end")).withColumn("_l", level)
+    width = F.expr("shiftleft(1L, _l)")
+    e = e.withColumn("_b", F.explode(F.array_distinct(F.array(F.floor(first / width), F.floor(last / width)))))
+    levels = (eligibility.where(F.col("coverage_start") <= F.col("coverage_end"))
+              .select(F.when(last == first, 0).otherwise(F.length(F.bin((last - first).cast("long")))).alias("_l"))
+              .agg(F.collect_set("_l")))
+    r = (requests.where(F.col("member_id").isNotNull() & F.col(date_col).isNotNull())
+         .withColumn("_rl", F.explode(levels.scalar()))
+         .withColumn("_rb", F.floor(F.unix_date(date_col) / F.expr("shiftleft(1L, _rl)"))))
+    return (r.join(e, (F.col("member_id") == F.col("_m")) & (F.col("_rl") == F.col("_l")) & (F.col("_rb") == F.col("_b"))
+                   & F.col(date_col).between(F.col("coverage_start"), F.col("coverage_end")))
+            .drop("_m", "_l", "_b", "_rl", "_rb"))
 
 
 def appeal_claim_denials(appeals: DataFrame, claims: DataFrame) -> DataFrame:

@@ -88,13 +88,11 @@ def q_claim_lookup(spark, sf_dir):
 
 @register("appeal_lookup", with_views("members", "appeals") + """
 SELECT a.member_id, a.appeal_id, a.appeal_status, a.appeal_date, a.appeal_type
-FROM (SELECT member_id FROM members WHERE plan_type = 'Medicare Advantage') k
-JOIN appeals a ON k.member_id = a.member_id""")
+FROM members m JOIN appeals a ON m.member_id = a.member_id""")
 def q_appeal_lookup(spark, sf_dir):
-    """Appeal status of every Medicare Advantage member, by member id."""
+    """Appeal status of every member, by member id."""
     d = Domain.of(spark, sf_dir)
-    keys = d.members.where(F.col("plan_type") == "Medicare Advantage").select("member_id")
-    return L.appeal_lookup(d.appeals, keys).select("member_id", "appeal_id", "appeal_status",
+    return L.appeal_lookup(d.appeals, d.members.select("member_id")).select("member_id", "appeal_id", "appeal_status",
                                                    "appeal_date", "appeal_type")
 
 
@@ -144,13 +142,12 @@ SELECT m.member_id, c.claim_id, c.status, pr.provider_name, pr.specialty, pa.is_
        pa.decision_date AS pa_decision_date
 FROM members m JOIN claims c ON c.member_id = m.member_id
 LEFT JOIN providers pr ON c.provider_id = pr.provider_id
-LEFT JOIN prior_authorizations pa ON c.prior_auth_id = pa.prior_auth_id
-WHERE m.plan_type = 'Medicare'""")
+LEFT JOIN prior_authorizations pa ON c.prior_auth_id = pa.prior_auth_id""")
 def q_sql_claims_of_member(spark, sf_dir):
-    """The claims of every Medicare member, by the SQL function for one member."""
+    """The claims of every member, by the SQL function for one member."""
     _functions(spark, sf_dir)
     return spark.sql("""SELECT m.member_id, c.claim_id, c.status, c.provider_name, c.specialty, c.pa_approved,
-        c.pa_decision_date FROM members m, LATERAL claims_of_member(m.member_id) c WHERE m.plan_type = 'Medicare'""")
+        c.pa_decision_date FROM members m, LATERAL claims_of_member(m.member_id) c""")
 
 
 @register("sql_claim_lookup", with_views("claims", "providers", "prior_authorizations", "appeals") + """
@@ -167,9 +164,9 @@ def q_sql_claim_lookup(spark, sf_dir):
 
 @register("sql_prior_auths_of_member", with_views("members", "prior_authorizations") + """
 SELECT m.member_id, p.prior_auth_id, p.is_approved, p.drug
-FROM members m JOIN prior_authorizations p ON p.member_id = m.member_id WHERE m.plan_type = 'Medicare Advantage'""")
+FROM members m JOIN prior_authorizations p ON p.member_id = m.member_id""")
 def q_sql_prior_auths_of_member(spark, sf_dir):
-    """The authorizations of every Medicare Advantage member, by the SQL function."""
+    """The authorizations of every member, by the SQL function."""
     _functions(spark, sf_dir)
     return spark.sql("""SELECT m.member_id, p.prior_auth_id, p.is_approved, p.drug
-        FROM members m, LATERAL prior_auths_of_member(m.member_id) p WHERE m.plan_type = 'Medicare Advantage'""")
+        FROM members m, LATERAL prior_auths_of_member(m.member_id) p""")

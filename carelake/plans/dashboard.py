@@ -217,3 +217,13 @@ FROM mc"""
 @register("summary_pack", _PACK)
 def q_summary_pack(spark, sf_dir):
     return D.summary_pack(_summary_builders(spark, sf_dir))
+
+
+@register("summary_pack_timed", _PACK)
+def q_summary_pack_timed(spark, sf_dir):
+    """The five summary queries side by side, each written on its own within 30 s."""
+    from uuid import uuid4
+
+    from ..plans.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/carelake_summary/{uuid4().hex}"
+    return D.write_summary_pack(_summary_builders(spark, sf_dir), path, limit=30.0).select("query", "row_no", "record", "error")

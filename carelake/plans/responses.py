@@ -214,8 +214,7 @@ def q_history_build(spark, sf_dir):
 
 
 @register("assign_conversation_id", """
-SELECT conv_id, turn, CASE WHEN conv_id IS NOT NULL THEN printf('conv-%08d', conv_id)
-       ELSE 'conv-' || substr(sha256('["' || coalesce(CAST(turn AS VARCHAR), '') || '"]'), 1, 16) END AS conversation_id
+SELECT conv_id, turn, CASE WHEN conv_id IS NOT NULL THEN printf('conv-%08d', conv_id) END AS conversation_id
 FROM conversations""")
 def q_assign_conversation_id(spark, sf_dir):
     """The given id.  ``conversations`` holds no key of the request that began a

@@ -85,11 +85,16 @@ def q_row_count_report(spark, sf_dir):
 
 @register("save_overwrite", ORACLE_BUILD["appeals"])
 def q_save_overwrite(spark, sf_dir):
-    """Write the appeals table (replacing earlier contents) and read it back."""
-    import hashlib
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-    path = f"{sinks.table_root(spark)}/{tag}/appeals"
-    return sinks.save_overwrite(B.build_appeals(Domain.of(spark, sf_dir)), path)
+    """Write the appeals table, replacing what was there: its undecided rows
+    first, then, read from the table itself, those and all others."""
+    from uuid import uuid4
+
+    from pyspark.sql import functions as F
+    path = f"{sinks.table_root(spark)}/{uuid4().hex}/appeals"
+    appeals = B.build_appeals(Domain.of(spark, sf_dir))
+    decided = F.coalesce(F.col("appeal_status").startswith("Resolved"), F.lit(False))
+    sinks.save_overwrite(appeals.where(~decided), path)
+    return sinks.save_overwrite(sinks.read_saved(spark, path).unionByName(appeals.where(decided)), path)
 
 
 @register("create_namespace", _COUNTS)

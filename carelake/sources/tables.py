@@ -22,7 +22,7 @@ def scan_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     return df.select(*columns) if columns else df
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """(file system, Hadoop path); None where the session has no JVM of its own."""
     jvm = getattr(spark, "_jvm", None)
     if jvm is None:
@@ -33,18 +33,18 @@ def _path(spark: SparkSession, path: str):
 
 def is_folder(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is a folder (of part files)."""
-    found = _path(spark, path)
+    found = hadoop_path(spark, path)
     return bool(found) and found[0].exists(found[1]) and found[0].getFileStatus(found[1]).isDirectory()
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    found = _path(spark, path)
+    found = hadoop_path(spark, path)
     return bool(found) and found[0].exists(found[1])
 
 
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in ``path``; none where it is not there."""
-    found = _path(spark, path)
+    found = hadoop_path(spark, path)
     if not found or not found[0].exists(found[1]):
         return []
     return sorted(x.getPath().getName() for x in found[0].listStatus(found[1]) if x.isDirectory())
@@ -57,7 +57,7 @@ def listing(spark: SparkSession, sf_dir: str, names=("region", "nation", "custom
     again when it differs.  None (never equal, nothing kept) without a JVM."""
     out = []
     for name in names:
-        found = _path(spark, table_path(sf_dir, name))
+        found = hadoop_path(spark, table_path(sf_dir, name))
         if not found:
             return None
         fs, path = found

@@ -175,6 +175,57 @@ def test_write_summary_pack_isolates_runtime_failure(spark):
     assert len(failed) == 1 and failed[0].record is None and "boom" in failed[0].error
 
 
+def test_slow_summary_query_times_out_alone(spark):
+    """The slow query is interrupted at its limit; the others neither wait for it nor fail."""
+    import tempfile
+    import time
+    members = spark.createDataFrame([("M1", "Medicare"), ("M2", "Other")], "member_id string, plan_type string")
+
+    def slow(batches):
+        import time as t
+        for b in batches:
+            t.sleep(45)
+            yield b
+    held = spark.range(1, numPartitions=1).mapInPandas(slow, "id long").select(
+        F.lit("Pending").alias("appeal_status"), F.lit(True).alias("is_overturned"))
+    path = tempfile.mkdtemp(prefix="carelake-pack-", dir="/tmp")
+    begin = time.time()
+    out = {r.query: r for r in D.write_summary_pack({
+        "appeals_by_status": lambda: D.appeals_by_status(held), "member_count": lambda: D.member_count(members)}, path, limit=12).collect()}
+    assert time.time() - begin < 40
+    assert out["appeals_by_status"].error == "timed out after 12 s" and out["appeals_by_status"].record is None
+    assert out["member_count"].error is None and '"members":"2"' in out["member_count"].record
+    assert len(spark.sparkContext.getJobTags()) == 0
+
+
+def test_eligibility_intervals_equal_the_plain_join(spark):
+    """Spans from a day to thousands of years, a member with a third of everything, ends hit exactly, bad rows."""
+    import datetime as dt
+    import random
+    rnd, day = random.Random(4), dt.date(1995, 1, 1)
+    spans, asked = [], []
+    for i in range(400):
+        first = day + dt.timedelta(rnd.randrange(-9000, 4000))
+        spans.append((f"M{rnd.randrange(9) if i % 3 else 0}", f"E{i}", first, first + dt.timedelta(rnd.choice([0, 0, 1, 2, 30, 364, 365, 9000])), True))
+    spans += [("M1", "E-open", dt.date(1, 1, 1), dt.date(9999, 12, 31), True), ("M1", "E-bad", day, day - dt.timedelta(1), True),
+              (None, "E-no", day, day, True), ("M1", "E-null", day, None, True), ("M1", "E-twice", day, day, True), ("M1", "E-twice", day, day, True)]
+    for i in range(600):
+        when = day + dt.timedelta(rnd.randrange(-9000, 5000)) if i % 2 else rnd.choice([s for s in spans if s[3]])[rnd.choice([2, 3])]
+        asked.append((i, f"M{rnd.randrange(11) if i % 3 else 0}", when))
+    asked += [(900, None, day), (901, "M1", None), (902, "M1", dt.date(1, 1, 1)), (903, "M1", dt.date(9999, 12, 31))]
+    e = spark.createDataFrame(spans, "member_id string, eligibility_id string, coverage_start date, coverage_end date, is_active boolean")
+    r = spark.createDataFrame(asked, "claim_id int, member_id string, service_date date")
+    out = L.eligibility_lookup(e, r)
+    got = sorted((x.claim_id, x.member_id, x.service_date, x.eligibility_id, x.coverage_start, x.coverage_end) for x in out.collect())
+    want = sorted((c, m, d, s[1], s[2], s[3]) for c, m, d in asked for s in spans
+                  if m is not None and m == s[0] and d and s[3] and s[2] <= d <= s[3])
+    assert got == want and len(want) > 3000
+    assert L.eligibility_lookup(e.limit(0), r).count() == 0 and L.eligibility_lookup(e, r.limit(0)).count() == 0
+    # the member with a third of all rows meets in many keys, not in one
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_rl" in plan and "_rb" in plan
+
+
 def test_benchmark_provider_filters_after_rank(spark):
     from carelake.operators import measures as M
     from carelake.sources.domain import Domain
