@@ -2,16 +2,20 @@
 lineage cuts, counted explosion and connected components.
 
 * ``prepare`` reads ``spark.checkpoint.dir`` (through the library's session
-  helper), ships the package to executors and bounds an Arrow batch by rows.
+  helper), ships the package to executors, bounds an Arrow batch by rows and
+  has shuffle files removed with the job that wrote them.
 * ``cut`` cuts lineage with an eager ``checkpoint()`` in that shared folder.
 * ``components`` labels every node with the smallest node reachable.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +24,8 @@ from ..plans.session import configure, ship_package
 #: Rows per Arrow batch: documents may be long, so a batch is kept small.
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Shuffle files go when the job that wrote them has ended: what later jobs need is checkpointed or written.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Word characters of all contracts: everything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -29,6 +35,7 @@ def prepare(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     ship_package(spark)
     if int(spark.conf.get(_BATCH)) > batch_rows:
         spark.conf.set(_BATCH, str(batch_rows))
+    spark.conf.set(_CLEAN, "true")
     return spark
 
 
@@ -42,6 +49,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release() -> None:
+    """Give freed memory back to the system.  Spark keeps a Python worker for a
+    minute after its task, beside those of the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a function of a task's batches, that gives its memory back at the end."""
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()
+    return wrapped
+
+
 def small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """``df`` (already cut, narrow rows) with a broadcast hint if it has at
     most ``max_rows`` rows; unchanged, for a shuffle join, beyond that."""
