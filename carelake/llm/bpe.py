@@ -3,14 +3,21 @@
 Texts are split by the pattern; every distinct piece of a task is encoded once
 by a recursive query over token-position rows: each step joins neighbouring
 tokens with the merge table and contracts every piece's leftmost
-minimum-rank pair, until no pair of the piece can merge.  Pieces over
-``LONG`` bytes contract all occurrences of that pair at once, from the left,
-which gives the same tokens in far fewer steps.  Decoding joins ids with the
-vocabulary and puts the bytes together by an ordered aggregation.
-
-A task remembers at most ``REMEMBERED`` pieces, so its memory does not grow
-with its input.  The vocabulary file is a parameter and is read where the task
-runs.
+minimum-rank pair, until no pair of the piece can merge.  The query keeps one
+row a byte, replaced in place, and a step works on live rows only.  Decoding
+joins ids with the vocabulary and puts the bytes together by an ordered
+aggregation.
+
+A piece over ``LONG`` bytes is encoded in blocks of that size, which are then
+joined in pairs.  A row of tokens is the encoding of its bytes if every two
+neighbours are the encoding of theirs; so only the tokens at the seam are in
+question, and where the two there do not encode to themselves, a few tokens
+around the seam are encoded anew, more and more, until the ends fit.
+
+One task is one Python process with one DuckDB session, for both ways.  It
+remembers at most ``REMEMBERED`` bytes of pieces and gives at most ``AT_ONCE``
+bytes to one query, so its memory does not grow with its input.  The
+vocabulary file is a parameter and is read where the task runs.
 
 Defined results: a null text is empty; an empty text has no ids and decodes to
 nothing; an id that is not in the vocabulary fails; equal rows give equal
@@ -34,50 +41,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, table
+from .common import prepare, released, table
 from .registry import register
 
-LONG = 48
-REMEMBERED = 400_000
-#: Bytes of pieces given to one query.
-AT_ONCE = 1 << 21
+LONG = 64
+#: Bytes of known pieces (with 64 for each piece), of pieces given to one query, of DuckDB's memory.
+REMEMBERED, AT_ONCE, MEMORY = 24 << 20, 1 << 19, "256MB"
 
 STEP = """
-WITH RECURSIVE t(w, pos, id, live) AS (
-  SELECT w, pos, id, true FROM tokens
-  UNION ALL
+WITH RECURSIVE t(w, pos, id, step, live) USING KEY (w, pos) AS (
+  SELECT w, pos, id, 0, true FROM tokens
+  UNION
   (WITH a AS MATERIALIZED (
      SELECT p.*, m.id AS merged
-     FROM (SELECT w, pos, id, lead(id) OVER s AS id2, lag(pos) OVER s AS before
+     FROM (SELECT w, pos, id, step, lead(id) OVER s AS id2, lag(pos) OVER s AS before
            FROM t WHERE live WINDOW s AS (PARTITION BY w ORDER BY pos)) p
      LEFT JOIN merges m ON m.l = p.id AND m.r = p.id2),
-   b AS (SELECT w, min(merged::BIGINT * 65536 + pos) % 65536 AS spot FROM a WHERE merged IS NOT NULL GROUP BY w)
-   SELECT a.w, pos, CASE WHEN pos = spot THEN merged ELSE id END, spot IS NOT NULL
-   FROM a LEFT JOIN b ON a.w = b.w
-   WHERE spot IS NULL OR before IS NULL OR before <> spot))
-SELECT w, id FROM t WHERE NOT live ORDER BY w, pos
-"""
-
-STEP_LONG = """
-WITH RECURSIVE t(w, pos, id, live) AS (
-  SELECT w, pos, id, true FROM tokens
-  UNION ALL
-  SELECT w, pos, CASE WHEN taken THEN low ELSE id END, live
-  FROM (
-    SELECT *, coalesce(lag(taken) OVER (PARTITION BY w ORDER BY pos), false) AS gone
-    FROM (
-      SELECT w, pos, id, low, low IS NOT NULL AS live,
-             hit AND (row_number() OVER (PARTITION BY w, island, hit ORDER BY pos)) % 2 = 1 AS taken
-      FROM (
-        SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY w ORDER BY pos ROWS UNBOUNDED PRECEDING) AS island
-        FROM (
-          SELECT *, coalesce(rank = low, false) AS hit
-          FROM (
-            SELECT a.*, m.id AS rank, min(m.id) OVER (PARTITION BY w) AS low
-            FROM (SELECT w, pos, id, lead(id) OVER (PARTITION BY w ORDER BY pos) AS id2 FROM t WHERE live) a
-            LEFT JOIN merges m ON m.l = a.id AND m.r = a.id2)))))
-  WHERE NOT gone)
-SELECT w, id FROM t WHERE NOT live ORDER BY w, pos
+   b AS (SELECT w, min(merged::BIGINT * 4294967296 + pos) % 4294967296 AS spot FROM a WHERE merged IS NOT NULL GROUP BY w),
+   c AS (SELECT a.*, spot, coalesce(before = spot, false) AS gone FROM a LEFT JOIN b ON a.w = b.w)
+   SELECT w, pos, CASE WHEN gone THEN NULL WHEN pos = spot THEN merged ELSE id END, step + 1, spot IS NOT NULL AND NOT gone
+   FROM c))  -- the step makes every row a new one, or the next step would not see it
+SELECT w, id FROM t WHERE id IS NOT NULL ORDER BY w, pos
 """
 
 DECODE = """
@@ -99,7 +83,9 @@ class Vocabulary:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.words = {r: t for t, r in ranks.items()}
+        self.fits: dict[tuple[int, int], bool] = {}  # whether two tokens are the encoding of their bytes
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         splits = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t))
                   if t[:i] in ranks and t[i:] in ranks]
         merges = pa.table(dict(zip("lr", (pa.array(x, pa.int32()) for x in list(zip(*splits))[:2])))
@@ -116,29 +102,68 @@ class Vocabulary:
         pos = (np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
         self.con.register("tokens", pa.table({"w": w, "pos": pos, "id": pa.array(ids, pa.int32())}))
 
-    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of ids of every piece (none empty), and all ids."""
-        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-        counts, found = np.zeros(len(pieces), np.int64), []
-        done = 0
-        while done < len(order):
-            end, most, long = done, 0, len(pieces[order[done]]) > LONG
-            while end < len(order) and (end == done or most + len(pieces[order[end]]) <= AT_ONCE) and (
-                    (len(pieces[order[end]]) > LONG) == long):
-                most += len(pieces[order[end]])
+    def _contract(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of every piece (none empty) by the recursive query."""
+        found, done = [], 0
+        while done < len(pieces):
+            end, most = done, 0
+            while end < len(pieces) and (end == done or most + len(pieces[end]) <= AT_ONCE):
+                most += len(pieces[end])
                 end += 1
-            some = order[done:end]
-            raw = np.frombuffer(b"".join(pieces[i] for i in some), np.uint8)
-            self._rows(np.array([len(pieces[i]) for i in some]), self.of_byte[raw])
-            got = self.con.execute(STEP_LONG if long else STEP).fetchnumpy()
-            counts[some] = np.bincount(got["w"], minlength=len(some))
-            found.append(np.asarray(got["id"], np.int32))
+            some = pieces[done:end]
+            self._rows(np.array([len(p) for p in some]), self.of_byte[np.frombuffer(b"".join(some), np.uint8)])
+            got = self.con.execute(STEP).fetchnumpy()
+            ends = np.cumsum(np.bincount(got["w"], minlength=len(some)))
+            found += np.split(np.asarray(got["id"], np.int32), ends[:-1])
             done = end
-        if not found:
-            return counts, np.zeros(0, np.int32)
-        starts = np.empty(len(pieces), np.int64)
-        starts[order] = np.cumsum(counts[order]) - counts[order]
-        return counts, spans(np.concatenate(found), starts, counts)
+        return found
+
+    def _joined(self, left: list[np.ndarray], right: list[np.ndarray]) -> list[np.ndarray]:
+        """The encodings of left[i] + right[i], both encodings of their own bytes."""
+        out: list = [None] * len(left)
+        todo, k = list(range(len(left))), 0
+        while todo:
+            # the k tokens on both sides of the seam are encoded anew; then the neighbours there must fit
+            middle = self._contract([self._bytes([*left[i][len(left[i]) - k:], *right[i][:k]]) for i in todo]) if k else [
+                np.zeros(0, np.int32)] * len(todo)
+            made, pairs = [], []
+            for i, new in zip(todo, middle):
+                a, b = left[i][:max(len(left[i]) - k, 0)], right[i][k:]
+                made.append((a, new, b))
+                seams = [(a[-1:], new[:1]), (new[-1:], b[:1])] if k else [(a[-1:], b[:1])]
+                pairs += [(i, (int(x[0]), int(y[0]))) for x, y in seams if len(x) and len(y)]
+            if len(self.fits) > AT_ONCE >> 3:
+                self.fits.clear()
+            apart = sorted({p for _, p in pairs if p not in self.fits})
+            if apart:
+                for p, ids in zip(apart, self._contract([self._bytes(p) for p in apart])):
+                    self.fits[p] = ids.tolist() == list(p)
+            bad = {i for i, p in pairs if not self.fits[p]}
+            for i, parts in zip(todo, made):
+                if i not in bad:
+                    out[i] = np.concatenate(parts)
+            todo, k = [i for i in todo if i in bad], max(2, 2 * k)
+        return out
+
+    def _bytes(self, ids) -> bytes:
+        return b"".join(self.words[i] for i in ids)
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids of every piece (none empty), and all ids."""
+        blocks = [[p] if len(p) <= LONG else [p[i:i + LONG] for i in range(0, len(p), LONG)] for p in pieces]
+        flat = self._contract(list(chain.from_iterable(blocks)))
+        at = iter(flat)
+        found = [[next(at) for _ in b] for b in blocks]
+        left = [i for i, b in enumerate(found) if len(b) > 1]
+        while left:  # all pieces' blocks are joined in pairs at once
+            seams = [(i, j) for i in left for j in range(0, len(found[i]) - 1, 2)]
+            joined = iter(self._joined([found[i][j] for i, j in seams], [found[i][j + 1] for i, j in seams]))
+            for i in left:
+                b = found[i]
+                found[i] = [next(joined) if j + 1 < len(b) else b[j] for j in range(0, len(b), 2)]
+            left = [i for i in left if len(found[i]) > 1]
+        return np.array([len(b[0]) for b in found], np.int64), (
+            np.concatenate([b[0] for b in found]) if found else np.zeros(0, np.int32))
 
     def decode(self, sizes: np.ndarray, ids: np.ndarray) -> list[bytes]:
         """Bytes of every sequence of ids."""
@@ -189,56 +214,79 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return split
 
 
-def encoder(path: str, pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches):
-        split, voc, known = splitter(pattern), None, Numbers()
-        starts = counts = ids = np.zeros(0, np.int64)  # of the known pieces, by their number
-        for b, k, texts in _batches(batches, "text"):
-            voc = voc or Vocabulary(path)
-            if len(known) > REMEMBERED:
-                known, starts, counts, ids = Numbers(), starts[:0], counts[:0], ids[:0]
-            docs = [split(x) if x else [] for x in texts.to_pylist()]
-            old = len(known)
-            flat = np.fromiter(map(known.__getitem__, chain.from_iterable(docs)), np.int64)
-            n, found = voc.encode([p.encode() for p in islice(known, old, None)])
-            starts = np.concatenate([starts, len(ids) + np.cumsum(n) - n])
-            counts, ids = np.concatenate([counts, n]), np.concatenate([ids, found])
-            ends = np.cumsum(np.concatenate([[0], counts[flat]]))[np.cumsum([0, *map(len, docs)])]
-            out = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                           pa.array(spans(ids, starts[flat], counts[flat]), pa.int32()))
-            yield pa.RecordBatch.from_arrays([out if i == k else c for i, c in enumerate(b.columns)],
-                                             names=["ids" if i == k else n for i, n in enumerate(b.schema.names)])
+def _encoded(voc_of: Callable[[], Vocabulary], pattern: str) -> Callable[[pa.Array], pa.ListArray]:
+    """Ids of the texts of a column; known pieces are remembered from call to call."""
+    split, known, weight = splitter(pattern), Numbers(), 0
+    starts = counts = ids = np.zeros(0, np.int64)  # of the known pieces, by their number
+
+    def run(texts: pa.Array) -> pa.ListArray:
+        nonlocal known, weight, starts, counts, ids
+        if weight > REMEMBERED:
+            known, weight, starts, counts, ids = Numbers(), 0, starts[:0], counts[:0], ids[:0]
+        docs = [split(x) if x else [] for x in texts.to_pylist()]
+        old = len(known)
+        flat = np.fromiter(map(known.__getitem__, chain.from_iterable(docs)), np.int64)
+        new = [p.encode() for p in islice(known, old, None)]
+        weight += 64 * len(new) + sum(map(len, new))
+        n, found = voc_of().encode(new)
+        starts = np.concatenate([starts, len(ids) + np.cumsum(n) - n])
+        counts, ids = np.concatenate([counts, n]), np.concatenate([ids, found])
+        ends = np.cumsum(np.concatenate([[0], counts[flat]]))[np.cumsum([0, *map(len, docs)])]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spans(ids, starts[flat], counts[flat]), pa.int32()))
     return run
 
 
-def decoder(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _decoded(voc: Vocabulary, ids: pa.ListArray) -> pa.Array:
+    return pa.array(voc.decode(np.diff(ids.offsets.to_numpy()), ids.flatten().to_numpy()), pa.binary())
+
+
+def coder(path: str, pattern: str | None, decodes: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """With ``pattern``, ids in place of text; with ``decodes``, the bytes of
+    the ids as one more column; both by one session."""
     def run(batches):
         voc = None
-        for b, k, ids in _batches(batches, "ids"):
+
+        def session() -> Vocabulary:
+            nonlocal voc
             voc = voc or Vocabulary(path)
-            sizes = np.diff(ids.offsets.to_numpy())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(voc.decode(sizes, ids.flatten().to_numpy()), pa.binary())],
-                                             names=[*b.schema.names, "decoded"])
-    return run
+            return voc
+        encoded = _encoded(session, pattern) if pattern else None
+        for b, k, given in _batches(batches, "text" if pattern else "ids"):
+            if not b.num_rows:
+                continue
+            ids = encoded(given) if pattern else given
+            cols = [ids if i == k else c for i, c in enumerate(b.columns)]
+            names = ["ids" if i == k else n for i, n in enumerate(b.schema.names)]
+            if decodes:
+                cols, names = [*cols, _decoded(session(), ids)], [*names, "decoded"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+    return released(run)
+
+
+_DECODED = T.StructField("decoded", T.BinaryType())
+
+
+def _encoded_schema(docs: DataFrame) -> list[T.StructField]:
+    return [T.StructField("ids", T.ArrayType(T.IntegerType())) if f.name == "text" else f for f in docs.schema.fields]
 
 
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``docs`` with ``ids`` (array of int) in place of ``text``."""
     docs = docs.drop("ids")
-    schema = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())) if f.name == "text" else f
-                           for f in docs.schema.fields])
-    return docs.mapInArrow(encoder(path, pattern), schema)
+    return docs.mapInArrow(coder(path, pattern, False), T.StructType(_encoded_schema(docs)))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded`` (binary) from its ``ids`` (no nulls)."""
     encoded = encoded.drop("decoded")
-    return encoded.mapInArrow(decoder(path), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return encoded.mapInArrow(coder(path, None, True), T.StructType([*encoded.schema.fields, _DECODED]))
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """Documents with ids, their count and digests of ids and decoded bytes."""
-    both = decode(encode(docs, path), path)
+def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """Documents with ids, their count and digests of ids and decoded bytes;
+    encoded and decoded in one step, so a task holds one vocabulary."""
+    docs = docs.drop("ids", "decoded")
+    both = docs.mapInArrow(coder(path, pattern, True), T.StructType([*_encoded_schema(docs), _DECODED]))
     return (both.withColumn("n_tokens", F.size("ids").cast("long"))
             .withColumn("ids_sha256", F.sha2(F.array_join("ids", " "), 256))
             .withColumn("decoded_sha256", F.sha2("decoded", 256)))

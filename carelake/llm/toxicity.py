@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, prepare, table
+from .common import cut, prepare, release, released, table
 from .registry import register
 
 #: Rows of the labelled sample that is mined, and of the sample trained on.
@@ -85,6 +85,15 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS
 
 
+def in_one(learn: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``learn``, a function of a bounded sample, that gives its memory back."""
+    def run(t: pa.Table) -> pa.Table:
+        out = learn(t)
+        release()
+        return out
+    return run
+
+
 def mine(t: pa.Table) -> pa.Table:
     """(entry, voter) from sampled documents with ``entries`` and ``toxic``."""
     y = t["toxic"].to_numpy()
@@ -92,11 +101,17 @@ def mine(t: pa.Table) -> pa.Table:
     if 0 < y.sum() < len(y):
         lists = t["entries"].combine_chunks()
         flat, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
-        # an entry counts once a document, however many of its words begin so
-        once = np.unique(np.repeat(np.arange(len(y)), sizes) * BUCKETS + flat)
-        flat, of = once % BUCKETS, y[once // BUCKETS]
-        pos = np.bincount(flat[of == 1], minlength=BUCKETS)
-        neg = np.bincount(flat[of == 0], minlength=BUCKETS)
+        pos, neg = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        for at in range(0, len(y), 256):
+            to = min(at + 256, len(y))
+            # an entry counts once a document, however many of its words begin so
+            once = np.unique(np.repeat(np.arange(at, to), sizes[at:to]) * BUCKETS + flat[ends[at]:ends[to]])
+            of = y[once // BUCKETS]
+            np.add.at(pos, once[of == 1] % BUCKETS, 1)
+            np.add.at(neg, once[of == 0] % BUCKETS, 1)
+        some = np.flatnonzero((pos >= SUPPORT) | (neg >= 4 * SUPPORT))  # all that may be chosen below
+        pos, neg = pos[some].astype(np.int64), neg[some].astype(np.int64)
         p, n = (pos + 0.1) / (y.sum() + 0.2), (neg + 0.1) / ((1 - y).sum() + 0.2)
         gain = np.log(p / n)
         # likelihood ratio of the counts against equal rates: entries of chance stay out
@@ -105,14 +120,14 @@ def mine(t: pa.Table) -> pa.Table:
         sure = 2 * sure > SURE
         first = N_SEED
         for kind, voters in ((0, N_WORD), (1, N_BEGIN)):
-            mine_ = (np.arange(BUCKETS) % 2 == kind) & (pos >= SUPPORT) & (gain > 1.6) & sure
+            mine_ = (some % 2 == kind) & (pos >= SUPPORT) & (gain > 1.6) & sure
             best = np.flatnonzero(mine_)
             best = best[np.argsort(-(gain * np.sqrt(pos))[best], kind="stable")][:ENTRIES]
-            for r, e in enumerate(best.tolist()):
+            for r, e in enumerate(some[best].tolist()):
                 found[e] = first + r % voters
             first += voters
         calm = np.flatnonzero((neg >= 4 * SUPPORT) & (gain < -1.2) & sure)
-        for r, e in enumerate(calm[np.argsort((gain * np.sqrt(neg))[calm], kind="stable")][:ENTRIES].tolist()):
+        for r, e in enumerate(some[calm[np.argsort((gain * np.sqrt(neg))[calm], kind="stable")][:ENTRIES]].tolist()):
             found[e] = first + r % N_CLEAN
     return pa.table({"entry": pa.array(found.keys(), pa.int32()), "voter": pa.array(found.values(), pa.int32())})
 
@@ -259,7 +274,7 @@ def _with_entries(docs: DataFrame, extra: str) -> DataFrame:
             found = [[e for w in sorted(set(_words((x or "").lower()))) for e in entries(w)] for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), *b.columns[2:]],
                                              names=["entries", *b.schema.names[2:]])
-    return docs.mapInArrow(run, f"entries array<int>, {extra}")
+    return docs.mapInArrow(released(run), f"entries array<int>, {extra}")
 
 
 def _to_train(docs: DataFrame, lexicon: dict[int, int], model: LabelModel) -> DataFrame:
@@ -273,7 +288,7 @@ def _to_train(docs: DataFrame, lexicon: dict[int, int], model: LabelModel) -> Da
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.string())), pa.array(bits), pa.array(_known_or(b.column(2), model.posterior(bits)))],
                 names=["words", "bits", "p"])
-    return docs.mapInArrow(run, "words array<string>, bits long, p double")
+    return docs.mapInArrow(released(run), "words array<string>, bits long, p double")
 
 
 def _sampled(rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
@@ -293,7 +308,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     usable = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     found = (_with_entries(_sampled(usable, docs, SAMPLE), "toxic int")
-             .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(mine, "entry int, voter int").collect())  # a bounded lexicon
+             .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(in_one(mine), "entry int, voter int").collect())  # a bounded lexicon
     lexicon = {r.entry: r.voter for r in found}
 
     def vote(batches):
@@ -303,13 +318,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 [b.column(0), pa.array([read(x)[0] for x in b.column(1).to_pylist()], pa.int64())], names=["doc_id", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    votes = cut(docs.mapInArrow(vote, f"doc_id {kind}, bits long"))
+    votes = cut(docs.mapInArrow(released(vote), f"doc_id {kind}, bits long"))
     learn = votes.join(usable, "doc_id", "left")
     model = label_model(learn.select("bits", "toxic"))
 
     pool = learn.where(fold(F.col("doc_id")) != 0).select("doc_id", "toxic").dropDuplicates()  # one label an id
     got = (_to_train(_sampled(pool, docs, TRAINED), lexicon, model)
-           .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(train, "w binary").collect())  # one row of weights
+           .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(in_one(train), "w binary").collect())  # one row of weights
     w = np.frombuffer(got[0].w, np.float32) if got else np.zeros(N_VOTERS + WEIGHTS + 1, np.float32)
 
     at = whole.columns.index("text")
@@ -323,7 +338,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
             out = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, "score"])
 
-    return whole.mapInArrow(score, T.StructType([*whole.schema.fields, T.StructField("score", T.DoubleType())]))
+    return whole.mapInArrow(released(score), T.StructType([*whole.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:

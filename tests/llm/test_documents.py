@@ -358,3 +358,25 @@ def test_bpe_forgets_and_empty(llm, monkeypatch, empty):
     out = bpe.round_trip(docs, PATH).collect()
     assert [bytes(r.decoded).decode() for r in out] == ["a b c d", "", "a b"]
     assert bpe.round_trip(empty, PATH).count() == 0
+
+
+def test_long_pieces_are_joined_from_blocks(reference):
+    """Runs, words, letters and a piece of a megabyte: blocks joined at their seams equal the whole."""
+    import random
+    import time
+    rnd = random.Random(8)
+    voc = bpe.Vocabulary(PATH)
+
+    def letters(n, kind="abcdefghijklmnopqrstuvwxyz"):
+        return "".join(rnd.choice(kind) for _ in range(n))
+    pieces = [c * n for c in "a =_\n\u4e2d" for n in (63, 64, 65, 127, 129, 1000, 4097)]
+    pieces += [letters(n) for n in (64, 65, 129, 3000)] + [letters(n, "etaoinshr") for n in (65, 200, 5000)]
+    pieces += [letters(n, [chr(0x4e00 + i) for i in range(900)]) for n in (22, 50, 999)]
+    pieces += [("internationalization" * 60)[:n] for n in range(64, 260, 13)]
+    begin = time.time()
+    pieces.append(letters(1_000_000, "etaoinshrdlucm"))
+    n, ids = voc.encode([p.encode() for p in pieces])
+    assert time.time() - begin < 60
+    ends = np.cumsum(n)
+    for p, e, k in zip(pieces, ends, n):
+        assert ids[e - k:e].tolist() == reference._core_bpe.encode_single_piece(p.encode())
