@@ -65,15 +65,16 @@ def eligibility_lookup(eligibility: DataFrame, requests: DataFrame, date_col: st
     e = e.where(F.col("coverage_start") <= F.col("coverage_end")).withColumn("_l", level)
     width = F.expr("shiftleft(1L, _l)")
     e = e.withColumn("_b", F.explode(F.array_distinct(F.array(F.floor(first / width), F.floor(last / width)))))
-    levels = (eligibility.where(F.col("coverage_start") <= F.col("coverage_end"))
-              .select(F.when(last == first, 0).otherwise(F.length(F.bin((last - first).cast("long")))).alias("_l"))
-              .agg(F.collect_set("_l")))
+    # the levels that occur, as the bits of one number
+    present = (eligibility.where(F.col("coverage_start") <= F.col("coverage_end"))
+               .select(level.alias("_l")).agg(F.bit_or(F.expr("shiftleft(1, _l)"))))
     r = (requests.where(F.col("member_id").isNotNull() & F.col(date_col).isNotNull())
-         .withColumn("_rl", F.explode(levels.scalar()))
+         .withColumn("_p", present.scalar())
+         .withColumn("_rl", F.explode(F.filter(F.sequence(F.lit(0), F.lit(30)), lambda x: F.getbit(F.col("_p"), x) == 1)))
          .withColumn("_rb", F.floor(F.unix_date(date_col) / F.expr("shiftleft(1L, _rl)"))))
     return (r.join(e, (F.col("member_id") == F.col("_m")) & (F.col("_rl") == F.col("_l")) & (F.col("_rb") == F.col("_b"))
                    & F.col(date_col).between(F.col("coverage_start"), F.col("coverage_end")))
-            .drop("_m", "_l", "_b", "_rl", "_rb"))
+            .drop("_m", "_l", "_b", "_p", "_rl", "_rb"))
 
 
 def appeal_claim_denials(appeals: DataFrame, claims: DataFrame) -> DataFrame:
