@@ -3,20 +3,22 @@
 Texts are split by the pattern; every distinct piece of a task is encoded once
 by a recursive query over token-position rows: each step joins neighbouring
 tokens with the merge table and contracts every piece's leftmost
-minimum-rank pair, until no pair of the piece can merge.  The query keeps one
-row a byte, replaced in place, and a step works on live rows only.  Decoding
-joins ids with the vocabulary and puts the bytes together by an ordered
+minimum-rank pair, until no pair of the piece can merge.  The query keeps the
+rows of all its steps, so pieces are given to it by the rows that they can
+make, at most half the square of their bytes each.  Decoding joins ids with the vocabulary and puts the bytes together by an ordered
 aggregation.
 
 A piece over ``LONG`` bytes is encoded in blocks of that size, which are then
 joined in pairs.  A row of tokens is the encoding of its bytes if every two
 neighbours are the encoding of theirs; so only the tokens at the seam are in
 question, and where the two there do not encode to themselves, a few tokens
-around the seam are encoded anew, more and more, until the ends fit.
+around the seam are encoded anew, more and more, until the ends fit.  Where
+that grows over ``LONG`` bytes (a run whose blocks are out of step), a step
+contracts all occurrences of the minimum pair, from the left.
 
 One task is one Python process with one DuckDB session, for both ways.  It
-remembers at most ``REMEMBERED`` bytes of pieces and gives at most ``AT_ONCE``
-bytes to one query, so its memory does not grow with its input.  The
+remembers at most ``REMEMBERED`` bytes of pieces and a query makes at most
+``AT_ONCE`` rows, so its memory does not grow with its input.  The
 vocabulary file is a parameter and is read where the task runs.
 
 Defined results: a null text is empty; an empty text has no ids and decodes to
@@ -45,23 +47,45 @@ from .common import prepare, released, table
 from .registry import register
 
 LONG = 64
-#: Bytes of known pieces (with 64 for each piece), of pieces given to one query, of DuckDB's memory.
-REMEMBERED, AT_ONCE, MEMORY = 24 << 20, 1 << 19, "256MB"
+#: Bytes of known pieces (with 64 for each piece), rows that one query makes, DuckDB's memory.
+REMEMBERED, AT_ONCE, MEMORY = 24 << 20, 4 << 20, "512MB"
 
 STEP = """
-WITH RECURSIVE t(w, pos, id, step, live) USING KEY (w, pos) AS (
-  SELECT w, pos, id, 0, true FROM tokens
-  UNION
+WITH RECURSIVE t(w, pos, id, live) AS (
+  SELECT w, pos, id, true FROM tokens
+  UNION ALL
   (WITH a AS MATERIALIZED (
      SELECT p.*, m.id AS merged
-     FROM (SELECT w, pos, id, step, lead(id) OVER s AS id2, lag(pos) OVER s AS before
+     FROM (SELECT w, pos, id, lead(id) OVER s AS id2, lag(pos) OVER s AS before
            FROM t WHERE live WINDOW s AS (PARTITION BY w ORDER BY pos)) p
      LEFT JOIN merges m ON m.l = p.id AND m.r = p.id2),
-   b AS (SELECT w, min(merged::BIGINT * 4294967296 + pos) % 4294967296 AS spot FROM a WHERE merged IS NOT NULL GROUP BY w),
-   c AS (SELECT a.*, spot, coalesce(before = spot, false) AS gone FROM a LEFT JOIN b ON a.w = b.w)
-   SELECT w, pos, CASE WHEN gone THEN NULL WHEN pos = spot THEN merged ELSE id END, step + 1, spot IS NOT NULL AND NOT gone
-   FROM c))  -- the step makes every row a new one, or the next step would not see it
-SELECT w, id FROM t WHERE id IS NOT NULL ORDER BY w, pos
+   b AS (SELECT w, min(merged::BIGINT * 4294967296 + pos) % 4294967296 AS spot FROM a WHERE merged IS NOT NULL GROUP BY w)
+   SELECT a.w, pos, CASE WHEN pos = spot THEN merged ELSE id END, spot IS NOT NULL
+   FROM a LEFT JOIN b ON a.w = b.w
+   WHERE spot IS NULL OR before IS NULL OR before <> spot))
+SELECT w, id FROM t WHERE NOT live ORDER BY w, pos
+"""
+
+STEP_LONG = """
+WITH RECURSIVE t(w, pos, id, live) AS (
+  SELECT w, pos, id, true FROM tokens
+  UNION ALL
+  SELECT w, pos, CASE WHEN taken THEN low ELSE id END, live
+  FROM (
+    SELECT *, coalesce(lag(taken) OVER (PARTITION BY w ORDER BY pos), false) AS gone
+    FROM (
+      SELECT w, pos, id, low, low IS NOT NULL AS live,
+             hit AND (row_number() OVER (PARTITION BY w, island, hit ORDER BY pos)) % 2 = 1 AS taken
+      FROM (
+        SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY w ORDER BY pos ROWS UNBOUNDED PRECEDING) AS island
+        FROM (
+          SELECT *, coalesce(rank = low, false) AS hit
+          FROM (
+            SELECT a.*, m.id AS rank, min(m.id) OVER (PARTITION BY w) AS low
+            FROM (SELECT w, pos, id, lead(id) OVER (PARTITION BY w ORDER BY pos) AS id2 FROM t WHERE live) a
+            LEFT JOIN merges m ON m.l = a.id AND m.r = a.id2)))))
+  WHERE NOT gone)
+SELECT w, id FROM t WHERE NOT live ORDER BY w, pos
 """
 
 DECODE = """
@@ -106,13 +130,15 @@ class Vocabulary:
         """Ids of every piece (none empty) by the recursive query."""
         found, done = [], 0
         while done < len(pieces):
-            end, most = done, 0
-            while end < len(pieces) and (end == done or most + len(pieces[end]) <= AT_ONCE):
-                most += len(pieces[end])
+            end, most, long = done, 0, len(pieces[done]) > LONG
+            while end < len(pieces) and (len(pieces[end]) > LONG) == long:
+                most += len(pieces[end]) * (len(pieces[end]) + 1) // 2 + len(pieces[end])
+                if end > done and most > AT_ONCE:
+                    break
                 end += 1
             some = pieces[done:end]
             self._rows(np.array([len(p) for p in some]), self.of_byte[np.frombuffer(b"".join(some), np.uint8)])
-            got = self.con.execute(STEP).fetchnumpy()
+            got = self.con.execute(STEP_LONG if long else STEP).fetchnumpy()
             ends = np.cumsum(np.bincount(got["w"], minlength=len(some)))
             found += np.split(np.asarray(got["id"], np.int32), ends[:-1])
             done = end
@@ -124,7 +150,7 @@ class Vocabulary:
         todo, k = list(range(len(left))), 0
         while todo:
             # the k tokens on both sides of the seam are encoded anew; then the neighbours there must fit
-            middle = self._contract([self._bytes([*left[i][len(left[i]) - k:], *right[i][:k]]) for i in todo]) if k else [
+            middle = self._contract([self._bytes([*left[i][max(len(left[i]) - k, 0):], *right[i][:k]]) for i in todo]) if k else [
                 np.zeros(0, np.int32)] * len(todo)
             made, pairs = [], []
             for i, new in zip(todo, middle):
@@ -132,7 +158,7 @@ class Vocabulary:
                 made.append((a, new, b))
                 seams = [(a[-1:], new[:1]), (new[-1:], b[:1])] if k else [(a[-1:], b[:1])]
                 pairs += [(i, (int(x[0]), int(y[0]))) for x, y in seams if len(x) and len(y)]
-            if len(self.fits) > AT_ONCE >> 3:
+            if len(self.fits) > AT_ONCE >> 6:
                 self.fits.clear()
             apart = sorted({p for _, p in pairs if p not in self.fits})
             if apart:
