@@ -136,7 +136,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     their minimum.  The minimum of a node is a map-side combined aggregate and
     comes back by a join, so a node with a third of all edges is split by the
     skewed-join rule instead of being gathered.  Each round is written once to
-    the checkpoint folder."""
+    the checkpoint folder.  Edges that are no stars after ``max_rounds`` are an
+    error, never a result."""
     e = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
     e = cut(e.mapInPandas(_contract, "a long, b long").dropDuplicates(["a", "b"]))
 
@@ -163,6 +164,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components: edges are no stars yet after {max_rounds} rounds")
     tops = e.groupBy("a").agg(F.min("b").alias("component"))
     return (tops.select(F.col("a").alias("node"), "component")
             .union(tops.select(F.col("component").alias("node"), "component")).dropDuplicates(["node"]))

@@ -136,16 +136,29 @@ def mix_words(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> Da
 
 def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mixed documents: every row as often as the mix takes it, whole; the
-    crossing document of a source is in if at least half of it is."""
+    crossing document of a source is in if at least half of it is.  Rows equal
+    in every column are counted before they are ordered."""
     keyed = with_keys(docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row")))
     clear, last = split_at_cut(keyed, cuts(keyed, weights, most))
-    w = (Window.partitionBy("_src").orderBy("_key", F.col("doc_id").asc_nulls_first(), "_size", "_chars")
+    last = last.withColumn("_h1", F.xxhash64("_row")).withColumn("_h2", F.xxhash64(F.lit(1), "_row"))
+    same = ["_src", "_key", "doc_id", "_size", "_chars", "_h1", "_h2"]
+    groups = last.groupBy(*same, "_rest", "_before").agg(F.count(F.lit(1)).alias("_rows"))
+    w = (Window.partitionBy("_src").orderBy("_key", F.col("doc_id").asc_nulls_first(), "_size", "_chars", "_h1", "_h2")
          .rowsBetween(Window.unboundedPreceding, 0))
-    last = last.withColumn("_part", _part(F.sum("_size").over(w) - F.col("_size") + F.col("_before")))
-    need = ["_row", "_epochs", "_size", "_part"]
-    rows = clear.select(*need).union(last.select(*need))
-    times = F.col("_epochs") + F.when((F.col("_part") > 0) & (F.col("_part") * 2 >= F.col("_size")), 1).otherwise(0)
-    return explode_count(rows, times, "_i").select("_row.*")
+    words = F.col("_rows") * F.col("_size")
+    left = F.col("_rest") - F.col("_before") - F.sum(words).over(w) + words
+    # of its equal rows the mix takes those that are in with half their words or more
+    taken = F.floor((left - F.ceil(F.col("_size") / 2)) / F.when(F.col("_size") > 0, F.col("_size"))) + 1
+    groups = cut(groups.withColumn("_taken", F.coalesce(F.greatest(F.lit(0), F.least("_rows", taken)), F.lit(0)).cast("long"))
+                 .select(*(F.col(c).alias(f"_g{c}") for c in same), "_rows", "_taken"))
+    met = last.join(groups, F.expr(" AND ".join(f"{c} <=> _g{c}" for c in same)))
+    whole = met.withColumn("_times", F.col("_epochs") + F.when(F.col("_taken") == F.col("_rows"), 1).otherwise(0))
+    some = (met.where("_taken > 0 AND _taken < _rows").groupBy(*same)
+            .agg(F.first("_row").alias("_row"), F.max("_taken").alias("_times")))
+    rows = clear.withColumn("_times", F.col("_epochs") + F.when((F.col("_part") > 0) & (F.col("_part") * 2 >= F.col("_size")), 1).otherwise(0))
+    need = ["_row", "_times"]
+    rows = rows.select(*need).union(whole.select(*need)).union(some.select(*need))
+    return explode_count(rows, F.col("_times"), "_i").select("_row.*")
 
 
 ORACLE = r"""

@@ -11,8 +11,11 @@ without a turn number: beyond ``ROWS``) becomes pieces of its own, dealt by
 hash for about half of ``ROWS`` each, so no part gathers more than ``ROWS``
 turns however often a turn number is there.  Such turns are counted with
 map-side combining; there is at most one of them to ``ROWS / PART`` rows.  Piece k of part p has the number
-p + k * 2^42: a part's first rows keep p (turn numbers below 2^47).  Speakers are found with map-side combining and come to the turns by a
-join that skewed-join handling may split.
+p + k * 2^42: a part's first rows keep p (turn numbers below 2^47).  The SQL
+has the same rule.  The two lists of such turns are broadcast only where their
+counted rows are few (``common.small``) and shuffled beyond that.  Speakers are
+found with map-side combining and come to the turns by a join that skewed-join
+handling may split.
 
 Defined results: null texts are empty, null roles are the speaker
 ``unknown``; a turn that is there twice with the same role and text is one
@@ -28,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, table
+from .common import cut, prepare, small, table
 from .registry import register
 
 PART = 64
@@ -45,12 +48,17 @@ def _head(role: Column, speaker: Column) -> Column:
     return F.concat(F.lit(START), who, F.lit("\n"))
 
 
+def _dealt(x: Column) -> Column:
+    """A number below 2^32 that ``x`` decides."""
+    return F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")
+
+
 def _parts(turns: DataFrame, part: int) -> DataFrame:
     """Different (conv_id, turn, role, text), cleaned, with ``part``."""
     clean = F.regexp_replace(F.coalesce("text", F.lit("")), r"<\|", "< |")
     t = turns.select("conv_id", F.col("turn").cast("long").alias("turn"),
                      F.coalesce("role", F.lit("unknown")).alias("role"), clean.alias("text")).dropDuplicates()
-    loose = -1 - F.pmod(F.xxhash64("text"), F.lit(LOOSE))
+    loose = -1 - F.pmod(_dealt(F.col("text")), F.lit(LOOSE))
     return t.withColumn("part", F.coalesce(F.floor(F.col("turn") / part), loose).cast("long"))
 
 
@@ -60,15 +68,16 @@ def _in_pieces(t: DataFrame, turns: DataFrame, part: int, rows: int) -> DataFram
     # turns with that many rows, copies included: found without reading texts, on any usual input none
     many = (turns.groupBy("conv_id", F.col("turn").cast("long").alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > share).select(F.col("conv_id").alias("_c"), "_t"))
-    some = turns.join(F.broadcast(many), F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").cast("long").eqNullSafe(F.col("_t")),
+    many = small(cut(many))
+    some = turns.join(many, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").cast("long").eqNullSafe(F.col("_t")),
                       "left_semi")
     over = (_parts(some, part).groupBy("conv_id", "part", "turn").agg(F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > F.when(F.col("turn").isNull(), rows).otherwise(share))
             .select(F.col("conv_id").alias("_c"), F.col("part").alias("_p"), F.col("turn").alias("_t"),
                     F.when(F.col("_n") > rows, F.ceil(F.col("_n") * 2 / rows)).otherwise(1).cast("long").alias("_k")))
-    t = t.join(F.broadcast(over), F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("part") == F.col("_p"))
+    t = t.join(small(cut(over)), F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("part") == F.col("_p"))
                & F.col("turn").eqNullSafe(F.col("_t")), "left")
-    at = F.pmod(F.xxhash64(F.lit("piece"), "role", "text"), F.col("_k"))
+    at = F.pmod(_dealt(F.concat(F.lit("piece|"), "role", F.lit("|"), "text")), F.col("_k"))
     piece = F.when(F.col("_k").isNull(), 0).when(F.col("turn").isNull(), at).otherwise(1 + F.pmod("turn", F.lit(part)) + part * at)
     return t.withColumn("part", (F.col("part") + piece * PIECE).cast("long")).drop("_c", "_p", "_t", "_k")
 
@@ -101,11 +110,22 @@ WITH t AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
   FROM conversations),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+n AS (
+  SELECT *, coalesce(floor(turn / 64.0)::BIGINT, -1 - ('0x' || substr(md5(text), 1, 8))::BIGINT % 1024) AS part0 FROM t),
+k AS (
+  SELECT *, count(*) OVER (PARTITION BY conv_id, part0, turn) AS same,
+         CASE WHEN same > 16384 THEN ceil(same * 2 / 16384.0)::BIGINT ELSE 1 END AS pieces,
+         ('0x' || substr(md5('piece|' || role || '|' || text), 1, 8))::BIGINT % pieces AS piece
+  FROM n),
+u AS (
+  SELECT conv_id, turn, role, text, part0 + (CASE WHEN turn IS NULL THEN piece WHEN same <= 256 THEN 0
+    ELSE 1 + (turn % 64 + 64) % 64 + 64 * piece END)::BIGINT * 4398046511104 AS part
+  FROM k),
 r AS (
-  SELECT t.conv_id, speaker, turn // 64 AS part, turn, role, text,
+  SELECT t.conv_id, speaker, part, turn, role, text,
          '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = speaker THEN 'assistant'
                                 ELSE 'user name=' || role END || chr(10) AS head
-  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+  FROM u t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
 p AS (
   SELECT *, length(head) + length(text) + 11 AS n,
          sum(length(head) + length(text) + 11) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS to_

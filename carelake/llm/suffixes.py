@@ -11,7 +11,7 @@ The mirrored array (larger positions) tells which windows occur later.
 
 ``keep="first"`` removes later copies and keeps the first (first by the hash
 of the text, then position; of equal texts the row with the smallest doc_id
-stays as it is); ``keep="none"`` removes every copy.
+stays as it is, of rows equal in every column one); ``keep="none"`` removes every copy.
 
 Defined results: a null text is empty; texts shorter than MIN_BYTES lose
 nothing; equal texts give equal results (but see ``keep="first"``); cut texts
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, prepare, table
+from .common import cut, explode_count, prepare, table
 from .registry import register
 from .repeats import GROUP, contents, covered, crowded, distinct_segments, grouped, keyed, packed, repeated, runs, spans, texts
 
@@ -177,19 +177,27 @@ def cut_texts(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
 
 def dedup(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
     """``docs`` with later copies of repeated strings taken out of ``text``,
-    the first kept; characters cut in two are dropped."""
+    the first kept; characters cut in two are dropped.
+
+    Of equal texts the row with the smallest doc_id (null last) is the first,
+    of equal doc_ids the one with the smallest hash of its columns; of rows
+    equal in every column one is the first and the others are copies."""
     rest = [c for c in docs.columns if c != "text"]
     rows = keyed(docs.select(F.struct(*rest).alias("_row"), "doc_id", "text"))
+    rows = rows.withColumn("_id", F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", F.xxhash64("_row").alias("h1"), F.xxhash64(F.lit(1), "_row").alias("h2"))).drop("doc_id")
     cuts = byte_cuts(rows, least, "first")
-    same = rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first_id")).where("rows > 1")
-    cuts = cuts.join(same.drop("rows"), ["k1", "k2"], "full")
-    joined = packed(rows).withColumnRenamed("k1", "_k1").withColumnRenamed("k2", "_k2").join(
-        cuts.withColumnRenamed("k1", "_a").withColumnRenamed("k2", "_b"),
-        (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b")), "left")
-    # of equal texts one row is the first; the others are copies as a whole
-    copy = F.col("first_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_id"))
-    joined = joined.withColumn("_copy", F.coalesce(copy, F.lit(False)))
-    joined = joined.select("_row", "z", "cuts", "_copy")
+    each = rows.groupBy("k1", "k2", "_id").agg(F.count(F.lit(1)).alias("m"))
+    same = cut(each.groupBy("k1", "k2").agg(F.sum("m").alias("rows"), F.min("_id").alias("first_id"), F.min_by("m", "_id").alias("ties"))
+               .where("rows > 1").drop("rows"))
+    cuts = cut(cuts.join(same, ["k1", "k2"], "full"))
+    schema = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), T.StructField("_text", T.StringType())])
+
+    def finish(r: DataFrame, copy) -> DataFrame:
+        """_row and the remaining _text of ``r``; null for ``copy`` leaves a row out."""
+        joined = packed(r).withColumnsRenamed({"k1": "_k1", "k2": "_k2"}).join(
+            cuts.withColumnsRenamed({"k1": "_a", "k2": "_b"}), (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b")), "left")
+        return (joined.withColumn("_copy", copy).where(F.col("_copy").isNotNull())
+                .select("_row", "z", "cuts", "_copy").mapInArrow(run, schema))
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
@@ -200,9 +208,17 @@ def dedup(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
                 gone = np.full(len(raw), True) if copy_ and len(raw) >= least else covered(cuts_, least, len(raw))
                 out.append(raw[~gone].tobytes().decode("utf-8", "ignore"))
             yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(out, pa.string())], names=["_row", "_text"])
-    schema = T.StructType([joined.schema["_row"], T.StructField("_text", T.StringType())])
-    return joined.mapInArrow(run, schema).select(
-        *(F.col("_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
+
+    first = F.col("_id").eqNullSafe(F.col("first_id"))
+    # a first row that is there several times is left out here and counted below
+    out = finish(rows, F.when(F.col("first_id").isNull(), False).when(~first, True).when(F.col("ties") == 1, False))
+    tied = same.where("ties > 1")
+    if not tied.isEmpty():
+        keys = tied.select(F.col("k1").alias("_c1"), F.col("k2").alias("_c2"), F.col("first_id").alias("_f"), F.col("ties").alias("_m"))
+        one = (rows.join(keys, (F.col("k1") == F.col("_c1")) & (F.col("k2") == F.col("_c2")) & (F.col("_id") == F.col("_f")))
+               .groupBy("k1", "k2").agg(F.first("_row").alias("_row"), F.first("text").alias("text"), F.max("_m").alias("_m")))
+        out = out.union(finish(explode_count(one, F.col("_m"), "_i").drop("_id"), F.col("_i") > 0))
+    return out.select(*(F.col("_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 @register("op2_suffix_array_dedup")

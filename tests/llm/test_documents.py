@@ -109,6 +109,40 @@ def test_mix_hot_equal_rows(llm):
     assert by == {900: 700, 100: 300}
 
 
+def brute_mix(docs):
+    """How often the mix takes each (doc_id, text, source) whole, equal rows together."""
+    import math
+    n, sizes = [len(re.findall(r"[^\x20\x09-\x0D]+", x or "")) for _, x, _ in docs], collections.Counter()
+    for (_, _, s), k in zip(docs, n):
+        sizes[s] += k
+    target, out = brute_targets(sizes), collections.Counter()
+    for s in sizes:
+        mine = []
+        for (i, x, t), k in zip(docs, n):
+            if t == s:
+                u = (int(hashlib.md5(f"{'' if i is None else i}|{k}|{len(x or '')}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+                quality = 1 / (1 + abs(len(x or "") / k - 6)) if k else 1.0
+                mine.append((math.log(-math.log(u) / quality), i is not None, i or 0, k, x or "", (i, x, t)))
+        budget = int(math.floor(target[s]))
+        epochs, left = budget // max(sizes[s], 1), budget % max(sizes[s], 1)
+        for _, _, _, k, _, row in sorted(mine, key=lambda m: m[:5]):
+            part = max(0, min(k, left))
+            out[row] += epochs + int(part > 0 and part * 2 >= k)
+            left -= k
+    return +out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mix_documents_brute(llm, seed):
+    """Whole rows, a third of them equal in every column and in the bucket that the budget ends in."""
+    rng = random.Random(seed)
+    docs = [(i, " ".join("w" * rng.randint(1, 9) for _ in range(rng.randint(0, 40))), rng.choice(["a", "b", "c", None])) for i in range(200)]
+    docs += [(7, "equal rows of six words here", rng.choice(["a", "b"]))] * 100 + [(None, None, "b"), (None, "x y", None)]
+    df = llm.createDataFrame(docs, "doc_id long, text string, source string").repartition(5)
+    got = collections.Counter(map(tuple, mixing.mix_documents(df).collect()))
+    assert got == brute_mix(docs)
+
+
 # ------------------------------------------------------------------ 8
 def brute_fp(x):
     w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in x or ""))
@@ -263,6 +297,44 @@ def test_suffix_keeps_first(llm):
     assert out[6] == texts[6] and out[90] == ""  # of equal texts the first row stays
 
 
+def brute_first(docs, least=200):
+    """Rows (doc_id, text) after the later copies are gone, the first kept: texts in the order of their hash."""
+    import xxhash
+
+    def place(x):
+        h = xxhash.xxh64_intdigest((x or "").encode(), 42)
+        return h - (1 << 64) if h >> 63 else h
+    seen, cut = set(), {}
+    for x in sorted({x or "" for _, x in docs}, key=place):
+        raw = x.encode()
+        gone = np.zeros(len(raw) + 1, int)
+        for i in range(len(raw) - least + 1):
+            if raw[i:i + least] in seen:
+                gone[i] += 1
+                gone[i + least] -= 1
+            seen.add(raw[i:i + least])
+        left = bytes(np.frombuffer(raw, np.uint8)[np.cumsum(gone[:len(raw)]) == 0])
+        cut[x] = left.decode("utf-8", "ignore")
+    out, first = collections.Counter(), set()
+    for i, x in sorted(docs, key=lambda d: (d[0] is None, d[0] or 0)):
+        x = x or ""
+        out[i, "" if x in first and len(x.encode()) >= least else cut[x]] += 1
+        first.add(x)
+    return out
+
+
+def test_suffix_dedup_repeated_rows(llm):
+    """Rows equal in every column, equal texts without an id, a hot text: one stays whole."""
+    rng = random.Random(6)
+    texts = passages(rng, 30, letters)
+    a, b, c = (letters(rng, k) for k in (400, 300, 150))
+    docs = list(enumerate(texts)) + [(101, a)] * 2 + [(None, b)] * 60 + [(5, c), (5, c), (None, None), (None, None), (3, a)]
+    df = llm.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    out = collections.Counter(map(tuple, suffixes.dedup(df).collect()))
+    assert out == brute_first(docs)
+    assert out[None, b] == 1 and out[None, ""] == 61 and out[3, a] == 1 and out[101, ""] == 2 and out[5, c] == 2
+
+
 def test_previous_factor_is_exact():
     rng = np.random.default_rng(2)
     for _ in range(30):

@@ -8,6 +8,7 @@ from carelake.llm import common, perspectives, queries, toxicity
 
 from ..conftest import SF_CHECK
 from .conftest import DOCS, MESSY, rows
+from .test_documents import brute_first, brute_fp, brute_components, brute_mix
 
 LABELS = "doc_id long, quality int, toxic int, score string"
 
@@ -197,6 +198,28 @@ def test_explode_count(llm):
     assert sorted(map(tuple, out)) == [(3, 3, 2), (10_000, 10_000, 9_999)]
 
 
+def test_components_never_partial(llm):
+    """Too few rounds are an error, not links lost."""
+    edges = llm.createDataFrame([(i, i + 1) for i in range(400)], "a long, b long").repartition(8)
+    with pytest.raises(RuntimeError, match="no stars"):
+        common.components(edges, max_rounds=1)
+
+
+def test_rotation_sql_without_turns_and_in_pieces(llm, sf):
+    """Null turns, and a turn number with more rows than its share: the SQL has the same parts."""
+    import duckdb
+    turns = [(1, None, ["ann", "bob"][i % 2], f"t{i}") for i in range(40)] + [(2, i % 3, ["ann", "bob"][i % 2], f"é{i}") for i in range(1500)]
+    turns += [(2, 200, "ann", "x")] * 3 + [(None, 130, None, None), (3, -5, "ann", "before")]
+    d = sf(conversations=llm.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{d}/conversations.parquet/*.parquet'")
+    got = queries.QUERIES["op6_perspective_rotation"](llm, d)
+    cols = sorted(got.columns)
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLE['op6_perspective_rotation']})").fetchall()
+    got = [tuple(r) for r in got.select(*cols).collect()]
+    assert collections.Counter(got) == collections.Counter(want) and max(r[cols.index("part")] for r in got) > 1 << 42
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(llm, name):
     import duckdb
@@ -232,6 +255,54 @@ def test_pipeline(llm, sf):
     assert table.where("decoded_sha256 is null or n_tokens < 0").count() == 0
 
 
+def test_pipeline_rows(llm, sf):
+    """Every stage's rows: decisions of the classifier, one row of each group by
+    brute-force fingerprints, then substrings, mix and ids by brute force."""
+    import hashlib
+
+    import corpus_pipeline
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+    docs, labels = corpus(120, 11)
+    shared = docs[1][1][:700]
+    docs += [(500 + i, x + " " + shared + f" tail{i}") for i, (_, x) in enumerate(docs[:12])] + [(600, docs[3][1]), (600, docs[3][1]), (601, None), (602, "")]
+    d = sf(documents=llm.createDataFrame(rows(*docs), DOCS), labels=llm.createDataFrame(labels, LABELS))
+    stages, table, out = dict(corpus_pipeline.STAGES), llm.read.parquet(f"{d}/documents.parquet"), []
+    for name, stage in stages.items():
+        stage(llm, table, d).write.parquet(f"{d}/{name}")
+        table = llm.read.parquet(f"{d}/{name}")
+        out.append([tuple(r) for r in (table.select("doc_id", "text", "source") if name != "byte_bpe" else
+                                       table.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")).collect()])
+    clean, unique, cut_, mixed, ids = out
+    assert not collections.Counter(clean) - collections.Counter((r[0], r[1], r[3]) for r in rows(*docs)) and len(clean) < len(docs)
+    fps = [brute_fp(x) for _, x, _ in clean]
+    comp = brute_components(len(clean), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 2)
+    groups = collections.defaultdict(collections.Counter)
+    for r, c in zip(clean, comp):
+        groups[c][r] += 1
+    kept = collections.Counter(unique)
+    assert len(unique) == len(groups) and all(sum(kept[r] for r in g) == 1 for g in groups.values())
+    assert collections.Counter(r[:2] for r in cut_) == brute_first([r[:2] for r in unique])
+    assert collections.Counter(mixed) == brute_mix(cut_)
+    enc = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                            mergeable_ranks=load_tiktoken_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+    def digest(x):
+        return hashlib.sha256(x).hexdigest()
+    want = collections.Counter()
+    for i, x, _ in mixed:
+        e = enc.encode_ordinary(x or "")
+        want[i, len(e), digest(" ".join(map(str, e)).encode()), digest((x or "").encode())] += 1
+    assert collections.Counter(ids) == want
+
+
+def test_pipeline_empty(llm, sf, empty):
+    import corpus_pipeline
+    d = sf(documents=empty, labels=llm.createDataFrame([], LABELS))
+    assert corpus_pipeline.run(llm, d).count() == 0
+
+
 def test_pipeline_run(llm, sf):
     import corpus_pipeline
     docs, labels = corpus(60, 6)
