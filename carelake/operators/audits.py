@@ -10,7 +10,7 @@ handling.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # (child table, child column, parent table, parent key)
@@ -93,6 +93,75 @@ def fk_audit_by_join(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFram
     return out
 
 
+def key_bits(key: Column) -> dict[str, Column]:
+    """``key`` as a bit of a bitmap: shape (number of last digits and the text
+    before them), word (the number's 64-bit word) and bit (one bit set).  Equal
+    exactly where the keys are equal; a key without last digits, or with more
+    than 18, is its own shape."""
+    key = key.cast("string")
+    head = F.rtrim(key, F.lit("0123456789"))
+    size = F.char_length(key) - F.char_length(head)
+    numeric = size.between(1, 18)
+    number = F.coalesce(F.when(numeric, F.right(key, size)).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return {"shape": F.when(numeric, F.concat(size.cast("string"), F.lit(":"), head)).otherwise(F.concat(F.lit("0:"), key)),
+            "word": F.shiftright(number, 6),
+            "bit": F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))}
+
+
+def fk_audit_bitmaps(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFrame:
+    """``fk_audit`` with the keys shuffled as exact bitmaps.
+
+    Keys are bits of 64-bit words (``key_bits``), which ``bit_or`` builds inside
+    each task, for parents and for every foreign key alike, so up to 64 keys are
+    one row of the shuffle, and scattered keys never more rows than keys.  A word
+    in which no cited key has a parent gives its references as orphans, a word in
+    which all have one gives none.  Only for words with both are the children
+    read again and counted by key; without such words a sub-query stops that
+    second read's rows before its shuffle."""
+    names = [f"{c}.{fk}" for c, fk, _, _ in fks]
+
+    def bits(fk: str | None, parent: str, key: str) -> Column:
+        return F.struct(F.lit(fk).cast("string").alias("fk"), F.lit(parent).alias("parent"), F.col(key).isNotNull().alias("there"),
+                        *(c.alias(n) for n, c in key_bits(F.col(key)).items()))
+
+    cited, own = {}, {}
+    for c, fk, p, pk in fks:
+        cited.setdefault(c, []).append(bits(f"{c}.{fk}", p, fk))
+        own.setdefault(p, {})[pk] = bits(None, p, pk)
+
+    def rows(emitted: dict[str, list]) -> DataFrame:
+        u = None
+        for table, structs in emitted.items():
+            part = tables[table].select(F.explode(F.array(*structs)).alias("_r")).select("_r.*").where("there").drop("there")
+            u = part if u is None else u.unionByName(part)
+        return u
+
+    everything = {t: cited.get(t, []) + list(own.get(t, {}).values()) for t in {**cited, **own}}
+    agg = [F.bit_or(F.when(F.col("fk").isNull(), F.col("bit"))).alias("_p")]
+    for i, n in enumerate(names):
+        mine = F.col("fk") == n
+        agg += [F.bit_or(F.when(mine, F.col("bit"))).alias(f"_c{i}"), F.count(F.when(mine, 1)).alias(f"_n{i}")]
+    words = rows(everything).groupBy("parent", "shape", "word").agg(*agg)
+    has = F.coalesce("_p", F.lit(0).cast("bigint"))
+    per = F.array(*[F.struct(F.lit(n).alias("fk"), F.coalesce(f"_c{i}", F.lit(0).cast("bigint")).alias("bits"), F.col(f"_n{i}").alias("n"))
+                    for i, n in enumerate(names)])
+    per_fk = (words.select("shape", "word", has.alias("has"), F.explode(per).alias("_x")).select("shape", "word", "has", "_x.*")
+              .withColumn("missing", F.col("bits").bitwiseAND(F.bitwise_not("has"))))
+    none = F.col("bits") == F.col("missing")
+    sure = per_fk.groupBy("fk").agg(F.sum("n").alias("references"),
+                                    F.sum(F.when(none, F.col("n")).otherwise(0)).alias("orphans"))
+    mixed = per_fk.where(~none & (F.col("missing") != 0)).select(
+        F.col("fk").alias("_fk"), F.col("shape").alias("_shape"), F.col("word").alias("_word"), "missing")
+    some = mixed.agg(F.count(F.lit(1))).scalar() > 0
+    again = rows(cited).where(some).groupBy("fk", "shape", "word", "bit").agg(F.count(F.lit(1)).alias("n"))
+    hit = again.join(mixed, (F.col("fk") == F.col("_fk")) & (F.col("shape") == F.col("_shape")) & (F.col("word") == F.col("_word")))
+    hit = hit.where(F.col("bit").bitwiseAND(F.col("missing")) != 0).select(
+        "fk", F.lit(0).cast("bigint").alias("references"), F.col("n").alias("orphans"))
+    zero = tables[fks[0][0]].sparkSession.createDataFrame([(n, 0, 0) for n in names], "fk string, references long, orphans long")
+    return (sure.unionByName(hit).unionByName(zero).groupBy("fk")
+            .agg(F.sum("references").alias("references"), F.sum("orphans").alias("orphans")))
+
+
 def denied_reference_audit(appeals: DataFrame, claims: DataFrame, pas: DataFrame) -> DataFrame:
     """Appeals citing a claim that is not denied or a PA that was approved
     (or a parent that does not exist): ``(appeal_id, ref_type, ref_id, ref_state)``.

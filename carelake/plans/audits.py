@@ -26,6 +26,12 @@ def q_fk_audit(spark, sf_dir):
     return A.fk_audit(_tables(Domain.of(spark, sf_dir)))
 
 
+@register("fk_audit_bitmaps", _FK_SQL)
+def q_fk_audit_bitmaps(spark, sf_dir):
+    """The same audit with the keys shuffled as bitmaps of 64-bit words."""
+    return A.fk_audit_bitmaps(_tables(Domain.of(spark, sf_dir)))
+
+
 @register("denied_reference_audit", with_views("appeals", "claims", "prior_authorizations") + """
 SELECT a.appeal_id, 'claim' AS ref_type, a.claim_id AS ref_id, COALESCE(c.status, 'missing') AS ref_state
 FROM appeals a LEFT JOIN claims c ON a.claim_id = c.claim_id

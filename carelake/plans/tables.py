@@ -1,6 +1,7 @@
 """Table builds, schema conformance, sinks and row counts."""
 from __future__ import annotations
 
+from ..operators.audits import PRIMARY_KEYS
 from ..sources import builds as B
 from ..sources import schemas as S
 from ..sources import sinks
@@ -122,6 +123,15 @@ def q_written_denied_claims(spark, sf_dir):
     return c.groupBy("service_type").agg(F.count(F.lit(1)).alias("denied"), F.sum("billed_cents").alias("billed_cents"))
 
 
+@register("written_row_counts", with_views(*DOMAIN_TABLES) + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, COUNT(*) - COUNT({PRIMARY_KEYS[t]}) AS null_keys FROM {t}"
+    for t in DOMAIN_TABLES))
+def q_written_row_counts(spark, sf_dir):
+    """Rows and rows without a key of the six tables, from the figures observed
+    by the jobs that wrote them: no table is read again."""
+    return written(spark, sf_dir).counts()
+
+
 @register("written_appeals_by_status", with_views("appeals") + """
 SELECT appeal_status, COUNT(*) AS count, COUNT(CASE WHEN is_overturned THEN 1 END) AS overturned
 FROM appeals GROUP BY appeal_status""")

@@ -12,14 +12,20 @@ layout:
 * the small dimension tables (``members``, ``providers``, ``eligibility``)
   are written as they are.
 
+The job that writes a table also observes its rows and its rows without a
+key (``DataFrame.observe``, behind the last shuffle, where a repeated task counts
+once); the figures are written beside the tables, so reports on them
+(``MaterializedDomain.counts``) read no table again.
+
 Writing also cuts the lineage: work after ``materialize`` restarts from
 these files, not from the source scan.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.audits import PRIMARY_KEYS
 from .domain import DOMAIN_TABLES, Domain
 from .sinks import table_root
 from .tables import is_folder, listing
@@ -32,21 +38,28 @@ LAYOUT = {
 }
 
 
+#: Folder of the observed figures.
+COUNTS = "_counts"
+
+
 def materialize(domain: Domain, root: str | None = None, num_partitions: int | None = None) -> str:
     spark = domain.spark
     root = (root or table_root(spark) + "/domain").rstrip("/")
+    counts = []
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name in DOMAIN_TABLES:
         df = domain.table(name)
-        w = df
         if name in LAYOUT:
             date_col, key_col, part_col = LAYOUT[name]
-            w = (df.withColumn(part_col, F.date_format(date_col, "yyyy-MM"))  # text: kept as text when read
-                 .repartitionByRange(n, date_col, key_col)
-                 .write.mode("overwrite").partitionBy(part_col))
-        else:
-            w = df.write.mode("overwrite")
-        w.parquet(f"{root}/{name}")
+            df = (df.withColumn(part_col, F.date_format(date_col, "yyyy-MM"))  # text: kept as text when read
+                  .repartitionByRange(n, date_col, key_col))
+        seen = Observation()
+        w = df.observe(seen, F.count(F.lit(1)).alias("row_count"),
+                       F.count(F.when(F.col(PRIMARY_KEYS[name]).isNull(), 1)).alias("null_keys")).write.mode("overwrite")
+        (w.partitionBy(LAYOUT[name][2]) if name in LAYOUT else w).parquet(f"{root}/{name}")
+        counts.append((name, seen.get["row_count"], seen.get["null_keys"]))
+    (spark.createDataFrame(counts, "table_name string, row_count long, null_keys long").coalesce(1)
+     .write.mode("overwrite").parquet(f"{root}/{COUNTS}"))
     return root
 
 
@@ -66,6 +79,10 @@ class MaterializedDomain(Domain):
     def table(self, name: str) -> DataFrame:
         return self.__dict__[name]
 
+    def counts(self) -> DataFrame:
+        """(table_name, row_count, null_keys) as observed while the tables were written."""
+        return self.spark.read.parquet(f"{self.root}/{COUNTS}")
+
     def between(self, name: str, first, last) -> DataFrame:
         """Rows of a table with dates from ``first`` to ``last`` (dates): the
         months are named as well, so only their folders are read."""
@@ -82,7 +99,7 @@ def written(spark: SparkSession, sf_dir: str) -> MaterializedDomain:
     import hashlib
     listed = listing(spark, sf_dir)
     d = Domain.of(spark, sf_dir)
-    tag = hashlib.sha1(repr((sf_dir.rstrip("/"), listed, d.as_of_text)).encode()).hexdigest()[:16]
+    tag = hashlib.sha1(repr((sf_dir.rstrip("/"), listed, d.as_of_text, COUNTS)).encode()).hexdigest()[:16]
     root = f"{table_root(spark)}/written-{tag}"
     if not is_folder(spark, f"{root}/_done"):  # written last, so a broken write is made again
         materialize(d, root)

@@ -46,3 +46,27 @@ def test_materialized_layout_prunes_and_keeps_files_few(spark):
     plan = raw._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(submitted_month" in plan and "1996-03" in plan
     assert raw.count() == d.claims.where(F.date_format("submitted_date", "yyyy-MM") == "1996-03").count()
+
+
+def test_counts_are_observed_by_the_write(spark):
+    """Row and null-key counts come from the writing jobs; reading them reads no table."""
+    from pyspark.sql import functions as F
+    d = Domain.of(spark, SF_SMALL)
+    root = materialize(d, tempfile.mkdtemp(prefix="carelake-mat-", dir="/tmp") + "/domain", num_partitions=4)
+    m = MaterializedDomain(spark, root)
+    want = [(t, d.table(t).count(), d.table(t).where(F.col(A.PRIMARY_KEYS[t]).isNull()).count()) for t in DOMAIN_TABLES]
+    assert _rows(m.counts()) == sorted(want)
+    assert all("/_counts/" in f for f in m.counts().inputFiles())
+
+
+def test_observed_counts_of_missing_keys(spark):
+    from pyspark.sql import functions as F
+
+    class Holed(Domain):
+        def table(self, name):
+            df = super().table(name)
+            return df.withColumn("claim_id", F.when(F.col("claim_key") % 3 > 0, F.col("claim_id"))) if name == "claims" else df
+    d = Holed(spark, SF_SMALL)
+    root = materialize(d, tempfile.mkdtemp(prefix="carelake-mat-", dir="/tmp") + "/domain", num_partitions=4)
+    got = {r.table_name: r.null_keys for r in MaterializedDomain(spark, root).counts().collect()}
+    assert got["claims"] == d.table("claims").where("claim_key % 3 = 0").count() > 0 and got["appeals"] == 0

@@ -310,3 +310,29 @@ def test_metric_view_other_dimensions(spark):
     for t, r in rates.items():
         sub = a.where(F.col("appeal_type") == t)
         assert r.appeals == sub.count() and r.overturned == sub.where("is_overturned").count()
+
+
+def test_fk_audit_by_bitmaps_equals_join_form(spark):
+    """Keys of every form; words whose cited keys all, none or partly have a parent."""
+    rng = random.Random(5)
+    forms = ["MBR-%05d", "MBR-%d", "%d", "x%dy", "é-%03d", "A1%020d", "Z%019d", "-%d", "%d "]
+    keys = [rng.choice(forms) % rng.choice([i, i * 64, i * 10**12]) for i in range(300)] + ["", "abc", "0", "00", "9" * 18, "9" * 19]
+    parents = rng.sample(keys, 200) + ["AB-%06d" % i for i in range(640)]
+    child = [(rng.choice(keys + [None]), rng.choice(parents)) for _ in range(2000)] + [("AB-000064", "AB-%06d" % i) for i in range(5000, 5100)]
+    t = {"p": spark.createDataFrame([(k,) for k in parents * 2] + [(None,)], "pk string"),
+         "c": spark.createDataFrame(child + [("abc", None)] * 500, "f string, g string").repartition(5),
+         "e": spark.createDataFrame([], "f string"), "n": spark.createDataFrame([(1,), (2,), (2,), (700,)], "k long"),
+         "m": spark.createDataFrame([(2,), (3,), (3,), (None,), (-1,)], "k long")}
+    fks = [("c", "f", "p", "pk"), ("c", "g", "p", "pk"), ("e", "f", "p", "pk"), ("m", "k", "n", "k")]
+    got = sorted(tuple(r) for r in A.fk_audit_bitmaps(t, fks).collect())
+    assert got == sorted(tuple(r) for r in A.fk_audit_by_join(t, fks).collect())
+    assert [r[2] > 0 for r in got] == [True, True, False, True]
+
+
+def test_key_bits_are_exact(spark):
+    keys = ["a1", "a01", "a", "a64", "a63", "", "1", "01", "b" + "7" * 18, "b" + "7" * 19, "0:a", "-5", "5-", "٣", "a\n1", "1\n"]
+    got = spark.createDataFrame([(k,) for k in keys], "k string").select(*A.key_bits(F.col("k")).values()).collect()
+    assert len(set(map(tuple, got))) == len(keys)
+    dense = spark.range(100_000).select(F.format_string("M%07d", "id").alias("k")).select(*A.key_bits(F.col("k")).values()).toDF("s", "w", "b")
+    words = dense.groupBy("s", "w").agg(F.bit_or("b").alias("b"))
+    assert words.count() == 1563 and words.agg(F.sum(F.bit_count("b"))).first()[0] == 100_000
