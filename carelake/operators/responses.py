@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import MAX_APPROVAL_ROUNDS
+from .ranking import row_number_within
 
 
 def vkind(v: Column) -> Column:
@@ -331,3 +332,20 @@ def history(conversations: DataFrame, failed: DataFrame) -> DataFrame:
     return (conversations.join(failed, ["conv_id", "turn"], "left_anti")
             .join(asked, ["conv_id", "turn", "role"], "left_anti")
             .select("conv_id", "turn", "role", F.col("text").alias("content")))
+
+
+def history_lists(history: DataFrame, size: int = 100) -> DataFrame:
+    """(conv_id, chunk, n_messages, messages): each conversation as one ordered
+    list of (role, content), in chunks of ``size`` messages counted from its
+    start.  Messages follow by turn (rows without one first), role and content.
+    They are numbered by ``row_number_within``, so a conversation with a third of
+    all turns is numbered by many tasks and no list is longer than ``size``; a
+    null conv_id is a conversation of its own."""
+    rows = history.select("conv_id", "turn", "role", "content").withColumn(
+        "_conv", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null")))
+    placed = row_number_within(rows, ["_conv"], [F.asc("turn"), F.asc("role"), F.asc("content")], "_at")
+    chunk = F.floor((F.col("_at") - 1) / size).cast("bigint")
+    return (placed.withColumn("chunk", chunk).groupBy("conv_id", "chunk")
+            .agg(F.array_sort(F.collect_list(F.struct("_at", "role", "content"))).alias("m"))
+            .select("conv_id", "chunk", F.size("m").cast("bigint").alias("n_messages"),
+                    F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages")))

@@ -196,14 +196,19 @@ def q_error_message(spark, sf_dir):
             .select(RID, "status", R.error_message(R.parsed(F.col("body")), F.col("body")).alias("error_message")))
 
 
-@register("history_build", f"""
+_HISTORY = f"""
 WITH f AS (
   SELECT conv_id, turn FROM conversations
-  WHERE role = 'assistant' AND {mix('conv_id * 100 + turn', 59, S.ERROR_ONE_IN)} = 0)
-SELECT c.conv_id, c.turn, c.role, c.text AS content
-FROM conversations c
-WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.conv_id = c.conv_id AND f.turn = c.turn)
-  AND NOT (c.role = 'user' AND EXISTS (SELECT 1 FROM f WHERE f.conv_id = c.conv_id AND f.turn - 1 = c.turn))""")
+  WHERE role = 'assistant' AND {mix('conv_id * 100 + turn', 59, S.ERROR_ONE_IN)} = 0),
+h AS (
+  SELECT c.conv_id, c.turn, c.role, c.text AS content
+  FROM conversations c
+  WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.conv_id = c.conv_id AND f.turn = c.turn)
+    AND NOT (c.role = 'user' AND EXISTS (SELECT 1 FROM f WHERE f.conv_id = c.conv_id AND f.turn - 1 = c.turn)))
+"""
+
+
+@register("history_build", _HISTORY + "SELECT * FROM h")
 def q_history_build(spark, sf_dir):
     """Turn history per conversation with failed requests removed (their
     assistant turn and the user turn that asked)."""
@@ -213,6 +218,20 @@ def q_history_build(spark, sf_dir):
     return R.history(conv, failed)
 
 
+@register("history_lists", _HISTORY + """, n AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, content NULLS FIRST) - 1) // 4 AS chunk
+  FROM h)
+SELECT conv_id, chunk, COUNT(*) AS n_messages,
+       string_agg(coalesce(role, '') || ': ' || coalesce(content, ''), chr(10) ORDER BY turn NULLS FIRST, role NULLS FIRST, content NULLS FIRST)
+         AS transcript
+FROM n GROUP BY conv_id, chunk""")
+def q_history_lists(spark, sf_dir):
+    """The message list of every conversation in chunks of 4 messages, written out as text."""
+    said = F.transform("messages", lambda x: F.concat(F.coalesce(x["role"], F.lit("")), F.lit(": "), F.coalesce(x["content"], F.lit(""))))
+    return R.history_lists(q_history_build(spark, sf_dir), 4).select(
+        "conv_id", "chunk", "n_messages", F.array_join(said, "\n").alias("transcript"))
+
+
 @register("assign_conversation_id", """
 SELECT conv_id, turn, CASE WHEN conv_id IS NOT NULL THEN printf('conv-%08d', conv_id) END AS conversation_id
 FROM conversations""")

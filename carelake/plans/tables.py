@@ -65,6 +65,27 @@ def q_apply_schema(spark, sf_dir):
     return B.conform(Domain.of(spark, sf_dir).appeals, S.APPEALS)
 
 
+_WRONG_DATE, _WRONG_FLAG = "right(appeal_id, 1) = '3'", "right(appeal_id, 1) IN ('3', '4')"
+
+
+@register("reconcile_schema", with_views("appeals") + "SELECT " + _select(S.APPEALS, {
+    "appeal_context": "CAST(NULL AS VARCHAR) AS appeal_context",
+    "appeal_date": f"CASE WHEN NOT ({_WRONG_DATE}) THEN appeal_date END AS appeal_date",
+    "is_overturned": f"CASE WHEN NOT ({_WRONG_FLAG}) THEN is_overturned END AS is_overturned"}) + f""",
+  concat_ws(',', CASE WHEN {_WRONG_DATE} THEN 'appeal_date=on ' || strftime(appeal_date, '%Y-%m-%d') END,
+                 CASE WHEN {_WRONG_FLAG} AND is_overturned IS NOT NULL THEN 'is_overturned=unknown' END) AS rescued
+FROM appeals""")
+def q_reconcile_schema(spark, sf_dir):
+    """Text rows of appeals with a missing and an extra column, and values of the
+    wrong type in some rows, brought to the declared schema."""
+    from pyspark.sql import functions as F
+    raw = B.bronze_text(B.build_appeals(Domain.of(spark, sf_dir))).drop("appeal_context").withColumns({
+        "appeal_date": F.expr(f"CASE WHEN {_WRONG_DATE} THEN 'on ' || appeal_date ELSE appeal_date END"),
+        "is_overturned": F.expr(f"CASE WHEN {_WRONG_FLAG} AND is_overturned IS NOT NULL THEN 'unknown' ELSE is_overturned END"),
+        "batch": F.lit("extra")})
+    return B.reconcile(raw, S.APPEALS).withColumn("rescued", F.array_join("rescued", ","))
+
+
 _BRONZE_APPEALS = with_views("appeals") + "SELECT " + ", ".join(
     f"CAST({f.name} AS VARCHAR) AS {f.name}" for f in S.APPEALS.fields) + " FROM appeals"
 

@@ -26,6 +26,22 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.to(schema)
 
 
+def reconcile(df: DataFrame, schema: StructType) -> DataFrame:
+    """Rows that do not fit ``schema``, kept: its columns in its order, and
+    ``rescued``.  A missing column is null, an extra column goes, and a value that
+    is no value of the declared type is null and stands in ``rescued`` as
+    ``name=text`` (in the order of the schema; empty where all fit)."""
+    have = {c: F.col(c) for c in df.columns}
+    fitted, bad = [], []
+    for f in schema.fields:
+        value = have[f.name].try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)
+        fitted.append(value.alias(f.name))
+        if f.name in have:
+            wrong = have[f.name].isNotNull() & value.isNull()
+            bad.append(F.when(wrong, F.concat(F.lit(f"{f.name}="), have[f.name].cast("string"))))
+    return df.select(*fitted, (F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")).alias("rescued"))
+
+
 def _iso(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: iso_date(n) for n in names})
 

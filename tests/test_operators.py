@@ -336,3 +336,15 @@ def test_key_bits_are_exact(spark):
     dense = spark.range(100_000).select(F.format_string("M%07d", "id").alias("k")).select(*A.key_bits(F.col("k")).values()).toDF("s", "w", "b")
     words = dense.groupBy("s", "w").agg(F.bit_or("b").alias("b"))
     assert words.count() == 1563 and words.agg(F.sum(F.bit_count("b"))).first()[0] == 100_000
+
+
+def test_reconcile_keeps_what_does_not_fit(spark):
+    from pyspark.sql import types as T
+
+    from carelake.sources.builds import reconcile
+    schema = T.StructType([T.StructField("d", T.DateType()), T.StructField("n", T.LongType()), T.StructField("gone", T.StringType())])
+    df = spark.createDataFrame([("7", "x", "2024-02-30"), ("oops", "x", "2024-02-29"), (None, "x", None)], "n string, extra string, d string")
+    out = reconcile(df, schema)
+    assert out.schema.names == ["d", "n", "gone", "rescued"] and [f.dataType for f in out.schema.fields[:3]] == [f.dataType for f in schema.fields]
+    got = {(str(r.d), r.n, r.gone, tuple(r.rescued)) for r in out.collect()}
+    assert got == {("None", 7, None, ("d=2024-02-30",)), ("2024-02-29", None, None, ("n=oops",)), ("None", None, None, ())}

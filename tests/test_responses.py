@@ -256,3 +256,19 @@ def test_date_ranges_prune_written_months(spark):
     from carelake.sources.materialize import written
     plan = written(spark, "/root/testdata/sf0.001").between("claims", "1995-03-10", "1995-06-20")
     assert "PartitionFilters: [isnotnull(submitted_month" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_history_lists_are_ordered_and_bounded(spark):
+    """A null conversation, one with most turns, repeated turns and null texts."""
+    from carelake.operators import responses as R
+    rows = [(None, i, "user", f"n{i:03d}") for i in range(25)] + [(1, i, ["user", "assistant"][i % 2], f"t{i:04d}") for i in range(1000)]
+    rows += [(2, 0, "user", None), (2, 0, "user", "b"), (2, None, "user", "first"), (2, 0, "assistant", "a")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string").repartition(5)
+    got = R.history_lists(df, 10).collect()
+    assert max(r.n_messages for r in got) == 10 and all(len(r.messages) == r.n_messages for r in got)
+    whole = {}
+    for r in sorted(got, key=lambda r: r.chunk):
+        whole.setdefault(r.conv_id, []).extend(m.content for m in r.messages)
+    assert whole[1] == [f"t{i:04d}" for i in range(1000)] and whole[None] == [f"n{i:03d}" for i in range(25)]
+    assert whole[2] == ["first", "a", None, "b"]
+    assert R.history_lists(df.limit(0)).count() == 0
