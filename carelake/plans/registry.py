@@ -29,5 +29,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that its queries register."""
-    from . import (audits, dashboard, evaluation, functions, measures, predicates,  # noqa: F401
-                   responses, tables)
+    from . import (audits, dashboard, evaluation, functions, measures, partials,  # noqa: F401
+                   predicates, responses, tables)

@@ -50,7 +50,8 @@ def test_fk_audit_is_one_grouping_shuffle(spark):
 
 
 BOUNDED_WINDOW = {"result_records", "summary_pack"}   # number a bounded summary result
-BOUNDED_COLLECT = {"brand_drug_appeals", "tool_use_summary", "chat_answers"}  # 8-row brand table; per request (<= 10 rounds)
+# 8-row brand table; per request (<= 10 rounds); per numbered chunk (<= size, asserted in test_responses)
+BOUNDED_COLLECT = {"brand_drug_appeals", "tool_use_summary", "chat_answers", "history_lists"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"live_scoring"}))
