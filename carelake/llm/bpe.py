@@ -126,9 +126,9 @@ class Vocabulary:
         pos = (np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
         self.con.register("tokens", pa.table({"w": w, "pos": pos, "id": pa.array(ids, pa.int32())}))
 
-    def _contract(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of every piece (none empty) by the recursive query."""
-        found, done = [], 0
+    def _contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids of every piece (none empty), and all ids, by the recursive query."""
+        sizes, ids, done = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], 0
         while done < len(pieces):
             end, most, long = done, 0, len(pieces[done]) > LONG
             while end < len(pieces) and (len(pieces[end]) > LONG) == long:
@@ -139,10 +139,15 @@ class Vocabulary:
             some = pieces[done:end]
             self._rows(np.array([len(p) for p in some]), self.of_byte[np.frombuffer(b"".join(some), np.uint8)])
             got = self.con.execute(STEP_LONG if long else STEP).fetchnumpy()
-            ends = np.cumsum(np.bincount(got["w"], minlength=len(some)))
-            found += np.split(np.asarray(got["id"], np.int32), ends[:-1])
+            sizes.append(np.bincount(got["w"], minlength=len(some)))
+            ids.append(np.asarray(got["id"], np.int32))
             done = end
-        return found
+        return np.concatenate(sizes), np.concatenate(ids)
+
+    def _apart(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of every piece (none empty), one array each."""
+        sizes, ids = self._contract(pieces)
+        return np.split(ids, np.cumsum(sizes)[:-1]) if pieces else []
 
     def _joined(self, left: list[np.ndarray], right: list[np.ndarray]) -> list[np.ndarray]:
         """The encodings of left[i] + right[i], both encodings of their own bytes."""
@@ -150,7 +155,7 @@ class Vocabulary:
         todo, k = list(range(len(left))), 0
         while todo:
             # the k tokens on both sides of the seam are encoded anew; then the neighbours there must fit
-            middle = self._contract([self._bytes([*left[i][max(len(left[i]) - k, 0):], *right[i][:k]]) for i in todo]) if k else [
+            middle = self._apart([self._bytes([*left[i][max(len(left[i]) - k, 0):], *right[i][:k]]) for i in todo]) if k else [
                 np.zeros(0, np.int32)] * len(todo)
             made, pairs = [], []
             for i, new in zip(todo, middle):
@@ -162,7 +167,7 @@ class Vocabulary:
                 self.fits.clear()
             apart = sorted({p for _, p in pairs if p not in self.fits})
             if apart:
-                for p, ids in zip(apart, self._contract([self._bytes(p) for p in apart])):
+                for p, ids in zip(apart, self._apart([self._bytes(p) for p in apart])):
                     self.fits[p] = ids.tolist() == list(p)
             bad = {i for i, p in pairs if not self.fits[p]}
             for i, parts in zip(todo, made):
@@ -176,9 +181,21 @@ class Vocabulary:
 
     def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ids of every piece (none empty), and all ids."""
-        blocks = [[p] if len(p) <= LONG else [p[i:i + LONG] for i in range(0, len(p), LONG)] for p in pieces]
-        flat = self._contract(list(chain.from_iterable(blocks)))
-        at = iter(flat)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        if not (size > LONG).any():
+            return self._contract(pieces)
+        n, ids = self._contract([p for p in pieces if len(p) <= LONG])
+        found = self._encode_long([p for p in pieces if len(p) > LONG])
+        counts = np.empty(len(pieces), np.int64)
+        counts[size <= LONG], counts[size > LONG] = n, [len(x) for x in found]
+        starts, of = np.empty(len(pieces), np.int64), np.concatenate([np.flatnonzero(size <= LONG), np.flatnonzero(size > LONG)])
+        starts[of] = np.cumsum(counts[of]) - counts[of]
+        return counts, spans(np.concatenate([ids, *found]), starts, counts)
+
+    def _encode_long(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of pieces over LONG bytes: their blocks' ids, joined in pairs."""
+        blocks = [[p[i:i + LONG] for i in range(0, len(p), LONG)] for p in pieces]
+        at = iter(self._apart(list(chain.from_iterable(blocks))))
         found = [[next(at) for _ in b] for b in blocks]
         left = [i for i, b in enumerate(found) if len(b) > 1]
         while left:  # all pieces' blocks are joined in pairs at once
@@ -188,8 +205,7 @@ class Vocabulary:
                 b = found[i]
                 found[i] = [next(joined) if j + 1 < len(b) else b[j] for j in range(0, len(b), 2)]
             left = [i for i in left if len(found[i]) > 1]
-        return np.array([len(b[0]) for b in found], np.int64), (
-            np.concatenate([b[0] for b in found]) if found else np.zeros(0, np.int32))
+        return [b[0] for b in found]
 
     def decode(self, sizes: np.ndarray, ids: np.ndarray) -> list[bytes]:
         """Bytes of every sequence of ids."""
