@@ -15,20 +15,24 @@ def format_id(prefix: str, width: int, key) -> Column:
     """``PFX-`` + zero-padded key, as ``'%0<width>d'`` formats it; never truncates.
 
     ``lpad`` alone truncates a key wider than the pad, so it is used only for
-    keys in ``[0, 10**width)``; other keys go through ``format_string``.
-    The common path avoids per-row format parsing."""
+    keys in ``[0, 10**width)``; longer keys stand as they are, and only
+    negative and null keys go through ``format_string``.
+    The common paths avoid per-row format parsing."""
     k = _col(key)
-    fast = F.lpad(k.cast("string"), width, "0")
+    digits = k.cast("string")
     return F.concat(F.lit(f"{prefix}-"),
-                    F.when((k >= F.lit(0)) & (k < F.lit(10 ** width)), fast)
+                    F.when(k >= F.lit(10 ** width), digits)
+                     .when(k >= F.lit(0), F.lpad(digits, width, "0"))
                      .otherwise(F.format_string(f"%0{width}d", k)))
 
 
 def fixed_digits(key, p: int, digits: int) -> Column:
-    """Stable ``digits``-long numeric string (first digit non-zero)."""
+    """Stable ``digits``-long numeric string (first digit non-zero); only
+    negative and null keys need a per-row format."""
     lo = 10 ** (digits - 1)
     span = 9 * lo
-    return F.format_string(f"%0{digits}d", F.lit(lo) + (_col(key) * F.lit(p)) % F.lit(span))
+    n = F.lit(lo) + (_col(key) * F.lit(p)) % F.lit(span)
+    return F.when(n >= F.lit(lo), n.cast("string")).otherwise(F.format_string(f"%0{digits}d", n))
 
 
 def pattern_digits(key, p1: int, p2: int) -> Column:

@@ -9,8 +9,15 @@ layout:
 * rows are range-partitioned on ``(date, key)`` before the write, so each
   task writes a contiguous slice of a few months (few files) and a date that
   holds a third of all rows is still split over many tasks;
-* the small dimension tables (``members``, ``providers``, ``eligibility``)
-  are written as they are.
+* ``claims`` and ``prior_authorizations`` keep the order's date and key, so it
+  is the narrow ``orders`` that are dealt out, and their wide rows are derived
+  once, behind that shuffle, where they are written (a range shuffle reads its
+  input twice, for the bounds and for the rows);
+* the dimension tables (``members``, ``providers``, ``eligibility``) are
+  written as they are, from their source rows dealt out by key.
+
+Rows of twenty derived columns make a generated method that the JVM does not
+compile; ``small_methods`` has Spark split it for these writes.
 
 The job that writes a table also observes its rows and its rows without a
 key (``DataFrame.observe``, behind the last shuffle, where a repeated task counts
@@ -22,12 +29,15 @@ these files, not from the source scan.
 """
 from __future__ import annotations
 
+import copy
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.audits import PRIMARY_KEYS
 from .domain import DOMAIN_TABLES, Domain
-from .sinks import table_root
+from .sinks import small_methods, table_root
 from .tables import is_folder, listing
 
 LAYOUT = {
@@ -40,29 +50,48 @@ LAYOUT = {
 
 #: Folder of the observed figures.
 COUNTS = "_counts"
+#: Tables whose LAYOUT's date and key are an order's.
+FROM_ORDERS = ("claims", "prior_authorizations")
+
+
+def dealt_out(domain: Domain, n: int) -> Domain:
+    """``domain`` over the same source rows, ``orders`` in ``n`` ranges of (date,
+    key), customers and suppliers dealt out by key; definitions are built anew."""
+    out = copy.copy(domain)
+    out.__dict__ = {k: v for k, v in domain.__dict__.items() if k not in (*DOMAIN_TABLES, "_loaded")}
+    out._loaded = {"orders": domain.t("orders").repartitionByRange(n, F.col("o_orderdate").cast("date"), "o_orderkey"),
+                   "customer": domain.t("customer").repartition("c_custkey"),
+                   "supplier": domain.t("supplier").repartition("s_suppkey")}
+    return out
 
 
 def materialize(domain: Domain, root: str | None = None, num_partitions: int | None = None) -> str:
     spark = domain.spark
     root = (root or table_root(spark) + "/domain").rstrip("/")
-    counts = []
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for name in DOMAIN_TABLES:
-        df = domain.table(name)
-        if name in LAYOUT:
-            date_col, key_col, part_col = LAYOUT[name]
-            df = (df.withColumn(part_col, F.date_format(date_col, "yyyy-MM"))  # text: kept as text when read
-                  .repartitionByRange(n, date_col, key_col))
-        seen = Observation()
-        w = df.observe(seen, F.count(F.lit(1)).alias("row_count"),
-                       F.count(F.when(F.col(PRIMARY_KEYS[name]).isNull(), 1)).alias("null_keys")).write.mode("overwrite")
-        (w.partitionBy(LAYOUT[name][2]) if name in LAYOUT else w).parquet(f"{root}/{name}")
-        counts.append((name, seen.get["row_count"], seen.get["null_keys"]))
+    dealt = dealt_out(domain, n)
+    tables = {name: (domain if name == "appeals" else dealt).table(name) for name in DOMAIN_TABLES}
+    with small_methods(spark), ThreadPoolExecutor(len(tables)) as pool:  # a table's few tasks leave no core idle
+        counts = list(pool.map(lambda name: _write(tables[name], name, root, n), tables))
     (spark.createDataFrame(counts, "table_name string, row_count long, null_keys long").coalesce(1)
      .write.mode("overwrite").parquet(f"{root}/{COUNTS}"))
     return root
 
 
+def _write(df: DataFrame, name: str, root: str, n: int) -> tuple[str, int, int]:
+    """Write one table; its name, rows and rows without a key."""
+    if name in LAYOUT:
+        date_col, key_col, part_col = LAYOUT[name]
+        df = df.withColumn(part_col, F.date_format(date_col, "yyyy-MM"))  # text: kept as text when read
+        if name not in FROM_ORDERS:
+            df = df.repartitionByRange(n, date_col, key_col)
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("row_count"),
+                   F.count(F.when(F.col(PRIMARY_KEYS[name]).isNull(), 1)).alias("null_keys")).write.mode("overwrite")
+    (w.partitionBy(LAYOUT[name][2]) if name in LAYOUT else w).parquet(f"{root}/{name}")
+    return name, seen.get["row_count"], seen.get["null_keys"]
+
+
 class MaterializedDomain(Domain):
     """The same table attributes as ``Domain``, read from written copies."""
 

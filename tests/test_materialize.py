@@ -70,3 +70,35 @@ def test_observed_counts_of_missing_keys(spark):
     root = materialize(d, tempfile.mkdtemp(prefix="carelake-mat-", dir="/tmp") + "/domain", num_partitions=4)
     got = {r.table_name: r.null_keys for r in MaterializedDomain(spark, root).counts().collect()}
     assert got["claims"] == d.table("claims").where("claim_key % 3 = 0").count() > 0 and got["appeals"] == 0
+
+
+def test_wide_rows_are_derived_behind_the_shuffle(spark):
+    """Only orders' own columns are shuffled for claims and authorizations; settings are as before."""
+    import re
+
+    from carelake.sources.materialize import FROM_ORDERS, dealt_out
+    from carelake.sources.sinks import small_methods
+    d = Domain.of(spark, SF_SMALL)
+    dealt = dealt_out(d, 4)
+    for name in FROM_ORDERS:
+        plan = dealt.table(name)._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("rangepartitioning"):]
+        assert "Project [" not in below.split("Scan parquet")[0] and set(re.findall(r"\bo_\w+", below)) <= {
+            "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"}
+        assert dealt.table(name).exceptAll(d.table(name)).isEmpty() and dealt.table(name).count() == d.table(name).count()
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key, None)
+    with small_methods(spark):
+        assert int(spark.conf.get(key)) == 8000
+    assert spark.conf.get(key, None) == before
+
+
+def test_ids_of_any_width(spark):
+    from pyspark.sql import functions as F
+
+    from carelake.functions.scalars import fixed_digits, format_id
+    keys = [0, 7, 99, 100, 101, 12345, 10**17, -1, -100, -12345, None]
+    got = spark.createDataFrame([(k,) for k in keys], "k long").select(
+        format_id("X", 2, F.col("k")), F.concat(F.lit("X-"), F.format_string("%02d", "k")),
+        fixed_digits(F.col("k"), 7, 3), F.format_string("%03d", F.lit(100) + F.col("k") * 7 % F.lit(900))).collect()
+    assert len(got) == len(keys) and all(r[0] == r[1] and r[2] == r[3] for r in got)
