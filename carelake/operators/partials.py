@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import current_version, read_saved, save_overwrite
+from ..sources.sinks import current_version, read_saved, save_overwrite, small_methods
 from ..sources.tables import child_folders, hadoop_path
 from .audits import key_bits
 
@@ -85,4 +85,5 @@ def refresh(spark: SparkSession, table: str, column: str, path: str, dims: list[
     if stored is not None:
         kept = [m for m in now if m not in changed]
         new = stored.where(F.col("month").isin(kept)).unionByName(new)
-    return save_overwrite(new, path)
+    with small_methods(spark):
+        return save_overwrite(new, path)
