@@ -113,52 +113,38 @@ def fk_audit_bitmaps(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> DataFram
 
     Keys are bits of 64-bit words (``key_bits``), which ``bit_or`` builds inside
     each task, for parents and for every foreign key alike, so up to 64 keys are
-    one row of the shuffle, and scattered keys never more rows than keys.  A word
-    in which no cited key has a parent gives its references as orphans, a word in
-    which all have one gives none.  Only for words with both are the children
-    read again and counted by key; without such words a sub-query stops that
-    second read's rows before its shuffle."""
+    one row of the shuffle, and scattered keys never more rows than keys.  Each
+    column is read for itself, so a task's loop is one key and two aggregates.
+    The words are written once to the checkpoint folder.  A word in which no
+    cited key has a parent gives its references as orphans, a word in which all
+    have one gives none.  Only foreign keys with words of both are read again
+    and counted by key."""
     names = [f"{c}.{fk}" for c, fk, _, _ in fks]
-
-    def bits(fk: str | None, parent: str, key: str) -> Column:
-        return F.struct(F.lit(fk).cast("string").alias("fk"), F.lit(parent).alias("parent"), F.col(key).isNotNull().alias("there"),
-                        *(c.alias(n) for n, c in key_bits(F.col(key)).items()))
-
-    cited, own = {}, {}
-    for c, fk, p, pk in fks:
-        cited.setdefault(c, []).append(bits(f"{c}.{fk}", p, fk))
-        own.setdefault(p, {})[pk] = bits(None, p, pk)
-
-    def rows(emitted: dict[str, list]) -> DataFrame:
-        u = None
-        for table, structs in emitted.items():
-            part = tables[table].select(F.explode(F.array(*structs)).alias("_r")).select("_r.*").where("there").drop("there")
-            u = part if u is None else u.unionByName(part)
-        return u
-
-    everything = {t: cited.get(t, []) + list(own.get(t, {}).values()) for t in {**cited, **own}}
-    agg = [F.bit_or(F.when(F.col("fk").isNull(), F.col("bit"))).alias("_p")]
-    for i, n in enumerate(names):
-        mine = F.col("fk") == n
-        agg += [F.bit_or(F.when(mine, F.col("bit"))).alias(f"_c{i}"), F.count(F.when(mine, 1)).alias(f"_n{i}")]
-    words = rows(everything).groupBy("parent", "shape", "word").agg(*agg)
-    has = F.coalesce("_p", F.lit(0).cast("bigint"))
-    per = F.array(*[F.struct(F.lit(n).alias("fk"), F.coalesce(f"_c{i}", F.lit(0).cast("bigint")).alias("bits"), F.col(f"_n{i}").alias("n"))
-                    for i, n in enumerate(names)])
-    per_fk = (words.select("shape", "word", has.alias("has"), F.explode(per).alias("_x")).select("shape", "word", "has", "_x.*")
-              .withColumn("missing", F.col("bits").bitwiseAND(F.bitwise_not("has"))))
+    cited = {f"{c}.{fk}": (c, fk, f"{p}.{pk}") for c, fk, p, pk in fks}
+
+    def bits(table: str, key: str, fk: str | None, parent: str) -> DataFrame:
+        return tables[table].select(F.lit(fk).cast("string").alias("fk"), F.lit(parent).alias("parent"),
+                                    *(c.alias(n) for n, c in key_bits(F.col(key)).items()))
+
+    rows = None
+    for part in [*(bits(c, fk, n, p) for n, (c, fk, p) in cited.items()),
+                 *(bits(p, pk, None, f"{p}.{pk}") for p, pk in sorted({(p, pk) for _, _, p, pk in fks}))]:
+        rows = part if rows is None else rows.unionByName(part)
+    words = (rows.groupBy("fk", "parent", "shape", "word").agg(F.bit_or("bit").alias("bits"), F.count(F.lit(1)).alias("n"))
+             .checkpoint(eager=True).where(F.col("shape").isNotNull()))  # null keys are no references
+    own = words.where(F.col("fk").isNull()).select("parent", "shape", "word", F.col("bits").alias("has"))
+    per_fk = words.where(F.col("fk").isNotNull()).join(own, ["parent", "shape", "word"], "left").withColumn(
+        "missing", F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("has", F.lit(0).cast("bigint")))))
     none = F.col("bits") == F.col("missing")
-    sure = per_fk.groupBy("fk").agg(F.sum("n").alias("references"),
-                                    F.sum(F.when(none, F.col("n")).otherwise(0)).alias("orphans"))
-    mixed = per_fk.where(~none & (F.col("missing") != 0)).select(
-        F.col("fk").alias("_fk"), F.col("shape").alias("_shape"), F.col("word").alias("_word"), "missing")
-    some = mixed.agg(F.count(F.lit(1))).scalar() > 0
-    again = rows(cited).where(some).groupBy("fk", "shape", "word", "bit").agg(F.count(F.lit(1)).alias("n"))
-    hit = again.join(mixed, (F.col("fk") == F.col("_fk")) & (F.col("shape") == F.col("_shape")) & (F.col("word") == F.col("_word")))
-    hit = hit.where(F.col("bit").bitwiseAND(F.col("missing")) != 0).select(
-        "fk", F.lit(0).cast("bigint").alias("references"), F.col("n").alias("orphans"))
+    counts = per_fk.groupBy("fk").agg(F.sum("n").alias("references"),
+                                      F.sum(F.when(none, F.col("n")).otherwise(0)).alias("orphans"))
+    mixed = per_fk.where(~none & (F.col("missing") != 0)).select("fk", "shape", "word", "missing")
+    for n in sorted(r.fk for r in mixed.select("fk").distinct().collect()):
+        again = bits(cited[n][0], cited[n][1], n, cited[n][2]).groupBy("fk", "shape", "word", "bit").agg(F.count(F.lit(1)).alias("n"))
+        hit = again.join(mixed.where(F.col("fk") == n), ["fk", "shape", "word"]).where(F.col("bit").bitwiseAND(F.col("missing")) != 0)
+        counts = counts.unionByName(hit.select("fk", F.lit(0).cast("bigint").alias("references"), F.col("n").alias("orphans")))
     zero = tables[fks[0][0]].sparkSession.createDataFrame([(n, 0, 0) for n in names], "fk string, references long, orphans long")
-    return (sure.unionByName(hit).unionByName(zero).groupBy("fk")
+    return (counts.unionByName(zero).groupBy("fk")
             .agg(F.sum("references").alias("references"), F.sum("orphans").alias("orphans")))
 
 
