@@ -17,8 +17,9 @@ that grows over ``LONG`` bytes (a run whose blocks are out of step), a step
 contracts all occurrences of the minimum pair, from the left.
 
 One task is one Python process with one DuckDB session, for both ways.  It
-remembers at most ``REMEMBERED`` bytes of pieces and a query makes at most
-``AT_ONCE`` rows, so its memory does not grow with its input.  The
+remembers at most ``REMEMBERED`` bytes of pieces, a query makes at most
+``AT_ONCE`` rows, and ids are put together, decoded and sent on ``PART`` at a
+time, so its memory does not grow with its input.  The
 vocabulary file is a parameter and is read where the task runs.
 
 Defined results: a null text is empty; an empty text has no ids and decodes to
@@ -49,6 +50,8 @@ from .registry import register
 LONG = 64
 #: Bytes of known pieces (with 64 for each piece), rows that one query makes, DuckDB's memory.
 REMEMBERED, AT_ONCE, MEMORY = 24 << 20, 4 << 20, "512MB"
+#: Ids that are put together, decoded and sent on at once.
+PART = 1 << 17
 
 STEP = """
 WITH RECURSIVE t(w, pos, id, live) AS (
@@ -256,28 +259,48 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return split
 
 
-def _encoded(voc_of: Callable[[], Vocabulary], pattern: str) -> Callable[[pa.Array], pa.ListArray]:
-    """Ids of the texts of a column; known pieces are remembered from call to call."""
+def _parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Rows [start, end) of at most ``most`` ids in all, or of one row."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + most, side="right")))
+        yield at, to
+        at = to
+
+
+def _encoded(voc_of: Callable[[], Vocabulary], pattern: str) -> Callable[[pa.Array], Iterator[pa.ListArray]]:
+    """Ids of the texts of a column, about ``PART`` at a time; known pieces are
+    remembered from call to call."""
     split, known, weight = splitter(pattern), Numbers(), 0
-    starts = counts = ids = np.zeros(0, np.int64)  # of the known pieces, by their number
+    starts, counts, ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)  # of the known pieces, by their number
 
-    def run(texts: pa.Array) -> pa.ListArray:
+    def run(texts: pa.Array) -> Iterator[pa.ListArray]:
         nonlocal known, weight, starts, counts, ids
         if weight > REMEMBERED:
             known, weight, starts, counts, ids = Numbers(), 0, starts[:0], counts[:0], ids[:0]
-        docs = [split(x) if x else [] for x in texts.to_pylist()]
         old = len(known)
-        flat = np.fromiter(map(known.__getitem__, chain.from_iterable(docs)), np.int64)
+        # the pieces of one text at a time, kept as their numbers
+        docs = [np.fromiter(map(known.__getitem__, split(x.as_py() or "")), np.int32) for x in texts]
         new = [p.encode() for p in islice(known, old, None)]
         weight += 64 * len(new) + sum(map(len, new))
         n, found = voc_of().encode(new)
+        del new
         starts = np.concatenate([starts, len(ids) + np.cumsum(n) - n])
         counts, ids = np.concatenate([counts, n]), np.concatenate([ids, found])
-        ends = np.cumsum(np.concatenate([[0], counts[flat]]))[np.cumsum([0, *map(len, docs)])]
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spans(ids, starts[flat], counts[flat]), pa.int32()))
+        sizes = np.array([counts[d].sum() for d in docs], np.int64)
+        for at, to in _parts(sizes, PART):
+            flat = np.concatenate(docs[at:to])
+            ends = np.concatenate([[0], np.cumsum(sizes[at:to])])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spans(ids, starts[flat], counts[flat]), pa.int32()))
     return run
 
 
+def _given(ids: pa.ListArray) -> Iterator[pa.ListArray]:
+    """The rows of a column of ids, about ``PART`` ids at a time."""
+    for at, to in _parts(np.diff(ids.offsets.to_numpy()), PART):
+        yield ids.slice(at, to - at)
+
+
 def _decoded(voc: Vocabulary, ids: pa.ListArray) -> pa.Array:
     return pa.array(voc.decode(np.diff(ids.offsets.to_numpy()), ids.flatten().to_numpy()), pa.binary())
 
@@ -292,16 +315,18 @@ def coder(path: str, pattern: str | None, decodes: bool) -> Callable[[Iterator[p
             nonlocal voc
             voc = voc or Vocabulary(path)
             return voc
-        encoded = _encoded(session, pattern) if pattern else None
+        parts = _encoded(session, pattern) if pattern else _given
         for b, k, given in _batches(batches, "text" if pattern else "ids"):
             if not b.num_rows:
                 continue
-            ids = encoded(given) if pattern else given
-            cols = [ids if i == k else c for i, c in enumerate(b.columns)]
-            names = ["ids" if i == k else n for i, n in enumerate(b.schema.names)]
-            if decodes:
-                cols, names = [*cols, _decoded(session(), ids)], [*names, "decoded"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            at = 0
+            for ids in parts(given):
+                cols = [ids if i == k else c.slice(at, len(ids)) for i, c in enumerate(b.columns)]
+                names = ["ids" if i == k else n for i, n in enumerate(b.schema.names)]
+                if decodes:
+                    cols, names = [*cols, _decoded(session(), ids)], [*names, "decoded"]
+                at += len(ids)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
     return released(run)
 
 

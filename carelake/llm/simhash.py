@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, prepare, table
+from .common import components, contract, cut, prepare, table
 from .registry import register
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -146,7 +146,8 @@ def _with_end(batches):
 
 
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """Edges (a, b) that connect distinct fingerprints ``fp`` within ``radius`` bits."""
+    """Edges (a, b) that connect distinct fingerprints ``fp`` within ``radius``
+    bits, contracted in each task."""
     width = 64 // (radius + 1)
     ranges = [(i * width, 64 - i * width if i == radius else width) for i in range(radius + 1)]
     vals = [F.struct(F.lit(i).alias("range"), F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << n) - 1)).alias("val"))
@@ -159,16 +160,16 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD)
             .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
             .withColumn("side", F.when(F.col("i") == F.col("j"), 2).when(F.col("own") == F.col("i"), 0).otherwise(1)))
-    keys = ["range", "val", "i", "j"]
+    keys, trees = ["range", "val", "i", "j"], _trees(radius)
     return (rows.select(*keys, "side", "fp").repartition(*keys).sortWithinPartitions(*keys)
-            .mapInArrow(_trees(radius), "a long, b long"))
+            .mapInArrow(lambda batches: contract(trees(batches)), "a long, b long"))
 
 
 def simhash_components(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, th, fp, component (a fingerprint) and component_id of every row of ``docs``."""
     rows = cut(fingerprints(docs, n))
     nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    comp = components(fingerprint_links(nodes.select("fp"), radius))
+    comp = components(fingerprint_links(nodes.select("fp"), radius), contracted=True)
     nodes = (nodes.join(comp, nodes.fp == comp.node, "left")
              .select("fp", "first", F.coalesce("component", "fp").alias("component")))
     first = nodes.groupBy("component").agg(F.min("first").alias("component_id"))

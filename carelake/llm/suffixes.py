@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, explode_count, prepare, table
+from .common import cut, explode_count, prepare, released, table
 from .registry import register
 from .repeats import GROUP, contents, covered, crowded, distinct_segments, grouped, keyed, packed, repeated, runs, spans, texts
 
@@ -140,8 +140,9 @@ def byte_cuts(docs: DataFrame, least: int = MIN_BYTES, keep: str = "first") -> D
     rows = contents(segs.where("segs > 1"), docs, slicer, least)
     out = "a long, s long, anywhere array<int>, earlier array<int>"
     found = grouped(rows.where(F.col("segs") <= GROUP), kernel(least), out)
-    many = rows.where(F.col("segs") > GROUP)
-    found = cut(found.union(crowded(many, tokens, least)))
+    if not segs.where(F.col("segs") > GROUP).isEmpty():  # else no task keeps two Python workers for it
+        found = found.union(crowded(rows.where(F.col("segs") > GROUP), tokens, least))
+    found = cut(found)
     return spans(occ, segs.join(found, ["a", "s"], "left"), keep == "first")
 
 
@@ -197,7 +198,7 @@ def dedup(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
         joined = packed(r).withColumnsRenamed({"k1": "_k1", "k2": "_k2"}).join(
             cuts.withColumnsRenamed({"k1": "_a", "k2": "_b"}), (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b")), "left")
         return (joined.withColumn("_copy", copy).where(F.col("_copy").isNotNull())
-                .select("_row", "z", "cuts", "_copy").mapInArrow(run, schema))
+                .select("_row", "z", "cuts", "_copy").mapInArrow(released(run), schema))
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress

@@ -4,10 +4,14 @@ import collections
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -16,6 +20,7 @@ from carelake.llm import bpe, debruijn, mixing, queries, repeats, sharding, simh
 from .conftest import DOCS, MESSY, rows
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ROOT = Path(__file__).resolve().parents[2]
 TEXTS = [(r[0], r[1]) for r in MESSY]
 
 
@@ -432,6 +437,26 @@ def test_bpe_forgets_and_empty(llm, monkeypatch, empty):
     assert bpe.round_trip(empty, PATH).count() == 0
 
 
+@pytest.mark.parametrize("ids_given", [False, True])
+def test_bpe_sends_ids_on_in_bounded_parts(reference, monkeypatch, ids_given):
+    """A batch of long texts is decoded and sent on about PART ids at a time, no row lost."""
+    monkeypatch.setattr(bpe, "PART", 50)
+    texts = ["", None, *(f"word {i} " * (i % 9) for i in range(60)), "long " * 100, None, ""]
+    ids = [reference.encode_ordinary(x or "") for x in texts]
+    of = pa.array(ids, pa.list_(pa.int32())) if ids_given else pa.array(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), of], names=["doc_id", "ids" if ids_given else "text"])
+    out = list(bpe.coder(PATH, None if ids_given else public_tokenizers.PATTERN, True)(iter([batch.slice(1)])))
+    assert len(out) > 10 and all(b.num_rows == 1 or len(b.column(1).flatten()) <= 50 for b in out)
+    got = [(r["doc_id"], r["ids"], r["decoded"].decode()) for b in out for r in b.to_pylist()]
+    assert got == [(i, ids[i], texts[i] or "") for i in range(1, len(texts))]
+
+
+def test_workers_do_not_load_pandas():
+    """What a task imports of the operators leaves pandas out: each worker of an executor would hold its own."""
+    code = "import sys; from carelake.llm import bpe, mixing, simhash, suffixes, toxicity; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=ROOT, timeout=120).returncode == 0
+
+
 def test_long_pieces_are_joined_from_blocks(reference):
     """Runs, words, letters and a piece of a megabyte: blocks joined at their seams equal the whole."""
     import random
