@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,7 +129,7 @@ def vector_links(vectors: DataFrame, least: float = COSINE) -> tuple[DataFrame,
                 return
             rows, at = [], 0
             label = t["label"].combine_chunks()
-            change = np.flatnonzero(np.asarray(pa.compute.not_equal(label[1:], label[:-1]))) + 1 if len(label) > 1 else []
+            change = np.flatnonzero(np.asarray(pc.not_equal(label[1:], label[:-1]))) + 1 if len(label) > 1 else []
             for end in [*change, t.num_rows]:
                 final = last or end < t.num_rows
                 while end - at >= BLOCK or final and at < end:

@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -230,7 +231,7 @@ def grouped(rows: DataFrame, kernel: Callable[[pa.Table], pa.RecordBatch], schem
                 continue
             a = held["a"].to_numpy()
             edge = np.concatenate([[0], np.flatnonzero(a[1:] != a[:-1]) + 1, [len(a)] if last else []]).astype(np.int64)
-            size = np.concatenate([[0], np.cumsum(pa.compute.binary_length(held["content"]).to_numpy())])
+            size = np.concatenate([[0], np.cumsum(pc.binary_length(held["content"]).to_numpy())])
             i = 0
             while i < len(edge) - 1:
                 j = max(i + 1, int(np.searchsorted(size[edge], size[edge[i]] + PACK, side="right")) - 1)

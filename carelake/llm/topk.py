@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def _matrix(col: pa.ChunkedArray, dims: int) -> np.ndarray:
 
 
 def _width(t: pa.Table) -> int:
-    return max([0, *(n for n in pa.compute.list_value_length(t["v"]).to_pylist())])
+    return max([0, *pc.list_value_length(t["v"]).to_pylist()])
 
 
 def _scores(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:

@@ -1,5 +1,7 @@
 """Epsilon grid join and exact top-k, against brute force."""
 import collections
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -91,3 +93,13 @@ def test_queries(llm, sf):
     d = sf(embeddings=frame(llm, messy()))
     assert queries.QUERIES["op4_epsilon_grid_join"](llm, d).columns == ["vec_id", "n_links", "component_id", "kept"]
     assert queries.QUERIES["op10_exact_top_k"](llm, d).columns == ["query_id", "rank", "vec_id", "score"]
+
+
+@pytest.mark.parametrize("module,line", [
+    ("topk", "assert topk._width(pa.schema([('v', pa.list_(pa.int64()))]).empty_table()) == 0"),
+    ("repeats", "repeats.pc.binary_length"), ("epsgrid", "epsgrid.pc.not_equal")])
+def test_workers_need_no_other_import(module, line):
+    """A worker that has loaded nothing else (no pandas) has pyarrow.compute."""
+    code = f"import pyarrow as pa\nfrom carelake.llm import {module}\n{line}"
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr
