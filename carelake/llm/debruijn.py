@@ -20,8 +20,11 @@ other columns are ignored.
 """
 from __future__ import annotations
 
+from itertools import compress
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +34,13 @@ from .registry import register
 from .repeats import GROUP, Powers, contents, distinct_segments, grouped, keyed, mix, repeated, texts
 
 WINDOW, GRAM = 35, 12
+#: Texts whose words are held at once.
+TEXTS = 64
 _TABLE = np.random.default_rng(9).integers(0, 1 << 64, 256, dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POWERS = Powers()
-PIECE = "a long, s long, rel int, len int, piece long, u long, v long"
+PIECE = "a long, s long, rel int, len int, piece long, u long, v long, home long"
 
 
 def tokens(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,16 +78,21 @@ def kernel(window: int):
         cnt, n = t["cnt"].to_numpy().astype(np.int64), t["n"].to_numpy()
         h1, h2, u, v, words, at = _edges(t["content"].to_pylist(), cnt, window)
         of = np.repeat(np.arange(len(cnt)), cnt)
-        order = np.lexsort((h2, h1))
-        step = np.empty(len(order), bool)
-        step[:1] = True
-        step[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
+        order = np.argsort(h1, kind="stable")
+        new, other = (np.concatenate([[True], x[1:] != x[:-1]])[:len(order)] for x in (h1[order], h2[order]))
+        if (other & ~new).any():
+            order = np.lexsort((h2, h1))
+            new, other = (np.concatenate([[True], x[1:] != x[:-1]])[:len(order)] for x in (h1[order], h2[order]))
+        step = new | other
         first = order[step]
         edge = np.empty(len(order), np.int64)
         edge[order] = np.cumsum(step) - 1
         same = np.ones(len(order), bool)  # the words themselves, not only their hashes
+        later = np.flatnonzero(first[edge] != np.arange(len(edge)))
+        x, y, equal = at[later], at[first[edge[later]]], np.ones(len(later), bool)
         for i in range(window):
-            same &= words[at + i] == words[at[first[edge]] + i]
+            equal &= words[x + i] == words[y + i]
+        same[later] = equal
         total = np.bincount(edge[same], n[of[same]].astype(np.float64), minlength=len(first))
         often = same & (total[edge] > 1)
         # branching nodes, among the distinct repeated edges here
@@ -91,7 +101,8 @@ def kernel(window: int):
         def many(x):
             values, count = np.unique(x[f], return_counts=True)
             return values[count > 1]
-        branch = np.isin(u, many(u)) | np.isin(u, many(v))
+        branch = np.zeros(len(often), bool)
+        branch[often] = np.isin(u[often], np.concatenate([many(u), many(v)]))
         begin = often.copy()
         begin[1:] &= ~often[:-1] | (of[1:] != of[:-1]) | branch[1:]
         begin = np.flatnonzero(begin)
@@ -105,8 +116,8 @@ def kernel(window: int):
         return pa.RecordBatch.from_arrays(
             [pa.array(t["a"].to_numpy()[own]), pa.array(t["s"].to_numpy()[own]),
              pa.array((begin - (ends - cnt)[own]).astype(np.int32)), pa.array((stop - begin).astype(np.int32)),
-             *(pa.array(x.view(np.int64)) for x in (piece, u[begin], v[stop - 1]))],
-            names=["a", "s", "rel", "len", "piece", "u", "v"])
+             *(pa.array(x.view(np.int64)) for x in (piece, u[begin], v[stop - 1])), pa.array(t["k1"].to_numpy()[own])],
+            names=["a", "s", "rel", "len", "piece", "u", "v", "home"])
     return compact
 
 
@@ -119,32 +130,37 @@ def crowded(rows: DataFrame, window: int) -> DataFrame:
                 cnt = p.column("cnt").to_numpy().astype(np.int64)
                 h1, h2, u, v, _, _ = _edges(p.column("content").to_pylist(), cnt, window)
                 idx = np.arange(cnt.sum()) - np.repeat(np.cumsum(cnt) - cnt, cnt)
-                rep = [pa.array(np.repeat(p.column(c).to_numpy(), cnt)) for c in ("a", "s", "n")]
+                rep = [pa.array(np.repeat(p.column(c).to_numpy(), cnt)) for c in ("a", "s", "n", "k1")]
                 yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (h1, h2, u, v)), *rep,
                                                   pa.array(idx.astype(np.int32))],
-                                                 names=["h1", "h2", "u", "v", "a", "s", "n", "rel"])
-    e = rows.mapInArrow(edges, "h1 long, h2 long, u long, v long, a long, s long, n long, rel int")
+                                                 names=["h1", "h2", "u", "v", "a", "s", "n", "home", "rel"])
+    e = rows.mapInArrow(edges, "h1 long, h2 long, u long, v long, a long, s long, n long, home long, rel int")
     often = cut(e.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2"))
-    return e.join(often, ["h1", "h2"]).select("a", "s", "rel", F.lit(1).alias("len"), F.col("h1").alias("piece"), "u", "v")
+    return e.join(often, ["h1", "h2"]).select("a", "s", "rel", F.lit(1).alias("len"), F.col("h1").alias("piece"), "u", "v", "home")
 
 
 def paths(pieces: DataFrame) -> DataFrame:
-    """(piece, path): pieces joined through nodes where one ends and one starts."""
-    p = cut(pieces.select("piece", "u", "v").dropDuplicates(["piece"]))
+    """(piece, path): pieces joined through nodes where one ends and one starts.
+    Neighbours are mostly first found in one text (home), so they are dealt by
+    it and most paths are contracted inside a task."""
+    p = cut(pieces.select("piece", "u", "v", "home").dropDuplicates(["piece"]))
     starts = p.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("next")).where("n = 1")
-    ends = p.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("prev")).where("n = 1")
-    glue = ends.join(starts, ends.v == starts.u).select(F.col("prev").alias("a"), F.col("next").alias("b"))
-    return components(glue).withColumnsRenamed({"node": "piece", "component": "path"})
+    ends = (p.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("prev"), F.min("home").alias("home"))
+            .where("n = 1"))
+    glue = ends.join(starts, ends.v == starts.u).select(F.col("prev").alias("a"), F.col("next").alias("b"), "home")
+    return components(glue.repartition("home")).withColumnsRenamed({"node": "piece", "component": "path"})
 
 
 def passage_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """k1, k2, pieces (start, len, path) of the texts of ``docs`` (k1, k2,
     text) in which words repeat."""
     occ = repeated(docs, tokens, window, GRAM)
-    segs = distinct_segments(occ)
-    rows = contents(segs, docs, slicer, window)
-    pieces = cut(grouped(rows.where(F.col("segs") <= GROUP), kernel(window), PIECE)
-                 .union(crowded(rows.where(F.col("segs") > GROUP), window)))
+    segs = cut(distinct_segments(occ))
+    pieces = grouped(contents(segs.where(F.col("segs") <= GROUP), docs, slicer, window), kernel(window), PIECE)
+    large = segs.where(F.col("segs") > GROUP)
+    if not large.isEmpty():  # else the contents are not taken from all texts a second time
+        pieces = pieces.union(crowded(contents(large, docs, slicer, window), window))
+    pieces = cut(pieces)
     named = pieces.join(paths(pieces), "piece", "left").withColumn("path", F.coalesce("path", "piece"))
     found = cut(named.groupBy("a", "s").agg(F.collect_list(F.struct("rel", "len", "path")).alias("pieces")))
     once = occ.dropDuplicates(["k1", "k2", "start"])
@@ -152,20 +168,30 @@ def passage_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             .agg(F.collect_list(F.struct("start", "pieces")).alias("found")))
 
 
-def _removed(found: list, window: int, size: int) -> tuple[np.ndarray, int]:
-    """Words in verified spans of paths, and how many spans there are."""
-    at = sorted((p["path"], o["start"] + p["rel"], p["len"]) for o in found or () for p in o["pieces"])
-    edge, spans, k = np.zeros(size + 1, np.int32), 0, 0
-    while k < len(at):
-        path, start, n = at[k]
-        end, k = start + n, k + 1
-        while k < len(at) and at[k][0] == path and at[k][1] <= end:  # adjacent in the source
-            end, k = max(end, at[k][1] + at[k][2]), k + 1
-        if start + window <= end - 1 + window <= size:
-            edge[start] += 1
-            edge[end - 1 + window] -= 1
-            spans += 1
-    return np.cumsum(edge[:size]) > 0, spans
+def _removed(found: pa.ListArray, window: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words in verified spans of paths, of all texts one after another (each
+    followed by one more place, never removed), and how many spans each has."""
+    occ = found.flatten()
+    text = np.repeat(np.arange(len(found)), pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))
+    many, pieces = pc.list_value_length(occ.field("pieces")).to_numpy(zero_copy_only=False), occ.field("pieces").flatten()
+    rel, n, path = (pieces.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("rel", "len", "path"))
+    text, start = np.repeat(text, many), np.repeat(occ.field("start").to_numpy(zero_copy_only=False).astype(np.int64), many) + rel
+    order = np.lexsort((start, path, text))
+    text, path, start, end = text[order], path[order], start[order], (start + n)[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (text[1:] != text[:-1]) | (path[1:] != path[:-1])
+    own = np.cumsum(new) << 32
+    end = np.maximum.accumulate(own + end) - own  # the furthest end so far on this path
+    new[1:] |= start[1:] > end[:-1]  # else adjacent in the source
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(order)]])[:len(first)] - 1
+    text, start, stop = text[first], start[first], end[last] - 1 + window
+    fits = (start + window <= stop) & (stop <= size[text])
+    text, start, stop = text[fits], start[fits], stop[fits]
+    base = np.cumsum(size + 1) - size - 1
+    length = int((size + 1).sum())
+    edge = np.bincount(base[text] + start, minlength=length) - np.bincount(base[text] + stop, minlength=length)
+    return np.cumsum(edge) > 0, np.bincount(text, minlength=len(size))
 
 
 def cut_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -176,15 +202,18 @@ def cut_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            out = []
-            for k1, k2, z, found in zip(*(b.column(c).to_pylist() for c in ("k1", "k2", "z", "found"))):
-                words = unpack(z).split()
-                gone, spans = _removed(found, window, len(words))
-                kept = [w for w, g in zip(words, gone.tolist()) if not g] if found else words
-                out.append((k1, k2, len(words), int(gone.sum()), spans, b" ".join(kept)))
-            cols = list(zip(*out)) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.binary()])],
-                                             names=["k1", "k2", "n_words", "n_removed", "n_spans", "kept"])
+            for lo in range(0, b.num_rows, TEXTS):
+                p = b.slice(lo, TEXTS)
+                words = [unpack(z).split() for z in p.column("z").to_pylist()]
+                size = np.array([len(w) for w in words], np.int64)
+                gone, spans = _removed(p.column("found"), window, size)
+                ends = np.cumsum(size + 1)
+                lost = np.diff(np.concatenate([[0], np.cumsum(gone)])[np.concatenate([[0], ends])])
+                kept = [b" ".join(compress(w, (~gone[e - len(w) - 1:e - 1]).tolist()) if k else w)
+                        for w, e, k in zip(words, ends.tolist(), lost.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [p.column("k1"), p.column("k2"), *(pa.array(x, pa.int64()) for x in (size, lost, spans)),
+                     pa.array(kept, pa.binary())], names=["k1", "k2", "n_words", "n_removed", "n_spans", "kept"])
     return joined.mapInArrow(run, "k1 long, k2 long, n_words long, n_removed long, n_spans long, kept binary")
 
 

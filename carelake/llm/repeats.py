@@ -100,7 +100,7 @@ def segments(tokens: np.ndarray, ends: np.ndarray, window: int, gram: int, power
     np.add.at(inside, start[has], 1)
     np.add.at(inside, ends[has] - window + 1, -1)
     ok = np.cumsum(inside[:n]) > 0
-    text = np.searchsorted(ends, np.arange(n), side="right") if len(ends) > 1 else np.zeros(n, np.int64)
+    text = np.repeat(np.arange(len(ends)), ends - start)[:n]
     new = np.empty(n, bool)
     new[0] = True
     new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | ~ok[:-1]
@@ -206,15 +206,17 @@ def contents(segs: DataFrame, docs: DataFrame, slicer: Callable[[bytes], Callabl
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            out = []
-            for k1, k2, z, need in zip(*(b.column(i).to_pylist() for i in range(4))):
+            sizes, flat = pc.list_value_length(b.column(3)).to_numpy(), b.column(3).flatten()
+            start, cnt = (flat.field(c).to_pylist() for c in ("start", "cnt"))
+            out, i = [], 0
+            for z, size in zip(b.column(2).to_pylist(), sizes.tolist()):
                 piece = slicer(unpack(z))
-                out += [(x["a"], x["s"], x["n"], k1, k2, x["start"], x["cnt"], x["segs"],
-                         piece(x["start"], x["cnt"] + window - 1)) for x in need]
-            cols = list(zip(*out)) if out else [[]] * 9
-            kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             names=["a", "s", "n", "k1", "k2", "start", "cnt", "segs", "content"])
+                out += [piece(x, n + window - 1) for x, n in zip(start[i:i + size], cnt[i:i + size])]
+                i += size
+            k1, k2 = (pa.array(np.repeat(b.column(c).to_numpy(), sizes)) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [*(flat.field(c) for c in ("a", "s", "n")), k1, k2, *(flat.field(c) for c in ("start", "cnt", "segs")),
+                 pa.array(out, pa.binary())], names=["a", "s", "n", "k1", "k2", "start", "cnt", "segs", "content"])
     return texts(docs).join(need, ["k1", "k2"]).mapInArrow(run, SEG + ", content binary")
 
 

@@ -389,6 +389,49 @@ def test_passage_query(llm, sf, monkeypatch, seed, group):
         (i, *r) for i, r in enumerate(want))
 
 
+def test_passage_contents_are_taken_once(llm, sf, monkeypatch):
+    """Without an anchor of too many segments, texts are cut into segments once."""
+    calls, real = [], debruijn.contents
+    monkeypatch.setattr(debruijn, "contents", lambda *a: calls.append(1) or real(*a))
+    monkeypatch.setattr(debruijn, "crowded", lambda *a: pytest.fail("no anchor is crowded"))
+    texts = passages(random.Random(3), 30, words)
+    got = tables(llm, sf, "op9_debruijn_passages", texts)
+    assert calls == [1] and sorted((r["doc_id"], r["n_removed"]) for r in got) == [(i, r[1]) for i, r in enumerate(brute_words(texts))]
+
+
+def test_passage_paths_are_contracted_by_text(llm, monkeypatch):
+    """Long paths do not need a round for each doubling of their length."""
+    seen, real = [], debruijn.components
+    monkeypatch.setattr(debruijn, "components", lambda e: real(seen.append(e) or e, max_rounds=2))
+    pieces = [(p * 10_000 + i, p * 10_000 + i, p * 10_000 + i + 1, p) for p in range(1, 8) for i in range(700)]
+    got = debruijn.paths(llm.createDataFrame(pieces, "piece long, u long, v long, home long")).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter((x, h * 10_000) for x, _, _, h in pieces)
+
+
+def test_removed_words_and_spans():
+    rng = random.Random(4)
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("pieces", pa.list_(pa.struct(
+        [("rel", pa.int32()), ("len", pa.int32()), ("path", pa.int64())])))]))
+    size = np.array([rng.choice([0, 3, 40, 90]) for _ in range(60)])
+    found = [None if n < 40 else [
+        {"start": rng.randrange(n), "pieces": [{"rel": rng.randrange(4), "len": rng.randint(1, 9), "path": rng.randint(-2, 2)}
+                                               for _ in range(rng.randrange(4))]} for _ in range(rng.randrange(6))] for n in size]
+    gone, spans = debruijn._removed(pa.array([None, *found], kind).slice(1), 5, size)
+    at = 0
+    for n, f, count in zip(size, found, spans):
+        want, runs, merged = np.zeros(n + 1, bool), 0, []
+        for path, a, b in sorted((p["path"], o["start"] + p["rel"], o["start"] + p["rel"] + p["len"]) for o in f or () for p in o["pieces"]):
+            if merged and merged[-1][0] == path and a <= merged[-1][2]:
+                merged[-1][2] = max(b, merged[-1][2])
+            else:
+                merged.append([path, a, b])
+        for _, a, b in merged:
+            if a + 5 <= b + 4 <= n:
+                want[a:b + 4], runs = True, runs + 1
+        assert gone[at:at + n + 1].tolist() == want.tolist() and count == runs
+        at += n + 1
+
+
 def test_passage_messy(llm, sf, messy, empty):
     assert len(run(llm, sf, "op9_debruijn_passages", messy)) == len(MESSY)
     assert debruijn.cut_passages(repeats.keyed(empty)).count() == 0

@@ -95,11 +95,9 @@ def test_queries(llm, sf):
     assert queries.QUERIES["op10_exact_top_k"](llm, d).columns == ["query_id", "rank", "vec_id", "score"]
 
 
-@pytest.mark.parametrize("module,line", [
-    ("topk", "assert topk._width(pa.schema([('v', pa.list_(pa.int64()))]).empty_table()) == 0"),
-    ("repeats", "repeats.pc.binary_length"), ("epsgrid", "epsgrid.pc.not_equal")])
-def test_workers_need_no_other_import(module, line):
+@pytest.mark.parametrize("module", ["topk", "repeats", "epsgrid"])
+def test_workers_need_no_other_import(module):
     """A worker that has loaded nothing else (no pandas) has pyarrow.compute."""
-    code = f"import pyarrow as pa\nfrom carelake.llm import {module}\n{line}"
+    code = f"import pyarrow as pa\nfrom carelake.llm import {module}\nassert hasattr(pa, 'compute')"
     run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
     assert run.returncode == 0, run.stderr
