@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import components, cut, prepare, table
 from .registry import register
-from .repeats import GROUP, Powers, contents, distinct_segments, grouped, keyed, mix, repeated, texts
+from .repeats import GROUP, Powers, contents, contents_once, distinct_segments, grouped, keyed, mix, repeated, texts
 
 WINDOW, GRAM = 35, 12
 #: Texts whose words are held at once.
@@ -158,8 +158,8 @@ def passage_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     segs = cut(distinct_segments(occ))
     pieces = grouped(contents(segs.where(F.col("segs") <= GROUP), docs, slicer, window), kernel(window), PIECE)
     large = segs.where(F.col("segs") > GROUP)
-    if not large.isEmpty():  # else the contents are not taken from all texts a second time
-        pieces = pieces.union(crowded(contents(large, docs, slicer, window), window))
+    if not large.isEmpty():
+        pieces = pieces.union(crowded(contents_once(large, docs, slicer, window), window))
     pieces = cut(pieces)
     named = pieces.join(paths(pieces), "piece", "left").withColumn("path", F.coalesce("path", "piece"))
     found = cut(named.groupBy("a", "s").agg(F.collect_list(F.struct("rel", "len", "path")).alias("pieces")))

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 
 _POS = np.uint64((1 << 24) - 1)
 _B = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
@@ -220,6 +220,15 @@ def contents(segs: DataFrame, docs: DataFrame, slicer: Callable[[bytes], Callabl
     return texts(docs).join(need, ["k1", "k2"]).mapInArrow(run, SEG + ", content binary")
 
 
+def contents_once(segs: DataFrame, docs: DataFrame, slicer: Callable[[bytes], Callable[[int, int], bytes]], window: int) -> DataFrame:
+    """``contents`` for ``crowded``, which reads them twice: written, and where
+    few texts hold the segments, only those are taken."""
+    keys = cut(segs.select("k1", "k2").distinct())
+    if (few := small(keys)) is not keys:
+        docs = docs.join(few, ["k1", "k2"], "left_semi")
+    return cut(contents(segs, docs, slicer, window))
+
+
 def grouped(rows: DataFrame, kernel: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
     """``kernel`` over complete groups of equal ``a``, in the order of (a, k1,
     k2, start), about ``PACK`` bytes at a time."""
@@ -268,8 +277,8 @@ def runs(flags: np.ndarray, cnt: np.ndarray) -> pa.Array:
 
 
 def crowded(rows: DataFrame, tokenize, window: int) -> DataFrame:
-    """For anchors with more distinct segments than a group may hold: a, s and
-    the runs of windows that occur elsewhere (``anywhere``) and before
+    """For anchors with more distinct segments than a group may hold (``rows``,
+    from ``contents_once``): a, s and the runs of windows that occur elsewhere (``anywhere``) and before
     (``earlier``), from counting windows as rows, with map-side combining."""
     def windows(batches):
         powers = Powers()

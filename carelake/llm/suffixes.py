@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .common import cut, explode_count, prepare, released, table
 from .registry import register
-from .repeats import GROUP, contents, covered, crowded, distinct_segments, grouped, keyed, packed, repeated, runs, spans, texts
+from .repeats import GROUP, contents, contents_once, covered, crowded, distinct_segments, grouped, keyed, packed, repeated, runs, spans, texts
 
 #: A multiple of 8 up to 248.
 MIN_BYTES = 200
@@ -137,11 +137,11 @@ def byte_cuts(docs: DataFrame, least: int = MIN_BYTES, keep: str = "first") -> D
     """k1, k2, cuts of the texts of ``docs`` (with k1, k2) that lose bytes."""
     occ = repeated(docs, tokens, least, GRAM)
     segs = cut(distinct_segments(occ))
-    rows = contents(segs.where("segs > 1"), docs, slicer, least)
     out = "a long, s long, anywhere array<int>, earlier array<int>"
-    found = grouped(rows.where(F.col("segs") <= GROUP), kernel(least), out)
-    if not segs.where(F.col("segs") > GROUP).isEmpty():  # else no task keeps two Python workers for it
-        found = found.union(crowded(rows.where(F.col("segs") > GROUP), tokens, least))
+    found = grouped(contents(segs.where(F.col("segs").between(2, GROUP)), docs, slicer, least), kernel(least), out)
+    large = segs.where(F.col("segs") > F.greatest(F.lit(GROUP), F.lit(1)))
+    if not large.isEmpty():
+        found = found.union(crowded(contents_once(large, docs, slicer, least), tokens, least))
     found = cut(found)
     return spans(occ, segs.join(found, ["a", "s"], "left"), keep == "first")
 

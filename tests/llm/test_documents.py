@@ -399,6 +399,28 @@ def test_passage_contents_are_taken_once(llm, sf, monkeypatch):
     assert calls == [1] and sorted((r["doc_id"], r["n_removed"]) for r in got) == [(i, r[1]) for i, r in enumerate(brute_words(texts))]
 
 
+@pytest.mark.parametrize("module,query,find", [(debruijn, "op9_debruijn_passages", words), (suffixes, "op2_suffix_array_dedup", letters)])
+def test_crowded_anchors_take_few_texts_once_more(llm, sf, monkeypatch, module, query, find):
+    """Only the texts that hold segments of crowded anchors are shuffled again, and once."""
+    packed, real = llm.sparkContext.accumulator(0), repeats.packed
+
+    def counted(docs):
+        def count(batches):
+            for b in batches:
+                packed.add(b.num_rows)
+                yield b
+        return real(docs).mapInArrow(count, real(docs).schema)
+
+    monkeypatch.setattr(repeats, "packed", counted)
+    monkeypatch.setattr(module, "GROUP", 3)
+    rng = random.Random(4)
+    texts = passages(rng, 5, find) * 3 + [find(rng, 400) for _ in range(200)]
+    got = tables(llm, sf, query, texts)
+    brute = brute_words if module is debruijn else brute_bytes
+    assert collections.Counter(r["kept_sha256"] for r in got) == collections.Counter(r[-1] for r in brute(texts))
+    assert packed.value < 2.5 * len(texts)
+
+
 def test_passage_paths_are_contracted_by_text(llm, monkeypatch):
     """Long paths do not need a round for each doubling of their length."""
     seen, real = [], debruijn.components
