@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, prepare, table
+from .common import components, cut, files_for, prepare, table
 from .registry import register
 from .repeats import GROUP, Powers, contents, contents_once, distinct_segments, grouped, keyed, mix, repeated, texts
 
@@ -154,15 +154,16 @@ def paths(pieces: DataFrame) -> DataFrame:
 def passage_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """k1, k2, pieces (start, len, path) of the texts of ``docs`` (k1, k2,
     text) in which words repeat."""
-    occ = repeated(docs, tokens, window, GRAM)
-    segs = cut(distinct_segments(occ))
+    files = files_for(docs)
+    occ = repeated(docs, tokens, window, GRAM, files)
+    segs = cut(distinct_segments(occ, files), files)
     pieces = grouped(contents(segs.where(F.col("segs") <= GROUP), docs, slicer, window), kernel(window), PIECE)
     large = segs.where(F.col("segs") > GROUP)
     if not large.isEmpty():
-        pieces = pieces.union(crowded(contents_once(large, docs, slicer, window), window))
-    pieces = cut(pieces)
+        pieces = pieces.union(crowded(contents_once(large, docs, slicer, window, files), window))
+    pieces = cut(pieces, files)
     named = pieces.join(paths(pieces), "piece", "left").withColumn("path", F.coalesce("path", "piece"))
-    found = cut(named.groupBy("a", "s").agg(F.collect_list(F.struct("rel", "len", "path")).alias("pieces")))
+    found = cut(named.groupBy("a", "s").agg(F.collect_list(F.struct("rel", "len", "path")).alias("pieces")), files)
     once = occ.dropDuplicates(["k1", "k2", "start"])
     return (once.join(found, ["a", "s"]).groupBy("k1", "k2")
             .agg(F.collect_list(F.struct("start", "pieces")).alias("found")))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, explode_count, prepare, small, table
+from .common import WORD, cut, explode_count, files_for, prepare, small, table
 from .registry import register
 
 WEIGHTS = (1, 2, 3)
@@ -88,18 +88,18 @@ def _crossing(rows: DataFrame, bucket: str, limits: DataFrame) -> DataFrame:
         "_src", F.col(bucket).alias("_cross"), start.alias("_before"))
 
 
-def cuts(keyed: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
+def cuts(keyed: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, files: int | None = None) -> DataFrame:
     """Per source: its budget, the fine bucket that the fraction ends in
     (_cross, null if there are no words) and the words before it (_before)."""
-    slim = cut(keyed.select("_src", "source", "_size", "_fine"))
+    slim = cut(keyed.select("_src", "source", "_size", "_fine"), files)
     limits = cut(budgets(slim, weights, most))
     coarse = slim.withColumn("_coarse", F.floor(F.col("_fine") / (FINE // COARSE)).cast("long"))
     first = _crossing(coarse, "_coarse", limits.select("_src", "_rest", F.lit(0).cast("long").alias("_done")))
-    first = small(cut(first))
+    first = small(cut(first, files))
     inside = coarse.join(first, "_src").where("_coarse = _cross")
     limits2 = first.join(limits, "_src").select("_src", "_rest", F.col("_before").alias("_done"))
     second = _crossing(inside.select("_src", "_fine", "_size"), "_fine", limits2)
-    return cut(limits.join(second, "_src", "left"))
+    return cut(limits.join(second, "_src", "left"), files)
 
 
 def split_at_cut(keyed: DataFrame, per_source: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -139,7 +139,8 @@ def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -
     crossing document of a source is in if at least half of it is.  Rows equal
     in every column are counted before they are ordered."""
     keyed = with_keys(docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row")))
-    clear, last = split_at_cut(keyed, cuts(keyed, weights, most))
+    files = files_for(docs)
+    clear, last = split_at_cut(keyed, cuts(keyed, weights, most, files))
     last = last.withColumn("_h1", F.xxhash64("_row")).withColumn("_h2", F.xxhash64(F.lit(1), "_row"))
     same = ["_src", "_key", "doc_id", "_size", "_chars", "_h1", "_h2"]
     groups = last.groupBy(*same, "_rest", "_before").agg(F.count(F.lit(1)).alias("_rows"))
@@ -150,7 +151,7 @@ def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -
     # of its equal rows the mix takes those that are in with half their words or more
     taken = F.floor((left - F.ceil(F.col("_size") / 2)) / F.when(F.col("_size") > 0, F.col("_size"))) + 1
     groups = cut(groups.withColumn("_taken", F.coalesce(F.greatest(F.lit(0), F.least("_rows", taken)), F.lit(0)).cast("long"))
-                 .select(*(F.col(c).alias(f"_g{c}") for c in same), "_rows", "_taken"))
+                 .select(*(F.col(c).alias(f"_g{c}") for c in same), "_rows", "_taken"), files)
     met = last.join(groups, F.expr(" AND ".join(f"{c} <=> _g{c}" for c in same)))
     whole = met.withColumn("_times", F.col("_epochs") + F.when(F.col("_taken") == F.col("_rows"), 1).otherwise(0))
     some = (met.where("_taken > 0 AND _taken < _rows").groupBy(*same)
@@ -158,7 +159,7 @@ def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -
     rows = clear.withColumn("_times", F.col("_epochs") + F.when((F.col("_part") > 0) & (F.col("_part") * 2 >= F.col("_size")), 1).otherwise(0))
     need = ["_row", "_times"]
     rows = rows.select(*need).union(whole.select(*need)).union(some.select(*need))
-    return explode_count(rows, F.col("_times"), "_i").select("_row.*")
+    return explode_count(rows, F.col("_times"), "_i").select("_row.*").coalesce(files)
 
 
 ORACLE = r"""

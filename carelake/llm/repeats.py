@@ -168,29 +168,29 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def repeated(docs: DataFrame, tokenize, window: int, gram: int) -> DataFrame:
+def repeated(docs: DataFrame, tokenize, window: int, gram: int, files: int | None = None) -> DataFrame:
     """Occurrences (``OCC``) of the segments whose anchor occurs at least twice
     among all rows of ``docs`` (with k1, k2, text)."""
     occ = docs.select("k1", "k2", "text").mapInArrow(scanner(tokenize, window, gram), OCC)
     # written first: a join of two plain shuffles can split an anchor with very many occurrences
-    many = cut(occ.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"))
-    return cut(occ.join(many, "a", "left_semi"))
+    many = cut(occ.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), files)
+    return cut(occ.join(many, "a", "left_semi"), files)
 
 
 #: Distinct segments of one anchor that one task compares (under 2 MB of content at 200 bytes a
 #: window); beyond it, windows are counted as rows.
 GROUP = 4096
 #: Bytes of content handled at once.
-PACK = 1 << 20
+PACK = 1 << 19
 SEG = "a long, s long, n long, k1 long, k2 long, start int, cnt int, segs long"
 
 
-def distinct_segments(occ: DataFrame) -> DataFrame:
+def distinct_segments(occ: DataFrame, files: int | None = None) -> DataFrame:
     """``SEG``: distinct segments, how often each occurs (n), its first
     occurrence by (k1, k2, start), and the distinct segments of its anchor (segs)."""
     segs = cut(occ.groupBy("a", "s").agg(F.count(F.lit(1)).alias("n"),
-                                         F.min(F.struct("k1", "k2", "start", "cnt")).alias("at")))
-    per = cut(segs.groupBy("a").agg(F.count(F.lit(1)).alias("segs")))
+                                         F.min(F.struct("k1", "k2", "start", "cnt")).alias("at")), files)
+    per = cut(segs.groupBy("a").agg(F.count(F.lit(1)).alias("segs")), files)
     return segs.join(per, "a").select("a", "s", "n", "at.*", "segs")
 
 
@@ -220,13 +220,14 @@ def contents(segs: DataFrame, docs: DataFrame, slicer: Callable[[bytes], Callabl
     return texts(docs).join(need, ["k1", "k2"]).mapInArrow(run, SEG + ", content binary")
 
 
-def contents_once(segs: DataFrame, docs: DataFrame, slicer: Callable[[bytes], Callable[[int, int], bytes]], window: int) -> DataFrame:
+def contents_once(segs: DataFrame, docs: DataFrame, slicer: Callable[[bytes], Callable[[int, int], bytes]], window: int,
+                  files: int | None = None) -> DataFrame:
     """``contents`` for ``crowded``, which reads them twice: written, and where
     few texts hold the segments, only those are taken."""
-    keys = cut(segs.select("k1", "k2").distinct())
+    keys = cut(segs.select("k1", "k2").distinct(), files)
     if (few := small(keys)) is not keys:
         docs = docs.join(few, ["k1", "k2"], "left_semi")
-    return cut(contents(segs, docs, slicer, window))
+    return cut(contents(segs, docs, slicer, window), files)
 
 
 def grouped(rows: DataFrame, kernel: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
@@ -306,12 +307,12 @@ def crowded(rows: DataFrame, tokenize, window: int) -> DataFrame:
     ).select("a", "s", *(F.flatten(F.transform(c, lambda x: F.array(x, F.lit(1)))).alias(c) for c in ("anywhere", "earlier")))
 
 
-def spans(occ: DataFrame, found: DataFrame, keep_first: bool) -> DataFrame:
+def spans(occ: DataFrame, found: DataFrame, keep_first: bool, files: int | None = None) -> DataFrame:
     """k1, k2 and ``cuts`` (windows to remove, as start, length pairs) of the
     texts that lose something.  ``found``: a, s, n, k1, k2, start of distinct
     segments and the runs ``anywhere`` and ``earlier`` (null where not compared)."""
     once = occ.dropDuplicates(["k1", "k2", "start"])
-    f = cut(found.select("a", "s", "n", F.struct("k1", "k2", "start").alias("at"), "anywhere", "earlier"))
+    f = cut(found.select("a", "s", "n", F.struct("k1", "k2", "start").alias("at"), "anywhere", "earlier"), files)
     whole = F.array(F.lit(0), F.col("cnt"))
     own = F.struct("k1", "k2", "start") == F.col("at")
     if keep_first:

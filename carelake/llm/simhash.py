@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, contract, cut, prepare, table
+from .common import components, contract, cut, files_for, prepare, table
 from .registry import register
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -165,11 +165,12 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD)
             .mapInArrow(lambda batches: contract(trees(batches)), "a long, b long"))
 
 
-def simhash_components(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def simhash_components(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS, files: int | None = None) -> DataFrame:
     """doc_id, th, fp, component (a fingerprint) and component_id of every row of ``docs``."""
-    rows = cut(fingerprints(docs, n))
-    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    comp = components(fingerprint_links(nodes.select("fp"), radius), contracted=True)
+    files = files or files_for(docs)
+    rows = cut(fingerprints(docs, n), files)
+    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), files)
+    comp = components(fingerprint_links(nodes.select("fp"), radius), contracted=True, files=files)
     nodes = (nodes.join(comp, nodes.fp == comp.node, "left")
              .select("fp", "first", F.coalesce("component", "fp").alias("component")))
     first = nodes.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -179,7 +180,8 @@ def simhash_components(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS)
 def keep_one(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` without all but one document of each component:
     the one with the smallest doc_id, of equal rows one."""
-    rows = simhash_components(docs, n, radius)
+    files = files_for(docs)
+    rows = simhash_components(docs, n, radius, files)
     own = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     best = own.groupBy("component").agg(F.min("th").alias("th"))
     best = (own.join(best, ["component", "th"]).groupBy("component", "doc_id", "th")
@@ -190,7 +192,7 @@ def keep_one(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS) -> DataFra
     kept = kept.join(best, (F.col("_t") == F.col("_th")) & F.col("_own").eqNullSafe(F.col("_id")))
     one = kept.where("_copies = 1")
     some = kept.where("_copies > 1").dropDuplicates(["_id", "_th"])
-    return one.union(some).select("_row.*")
+    return one.union(some).select("_row.*").coalesce(files)
 
 
 @register("op8_simhash_bk_trees")

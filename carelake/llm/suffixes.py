@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, explode_count, prepare, released, table
+from .common import cut, explode_count, files_for, prepare, released, table
 from .registry import register
 from .repeats import GROUP, contents, contents_once, covered, crowded, distinct_segments, grouped, keyed, packed, repeated, runs, spans, texts
 
@@ -133,17 +133,18 @@ def kernel(least: int):
     return compare
 
 
-def byte_cuts(docs: DataFrame, least: int = MIN_BYTES, keep: str = "first") -> DataFrame:
+def byte_cuts(docs: DataFrame, least: int = MIN_BYTES, keep: str = "first", files: int | None = None) -> DataFrame:
     """k1, k2, cuts of the texts of ``docs`` (with k1, k2) that lose bytes."""
-    occ = repeated(docs, tokens, least, GRAM)
-    segs = cut(distinct_segments(occ))
+    files = files or files_for(docs)
+    occ = repeated(docs, tokens, least, GRAM, files)
+    segs = cut(distinct_segments(occ, files), files)
     out = "a long, s long, anywhere array<int>, earlier array<int>"
     found = grouped(contents(segs.where(F.col("segs").between(2, GROUP)), docs, slicer, least), kernel(least), out)
     large = segs.where(F.col("segs") > F.greatest(F.lit(GROUP), F.lit(1)))
     if not large.isEmpty():
-        found = found.union(crowded(contents_once(large, docs, slicer, least), tokens, least))
-    found = cut(found)
-    return spans(occ, segs.join(found, ["a", "s"], "left"), keep == "first")
+        found = found.union(crowded(contents_once(large, docs, slicer, least, files), tokens, least))
+    found = cut(found, files)
+    return spans(occ, segs.join(found, ["a", "s"], "left"), keep == "first", files)
 
 
 def _cutter(least: int):
@@ -186,11 +187,12 @@ def dedup(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
     rest = [c for c in docs.columns if c != "text"]
     rows = keyed(docs.select(F.struct(*rest).alias("_row"), "doc_id", "text"))
     rows = rows.withColumn("_id", F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", F.xxhash64("_row").alias("h1"), F.xxhash64(F.lit(1), "_row").alias("h2"))).drop("doc_id")
-    cuts = byte_cuts(rows, least, "first")
+    files = files_for(rows)
+    cuts = byte_cuts(rows, least, "first", files)
     each = rows.groupBy("k1", "k2", "_id").agg(F.count(F.lit(1)).alias("m"))
     same = cut(each.groupBy("k1", "k2").agg(F.sum("m").alias("rows"), F.min("_id").alias("first_id"), F.min_by("m", "_id").alias("ties"))
-               .where("rows > 1").drop("rows"))
-    cuts = cut(cuts.join(same, ["k1", "k2"], "full"))
+               .where("rows > 1").drop("rows"), files)
+    cuts = cut(cuts.join(same, ["k1", "k2"], "full"), files)
     schema = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), T.StructField("_text", T.StringType())])
 
     def finish(r: DataFrame, copy) -> DataFrame:
@@ -219,7 +221,7 @@ def dedup(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
         one = (rows.join(keys, (F.col("k1") == F.col("_c1")) & (F.col("k2") == F.col("_c2")) & (F.col("_id") == F.col("_f")))
                .groupBy("k1", "k2").agg(F.first("_row").alias("_row"), F.first("text").alias("text"), F.max("_m").alias("_m")))
         out = out.union(finish(explode_count(one, F.col("_m"), "_i").drop("_id"), F.col("_i") > 0))
-    return out.select(*(F.col("_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
+    return out.select(*(F.col("_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns)).coalesce(files)
 
 
 @register("op2_suffix_array_dedup")

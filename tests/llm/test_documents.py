@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from carelake.llm import bpe, debruijn, mixing, queries, repeats, sharding, simhash, suffixes
+from carelake.llm import bpe, common, debruijn, mixing, queries, repeats, sharding, simhash, suffixes
 
 from .conftest import DOCS, MESSY, rows
 
@@ -421,6 +421,39 @@ def test_crowded_anchors_take_few_texts_once_more(llm, sf, monkeypatch, module,
     assert packed.value < 2.5 * len(texts)
 
 
+@pytest.mark.parametrize("stage", [simhash.keep_one, suffixes.dedup, mixing.mix_documents])
+def test_stages_make_few_files_of_many_partitions(llm, monkeypatch, stage):
+    """What is cut and handed on has no more files than its text needs, however many partitions a shuffle has."""
+    rng = random.Random(5)
+    texts = [x + "." for x in passages(rng, 20, letters)] * 2 + [letters(rng, 300) for _ in range(20)]
+    docs = llm.createDataFrame(rows(*texts), DOCS)
+    want, sizes, real = collections.Counter(map(tuple, stage(docs).collect())), [], type(docs).checkpoint
+
+    def checkpoint(df, eager=True):
+        out = real(df, eager)
+        sizes.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(type(docs), "checkpoint", checkpoint)
+    changed = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: llm.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            llm.conf.set(k, v)
+        out = stage(docs)
+        assert sizes and max(sizes) <= common.FEWEST and out.rdd.getNumPartitions() <= common.FEWEST
+        assert collections.Counter(map(tuple, out.collect())) == want
+    finally:
+        for k, v in before.items():
+            llm.conf.set(k, v)
+
+
+def test_files_follow_the_text(llm, empty, monkeypatch):
+    assert common.files_for(empty) == common.FEWEST
+    monkeypatch.setattr(common, "FILE_BYTES", 10)
+    assert common.files_for(llm.createDataFrame([(1, "é" * 300), (2, None)], "doc_id long, text string")) == 60
+
+
 def test_passage_paths_are_contracted_by_text(llm, monkeypatch):
     """Long paths do not need a round for each doubling of their length."""
     seen, real = [], debruijn.components
